@@ -6,7 +6,9 @@ Per billing key ``(account, billingYear, billingMonth, quota)`` the processor ke
 Rows go through pandas (Arrow batches), so the per-key work is vectorized.
 
 State grows with accounts × months × quotas unless ``clear_after`` is set: then an event-time timer at
-the end of the billing month plus that grace clears the key (a row arriving later starts a new total).
+the end of the billing month plus that grace clears the key.  A row of that month arriving afterwards
+is behind the watermark, and Spark drops such rows before the processor, so a cleared total is never
+restarted; the grace plus the watermark delay is the lateness a month accepts.
 Times inside the processor are epoch microseconds — the process's zone can never shift them.
 """
 

@@ -7,9 +7,14 @@
 ``enrich_versioned``
     versions arrive as a stream too.  Both streams are unioned and keyed by account into
     :class:`VersionedJoinProcessor`: versions are stored (``MapState``); a usage row is joined once the
-    event-time watermark has passed its time, so that all versions up to that time have been seen, and
-    released by an event-time timer.  Usage at or behind the watermark is joined at once (``late="keep"``)
-    or dropped (``late="drop"``, needed for ordered output).
+    event-time watermark has reached its time, so that all versions up to that time have been seen,
+    released by an event-time timer.
+
+Rows behind the watermark (usage or versions) are dropped by Spark before they reach the processor —
+observed on Spark 4.1 in event-time mode, and reported as ``numRowsDroppedByWatermark`` in the query
+progress.  The watermark ``delay`` is therefore the lateness the join tolerates.  Because nothing older
+than the watermark can arrive, each release is in event order, and versions older than the newest one
+at or before the watermark are removed from state.
 """
 
 from __future__ import annotations
@@ -44,15 +49,13 @@ def enrich_static(usage: DataFrame, versions: DataFrame, max_broadcast_rows: int
 class VersionedJoinProcessor(StatefulProcessor):
     """Per account: versions in ``MapState`` (time → quota), waiting usage in ``ListState``."""
 
-    def __init__(self, tie: str, late: str = "keep"):
+    def __init__(self, tie: str):
         self.tie = tie
-        self.late = late
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.versions = handle.getMapState("versions", "vts long", "quota long")
         self.waiting = handle.getListState("waiting", f"ts long, bytesUsed long, {self.tie} long")
-        self.dropped = handle.getValueState("dropped", "n long")
 
     def _emit(self, account, rows) -> pd.DataFrame | None:
         """Join ``rows`` (time-sorted) with the latest stored version at or before each time."""
@@ -91,9 +94,6 @@ class VersionedJoinProcessor(StatefulProcessor):
             if ms > wm_ms:
                 wait.append(row)
                 self.handle.registerTimer(ms)
-            elif self.late == "drop" and ms < wm_ms:
-                n = self.dropped.get()
-                self.dropped.update(((n[0] if n else 0) + 1,))
             else:
                 now.append(row)
         if wait:
@@ -112,16 +112,15 @@ class VersionedJoinProcessor(StatefulProcessor):
         self.waiting.clear()
         if keep:
             self.waiting.put(keep)
-        if self.late == "drop":
-            self._prune(wm_ms * 1000, keep)
         ready.sort()
         out = self._emit(key[0], ready)
+        self._prune(wm_ms * 1000, keep)
         if out is not None:
             yield out
 
     def _prune(self, wm_us: int, keep) -> None:
         """Drop versions that no future row can use: older than the newest one at or before the
-        earliest time still to come (late rows are dropped in this mode)."""
+        earliest time still to come (rows behind the watermark never arrive)."""
         horizon = min([wm_us] + [k[0] for k in keep])
         older = sorted(vts for (vts,), _ in self.versions.iterator() if vts <= horizon)
         for vts in older[:-1]:
@@ -131,13 +130,12 @@ class VersionedJoinProcessor(StatefulProcessor):
         pass
 
 
-def enrich_versioned(usage: DataFrame, versions: DataFrame, tie: str, delay: str = "0 seconds",
-                     late: str = "keep") -> DataFrame:
+def enrich_versioned(usage: DataFrame, versions: DataFrame, tie: str, delay: str = "0 seconds") -> DataFrame:
     """Usage stream joined with a version stream (both carry event times), plus the billing period.
 
-    Output rows come out when the watermark passes their time; ``late`` decides about usage that
-    arrives behind the watermark.  Output columns: ``account, bytesUsed, ts, tie, quota, billingYear,
-    billingMonth``.
+    Output rows come out when the watermark reaches their time; rows more than ``delay`` behind the
+    latest event time are late and dropped by Spark.  Output columns: ``account, bytesUsed, ts, tie,
+    quota, billingYear, billingMonth``.
     """
     u = usage.select(F.col("account").alias("key_id"), F.col("ts"), F.lit(1).alias("side"),
                      F.col("bytesUsed").cast("long").alias("bytesUsed"), F.col(tie).cast("long").alias(tie),
@@ -152,6 +150,6 @@ def enrich_versioned(usage: DataFrame, versions: DataFrame, tie: str, delay: str
         T.StructField("ts_us", T.LongType()), T.StructField(tie, T.LongType()),
         T.StructField("quota", T.LongType())])
     out = both.groupBy("key_id").transformWithStateInPandas(
-        VersionedJoinProcessor(tie, late), schema, "Append", "EventTime")
+        VersionedJoinProcessor(tie), schema, "Append", "EventTime")
     out = out.select("account", "bytesUsed", F.timestamp_micros("ts_us").alias("ts"), tie, "quota")
     return out.withColumns({"billingYear": billing_year("ts"), "billingMonth": billing_month("ts")})
