@@ -139,4 +139,11 @@ FROM changes WHERE prev_ts IS NOT NULL"""
     q["quota_enriched_stream"] = q["quota_enriched"]
     q["quota_enriched_versions_stream"] = q["quota_enriched"]
     q["usage_alerts_stream"] = q["usage_alerts"]
+    q["quota_enriched_ordered_stream"] = q["quota_enriched_ordered"]
+    q["usage_publish_stream"] = _with(USAGE) + (
+        "SELECT date_trunc('millisecond', ts) AS ts, account, bytesUsed FROM usage")
+    q["log_account_totals_range"] = _with(USAGE) + (
+        "SELECT account, CAST(SUM(bytesUsed) AS BIGINT) AS totalConsumption, "
+        "date_trunc('millisecond', MAX(ts)) AS asOf FROM usage "
+        f"WHERE ts >= TIMESTAMP '{RANGE_START}' AND ts < TIMESTAMP '{RANGE_END}' GROUP BY account")
     return q

@@ -146,6 +146,17 @@ def usage_alerts_long_range(spark, sf):
     return usage_alerts(e, TIE).select(*ALERT_COLS)
 
 
+def log_account_totals_range(spark, sf):
+    """The bounded batch job over a file copy of the log (written by Spark from the events)."""
+    from ..plans.jobs import batch_totals_job
+    from ..session import scratch_path
+    from ..sources.log import write_log
+
+    path = scratch_path(spark, "logs", "events")
+    write_log(td.raw_log_from_events(spark, sf), "files", path)
+    return batch_totals_job(spark, "files", path, start_at=td.RANGE_START + "Z", end_at=td.RANGE_END + "Z")
+
+
 def account_keys(spark, sf):
     return _enriched(spark, sf).select(billing_key().alias("key")).distinct()
 
@@ -178,6 +189,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "usage_alert_messages": usage_alert_messages,
         "usage_alerts_long_range": usage_alerts_long_range,
         "account_keys": account_keys,
+        "log_account_totals_range": log_account_totals_range,
     }
     q.update(replays.stream_queries())
     return q

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.asof import version_intervals
+from ..sources.codec import decode_usage
 
 ENRICH_SQL = """
 SELECT data_consumption.account AS account,
@@ -35,3 +36,12 @@ def register_views(spark: SparkSession, usage: DataFrame, versions: DataFrame) -
 
 def enrich_sql(spark: SparkSession) -> DataFrame:
     return spark.sql(ENRICH_SQL)
+
+
+def register_log_table(raw: DataFrame, name: str = "data_consumption", strict: bool = True) -> DataFrame:
+    """The SQL-declared log table: ``account, bytesUsed`` from the JSON body and ``ts`` from the log
+    record's own timestamp (the record metadata), as a temporary view.  Works on ``read`` and
+    ``readStream`` log DataFrames; add ``withWatermark("ts", …)`` for event-time operators."""
+    table = decode_usage(raw, ts_from="record") if strict else raw
+    table.createOrReplaceTempView(name)
+    return table

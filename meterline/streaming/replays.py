@@ -21,7 +21,8 @@ from ..sources.codec import decode_usage
 from ..sources.log import read_log
 from .alerts import stream_usage_alerts
 from .enrich import enrich_static, enrich_versioned
-from .runner import batch_folder_writer, fresh_paths, latest_per_key, run_to_end
+from .ordered import ordered_batch_writer, read_ordered
+from .runner import await_end, batch_folder_writer, fresh_paths, latest_per_key, run_to_end
 from .totals import stream_account_totals, stream_total_changes
 
 TIE = "event_id"
@@ -100,6 +101,25 @@ def quota_enriched_versions_stream(spark: SparkSession, sf: str) -> DataFrame:
                                           "billingMonth")
 
 
+def quota_enriched_ordered_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Version-stream join written batch by batch in event order, read back as one sequence."""
+    out, ck = fresh_paths(spark, "enriched_ordered")
+    versions = replay_source(spark, td.versions_from_events(spark, sf), "ts", "versions")
+    e = enrich_versioned(_usage_stream(spark, sf), versions, TIE)
+    run_to_end(e, ck, "append", sink=ordered_batch_writer(out, ["ts", TIE]))
+    return read_ordered(spark, out, ["ts", TIE]).select("account", "bytesUsed", "quota", "ts")
+
+
+def usage_publish_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Usage published as a JSON log through the exactly-once file sink, then read and decoded."""
+    from ..plans.jobs import publish_job
+
+    out, ck = fresh_paths(spark, "publish")
+    q = publish_job(_usage_stream(spark, sf), "files", path=out, checkpoint=ck, trigger={"availableNow": True})
+    await_end(q)
+    return decode_usage(read_log(spark, "files", path=out))
+
+
 def usage_alerts_stream(spark: SparkSession, sf: str) -> DataFrame:
     out, ck = fresh_paths(spark, "alerts")
     e = enrich_static(_usage_stream(spark, sf), td.versions_from_events(spark, sf))
@@ -115,6 +135,8 @@ def stream_queries() -> dict:
         "account_totals_changes_stream": account_totals_changes_stream,
         "quota_enriched_stream": quota_enriched_stream,
         "quota_enriched_versions_stream": quota_enriched_versions_stream,
+        "quota_enriched_ordered_stream": quota_enriched_ordered_stream,
+        "usage_publish_stream": usage_publish_stream,
         "usage_alerts_stream": usage_alerts_stream,
     }
 

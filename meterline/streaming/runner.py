@@ -32,12 +32,14 @@ def start(df: DataFrame, checkpoint: str, output_mode: str = "append", path: str
     """Start ``df`` into a file sink at ``path`` or a ``foreachBatch`` ``sink``.
 
     ``trigger`` is passed to ``DataStreamWriter.trigger`` — ``{"availableNow": True}`` replays what is
-    there and stops; ``{"processingTime": "5 seconds"}`` is the producer's interval.
+    there and stops; ``{"processingTime": "5 seconds"}`` is the producer's interval; none means
+    micro-batches back to back.
     """
     w = df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
     if query_name:
         w = w.queryName(query_name)
-    w = w.trigger(**(trigger or {"availableNow": True}))
+    if trigger:
+        w = w.trigger(**trigger)
     if sink is not None:
         return w.foreachBatch(sink).start()
     return w.format(fmt).option("path", path).start()
@@ -46,7 +48,12 @@ def start(df: DataFrame, checkpoint: str, output_mode: str = "append", path: str
 def run_to_end(df: DataFrame, checkpoint: str, output_mode: str = "append", path: str | None = None,
                sink: Callable[[DataFrame, int], None] | None = None, timeout_s: float = 600) -> None:
     """Replay everything available (``availableNow``) and wait for the query to stop."""
-    q = start(df, checkpoint, output_mode, path, sink)
+    q = start(df, checkpoint, output_mode, path, sink, trigger={"availableNow": True})
+    await_end(q, timeout_s)
+
+
+def await_end(q: StreamingQuery, timeout_s: float = 600) -> None:
+    """Wait for a query started with ``availableNow`` to stop; re-raise its failure."""
     try:
         if not q.awaitTermination(timeout_s):
             raise TimeoutError(f"stream did not finish in {timeout_s} s")
