@@ -27,5 +27,10 @@ def enriched_view(enriched: DataFrame) -> DataFrame:
 
 
 def in_time_order(df: DataFrame, tie: str | None = None) -> DataFrame:
-    """Global event-time order (range-partitioned sort); ``tie`` orders equal times."""
-    return df.orderBy("ts", *([tie] if tie else []))
+    """Global event-time order (range-partitioned sort); ``tie`` orders equal times.
+
+    The row position closes the sort key, so that the range shuffle can split even a run of identical
+    rows over several partitions.
+    """
+    return (df.withColumn("_pos", F.monotonically_increasing_id())
+              .orderBy("ts", *([tie] if tie else []), "_pos").drop("_pos"))
