@@ -46,11 +46,18 @@ def build_session(master: str | None = None, app_name: str = "meterline",
     spark = builder.getOrCreate()
     # Runtime SQL settings also apply when the session already existed.
     for k, v in settings.items():
-        if k.startswith("spark.sql.") and "stateStore" not in k:
+        if k.startswith("spark.sql."):
             spark.conf.set(k, v)
     return spark
 
 
+def use_rocksdb_state(spark: SparkSession) -> None:
+    """The keyed processors need the RocksDB state store (several state variables per key).  The
+    provider is read when a streaming query starts, so setting it on the session here is enough."""
+    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB_PROVIDER:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 

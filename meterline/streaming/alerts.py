@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from ..session import use_rocksdb_state
+
 from ..functions.billing import alert_message
 from ..schemas import ALERT_RATIO, BILLING_KEY
 
@@ -100,6 +102,7 @@ def stream_usage_alerts(enriched: DataFrame, tie: str, ratio: float = ALERT_RATI
                         watermark_delay: str = "0 seconds") -> DataFrame:
     """Alerts of an enriched usage stream (append mode): ``ts, account, billingYear, billingMonth,
     quota, total, message`` plus ``tie``.  Also runs on a bounded DataFrame (without ``clear_after``)."""
+    use_rocksdb_state(enriched.sparkSession)
     prepared = enriched.select(*key, F.unix_micros("ts").alias("ts_us"), "bytesUsed", tie)
     time_mode = "None"
     if clear_after is not None:

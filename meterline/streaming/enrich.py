@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from ..session import use_rocksdb_state
+
 from ..functions.billing import billing_month, billing_year
 from ..operators.asof import MAX_BROADCAST_ROWS, version_intervals, version_stats, _interval_join
 
@@ -137,6 +139,7 @@ def enrich_versioned(usage: DataFrame, versions: DataFrame, tie: str, delay: str
     latest event time are late and dropped by Spark.  Output columns: ``account, bytesUsed, ts, tie,
     quota, billingYear, billingMonth``.
     """
+    use_rocksdb_state(usage.sparkSession)
     u = usage.select(F.col("account").alias("key_id"), F.col("ts"), F.lit(1).alias("side"),
                      F.col("bytesUsed").cast("long").alias("bytesUsed"), F.col(tie).cast("long").alias(tie),
                      F.lit(None).cast("long").alias("quota"))

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from ..session import use_rocksdb_state
+
 from ..operators.totals import account_totals
 from .alerts import checked_cumsum
 
@@ -66,6 +68,7 @@ class TotalChangesProcessor(StatefulProcessor):
 def stream_total_changes(usage: DataFrame, tie: str) -> DataFrame:
     """Change rows of the per-account total, one step per usage row (append mode):
     ``op, account, totalUsage, asOf, ts, tie``."""
+    use_rocksdb_state(usage.sparkSession)
     schema = T.StructType([
         T.StructField("op", T.StringType()), T.StructField("account", T.StringType()),
         T.StructField("totalUsage", T.LongType()), T.StructField("asof_us", T.LongType()),
