@@ -124,6 +124,7 @@ FROM changes WHERE prev_ts IS NOT NULL"""
         "SELECT ts, account, billingYear, billingMonth, quota, total, message FROM alerts")
     q["running_usage_sliced"] = q["running_usage"]
     q["usage_alerts_sliced"] = q["usage_alerts"]
+    q["usage_alerts_bucketed"] = q["usage_alerts"]
     q["usage_alert_messages"] = _with(USAGE, VERSIONS, ENRICHED, RUNNING, ALERTS) + "SELECT message FROM alerts"
     q["usage_alerts_long_range"] = _with(LONG_USAGE, LONG_VERSIONS, ENRICHED, RUNNING, ALERTS) + (
         "SELECT ts, account, billingYear, billingMonth, quota, total, message FROM alerts")

@@ -137,6 +137,16 @@ def usage_alerts_sliced(spark, sf):
     return usage_alerts(_enriched(spark, sf), TIE, plan="slices", num_slices=SLICES).select(*ALERT_COLS)
 
 
+def usage_alerts_bucketed(spark, sf):
+    """Alerts over usage stored bucketed by account: no shuffle of the usage rows at all."""
+    from ..session import scratch_path
+    from ..sources.tables import read_table, save_bucketed
+
+    save_bucketed(_usage(spark, sf), "usage_by_account", path=scratch_path(spark, "tables", "usage"))
+    e = enrich_usage(read_table(spark, "usage_by_account"), _versions(spark, sf))
+    return usage_alerts(e, TIE).select(*ALERT_COLS)
+
+
 def usage_alert_messages(spark, sf):
     return usage_alerts_q(spark, sf).select("message")
 
@@ -186,6 +196,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "running_usage_sliced": running_usage_sliced,
         "usage_alerts": usage_alerts_q,
         "usage_alerts_sliced": usage_alerts_sliced,
+        "usage_alerts_bucketed": usage_alerts_bucketed,
         "usage_alert_messages": usage_alert_messages,
         "usage_alerts_long_range": usage_alerts_long_range,
         "account_keys": account_keys,
