@@ -138,3 +138,22 @@ def test_alert_stream_clears_state_after_month(spark):
     state = spark.read.format("statestore").option("path", ck).option("stateVarName", "total").load()
     months = sorted((r["key"]["account"], r["key"]["billingMonth"]) for r in state.collect())
     assert months == [("b", 11)]
+
+
+def test_alert_stream_adds_in_arrival_order(spark):
+    """Documents the one difference to batch: the stream adds rows in arrival order (as the reference
+    does), so a file replayed out of event order can move the warning to another row."""
+    v = versions(spark, [("a", 100, "2021-10-01T00:00:00")])
+    src = scratch_path(spark, "t-arrival")
+    usage(spark, [("a", 60, "2021-10-05T00:00:00", 2)]).coalesce(1).write.parquet(src)
+    usage(spark, [("a", 35, "2021-10-02T00:00:00", 1)]).coalesce(1).write.mode("append").parquet(src)
+    s = spark.readStream.schema("account string, bytesUsed long, ts timestamp, event_id long") \
+        .option("maxFilesPerTrigger", 1).parquet(src)
+    out, ck = fresh_paths(spark, "t-arrival")
+    run_to_end(stream_usage_alerts(enrich_static(s, v), "event_id"), ck, "append", path=out)
+    stream = [(r["ts"], r["total"]) for r in spark.read.parquet(out).collect()]
+    batch = [(r["ts"], r["total"]) for r in usage_alerts(enrich_usage(
+        usage(spark, [("a", 60, "2021-10-05T00:00:00", 2), ("a", 35, "2021-10-02T00:00:00", 1)]), v),
+        "event_id").collect()]
+    assert batch == [(t("2021-10-05T00:00:00"), 95)]
+    assert stream == [(t("2021-10-02T00:00:00"), 95)]
