@@ -19,7 +19,7 @@ from ..operators import (account_total_changes, account_totals, enrich_usage, in
 from ..schemas import BILLING_KEY
 from ..sources.codec import decode_usage, usage_json
 from ..sources.log import in_range
-from .views import enrich_sql, register_views
+from .views import enrich_sql, register_views, totals_sql
 
 TIE = "event_id"
 ENRICHED_COLS = ["account", "bytesUsed", "ts", "event_id", "quota", "billingYear", "billingMonth"]
@@ -111,6 +111,11 @@ def quota_enriched_sql(spark, sf):
     return enrich_sql(spark)
 
 
+def account_totals_sql(spark, sf):
+    register_views(spark, _usage(spark, sf), _versions(spark, sf))
+    return totals_sql(spark)
+
+
 def billing_usage(spark, sf):
     return (_enriched(spark, sf).groupBy(*BILLING_KEY)
             .agg(F.sum("bytesUsed").alias("total"), F.count(F.lit(1)).alias("records"),
@@ -191,6 +196,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "quota_enriched_merge_sliced": quota_enriched_merge_sliced,
         "quota_enriched_ordered": quota_enriched_ordered,
         "quota_enriched_sql": quota_enriched_sql,
+        "account_totals_sql": account_totals_sql,
         "billing_usage": billing_usage,
         "running_usage": running_usage_q,
         "running_usage_sliced": running_usage_sliced,

@@ -27,6 +27,13 @@ FROM data_consumption JOIN account_intervals
 """
 
 
+TOTALS_SQL = """
+SELECT account, SUM(bytesUsed) AS totalConsumption, MAX(ts) AS asOf
+FROM data_consumption
+GROUP BY account
+"""
+
+
 def register_views(spark: SparkSession, usage: DataFrame, versions: DataFrame) -> None:
     """``data_consumption`` (usage), ``account`` (versions) and ``account_intervals``."""
     usage.createOrReplaceTempView("data_consumption")
@@ -38,6 +45,10 @@ def enrich_sql(spark: SparkSession) -> DataFrame:
     return spark.sql(ENRICH_SQL)
 
 
+def totals_sql(spark: SparkSession) -> DataFrame:
+    return spark.sql(TOTALS_SQL)
+
+
 def register_log_table(raw: DataFrame, name: str = "data_consumption", strict: bool = True) -> DataFrame:
     """The SQL-declared log table: ``account, bytesUsed`` from the JSON body and ``ts`` from the log
     record's own timestamp (the record metadata), as a temporary view.  Works on ``read`` and
