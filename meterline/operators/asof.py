@@ -78,8 +78,10 @@ def version_intervals(versions: DataFrame, id_col: str = "id", ts_col: str = "ts
     return out.withColumn("valid_from", F.col(ts_col))
 
 
-def _interval_join(left: DataFrame, intervals: DataFrame, left_key: str, left_ts: str,
-                   id_col: str, values: list[str], broadcast: bool) -> DataFrame:
+def interval_join(left: DataFrame, intervals: DataFrame, left_key: str, left_ts: str,
+                  id_col: str, values: list[str], broadcast: bool) -> DataFrame:
+    """Equi-join on the key with ``valid_from <= ts < valid_to`` as residual; ``broadcast`` only for an
+    interval table whose size the caller has checked."""
     iv = intervals.select(F.col(id_col).alias("_iv_id"), F.col("valid_from").alias("_iv_from"),
                           F.col("valid_to").alias("_iv_to"), *[F.col(v).alias(f"_iv_{v}") for v in values])
     if broadcast:
@@ -139,7 +141,7 @@ def as_of_join(left: DataFrame, right: DataFrame, left_key: str = "account", rig
         strategy = choose_strategy(stats, max_broadcast_rows, max_versions_per_key)
     if strategy in ("broadcast", "shuffle"):
         iv = version_intervals(right, right_key, right_ts, plan="window")
-        return _interval_join(left, iv, left_key, left_ts, right_key, values, strategy == "broadcast")
+        return interval_join(left, iv, left_key, left_ts, right_key, values, strategy == "broadcast")
     if strategy == "merge":
         return _merge_join(left, right, left_key, left_ts, right_key, right_ts, values, plan, num_slices)
     raise ValueError(f"unknown strategy {strategy!r}")

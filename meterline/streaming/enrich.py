@@ -31,20 +31,24 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from ..session import use_rocksdb_state
 
 from ..functions.billing import billing_month, billing_year
-from ..operators.asof import MAX_BROADCAST_ROWS, version_intervals, version_stats, _interval_join
+from ..operators.asof import (MAX_BROADCAST_ROWS, MAX_VERSIONS_PER_KEY, interval_join, version_intervals,
+                              version_stats)
 
 
 def enrich_static(usage: DataFrame, versions: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Stream (or batch) usage joined with a static version table, plus the billing period.
 
     The version table is checked once (unique per ``(id, ts)``); it is broadcast when small, else
-    joined by Spark's shuffle join.
+    joined by Spark's shuffle join.  A stream can only meet a table through a join, so each usage row is
+    compared with every version of its account: fine for the usual handful, linear in them otherwise
+    (the version-stream join has no such cost).
     """
     stats = version_stats(versions)
     if not stats.unique:
         raise ValueError("versions must be unique per (id, ts)")
-    iv = version_intervals(versions.select("id", "ts", "quota"), plan="window" if stats.max_per_key <= 64 else "auto")
-    joined = _interval_join(usage, iv, "account", "ts", "id", ["quota"], stats.rows <= max_broadcast_rows)
+    plan = "window" if stats.max_per_key <= MAX_VERSIONS_PER_KEY else "auto"
+    iv = version_intervals(versions.select("id", "ts", "quota"), plan=plan)
+    joined = interval_join(usage, iv, "account", "ts", "id", ["quota"], stats.rows <= max_broadcast_rows)
     return joined.withColumns({"billingYear": billing_year("ts"), "billingMonth": billing_month("ts")})
 
 
