@@ -1,22 +1,23 @@
 """Replaying the test tables through Structured Streaming.
 
-The rows Spark derives from the test tables are written as files in event order — one file per week,
-each written after the previous one, so the file source (oldest file first, one file per trigger)
-delivers them week by week — and the stream runs with ``availableNow`` to the end.  Results are read
-back from the sink, so each streamed query can be compared with its batch form.  Every call writes
-to fresh folders below the shared checkpoint folder.
+The rows Spark derives from the test tables are appended to their source folders one week of event
+time at a time, each week written in parallel; after each week the stream runs with ``availableNow``
+from its checkpoint and stops.  So micro-batches follow event time, and every replay also restarts
+the query from its checkpoint once per week.  Results are read back from the sink, so each streamed
+query can be compared with its batch form.  Every call writes to fresh folders below the shared
+checkpoint folder.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import testdata as td
-from ..schemas import RAW_LOG
-from ..session import scratch_path
+from ..session import scratch_path, shuffle_partitions
 from ..sources.codec import decode_usage
 from ..sources.log import read_log
 from .alerts import stream_usage_alerts
@@ -29,84 +30,98 @@ TIE = "event_id"
 CHUNK = timedelta(days=7)
 
 
-def write_in_event_order(df: DataFrame, ts: str, path: str, chunk: timedelta = CHUNK) -> int:
-    """Write ``df`` as one file per ``chunk`` of event time, oldest first; returns the file count.
-
-    Each chunk is a separate write job, so file times follow event time.  A chunk is one file (one
-    writer task), which is what a one-file-per-trigger replay needs.
-    """
-    r = df.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
-    if r["lo"] is None:
-        return 0
-    lo, hi = r["lo"], r["hi"]
-    start = lo.replace(hour=0, minute=0, second=0, microsecond=0)
-    n = 0
-    while start <= hi:
-        end = start + chunk
-        part = df.where((F.col(ts) >= F.lit(start)) & (F.col(ts) < F.lit(end)))
-        part.coalesce(1).write.mode("append").parquet(path)
-        n += 1
-        start = end
-    return n
-
-
-def replay_source(spark: SparkSession, df: DataFrame, ts: str, name: str) -> DataFrame:
-    """Write ``df`` in event order under the shared folder and return a stream over it."""
-    path = scratch_path(spark, "replays", name)
-    write_in_event_order(df, ts, path)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
-
-
-def _usage_stream(spark, sf):
-    return replay_source(spark, td.usage_from_events(spark, sf), "ts", "usage")
+class EventOrderReplay:
+    """Feeds tables to file streams in event-time chunks, running the query after each chunk."""
+
+    def __init__(self, spark: SparkSession, name: str, chunk: timedelta = CHUNK):
+        self.spark, self.chunk = spark, chunk
+        self.base = scratch_path(spark, "replays", name)
+        self.tables: list[tuple[DataFrame, str, str]] = []
+
+    def source(self, df: DataFrame, ts: str, fmt: str = "parquet") -> DataFrame:
+        """Register ``df`` (event time ``ts``) and return the stream that will replay it."""
+        path = f"{self.base}/{len(self.tables)}"
+        self.tables.append((df, ts, path))
+        # The folder must exist before the stream is defined: start it with an empty file.
+        self.spark.createDataFrame([], df.schema).write.mode("append").format(fmt).save(path)
+        return self.spark.readStream.schema(df.schema).format(fmt).load(path)
+
+    def run(self, step: Callable[[], None]) -> int:
+        """Append chunk after chunk to every source, calling ``step`` (run the query to the end) after
+        each one; returns the number of chunks."""
+        bounds = [df.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first() for df, ts, _ in self.tables]
+        los = [b["lo"] for b in bounds if b["lo"] is not None]
+        if not los:
+            return 0
+        lo, hi = min(los), max(b["hi"] for b in bounds if b["hi"] is not None)
+        start = lo.replace(hour=0, minute=0, second=0, microsecond=0)
+        n, parts = 0, shuffle_partitions(self.spark)
+        while start <= hi:
+            end = start + self.chunk
+            for df, ts, path in self.tables:
+                (df.where((F.col(ts) >= F.lit(start)) & (F.col(ts) < F.lit(end)))
+                   .repartition(parts).write.mode("append").parquet(path))
+            step()
+            n += 1
+            start = end
+        return n
 
 
 def usage_log_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The raw JSON log replayed and decoded as a stream (times keep milliseconds, like the log)."""
-    path = scratch_path(spark, "replays", "log")
-    write_in_event_order(td.raw_log_from_events(spark, sf), "timestamp", path)
-    raw = read_log(spark, "files", path=path, streaming=True, max_files_per_trigger=1)
+    rp = EventOrderReplay(spark, "log")
+    rp.source(td.raw_log_from_events(spark, sf), "timestamp")
+    raw = read_log(spark, "files", path=rp.tables[0][2], streaming=True)
     out, ck = fresh_paths(spark, "usage_log")
-    run_to_end(decode_usage(raw, keep=[F.col("offset").alias(TIE)]), ck, "append", path=out)
+    rp.run(lambda: run_to_end(decode_usage(raw, keep=[F.col("offset").alias(TIE)]), ck, "append", path=out))
     return spark.read.parquet(out)
 
 
 def account_totals_stream(spark: SparkSession, sf: str) -> DataFrame:
+    rp = EventOrderReplay(spark, "totals")
+    q = stream_account_totals(rp.source(td.usage_from_events(spark, sf), "ts"))
     out, ck = fresh_paths(spark, "totals")
-    run_to_end(stream_account_totals(_usage_stream(spark, sf)), ck, "update",
-               sink=batch_folder_writer(out))
+    rp.run(lambda: run_to_end(q, ck, "update", sink=batch_folder_writer(out)))
     return latest_per_key(spark, out, ["account"])
 
 
 def account_totals_changes_stream(spark: SparkSession, sf: str) -> DataFrame:
+    rp = EventOrderReplay(spark, "changes")
+    q = stream_total_changes(rp.source(td.usage_from_events(spark, sf), "ts"), TIE)
     out, ck = fresh_paths(spark, "changes")
-    run_to_end(stream_total_changes(_usage_stream(spark, sf), TIE), ck, "append", path=out)
+    rp.run(lambda: run_to_end(q, ck, "append", path=out))
     return spark.read.parquet(out)
 
 
 def quota_enriched_stream(spark: SparkSession, sf: str) -> DataFrame:
+    rp = EventOrderReplay(spark, "enriched")
+    e = enrich_static(rp.source(td.usage_from_events(spark, sf), "ts"), td.versions_from_events(spark, sf))
     out, ck = fresh_paths(spark, "enriched")
-    e = enrich_static(_usage_stream(spark, sf), td.versions_from_events(spark, sf))
-    run_to_end(e, ck, "append", path=out)
+    rp.run(lambda: run_to_end(e, ck, "append", path=out))
     return spark.read.parquet(out).select("account", "bytesUsed", "ts", TIE, "quota", "billingYear",
                                           "billingMonth")
 
 
+def _versioned(spark: SparkSession, sf: str, name: str) -> tuple[EventOrderReplay, DataFrame]:
+    rp = EventOrderReplay(spark, name)
+    usage = rp.source(td.usage_from_events(spark, sf), "ts")
+    versions = rp.source(td.versions_from_events(spark, sf), "ts")
+    return rp, enrich_versioned(usage, versions, TIE)
+
+
 def quota_enriched_versions_stream(spark: SparkSession, sf: str) -> DataFrame:
+    rp, e = _versioned(spark, sf, "enriched_versions")
     out, ck = fresh_paths(spark, "enriched_versions")
-    versions = replay_source(spark, td.versions_from_events(spark, sf), "ts", "versions")
-    e = enrich_versioned(_usage_stream(spark, sf), versions, TIE)
-    run_to_end(e, ck, "append", path=out)
+    rp.run(lambda: run_to_end(e, ck, "append", path=out))
     return spark.read.parquet(out).select("account", "bytesUsed", "ts", TIE, "quota", "billingYear",
                                           "billingMonth")
 
 
 def quota_enriched_ordered_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Version-stream join written batch by batch in event order, read back as one sequence."""
+    rp, e = _versioned(spark, sf, "enriched_ordered")
     out, ck = fresh_paths(spark, "enriched_ordered")
-    versions = replay_source(spark, td.versions_from_events(spark, sf), "ts", "versions")
-    e = enrich_versioned(_usage_stream(spark, sf), versions, TIE)
-    run_to_end(e, ck, "append", sink=ordered_batch_writer(out, ["ts", TIE]))
+    rp.run(lambda: run_to_end(e, ck, "append", sink=ordered_batch_writer(out, ["ts", TIE])))
     return read_ordered(spark, out, ["ts", TIE]).select("account", "bytesUsed", "quota", "ts")
 
 
@@ -114,16 +129,20 @@ def usage_publish_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Usage published as a JSON log through the exactly-once file sink, then read and decoded."""
     from ..plans.jobs import publish_job
 
+    rp = EventOrderReplay(spark, "publish")
+    usage = rp.source(td.usage_from_events(spark, sf), "ts")
     out, ck = fresh_paths(spark, "publish")
-    q = publish_job(_usage_stream(spark, sf), "files", path=out, checkpoint=ck, trigger={"availableNow": True})
-    await_end(q)
+    rp.run(lambda: await_end(publish_job(usage, "files", path=out, checkpoint=ck,
+                                         trigger={"availableNow": True})))
     return decode_usage(read_log(spark, "files", path=out))
 
 
 def usage_alerts_stream(spark: SparkSession, sf: str) -> DataFrame:
+    rp = EventOrderReplay(spark, "alerts")
+    e = enrich_static(rp.source(td.usage_from_events(spark, sf), "ts"), td.versions_from_events(spark, sf))
+    q = stream_usage_alerts(e, TIE)
     out, ck = fresh_paths(spark, "alerts")
-    e = enrich_static(_usage_stream(spark, sf), td.versions_from_events(spark, sf))
-    run_to_end(stream_usage_alerts(e, TIE), ck, "append", path=out)
+    rp.run(lambda: run_to_end(q, ck, "append", path=out))
     return spark.read.parquet(out).select("ts", "account", "billingYear", "billingMonth", "quota", "total",
                                           "message")
 
@@ -140,5 +159,3 @@ def stream_queries() -> dict:
         "usage_alerts_stream": usage_alerts_stream,
     }
 
-
-__all__ = ["RAW_LOG", "stream_queries", "write_in_event_order", "replay_source"]

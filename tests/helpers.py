@@ -33,3 +33,20 @@ def rows_of(df, *cols, order=None):
 
 def col_sum(df, c):
     return df.agg(F.sum(c)).first()[0]
+
+
+def write_in_event_order(df, ts: str, path: str, days: int = 7) -> int:
+    """Test fixture: one file per ``days`` of event time, oldest first (a one-file-per-trigger stream
+    then reads them in event order); returns the file count."""
+    from datetime import timedelta
+
+    r = df.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
+    if r["lo"] is None:
+        return 0
+    start, n = r["lo"].replace(hour=0, minute=0, second=0, microsecond=0), 0
+    while start <= r["hi"]:
+        end = start + timedelta(days=days)
+        df.where((F.col(ts) >= F.lit(start)) & (F.col(ts) < F.lit(end))).coalesce(1) \
+          .write.mode("append").parquet(path)
+        n, start = n + 1, end
+    return n

@@ -11,9 +11,9 @@ from meterline.plans.views import ENRICH_SQL, register_log_table, register_views
 from meterline.session import scratch_path
 from meterline.sources.log import read_log
 from meterline.sources.versions import checked_versions, read_versions, snapshot
-from meterline.streaming.replays import write_in_event_order
+
 from meterline.streaming.runner import BATCH, await_end, latest_per_key
-from helpers import versions
+from helpers import versions, write_in_event_order
 
 
 @pytest.fixture(scope="module")

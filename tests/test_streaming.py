@@ -12,9 +12,9 @@ from meterline.operators import enrich_usage, usage_alerts
 from meterline.session import scratch_path
 from meterline.streaming.alerts import stream_usage_alerts
 from meterline.streaming.enrich import enrich_static, enrich_versioned
-from meterline.streaming.replays import write_in_event_order
+
 from meterline.streaming.runner import fresh_paths, run_to_end, start
-from helpers import t, usage, versions
+from helpers import t, usage, versions, write_in_event_order
 
 ALERT = ["ts", "account", "billingYear", "billingMonth", "quota", "total", "message"]
 
