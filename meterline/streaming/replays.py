@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import testdata as td
-from ..session import scratch_path, shuffle_partitions
+from ..session import scratch_path
 from ..sources.codec import decode_usage
 from ..sources.log import read_log
 from .alerts import stream_usage_alerts
@@ -55,7 +55,7 @@ class EventOrderReplay:
             return 0
         lo, hi = min(los), max(b["hi"] for b in bounds if b["hi"] is not None)
         start = lo.replace(hour=0, minute=0, second=0, microsecond=0)
-        n, parts = 0, shuffle_partitions(self.spark)
+        n, parts = 0, max(1, self.spark.sparkContext.defaultParallelism)
         while start <= hi:
             end = start + self.chunk
             for df, ts, path in self.tables:
