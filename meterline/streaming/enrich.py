@@ -53,7 +53,9 @@ def enrich_static(usage: DataFrame, versions: DataFrame, max_broadcast_rows: int
 
 
 class VersionedJoinProcessor(StatefulProcessor):
-    """Per account: versions in ``MapState`` (time → quota), waiting usage in ``ListState``."""
+    """Per account: versions in ``MapState`` (time → quota), waiting usage in ``ListState`` and one
+    pending event-time timer at the earliest waiting time (``ValueState``).  Row work is vectorized;
+    only the state calls take tuples."""
 
     def __init__(self, tie: str):
         self.tie = tie
@@ -62,73 +64,77 @@ class VersionedJoinProcessor(StatefulProcessor):
         self.handle = handle
         self.versions = handle.getMapState("versions", "vts long", "quota long")
         self.waiting = handle.getListState("waiting", f"ts long, bytesUsed long, {self.tie} long")
+        self.timer = handle.getValueState("timer", "ms long")
 
-    def _emit(self, account, rows) -> pd.DataFrame | None:
-        """Join ``rows`` (time-sorted) with the latest stored version at or before each time."""
-        if not rows:
+    def _emit(self, account, ts: np.ndarray, used: np.ndarray, tie: np.ndarray) -> pd.DataFrame | None:
+        """Join time-sorted usage with the latest stored version at or before each time."""
+        if ts.size == 0:
             return None
         pairs = sorted((int(k[0]), v[0]) for k, v in self.versions.iterator())
         if not pairs:
             return None
         vts = np.array([p[0] for p in pairs], dtype="int64")
-        quotas = [p[1] for p in pairs]
-        ts = np.array([r[0] for r in rows], dtype="int64")
+        quotas = pd.array([p[1] for p in pairs], dtype="Int64")
         pos = np.searchsorted(vts, ts, side="right") - 1
         keep = pos >= 0
         if not keep.any():
             return None
-        return pd.DataFrame({
-            "account": account,
-            "bytesUsed": np.array([r[1] for r in rows], dtype="int64")[keep],
-            "ts_us": ts[keep],
-            self.tie: np.array([r[2] for r in rows], dtype="int64")[keep],
-            "quota": pd.array([quotas[i] for i in pos[keep]], dtype="Int64")})
+        return pd.DataFrame({"account": account, "bytesUsed": used[keep], "ts_us": ts[keep],
+                             self.tie: tie[keep], "quota": quotas[pos[keep]]})
+
+    def _arm(self, ms: int) -> None:
+        """Keep one timer per account, at the earliest waiting time."""
+        cur = self.timer.get()
+        if cur is None or ms < cur[0]:
+            self.handle.registerTimer(ms)
+            self.timer.update((ms,))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        account = key[0]
         pdf = pd.concat(list(rows), ignore_index=True)
         vers = pdf[pdf["side"] == 0]
-        for vts, q in zip(vers["ts_us"], vers["quota"]):
-            self.versions.updateValue((int(vts),), (None if pd.isna(q) else int(q),))
+        if len(vers):
+            q = vers["quota"].astype("Int64")
+            for vts, qv in zip(vers["ts_us"].astype("int64").tolist(), q.tolist()):
+                self.versions.updateValue((vts,), (None if qv is pd.NA else int(qv),))
         # The watermark has millisecond resolution; a row counts as reached once its millisecond is.
         wm_ms = timerValues.getCurrentWatermarkInMs()
         use = pdf[pdf["side"] == 1].sort_values(["ts_us", self.tie], kind="stable")
-        now, wait = [], []
-        for ts_us, used, tie in zip(use["ts_us"], use["bytesUsed"], use[self.tie]):
-            row = (int(ts_us), int(used), int(tie))
-            ms = int(ts_us) // 1000
-            if ms > wm_ms:
-                wait.append(row)
-                self.handle.registerTimer(ms)
-            else:
-                now.append(row)
-        if wait:
-            self.waiting.appendList(wait)
-        out = self._emit(account, now)
+        ts = use["ts_us"].to_numpy(dtype="int64")
+        used = use["bytesUsed"].to_numpy(dtype="int64")
+        tie = use[self.tie].to_numpy(dtype="int64")
+        later = (ts // 1000) > wm_ms
+        if later.any():
+            self.waiting.appendList(list(zip(ts[later].tolist(), used[later].tolist(), tie[later].tolist())))
+            self._arm(int(ts[later].min() // 1000))
+        now = ~later
+        out = self._emit(key[0], ts[now], used[now], tie[now])
         if out is not None:
             yield out
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         wm_ms = timerValues.getCurrentWatermarkInMs()
-        ready, keep = [], []
-        for ts_us, used, tie in self.waiting.get():
-            (ready if ts_us // 1000 <= wm_ms else keep).append((ts_us, used, tie))
-        if not ready:
+        rows = list(self.waiting.get())
+        self.timer.clear()
+        if not rows:
             return
+        arr = np.array(rows, dtype="int64").reshape(-1, 3)
+        arr = arr[np.lexsort((arr[:, 2], arr[:, 0]))]
+        ready = (arr[:, 0] // 1000) <= wm_ms
+        rest = arr[~ready]
         self.waiting.clear()
-        if keep:
-            self.waiting.put(keep)
-        ready.sort()
-        out = self._emit(key[0], ready)
-        self._prune(wm_ms * 1000, keep)
+        if len(rest):
+            self.waiting.put([tuple(r) for r in rest.tolist()])
+            self._arm(int(rest[:, 0].min() // 1000))
+        out = self._emit(key[0], arr[ready, 0], arr[ready, 1], arr[ready, 2])
+        self._prune(wm_ms * 1000, rest[:, 0])
         if out is not None:
             yield out
 
-    def _prune(self, wm_us: int, keep) -> None:
+    def _prune(self, wm_us: int, waiting_ts: np.ndarray) -> None:
         """Drop versions that no future row can use: older than the newest one at or before the
         earliest time still to come (rows behind the watermark never arrive)."""
-        horizon = min([wm_us] + [k[0] for k in keep])
-        older = sorted(vts for (vts,), _ in self.versions.iterator() if vts <= horizon)
+        horizon = min(wm_us, int(waiting_ts.min())) if waiting_ts.size else wm_us
+        older = sorted(int(k[0]) for k, _ in self.versions.iterator() if int(k[0]) <= horizon)
         for vts in older[:-1]:
             self.versions.removeKey((vts,))
 
