@@ -7,7 +7,7 @@ double, like the Java comparison it mirrors.
 
 from __future__ import annotations
 
-from ..testdata import LONG_RANGE_QUOTA, RANGE_END, RANGE_START
+from ..testdata import HOT_ACCOUNT, LONG_RANGE_QUOTA, RANGE_END, RANGE_START
 
 USAGE = """usage AS (
   SELECT printf('%06d', user_id) AS account, CAST(round(value * 100) AS BIGINT) AS bytesUsed,
@@ -23,6 +23,11 @@ ENRICHED = """enriched AS (
          CAST(year(u.ts) AS BIGINT) AS billingYear, CAST(month(u.ts) AS BIGINT) AS billingMonth
   FROM usage u ASOF JOIN versions v ON u.account = v.id AND u.ts >= v.ts)"""
 
+HOT_USAGE = f"""usage AS (
+  SELECT CASE WHEN event_id % 3 = 0 THEN '{HOT_ACCOUNT}' ELSE printf('%06d', user_id) END AS account,
+         CAST(round(value * 100) AS BIGINT) AS bytesUsed, ts, event_id
+  FROM events WHERE event_type <> 'signup')"""
+
 LONG_USAGE = """usage AS (
   SELECT printf('%06d', o_custkey) AS account, CAST(round(o_totalprice) AS BIGINT) AS bytesUsed,
          o_orderdate AS ts, o_orderkey AS event_id
@@ -126,6 +131,10 @@ FROM changes WHERE prev_ts IS NOT NULL"""
     q["running_usage_sliced"] = q["running_usage"]
     q["usage_alerts_sliced"] = q["usage_alerts"]
     q["usage_alerts_bucketed"] = q["usage_alerts"]
+    q["running_usage_hot_account"] = _with(HOT_USAGE, VERSIONS, ENRICHED, RUNNING) + (
+        f"SELECT {enriched_cols}, CAST(total AS BIGINT) AS total FROM running")
+    q["usage_alerts_hot_account"] = _with(HOT_USAGE, VERSIONS, ENRICHED, RUNNING, ALERTS) + (
+        "SELECT ts, account, billingYear, billingMonth, quota, total, message FROM alerts")
     q["usage_alert_messages"] = _with(USAGE, VERSIONS, ENRICHED, RUNNING, ALERTS) + "SELECT message FROM alerts"
     q["usage_alerts_long_range"] = _with(LONG_USAGE, LONG_VERSIONS, ENRICHED, RUNNING, ALERTS) + (
         "SELECT ts, account, billingYear, billingMonth, quota, total, message FROM alerts")

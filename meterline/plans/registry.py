@@ -152,6 +152,20 @@ def usage_alerts_bucketed(spark, sf):
     return usage_alerts(e, TIE).select(*ALERT_COLS)
 
 
+def _hot_enriched(spark, sf):
+    return enrich_usage(td.usage_hot_account(spark, sf), _versions(spark, sf))
+
+
+def running_usage_hot_account(spark, sf):
+    """Skew fixture: one account holds a third of the rows; the slice plan cuts it across slices."""
+    return running_usage(_hot_enriched(spark, sf), TIE, plan="slices", num_slices=SLICES).select(
+        *ENRICHED_COLS, "total")
+
+
+def usage_alerts_hot_account(spark, sf):
+    return usage_alerts(_hot_enriched(spark, sf), TIE, plan="slices", num_slices=SLICES).select(*ALERT_COLS)
+
+
 def usage_alert_messages(spark, sf):
     return usage_alerts_q(spark, sf).select("message")
 
@@ -203,6 +217,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "usage_alerts": usage_alerts_q,
         "usage_alerts_sliced": usage_alerts_sliced,
         "usage_alerts_bucketed": usage_alerts_bucketed,
+        "running_usage_hot_account": running_usage_hot_account,
+        "usage_alerts_hot_account": usage_alerts_hot_account,
         "usage_alert_messages": usage_alert_messages,
         "usage_alerts_long_range": usage_alerts_long_range,
         "account_keys": account_keys,

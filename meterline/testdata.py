@@ -20,6 +20,7 @@ ORDER_VERSION_TS = "1990-01-01 00:00:00"
 LONG_RANGE_QUOTA = 1_000_000
 RANGE_START = "2024-01-08 00:00:00"
 RANGE_END = "2024-01-15 00:00:00"
+HOT_ACCOUNT = "000000"
 
 
 # Declared schemas of the tables used.  Their zone-less parquet times are read as instants (the
@@ -47,6 +48,14 @@ def usage_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("event_id")))
 
 
+def usage_hot_account(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events usage with a third of its rows (every third event id) re-assigned to one account,
+    ``HOT_ACCOUNT``: a skew fixture.  No row is dropped."""
+    u = usage_from_events(spark, sf_dir)
+    return u.withColumn("account", F.when(F.pmod("event_id", F.lit(3)) == 0, F.lit(HOT_ACCOUNT))
+                                    .otherwise(F.col("account")))
+
+
 def versions_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``id, quota, ts`` — every sign-up starts a new quota for the user's account."""
     ev = table(spark, sf_dir, "events")
