@@ -10,9 +10,10 @@ Each operator here therefore has two plans:
 ``slices``
     the rows are cut into ``n`` contiguous *slices* of the global order ``(keys…, order…, position)``
     by a range shuffle, so a hot key is spread over many consecutive slices of about ``rows / n``
-    rows each.  Each slice computes its part with a window partitioned by ``(keys…, slice)``; what a
-    slice needs from earlier slices of the same key (the *carry*) comes from a small table of
-    per-``(key, slice)`` summaries.
+    rows each.  Each slice computes its part locally — a running sum in one ordered pass over the
+    stored slice (``mapInArrow``, no further shuffle), ``lead`` and carry-forward with a window
+    partitioned by ``(keys…, slice)``; what a slice needs from earlier slices of the same key (the
+    *carry*) comes from a small table of per-``(key, slice)`` summaries.
 
 The sliced rows are read twice (local part and summaries), and both reads must see the same slice
 numbers, so the sliced rows are written once with a reliable ``checkpoint()`` into the cluster's shared
@@ -32,6 +33,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import shared_dir, shuffle_partitions
 
@@ -60,9 +62,11 @@ def pick_plan(df: DataFrame, keys: Sequence[str], plan: str, max_group_rows: int
     return plan
 
 
-def order_slices(df: DataFrame, keys: Sequence[str], order: Sequence, num_slices: int | None = None) -> DataFrame:
+def order_slices(df: DataFrame, keys: Sequence[str], order: Sequence, num_slices: int | None = None,
+                 sort: bool = False) -> DataFrame:
     """Range-partition ``df`` by ``(keys…, order…, position)``, number the partitions in ``_slice`` and
-    checkpoint the result (see module doc).
+    checkpoint the result (see module doc).  With ``sort`` each slice is also stored in that order, so
+    that a per-partition pass sees one slice, in order.
 
     The row position ``_seq`` ends the range order, so that even many copies of one row are spread over
     slices.
@@ -72,6 +76,8 @@ def order_slices(df: DataFrame, keys: Sequence[str], order: Sequence, num_slices
     sliced = (df.withColumn(SEQ, F.monotonically_increasing_id())
                 .repartitionByRange(n, *_cols(keys), *_cols(order), F.col(SEQ))
                 .withColumn(SLICE, F.spark_partition_id()))
+    if sort:
+        sliced = sliced.sortWithinPartitions(*_cols(keys), *_cols(order), F.col(SEQ))
     return sliced.checkpoint(eager=True)
 
 
@@ -90,14 +96,81 @@ def _attach_carry(local: DataFrame, carry: DataFrame, keys: Sequence[str]) -> Da
     return out.drop(*[f"_c_{k}" for k in keys], "_c_slice")
 
 
+def _runs(batch, keys: Sequence[str]):
+    """Start flags of runs of equal keys (null-safe) in a key-sorted Arrow batch."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    n = batch.num_rows
+    new = np.zeros(n, dtype=bool)
+    new[0] = True
+    for k in keys:
+        col = batch.column(k)
+        a, b = col.slice(1), col.slice(0, n - 1)
+        neq = pc.fill_null(pc.not_equal(a, b), False)
+        one_null = pc.xor(pc.is_null(a), pc.is_null(b))
+        new[1:] |= np.asarray(pc.or_(neq, one_null))
+    return new
+
+
+def _same_key(batch, keys: Sequence[str], last: tuple | None) -> bool:
+    return last is not None and tuple(batch.column(k)[0].as_py() for k in keys) == last
+
+
+def _local_running_sum(keys: Sequence[str], value: str, out: str, prev_col: str | None):
+    """Per-partition pass for the slice plan: running sum (and previous time) per run of equal keys,
+    continuing across the Arrow batches of one partition.  Exact 64-bit sums; an overflow raises."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        last, total, prev = None, 0, None
+        for batch in batches:
+            n = batch.num_rows
+            if n == 0:
+                continue
+            new = _runs(batch, keys)
+            cont = _same_key(batch, keys, last)
+            carry_in = total if cont else 0
+            rid = np.cumsum(new) - 1
+            starts = np.flatnonzero(new)
+            vals = batch.column(value).to_numpy(zero_copy_only=False).astype("int64")
+            cs = np.cumsum(vals)                       # differences below are exact even if cs wraps
+            local = cs - (cs - vals)[starts][rid]
+            fvals = vals.astype("float64")
+            fcs = np.cumsum(fvals)
+            flocal = fcs - (fcs - fvals)[starts][rid] + np.where(rid == 0, float(carry_in), 0.0)
+            if np.abs(flocal).max() >= 2.0 ** 63:
+                raise OverflowError("running usage total exceeds the 64-bit range")
+            local[rid == 0] += carry_in
+            res = batch.append_column(out, pa.array(local, pa.int64()))
+            if prev_col:
+                t = batch.column(prev_col)
+                shifted = pa.concat_arrays([pa.array([prev], t.type), t.slice(0, n - 1)])
+                first = new.copy()
+                first[0] = not cont
+                res = res.append_column("_prev", pc.if_else(pa.array(first), pa.nulls(n, t.type), shifted))
+                prev = t[n - 1].as_py()
+            last = tuple(batch.column(k)[n - 1].as_py() for k in keys)
+            total = int(local[-1])
+            yield res
+    return run
+
+
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str,
                 prev_order: str | None = None, plan: str = "auto",
-                max_group_rows: int = MAX_GROUP_ROWS, num_slices: int | None = None) -> DataFrame:
+                max_group_rows: int = MAX_GROUP_ROWS, num_slices: int | None = None,
+                local: str = "arrow") -> DataFrame:
     """Add ``out`` = sum of ``value`` over the key's rows up to and including this row.
 
     ``order`` must be a total order within a key (add a tie column).  With ``prev_order`` set, also
     add ``_prev`` = the first ``order`` column of the key's previous row (null on the first row).
-    Sums use Spark's checked long arithmetic: an overflow raises instead of wrapping.
+    Sums use checked long arithmetic: an overflow raises instead of wrapping.
+
+    In the slice plan the part inside each slice runs, with ``local="arrow"``, as one ordered pass over
+    each stored slice (``mapInArrow``): no shuffle after the range shuffle.  ``local="window"`` uses a
+    window partitioned by ``(keys, slice)`` instead, which stays in the JVM but shuffles the rows again.
     """
     keys, order = list(keys), list(order)
     if pick_plan(df, keys, plan, max_group_rows) == "window":
@@ -105,12 +178,22 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
         res = df.withColumn(out, F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
         return res.withColumn("_prev", F.lag(order[0]).over(w)) if prev_order else res
 
-    sliced = order_slices(df, keys, order, num_slices)
-    w = Window.partitionBy(*keys, SLICE).orderBy(*order, SEQ)
-    local = sliced.withColumn(out, F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    sliced = order_slices(df, keys, order, num_slices, sort=(local == "arrow"))
+    if local == "arrow":
+        fields = list(sliced.schema.fields) + [T.StructField(out, T.LongType())]
+        if prev_order:
+            fields.append(T.StructField("_prev", sliced.schema[order[0]].dataType))
+        local_df = sliced.mapInArrow(_local_running_sum(keys, value, out, order[0] if prev_order else None),
+                                     T.StructType(fields))
+    else:
+        w = Window.partitionBy(*keys, SLICE).orderBy(*order, SEQ)
+        local_df = sliced.withColumn(out, F.sum(value).over(w.rowsBetween(Window.unboundedPreceding,
+                                                                          Window.currentRow)))
+        if prev_order:
+            local_df = local_df.withColumn("_prev", F.lag(order[0]).over(w))
+    local = local_df
     aggs = [F.sum(value).alias("_part")]
     if prev_order:
-        local = local.withColumn("_prev", F.lag(order[0]).over(w))
         aggs.append(F.max(order[0]).alias("_last"))
     per_slice = sliced.groupBy(*keys, SLICE).agg(*aggs)
     before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)

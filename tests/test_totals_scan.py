@@ -79,3 +79,28 @@ def test_auto_plan_switches_on_group_size(spark):
     df = skewed(spark)
     out = running_sum(df, ["k"], ["ts", "e"], "v", "tot", max_group_rows=10, num_slices=4)
     assert out.count() == df.count()
+
+
+def test_arrow_local_pass_across_small_batches(spark):
+    """The per-slice Arrow pass must continue runs across Arrow batches; compare it with the window."""
+    df = skewed(spark).withColumn("q", F.when(F.col("e") % 5 == 0, F.lit(None)).otherwise(F.lit(1)))
+    key = lambda d: sorted(repr((r["k"], r["q"], r["ts"], r["e"], r["v"], r["tot"], r["_prev"]))
+                           for r in d.collect())
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        a = running_sum(df, ["k", "q"], ["ts", "e"], "v", "tot", prev_order="ts", plan="slices",
+                        num_slices=5, local="arrow")
+        b = running_sum(df, ["k", "q"], ["ts", "e"], "v", "tot", prev_order="ts", plan="slices",
+                        num_slices=5, local="window")
+        c = running_sum(df, ["k", "q"], ["ts", "e"], "v", "tot", prev_order="ts", plan="window")
+        assert key(a) == key(b) == key(c)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_arrow_local_pass_overflow_raises(spark):
+    df = spark.createDataFrame([("a", 2**62, t("2021-10-01T00:00:00"), 1), ("a", 2**62, t("2021-10-02T00:00:00"), 2),
+                                ("a", 2**62, t("2021-10-03T00:00:00"), 3)], "k string, v long, ts timestamp, e long")
+    with pytest.raises(Exception, match="(?i)overflow"):
+        running_sum(df, ["k"], ["ts", "e"], "v", "tot", plan="slices", num_slices=2).collect()
