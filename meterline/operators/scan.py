@@ -11,8 +11,8 @@ Each operator here therefore has two plans:
     the rows are cut into ``n`` contiguous *slices* of the global order ``(keys…, order…, position)``
     by a range shuffle, so a hot key is spread over many consecutive slices of about ``rows / n``
     rows each.  Each slice computes its part locally — a running sum in one ordered pass over the
-    stored slice (``mapInArrow``, no further shuffle), ``lead`` and carry-forward with a window
-    partitioned by ``(keys…, slice)``; what a slice needs from earlier slices of the same key (the
+    stored slice (``mapInArrow``, no further shuffle) for running sums and carry-forward, a window
+    partitioned by ``(keys…, slice)`` for ``lead``; what a slice needs from earlier slices of the same key (the
     *carry*) comes from a small table of per-``(key, slice)`` summaries.
 
 The sliced rows are read twice (local part and summaries), and both reads must see the same slice
@@ -227,22 +227,63 @@ def next_in_order(df: DataFrame, keys: Sequence[str], order: Sequence[str], out:
     return res.drop("_carry", SLICE, SEQ)
 
 
+def _local_last_seen(keys: Sequence[str], value: str, out: str):
+    """Per-partition pass for the slice plan: last non-null ``value`` so far within each run of equal
+    keys, continuing across Arrow batches.  Works on nested values (taken by index, never converted)."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        last, carry = None, None
+        for batch in batches:
+            n = batch.num_rows
+            if n == 0:
+                continue
+            col = batch.column(value)
+            new = _runs(batch, keys)
+            cont = _same_key(batch, keys, last)
+            rid = np.cumsum(new) - 1
+            run_start = np.flatnonzero(new)[rid]
+            valid = ~np.asarray(pc.is_null(col))
+            seen = np.maximum.accumulate(np.where(valid, np.arange(n), -1))
+            # Index into [carry] + column: a value of this run, else the carried one, else none.
+            idx = np.where(seen >= run_start, seen + 1, -1)
+            if cont and carry is not None:
+                idx = np.where((idx < 0) & (rid == 0), 0, idx)
+            src = pa.concat_arrays([carry if carry is not None else pa.nulls(1, col.type), col])
+            filled = pc.take(src, pa.array(idx, mask=idx < 0))
+            tail = filled.slice(n - 1, 1)
+            carry = tail if tail.null_count == 0 else None
+            last = tuple(batch.column(k)[n - 1].as_py() for k in keys)
+            yield batch.append_column(out, filled)
+    return run
+
+
 def last_seen(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str,
               plan: str = "auto", max_group_rows: int = MAX_GROUP_ROWS,
-              num_slices: int | None = None) -> DataFrame:
+              num_slices: int | None = None, local: str = "arrow") -> DataFrame:
     """Add ``out`` = the last non-null ``value`` at or before this row within the key.
 
     This is the carry-forward step of a merge as-of join: ``value`` is set on the dimension rows and
-    null on the fact rows, which then pick up the latest dimension row before them.
+    null on the fact rows, which then pick up the latest dimension row before them.  ``local`` as in
+    :func:`running_sum`.
     """
     keys, order = list(keys), list(order)
     if pick_plan(df, keys, plan, max_group_rows) == "window":
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return df.withColumn(out, F.last(value, ignorenulls=True).over(w))
 
-    sliced = order_slices(df, keys, order, num_slices)
-    w = Window.partitionBy(*keys, SLICE).orderBy(*order, SEQ).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = sliced.withColumn(out, F.last(value, ignorenulls=True).over(w))
+    sliced = order_slices(df, keys, order, num_slices, sort=(local == "arrow"))
+    if local == "arrow":
+        schema = T.StructType(list(sliced.schema.fields)
+                              + [T.StructField(out, sliced.schema[value].dataType)])
+        local_df = sliced.mapInArrow(_local_last_seen(keys, value, out), schema)
+    else:
+        w = (Window.partitionBy(*keys, SLICE).orderBy(*order, SEQ)
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        local_df = sliced.withColumn(out, F.last(value, ignorenulls=True).over(w))
+    local = local_df
     # Last non-null value of each (key, slice): the max of (order, position, value) over rows with one.
     per_slice = sliced.groupBy(*keys, SLICE).agg(
         F.max(F.when(F.col(value).isNotNull(), F.struct(*_cols(order), F.col(SEQ), F.col(value).alias("_v")))).alias("_lastv"))

@@ -104,3 +104,17 @@ def test_arrow_local_pass_overflow_raises(spark):
                                 ("a", 2**62, t("2021-10-03T00:00:00"), 3)], "k string, v long, ts timestamp, e long")
     with pytest.raises(Exception, match="(?i)overflow"):
         running_sum(df, ["k"], ["ts", "e"], "v", "tot", plan="slices", num_slices=2).collect()
+
+
+def test_arrow_last_seen_across_small_batches(spark):
+    df = skewed(spark).dropDuplicates(["k", "ts", "e"]).withColumn(
+        "val", F.when(F.col("e") % 7 == 0, F.struct(F.col("e").alias("x"), F.lit("y").alias("y"))))
+    key = lambda d: sorted(repr((r["k"], r["ts"], r["e"], r["nx"])) for r in d.collect())
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        a = last_seen(df, ["k"], ["ts", "e"], "val", "nx", plan="slices", num_slices=6, local="arrow")
+        b = last_seen(df, ["k"], ["ts", "e"], "val", "nx", plan="window")
+        assert key(a) == key(b)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
