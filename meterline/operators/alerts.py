@@ -30,11 +30,16 @@ def usage_alerts(enriched: DataFrame, tie: str, ratio: float = ALERT_RATIO,
 
     Columns ``ts, account, total, quota, message`` plus ``billingYear, billingMonth``.  The first hit
     is a grouped ``min`` over the hits (combined map-side), so no key's rows meet in one task.
+
+    The default key includes the quota, like the reference: a quota change starts a new total.  With
+    ``key=("account", "billingYear", "billingMonth")`` the month's total continues across quota
+    changes and each row is compared with the quota in force at its time.
     """
     key = list(key)
     run = running_usage(enriched, tie, key, plan, num_slices)
     hits = run.where(over_threshold("total", "quota", ratio))
-    first = hits.groupBy(*key).agg(F.min(F.struct("ts", tie, "total")).alias("_h"))
+    carried = [c for c in ("account", "billingYear", "billingMonth", "quota") if c not in key]
+    first = hits.groupBy(*key).agg(F.min(F.struct("ts", tie, "total", *carried)).alias("_h"))
     out = first.select(F.col("_h.ts").alias("ts"), *[F.col(k) for k in key],
-                       F.col("_h.total").alias("total"))
+                       *[F.col(f"_h.{c}").alias(c) for c in carried], F.col("_h.total").alias("total"))
     return out.withColumn("message", alert_message("ts", "account", "total", "quota"))

@@ -119,3 +119,13 @@ def random_case(seed):
 def test_matches_plain_loop(spark, seed, plan, n):
     urows, vrows = random_case(seed)
     assert hits(spark, urows, vrows, plan, n) == loop_alerts(urows, vrows)
+
+
+@pytest.mark.parametrize("plan,n", PLANS)
+def test_key_without_quota_continues_month_total(spark, plan, n):
+    """Optional key without the quota: the month's total runs on across a quota change."""
+    v = Q100 + [("a", 200, "2021-10-05T00:00:00")]
+    rows = [("a", 60, "2021-10-02T00:00:00", 1), ("a", 150, "2021-10-06T00:00:00", 2)]
+    e = enrich_usage(usage(spark, rows), versions(spark, v))
+    out = usage_alerts(e, "event_id", key=("account", "billingYear", "billingMonth"), plan=plan, num_slices=n)
+    assert [(r["total"], r["quota"]) for r in out.collect()] == [(210, 200)]
