@@ -46,11 +46,17 @@ def month_end_ms(year: int, month: int) -> int:
 
 
 class UsageAlertProcessor(StatefulProcessor):
-    """Add each row to the key's total; the first time the total passes ``ratio * quota``, emit once."""
+    """Add each row to the key's total; the first time the total passes ``ratio * quota``, emit once.
 
-    def __init__(self, tie: str, ratio: float = ALERT_RATIO, clear_after: timedelta | None = None):
+    ``key`` names the grouping columns; billing columns that are not part of it (e.g. the quota, when
+    the total should continue across quota changes) are read from each row.
+    """
+
+    def __init__(self, tie: str, ratio: float = ALERT_RATIO, clear_after: timedelta | None = None,
+                 key: Sequence[str] = BILLING_KEY):
         self.tie = tie
         self.ratio = float(ratio)
+        self.key = list(key)
         self.clear_after_ms = None if clear_after is None else int(clear_after.total_seconds() * 1000)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -59,26 +65,30 @@ class UsageAlertProcessor(StatefulProcessor):
         self.alerted = handle.getValueState("alerted", "alerted boolean")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        # The rows carry the key columns too.
         pdf = pd.concat(list(rows), ignore_index=True).sort_values(["ts_us", self.tie], kind="stable")
-        account, year, month, quota = key
         first_time = not self.total.exists()
         prior = int(self.total.get()[0]) if not first_time else 0
         run = checked_cumsum(prior, pdf["bytesUsed"].to_numpy())
         self.total.update((int(run[-1]),))
         if first_time and self.clear_after_ms is not None:
-            self.handle.registerTimer(month_end_ms(int(year), int(month)) + self.clear_after_ms)
-        if self.alerted.exists() or quota is None or pd.isna(quota):
+            self.handle.registerTimer(month_end_ms(int(pdf["billingYear"].iloc[0]),
+                                                   int(pdf["billingMonth"].iloc[0])) + self.clear_after_ms)
+        if self.alerted.exists():
             return
-        # Java compares long > double: the total is widened to double, like here.
-        hit = np.flatnonzero(run.astype("float64") > self.ratio * float(quota))
+        # Java compares long > double: the total is widened to double, like here; a null quota never
+        # passes (NaN compares false).
+        quota = pd.to_numeric(pdf["quota"], errors="coerce").to_numpy(dtype="float64")
+        hit = np.flatnonzero(run.astype("float64") > self.ratio * quota)
         if hit.size == 0:
             return
         i = int(hit[0])
         self.alerted.update((True,))
+        row = pdf.iloc[i]
         yield pd.DataFrame({
-            "ts_us": [int(pdf["ts_us"].iloc[i])], "account": [account], "billingYear": [int(year)],
-            "billingMonth": [int(month)], "quota": [int(quota)], "total": [int(run[i])],
-            self.tie: [int(pdf[self.tie].iloc[i])]})
+            "ts_us": [int(row["ts_us"])], "account": [row["account"]], "billingYear": [int(row["billingYear"])],
+            "billingMonth": [int(row["billingMonth"])], "quota": [int(row["quota"])], "total": [int(run[i])],
+            self.tie: [int(row[self.tie])]})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.total.clear()
@@ -103,13 +113,15 @@ def stream_usage_alerts(enriched: DataFrame, tie: str, ratio: float = ALERT_RATI
     """Alerts of an enriched usage stream (append mode): ``ts, account, billingYear, billingMonth,
     quota, total, message`` plus ``tie``.  Also runs on a bounded DataFrame (without ``clear_after``)."""
     use_rocksdb_state(enriched.sparkSession)
-    prepared = enriched.select(*key, F.unix_micros("ts").alias("ts_us"), "bytesUsed", tie)
+    key = list(key)
+    extra = [c for c in BILLING_KEY if c not in key]
+    prepared = enriched.select(*key, *extra, F.unix_micros("ts").alias("ts_us"), "bytesUsed", tie)
     time_mode = "None"
     if clear_after is not None:
         prepared = prepared.withColumn("wm_ts", F.timestamp_micros("ts_us")).withWatermark("wm_ts", watermark_delay)
         time_mode = "EventTime"
     out = prepared.groupBy(*key).transformWithStateInPandas(
-        UsageAlertProcessor(tie, ratio, clear_after), _out_schema(tie), "Append", time_mode)
+        UsageAlertProcessor(tie, ratio, clear_after, key), _out_schema(tie), "Append", time_mode)
     return (out.select(F.timestamp_micros("ts_us").alias("ts"), "account", "billingYear", "billingMonth",
                        "quota", "total", tie)
                .withColumn("message", alert_message("ts", "account", "total", "quota")))

@@ -157,3 +157,16 @@ def test_alert_stream_adds_in_arrival_order(spark):
         "event_id").collect()]
     assert batch == [(t("2021-10-05T00:00:00"), 95)]
     assert stream == [(t("2021-10-02T00:00:00"), 95)]
+
+
+def test_alert_stream_key_without_quota(spark):
+    v = versions(spark, [("a", 100, "2021-10-01T00:00:00"), ("a", 200, "2021-10-05T00:00:00")])
+    src = scratch_path(spark, "t-noquota")
+    usage(spark, [("a", 60, "2021-10-02T00:00:00", 1)]).coalesce(1).write.parquet(src)
+    usage(spark, [("a", 150, "2021-10-06T00:00:00", 2)]).coalesce(1).write.mode("append").parquet(src)
+    s = spark.readStream.schema("account string, bytesUsed long, ts timestamp, event_id long") \
+        .option("maxFilesPerTrigger", 1).parquet(src)
+    out, ck = fresh_paths(spark, "t-noquota")
+    q = stream_usage_alerts(enrich_static(s, v), "event_id", key=("account", "billingYear", "billingMonth"))
+    run_to_end(q, ck, "append", path=out)
+    assert [(r["total"], r["quota"]) for r in spark.read.parquet(out).collect()] == [(210, 200)]
