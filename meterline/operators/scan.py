@@ -10,10 +10,10 @@ Each operator here therefore has two plans:
 ``slices``
     the rows are cut into ``n`` contiguous *slices* of the global order ``(keys…, order…, position)``
     by a range shuffle, so a hot key is spread over many consecutive slices of about ``rows / n``
-    rows each.  Each slice computes its part locally — a running sum in one ordered pass over the
-    stored slice (``mapInArrow``, no further shuffle) for running sums and carry-forward, a window
-    partitioned by ``(keys…, slice)`` for ``lead``; what a slice needs from earlier slices of the same key (the
-    *carry*) comes from a small table of per-``(key, slice)`` summaries.
+    rows each.  Each slice computes its part locally, in one ordered pass over the stored slice
+    (``mapInArrow``, no further shuffle; ``local="window"`` uses a window partitioned by
+    ``(keys…, slice)`` instead, at the cost of a second shuffle).  What a slice needs from earlier
+    slices of the same key (the *carry*) comes from a small table of per-``(key, slice)`` summaries.
 
 The sliced rows are read twice (local part and summaries), and both reads must see the same slice
 numbers, so the sliced rows are written once with a reliable ``checkpoint()`` into the cluster's shared
@@ -209,16 +209,53 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     return res.drop("_carry", SLICE, SEQ)
 
 
+def _local_next(keys: Sequence[str], order_col: str, out: str):
+    """Per-partition pass for the slice plan: ``lead(order_col)`` within runs of equal keys.  The last
+    row of each Arrow batch is held back and put in front of the next batch, which supplies its lead."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        pending = None
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            if pending is not None:
+                batch = pa.Table.from_batches([pending, batch]).combine_chunks().to_batches()[0]
+            n = batch.num_rows
+            col = batch.column(order_col)
+            new = _runs(batch, keys)
+            nxt = pa.concat_arrays([col.slice(1), pa.nulls(1, col.type)])
+            ends = np.append(new[1:], True)            # last row of each run has no lead here
+            lead = pc.if_else(pa.array(ends), pa.nulls(n, col.type), nxt)
+            done = batch.append_column(out, lead)
+            pending = batch.slice(n - 1, 1)
+            if n > 1:
+                yield done.slice(0, n - 1)
+        if pending is not None:
+            yield pending.append_column(out, pa.nulls(1, pending.column(order_col).type))
+    return run
+
+
 def next_in_order(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, plan: str = "auto",
-                  max_group_rows: int = MAX_GROUP_ROWS, num_slices: int | None = None) -> DataFrame:
-    """Add ``out`` = the first ``order`` column of the key's next row (``lead``), null on the last."""
+                  max_group_rows: int = MAX_GROUP_ROWS, num_slices: int | None = None,
+                  local: str = "arrow") -> DataFrame:
+    """Add ``out`` = the first ``order`` column of the key's next row (``lead``), null on the last.
+    ``local`` as in :func:`running_sum`."""
     keys, order = list(keys), list(order)
     if pick_plan(df, keys, plan, max_group_rows) == "window":
         return df.withColumn(out, F.lead(order[0]).over(Window.partitionBy(*keys).orderBy(*order)))
 
-    sliced = order_slices(df, keys, order, num_slices)
-    w = Window.partitionBy(*keys, SLICE).orderBy(*order, SEQ)
-    local = sliced.withColumn(out, F.lead(order[0]).over(w))
+    sliced = order_slices(df, keys, order, num_slices, sort=(local == "arrow"))
+    if local == "arrow":
+        schema = T.StructType(list(sliced.schema.fields)
+                              + [T.StructField(out, sliced.schema[order[0]].dataType)])
+        local_df = sliced.mapInArrow(_local_next(keys, order[0], out), schema)
+    else:
+        w = Window.partitionBy(*keys, SLICE).orderBy(*order, SEQ)
+        local_df = sliced.withColumn(out, F.lead(order[0]).over(w))
+    local = local_df
     per_slice = sliced.groupBy(*keys, SLICE).agg(F.min(order[0]).alias("_first"))
     after = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(1, 1)
     carry = (per_slice.withColumn("_carry", F.first("_first").over(after))

@@ -118,3 +118,17 @@ def test_arrow_last_seen_across_small_batches(spark):
         assert key(a) == key(b)
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_arrow_lead_across_small_batches(spark):
+    df = skewed(spark).dropDuplicates(["k", "ts", "e"])
+    key = lambda d: sorted(repr((r["k"], r["ts"], r["e"], r["nx"])) for r in d.collect())
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        a = next_in_order(df, ["k"], ["ts", "e"], "nx", plan="slices", num_slices=6, local="arrow")
+        b = next_in_order(df, ["k"], ["ts", "e"], "nx", plan="window")
+        assert a.count() == b.count() == df.count()
+        assert key(a) == key(b)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
