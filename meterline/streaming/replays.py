@@ -147,6 +147,16 @@ def usage_alerts_stream(spark: SparkSession, sf: str) -> DataFrame:
                                           "message")
 
 
+def usage_alerts_versions_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Alerts with the versions as a stream too: the version-stream join feeds the alert processor."""
+    rp, e = _versioned(spark, sf, "alerts_versions")
+    q = stream_usage_alerts(e, TIE)
+    out, ck = fresh_paths(spark, "alerts_versions")
+    rp.run(lambda: run_to_end(q, ck, "append", path=out))
+    return spark.read.parquet(out).select("ts", "account", "billingYear", "billingMonth", "quota", "total",
+                                          "message")
+
+
 def stream_queries() -> dict:
     return {
         "usage_log_stream": usage_log_stream,
@@ -157,5 +167,6 @@ def stream_queries() -> dict:
         "quota_enriched_ordered_stream": quota_enriched_ordered_stream,
         "usage_publish_stream": usage_publish_stream,
         "usage_alerts_stream": usage_alerts_stream,
+        "usage_alerts_versions_stream": usage_alerts_versions_stream,
     }
 
