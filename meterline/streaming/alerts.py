@@ -115,10 +115,16 @@ def stream_usage_alerts(enriched: DataFrame, tie: str, ratio: float = ALERT_RATI
     use_rocksdb_state(enriched.sparkSession)
     key = list(key)
     extra = [c for c in BILLING_KEY if c not in key]
-    prepared = enriched.select(*key, *extra, F.unix_micros("ts").alias("ts_us"), "bytesUsed", tie)
+    upstream_time = "event_ts" in enriched.columns
+    cols = [*key, *extra, F.unix_micros("ts").alias("ts_us"), "bytesUsed", tie]
+    prepared = enriched.select(*cols, *(["event_ts"] if upstream_time else []))
     time_mode = "None"
     if clear_after is not None:
-        prepared = prepared.withColumn("wm_ts", F.timestamp_micros("ts_us")).withWatermark("wm_ts", watermark_delay)
+        # Rows of the version-stream join already carry its watermark (``event_ts``); any other input
+        # gets one here.  A second watermark after that join would find every released row late.
+        if not upstream_time:
+            prepared = (prepared.withColumn("event_ts", F.timestamp_micros("ts_us"))
+                                .withWatermark("event_ts", watermark_delay))
         time_mode = "EventTime"
     out = prepared.groupBy(*key).transformWithStateInPandas(
         UsageAlertProcessor(tie, ratio, clear_after, key), _out_schema(tie), "Append", time_mode)

@@ -80,7 +80,8 @@ class VersionedJoinProcessor(StatefulProcessor):
         if not keep.any():
             return None
         return pd.DataFrame({"account": account, "bytesUsed": used[keep], "ts_us": ts[keep],
-                             self.tie: tie[keep], "quota": quotas[pos[keep]]})
+                             self.tie: tie[keep], "quota": quotas[pos[keep]],
+                             "event_ts": pd.to_datetime(ts[keep], unit="us", utc=True)})
 
     def _arm(self, ms: int) -> None:
         """Keep one timer per account, at the earliest waiting time."""
@@ -147,7 +148,8 @@ def enrich_versioned(usage: DataFrame, versions: DataFrame, tie: str, delay: str
 
     Output rows come out when the watermark reaches their time; rows more than ``delay`` behind the
     latest event time are late and dropped by Spark.  Output columns: ``account, bytesUsed, ts, tie,
-    quota, billingYear, billingMonth``.
+    quota, billingYear, billingMonth`` and ``event_ts`` (= ``ts``), the event-time column through
+    which a later event-time operator of the same query gets the watermark.
     """
     use_rocksdb_state(usage.sparkSession)
     u = usage.select(F.col("account").alias("key_id"), F.col("ts"), F.lit(1).alias("side"),
@@ -161,8 +163,10 @@ def enrich_versioned(usage: DataFrame, versions: DataFrame, tie: str, delay: str
     schema = T.StructType([
         T.StructField("account", T.StringType()), T.StructField("bytesUsed", T.LongType()),
         T.StructField("ts_us", T.LongType()), T.StructField(tie, T.LongType()),
-        T.StructField("quota", T.LongType())])
+        T.StructField("quota", T.LongType()), T.StructField("event_ts", T.TimestampType())])
+    # ``event_ts`` carries the watermark on to later event-time operators in the same query.
     out = both.groupBy("key_id").transformWithStateInPandas(
-        VersionedJoinProcessor(tie), schema, "Append", "EventTime")
-    out = out.select("account", "bytesUsed", F.timestamp_micros("ts_us").alias("ts"), tie, "quota")
+        VersionedJoinProcessor(tie), schema, "Append", "EventTime", eventTimeColumnName="event_ts")
+    out = out.select("account", "bytesUsed", F.timestamp_micros("ts_us").alias("ts"), tie, "quota",
+                     "event_ts")
     return out.withColumns({"billingYear": billing_year("ts"), "billingMonth": billing_month("ts")})

@@ -170,3 +170,20 @@ def test_alert_stream_key_without_quota(spark):
     q = stream_usage_alerts(enrich_static(s, v), "event_id", key=("account", "billingYear", "billingMonth"))
     run_to_end(q, ck, "append", path=out)
     assert [(r["total"], r["quota"]) for r in spark.read.parquet(out).collect()] == [(210, 200)]
+
+
+def test_alerts_with_clearing_after_version_stream(spark, sf001):
+    """Two event-time operators in one query: the version-stream join hands its watermark on
+    (``event_ts``), so the alert processor's clearing timers work without dropping released rows."""
+    from datetime import timedelta
+    from meterline.streaming.replays import EventOrderReplay
+
+    rp = EventOrderReplay(spark, "t-chain")
+    u = rp.source(td.usage_from_events(spark, sf001), "ts")
+    v = rp.source(td.versions_from_events(spark, sf001), "ts")
+    q = stream_usage_alerts(enrich_versioned(u, v, "event_id"), "event_id", clear_after=timedelta(days=1))
+    out, ck = fresh_paths(spark, "t-chain")
+    rp.run(lambda: run_to_end(q, ck, "append", path=out))
+    batch = usage_alerts(enrich_usage(td.usage_from_events(spark, sf001), td.versions_from_events(spark, sf001)),
+                         "event_id")
+    assert rows(spark.read.parquet(out), ALERT) == rows(batch, ALERT)
