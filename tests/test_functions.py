@@ -59,3 +59,11 @@ def test_epoch_millis_round_trip(spark):
 def test_session_zone_is_utc(spark):
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
     assert spark.range(1).select(F.current_timezone()).first()[0] == "UTC"
+
+
+def test_shared_dir_comes_from_the_session(spark):
+    from meterline.session import scratch_path, shared_dir
+    base = shared_dir(spark)
+    assert base and spark.sparkContext.getCheckpointDir() == base
+    p1, p2 = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert p1.startswith(base) and p1 != p2

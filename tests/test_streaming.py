@@ -5,7 +5,6 @@ import subprocess
 import sys
 import textwrap
 
-from pyspark.sql import functions as F
 
 from meterline import testdata as td
 from meterline.operators import enrich_usage, usage_alerts
