@@ -37,9 +37,12 @@ def test_alert_stream_survives_restart(spark, sf001):
         return stream_usage_alerts(enrich_static(s, v), "event_id")
 
     q = start(query(1), ck, "append", path=out, trigger={"processingTime": "0 seconds"})
-    while q.lastProgress is None or q.lastProgress["batchId"] < 0:
+    for _ in range(600):                      # at most about two minutes
+        if q.exception() is not None or (q.lastProgress is not None and q.lastProgress["batchId"] >= 0):
+            break
         q.awaitTermination(0.2)
     q.stop()
+    assert q.exception() is None
     first = spark.read.parquet(out).count() if os.path.exists(out) else 0
     run_to_end(query(1), ck, "append", path=out)
     got = rows(spark.read.parquet(out), ALERT)
