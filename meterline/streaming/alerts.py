@@ -1,9 +1,9 @@
 """Streaming usage alerts: a keyed stateful processor, the one place where rows meet Python.
 
 Per billing key ``(account, billingYear, billingMonth, quota)`` the processor keeps the running total
-(``ValueState``) and whether the key has already warned.  Within a micro-batch a key's rows are put in
-``(ts, tie)`` order before they are added, so files replayed in event order give the batch result.
-Rows go through pandas (Arrow batches), so the per-key work is vectorized.
+and whether the key has already warned (a ``MapState`` per account).  Within a micro-batch the rows
+are put in ``(ts, tie)`` order before they are added, so files replayed in event order give the batch
+result.  Rows go through pandas (Arrow batches), so the work is vectorized.
 
 State grows with accounts × months × quotas unless ``clear_after`` is set: then an event-time timer at
 the end of the billing month plus that grace clears the key.  A row of that month arriving afterwards
@@ -46,53 +46,91 @@ def month_end_ms(year: int, month: int) -> int:
 
 
 class UsageAlertProcessor(StatefulProcessor):
-    """Add each row to the key's total; the first time the total passes ``ratio * quota``, emit once.
-
-    ``key`` names the grouping columns; billing columns that are not part of it (e.g. the quota, when
-    the total should continue across quota changes) are read from each row.
+    """Per account: add each row to its billing key's total; the first time a key's total passes
+    ``ratio * quota``, emit once.
+
+    The processor is keyed by account (one call per account and micro-batch; the per-call cost of the
+    operator dominates when keys are many and small) and keeps, per remaining key part — year, month
+    and, by default, quota — the total and the alert flag in a ``MapState``.  Within a call the
+    running totals of all its billing keys are computed together, vectorized.  Key parts left out of
+    ``key`` (e.g. the quota) are read from each row.
     """
 
+    SUB_KEY_TYPES = {"billingYear": "long", "billingMonth": "long", "quota": "long"}
+
     def __init__(self, tie: str, ratio: float = ALERT_RATIO, clear_after: timedelta | None = None,
                  key: Sequence[str] = BILLING_KEY):
         self.tie = tie
         self.ratio = float(ratio)
-        self.key = list(key)
+        self.sub = [k for k in key if k != "account"]
+        if "account" not in key or any(k not in self.SUB_KEY_TYPES for k in self.sub):
+            raise ValueError(f"key must be account plus some of {sorted(self.SUB_KEY_TYPES)}")
+        if clear_after is not None and not {"billingYear", "billingMonth"} <= set(self.sub):
+            raise ValueError("clearing by month needs billingYear and billingMonth in the key")
         self.clear_after_ms = None if clear_after is None else int(clear_after.total_seconds() * 1000)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.total = handle.getValueState("total", "total long")
-        self.alerted = handle.getValueState("alerted", "alerted boolean")
+        sub_schema = ", ".join(f"{k} {self.SUB_KEY_TYPES[k]}" for k in self.sub)
+        self.state = handle.getMapState("usage", sub_schema, "total long, alerted boolean")
+
+    @staticmethod
+    def _py(v):
+        return None if v is None or (isinstance(v, float) and np.isnan(v)) else int(v)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         # The rows carry the key columns too.
         pdf = pd.concat(list(rows), ignore_index=True).sort_values(["ts_us", self.tie], kind="stable")
-        first_time = not self.total.exists()
-        prior = int(self.total.get()[0]) if not first_time else 0
-        run = checked_cumsum(prior, pdf["bytesUsed"].to_numpy())
-        self.total.update((int(run[-1]),))
-        if first_time and self.clear_after_ms is not None:
-            self.handle.registerTimer(month_end_ms(int(pdf["billingYear"].iloc[0]),
-                                                   int(pdf["billingMonth"].iloc[0])) + self.clear_after_ms)
-        if self.alerted.exists():
-            return
-        # Java compares long > double: the total is widened to double, like here; a null quota never
-        # passes (NaN compares false).
+        pdf = pdf.reset_index(drop=True)
+        gid = pdf.groupby(self.sub, dropna=False, sort=False).ngroup().to_numpy()
+        firsts = pdf.groupby(gid, sort=False).head(1)
+        subkeys = [tuple(self._py(v) for v in r) for r in firsts[self.sub].itertuples(index=False)]
+        order = firsts.index.to_numpy()            # first row of each group, in group-id order
+        groups = gid[order]
+        prior = np.zeros(len(subkeys), dtype="int64")
+        alerted = np.zeros(len(subkeys), dtype=bool)
+        fresh = []
+        # One read of the account's map (small: the open months, when clearing is on) instead of one
+        # lookup per billing key.
+        known = {tuple(self._py(v) for v in k): v for k, v in self.state.iterator()}
+        for g, sk in zip(groups, subkeys):
+            prev = known.get(sk)
+            if prev is None:
+                fresh.append(sk)
+            else:
+                prior[g], alerted[g] = int(prev[0]), bool(prev[1])
+        vals = pdf["bytesUsed"].to_numpy(dtype="int64")
+        approx = pd.Series(vals.astype("float64")).groupby(gid).cumsum().to_numpy() + prior[gid].astype("float64")
+        if approx.size and np.abs(approx).max() >= LONG_MAX:
+            raise OverflowError("running usage total exceeds the 64-bit range")
+        run = pd.Series(vals).groupby(gid).cumsum().to_numpy() + prior[gid]
+        # Java compares long > double: the total is widened to double, like here; a null quota
+        # never passes (NaN compares false).
         quota = pd.to_numeric(pdf["quota"], errors="coerce").to_numpy(dtype="float64")
-        hit = np.flatnonzero(run.astype("float64") > self.ratio * quota)
-        if hit.size == 0:
+        hit = (~alerted[gid]) & (run.astype("float64") > self.ratio * quota)
+        first_hits = pdf.index[hit].to_series().groupby(gid[hit]).first()
+        last_rows = pd.Series(np.arange(len(pdf))).groupby(gid).last()
+        for g, sk in zip(groups, subkeys):
+            self.state.updateValue(sk, (int(run[last_rows[g]]), bool(alerted[g] or g in first_hits.index)))
+        if self.clear_after_ms is not None:
+            iy, im = self.sub.index("billingYear"), self.sub.index("billingMonth")
+            for y, m in {(sk[iy], sk[im]) for sk in fresh}:
+                self.handle.registerTimer(month_end_ms(y, m) + self.clear_after_ms)
+        if len(first_hits) == 0:
             return
-        i = int(hit[0])
-        self.alerted.update((True,))
-        row = pdf.iloc[i]
-        yield pd.DataFrame({
-            "ts_us": [int(row["ts_us"])], "account": [row["account"]], "billingYear": [int(row["billingYear"])],
-            "billingMonth": [int(row["billingMonth"])], "quota": [int(row["quota"])], "total": [int(run[i])],
-            self.tie: [int(row[self.tie])]})
+        idx = first_hits.to_numpy()
+        out = pdf.loc[idx, ["ts_us", "account", "billingYear", "billingMonth", "quota", self.tie]].copy()
+        out["total"] = run[idx]
+        yield out.astype({"ts_us": "int64", "billingYear": "int64", "billingMonth": "int64",
+                          "quota": "int64", "total": "int64", self.tie: "int64"})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.total.clear()
-        self.alerted.clear()
+        """Drop the billing keys of every month whose end plus grace has passed."""
+        expiry = expiredTimerInfo.getExpiryTimeInMs()
+        iy, im = self.sub.index("billingYear"), self.sub.index("billingMonth")
+        for sk in list(self.state.keys()):
+            if month_end_ms(sk[iy], sk[im]) + self.clear_after_ms <= expiry:
+                self.state.removeKey(sk)
         return iter([])
 
     def close(self) -> None:
@@ -126,7 +164,7 @@ def stream_usage_alerts(enriched: DataFrame, tie: str, ratio: float = ALERT_RATI
             prepared = (prepared.withColumn("event_ts", F.timestamp_micros("ts_us"))
                                 .withWatermark("event_ts", watermark_delay))
         time_mode = "EventTime"
-    out = prepared.groupBy(*key).transformWithStateInPandas(
+    out = prepared.groupBy("account").transformWithStateInPandas(
         UsageAlertProcessor(tie, ratio, clear_after, key), _out_schema(tie), "Append", time_mode)
     return (out.select(F.timestamp_micros("ts_us").alias("ts"), "account", "billingYear", "billingMonth",
                        "quota", "total", tie)

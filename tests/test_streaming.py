@@ -137,8 +137,8 @@ def test_alert_stream_clears_state_after_month(spark):
     run_to_end(q, ck, "append", path=out)
     got = sorted((r["account"], r["total"], r["event_id"]) for r in spark.read.parquet(out).collect())
     assert got == [("a", 95, 1)]
-    state = spark.read.format("statestore").option("path", ck).option("stateVarName", "total").load()
-    months = sorted((r["key"]["account"], r["key"]["billingMonth"]) for r in state.collect())
+    state = spark.read.format("statestore").option("path", ck).option("stateVarName", "usage").load()
+    months = sorted((r["key"]["account"], r["user_map_key"]["billingMonth"]) for r in state.collect())
     assert months == [("b", 11)]
 
 
