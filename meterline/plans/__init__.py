@@ -1,0 +1 @@
+"""The five jobs, SQL views, the query registry and its DuckDB oracle."""
