@@ -132,3 +132,15 @@ def test_arrow_lead_across_small_batches(spark):
         assert key(a) == key(b)
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+@pytest.mark.parametrize("n", [3, 8, 24])
+def test_carry_table_bound(spark, n):
+    """Keys that continue into a slice from an earlier one: at most one per slice boundary."""
+    from pyspark.sql import Window
+    from meterline.operators.scan import SLICE
+    sl = order_slices(skewed(spark), ["k"], ["ts", "e"], num_slices=n)
+    per = sl.groupBy("k", SLICE).agg(F.sum("v").alias("s"))
+    before = Window.partitionBy("k").orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    carried = per.withColumn("c", F.sum("s").over(before)).where(F.col("c").isNotNull()).count()
+    assert 0 < carried <= n - 1
