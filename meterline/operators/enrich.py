@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.billing import billing_month, billing_year
+from ..schemas import ENRICHED
 from .asof import as_of_join
 
 
@@ -21,6 +22,12 @@ def enrich_usage(usage: DataFrame, versions: DataFrame, strategy: str = "auto",
     return joined.withColumns({"billingYear": billing_year("ts"), "billingMonth": billing_month("ts")})
 
 
+def to_enriched_records(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Typed enriched records: the fields of the fixed ``ENRICHED`` schema, matched by name and cast to
+    their types (``keep`` passes further columns, such as a tie column, through)."""
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in ENRICHED.fields], *keep)
+
+
 def enriched_view(enriched: DataFrame) -> DataFrame:
     """The projection of the enrichment query: ``account, bytesUsed, quota, ts``."""
     return enriched.select("account", "bytesUsed", "quota", "ts")

@@ -79,3 +79,12 @@ def test_hot_account_with_many_versions_merge_slices(spark):
     want = joined(spark, u, v, "broadcast", "auto")
     assert joined(spark, u, v, "merge", "slices") == want
     assert len(want) == 600 - 30 + 20
+
+
+def test_typed_enriched_records(spark, edge):
+    from meterline.operators import to_enriched_records
+    from meterline.schemas import ENRICHED
+    u, v = edge
+    rec = to_enriched_records(enrich_usage(u, v), keep=("event_id",))
+    assert [(f.name, f.dataType) for f in rec.schema.fields][:6] == [(f.name, f.dataType) for f in ENRICHED.fields]
+    assert rec.columns[-1] == "event_id" and rec.count() == 4
