@@ -113,6 +113,7 @@ FROM changes WHERE prev_ts IS NOT NULL"""
     q["quota_intervals_sliced"] = q["quota_intervals"]
     enriched_cols = "account, bytesUsed, ts, event_id, quota, billingYear, billingMonth"
     q["quota_enriched"] = _with(USAGE, VERSIONS, ENRICHED) + f"SELECT {enriched_cols} FROM enriched"
+    q["quota_enriched_shuffle"] = q["quota_enriched"]
     q["quota_enriched_merge"] = q["quota_enriched"]
     q["quota_enriched_merge_sliced"] = q["quota_enriched"]
     q["quota_enriched_ordered"] = _with(USAGE, VERSIONS, ENRICHED) + (

@@ -94,6 +94,11 @@ def quota_enriched(spark, sf):
     return _enriched(spark, sf).select(*ENRICHED_COLS)
 
 
+def quota_enriched_shuffle(spark, sf):
+    """The interval join planned as a shuffle join (the choice for large version tables)."""
+    return _enriched(spark, sf, "shuffle").select(*ENRICHED_COLS)
+
+
 def quota_enriched_merge(spark, sf):
     return _enriched(spark, sf, "merge").select(*ENRICHED_COLS)
 
@@ -206,6 +211,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "quota_intervals": quota_intervals,
         "quota_intervals_sliced": quota_intervals_sliced,
         "quota_enriched": quota_enriched,
+        "quota_enriched_shuffle": quota_enriched_shuffle,
         "quota_enriched_merge": quota_enriched_merge,
         "quota_enriched_merge_sliced": quota_enriched_merge_sliced,
         "quota_enriched_ordered": quota_enriched_ordered,
