@@ -82,9 +82,12 @@ class UsageAlertProcessor(StatefulProcessor):
         # The rows carry the key columns too.
         pdf = pd.concat(list(rows), ignore_index=True).sort_values(["ts_us", self.tie], kind="stable")
         pdf = pdf.reset_index(drop=True)
-        gid = pdf.groupby(self.sub, dropna=False, sort=False).ngroup().to_numpy()
+        # The quota arrives null-free with a separate flag, so that it stays an exact int64.
+        group_cols = self.sub + (["quota_null"] if "quota" in self.sub else [])
+        gid = pdf.groupby(group_cols, sort=False).ngroup().to_numpy()
         firsts = pdf.groupby(gid, sort=False).head(1)
-        subkeys = [tuple(self._py(v) for v in r) for r in firsts[self.sub].itertuples(index=False)]
+        subkeys = [tuple(None if (c == "quota" and qn) else int(v) for c, v in zip(self.sub, r[:-1]))
+                   for r in firsts[self.sub + ["quota_null"]].itertuples(index=False) for qn in [r[-1]]]
         order = firsts.index.to_numpy()            # first row of each group, in group-id order
         groups = gid[order]
         prior = np.zeros(len(subkeys), dtype="int64")
@@ -106,7 +109,8 @@ class UsageAlertProcessor(StatefulProcessor):
         run = pd.Series(vals).groupby(gid).cumsum().to_numpy() + prior[gid]
         # Java compares long > double: the total is widened to double, like here; a null quota
         # never passes (NaN compares false).
-        quota = pd.to_numeric(pdf["quota"], errors="coerce").to_numpy(dtype="float64")
+        quota = np.where(pdf["quota_null"].to_numpy(dtype=bool), np.nan,
+                         pdf["quota"].to_numpy(dtype="int64").astype("float64"))
         hit = (~alerted[gid]) & (run.astype("float64") > self.ratio * quota)
         first_hits = pdf.index[hit].to_series().groupby(gid[hit]).first()
         last_rows = pd.Series(np.arange(len(pdf))).groupby(gid).last()
@@ -152,9 +156,9 @@ def stream_usage_alerts(enriched: DataFrame, tie: str, ratio: float = ALERT_RATI
     quota, total, message`` plus ``tie``.  Also runs on a bounded DataFrame (without ``clear_after``)."""
     use_rocksdb_state(enriched.sparkSession)
     key = list(key)
-    extra = [c for c in BILLING_KEY if c not in key]
     upstream_time = "event_ts" in enriched.columns
-    cols = [*key, *extra, F.unix_micros("ts").alias("ts_us"), "bytesUsed", tie]
+    cols = ["account", "billingYear", "billingMonth", F.coalesce("quota", F.lit(0)).alias("quota"),
+            F.col("quota").isNull().alias("quota_null"), F.unix_micros("ts").alias("ts_us"), "bytesUsed", tie]
     prepared = enriched.select(*cols, *(["event_ts"] if upstream_time else []))
     time_mode = "None"
     if clear_after is not None:

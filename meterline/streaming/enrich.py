@@ -94,9 +94,9 @@ class VersionedJoinProcessor(StatefulProcessor):
         pdf = pd.concat(list(rows), ignore_index=True)
         vers = pdf[pdf["side"] == 0]
         if len(vers):
-            q = vers["quota"].astype("Int64")
-            for vts, qv in zip(vers["ts_us"].astype("int64").tolist(), q.tolist()):
-                self.versions.updateValue((vts,), (None if qv is pd.NA else int(qv),))
+            for vts, qv, qn in zip(vers["ts_us"].astype("int64").tolist(), vers["quota"].astype("int64").tolist(),
+                                   vers["quota_null"].astype(bool).tolist()):
+                self.versions.updateValue((vts,), (None if qn else qv,))
         # The watermark has millisecond resolution; a row counts as reached once its millisecond is.
         wm_ms = timerValues.getCurrentWatermarkInMs()
         use = pdf[pdf["side"] == 1].sort_values(["ts_us", self.tie], kind="stable")
@@ -152,14 +152,18 @@ def enrich_versioned(usage: DataFrame, versions: DataFrame, tie: str, delay: str
     which a later event-time operator of the same query gets the watermark.
     """
     use_rocksdb_state(usage.sparkSession)
+    # Null-free long columns (with a flag for a missing quota) reach the processor as exact int64;
+    # a column with nulls would arrive in pandas as float64.
     u = usage.select(F.col("account").alias("key_id"), F.col("ts"), F.lit(1).alias("side"),
                      F.col("bytesUsed").cast("long").alias("bytesUsed"), F.col(tie).cast("long").alias(tie),
-                     F.lit(None).cast("long").alias("quota"))
+                     F.lit(0).cast("long").alias("quota"), F.lit(False).alias("quota_null"))
     v = versions.select(F.col("id").alias("key_id"), F.col("ts"), F.lit(0).alias("side"),
-                        F.lit(None).cast("long").alias("bytesUsed"), F.lit(None).cast("long").alias(tie),
-                        F.col("quota").cast("long").alias("quota"))
+                        F.lit(0).cast("long").alias("bytesUsed"), F.lit(0).cast("long").alias(tie),
+                        F.coalesce(F.col("quota").cast("long"), F.lit(0).cast("long")).alias("quota"),
+                        F.col("quota").isNull().alias("quota_null"))
     both = (u.unionByName(v).withWatermark("ts", delay)
-             .select("key_id", "ts", F.unix_micros("ts").alias("ts_us"), "side", "bytesUsed", tie, "quota"))
+             .select("key_id", "ts", F.unix_micros("ts").alias("ts_us"), "side", "bytesUsed", tie, "quota",
+                     "quota_null"))
     schema = T.StructType([
         T.StructField("account", T.StringType()), T.StructField("bytesUsed", T.LongType()),
         T.StructField("ts_us", T.LongType()), T.StructField(tie, T.LongType()),

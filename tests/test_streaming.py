@@ -189,3 +189,20 @@ def test_alerts_with_clearing_after_version_stream(spark, sf001):
     batch = usage_alerts(enrich_usage(td.usage_from_events(spark, sf001), td.versions_from_events(spark, sf001)),
                          "event_id")
     assert rows(spark.read.parquet(out), ALERT) == rows(batch, ALERT)
+
+
+def test_streams_keep_large_quotas_exact(spark):
+    """Quotas beyond 2**53 next to a null quota: both processors keep them exact."""
+    big = 2**60 + 1
+    v = versions(spark, [("a", big, "2021-10-01T00:00:00"), ("b", None, "2021-10-01T00:00:00")])
+    rows_u = [("a", big, "2021-10-02T00:00:00", 1), ("b", 5, "2021-10-02T00:00:00", 2),
+              ("a", 1, "2021-10-03T00:00:00", 3)]
+    files = [(rows_u, [("a", big, "2021-10-01T00:00:00"), ("b", None, "2021-10-01T00:00:00")]),
+             ([("c", 1, "2021-10-09T00:00:00", 4)], [("c", 1, "2021-10-08T00:00:00")])]
+    assert _versioned(spark, files)[:3] == [(1, big), (2, None), (3, big)]
+    src = scratch_path(spark, "t-big")
+    usage(spark, rows_u).coalesce(1).write.parquet(src)
+    s = spark.readStream.schema("account string, bytesUsed long, ts timestamp, event_id long").parquet(src)
+    out, ck = fresh_paths(spark, "t-big")
+    run_to_end(stream_usage_alerts(enrich_static(s, v), "event_id"), ck, "append", path=out)
+    assert [(r["quota"], r["total"]) for r in spark.read.parquet(out).collect()] == [(big, big)]
