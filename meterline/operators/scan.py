@@ -135,7 +135,8 @@ def _local_running_sum(keys: Sequence[str], value: str, out: str, prev_col: str
             carry_in = total if cont else 0
             rid = np.cumsum(new) - 1
             starts = np.flatnonzero(new)
-            vals = batch.column(value).to_numpy(zero_copy_only=False).astype("int64")
+            # Nulls add nothing, as in Spark's sum (bytes are non-null by contract anyway).
+            vals = pc.fill_null(batch.column(value), 0).to_numpy(zero_copy_only=False).astype("int64")
             cs = np.cumsum(vals)                       # differences below are exact even if cs wraps
             local = cs - (cs - vals)[starts][rid]
             fvals = vals.astype("float64")
