@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.asof import version_intervals
-from ..sources.codec import decode_usage
+from ..sources.codec import decode_usage, decode_usage_tolerant
 
 ENRICH_SQL = """
 SELECT data_consumption.account AS account,
@@ -52,7 +52,12 @@ def totals_sql(spark: SparkSession) -> DataFrame:
 def register_log_table(raw: DataFrame, name: str = "data_consumption", strict: bool = True) -> DataFrame:
     """The SQL-declared log table: ``account, bytesUsed`` from the JSON body and ``ts`` from the log
     record's own timestamp (the record metadata), as a temporary view.  Works on ``read`` and
-    ``readStream`` log DataFrames; add ``withWatermark("ts", …)`` for event-time operators."""
-    table = decode_usage(raw, ts_from="record") if strict else raw
+    ``readStream`` log DataFrames; add ``withWatermark("ts", …)`` for event-time operators.  With
+    ``strict=False`` malformed records go to the view ``<name>_rejects`` instead of failing."""
+    if strict:
+        table = decode_usage(raw, ts_from="record")
+    else:
+        table, rejects = decode_usage_tolerant(raw, ts_from="record")
+        rejects.createOrReplaceTempView(f"{name}_rejects")
     table.createOrReplaceTempView(name)
     return table

@@ -78,3 +78,11 @@ def test_kafka_options_mapping():
     assert s["startingOffsets"] == "earliest" and s["maxOffsetsPerTrigger"] == "1000"
     with pytest.raises(ValueError):
         kafka_options(streaming=True, end="2021-10-31T00:00:00Z")
+
+
+def test_tolerant_log_table_has_rejects_view(spark):
+    from meterline.plans.views import register_log_table
+    r = raw(spark, ["garbage", '{"account":"000001","bytesUsed":7}'], ts="2021-10-01T00:00:00")
+    table = register_log_table(r, name="dc_tolerant", strict=False)
+    assert [tuple(x) for x in table.collect()] == [(t("2021-10-01T00:00:00"), "000001", 7)]
+    assert spark.sql("SELECT count(*) FROM dc_tolerant_rejects").first()[0] == 1
