@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from ..session import use_rocksdb_state
+from ..session import shared_dir, use_rocksdb_state
 
 from ..functions.billing import billing_month, billing_year
 from ..operators.asof import (MAX_BROADCAST_ROWS, MAX_VERSIONS_PER_KEY, interval_join, version_intervals,
@@ -48,6 +48,11 @@ def enrich_static(usage: DataFrame, versions: DataFrame, max_broadcast_rows: int
         raise ValueError("versions must be unique per (id, ts)")
     plan = "window" if stats.max_per_key <= MAX_VERSIONS_PER_KEY else "auto"
     iv = version_intervals(versions.select("id", "ts", "quota"), plan=plan)
+    if usage.isStreaming:
+        # The static side is planned again in every micro-batch: compute the intervals once and keep
+        # them in the shared checkpoint folder, so a batch only reads them.
+        shared_dir(usage.sparkSession)
+        iv = iv.checkpoint(eager=True)
     joined = interval_join(usage, iv, "account", "ts", "id", ["quota"], stats.rows <= max_broadcast_rows)
     return joined.withColumns({"billingYear": billing_year("ts"), "billingMonth": billing_month("ts")})
 
