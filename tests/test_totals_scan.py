@@ -144,3 +144,42 @@ def test_carry_table_bound(spark, n):
     before = Window.partitionBy("k").orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     carried = per.withColumn("c", F.sum("s").over(before)).where(F.col("c").isNotNull()).count()
     assert 0 < carried <= n - 1
+
+
+def test_slice_plan_survives_task_retries(tmp_path):
+    """A task of the per-slice pass fails on its first attempt and is retried: the checkpointed
+    slices give it the same rows again, so the result equals the window plan."""
+    import os
+    import subprocess
+    import sys
+    import textwrap
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = tmp_path / "retry.py"
+    script.write_text(textwrap.dedent(f"""
+        import sys
+        sys.path.insert(0, {repo!r}); sys.path.insert(0, {repo + '/tests'!r})
+        from pyspark import TaskContext
+        from meterline.session import build_session
+        import meterline.operators.scan as scan
+        spark = build_session("local[4,3]", shuffle_partitions=4)
+        spark.sparkContext.setLogLevel("ERROR")
+        inner = scan._local_running_sum
+        def failing(*a, **k):
+            run = inner(*a, **k)
+            def wrapped(batches):
+                tc = TaskContext.get()
+                if tc.partitionId() == 1 and tc.attemptNumber() == 0:
+                    raise RuntimeError("injected task failure")
+                yield from run(batches)
+            return wrapped
+        scan._local_running_sum = failing
+        from test_totals_scan import skewed
+        df = skewed(spark)
+        a = scan.running_sum(df, ["k"], ["ts", "e"], "v", "tot", plan="slices", num_slices=5)
+        b = scan.running_sum(df, ["k"], ["ts", "e"], "v", "tot", plan="window")
+        key = lambda d: sorted(repr((r["k"], r["ts"], r["e"], r["v"], r["tot"])) for r in d.collect())
+        print("RESULT", key(a) == key(b))
+    """))
+    out = subprocess.run([sys.executable, str(script)], capture_output=True, text=True, timeout=600)
+    assert "RESULT True" in out.stdout, out.stderr[-3000:]
+    assert "injected task failure" in out.stderr
