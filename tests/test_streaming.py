@@ -206,3 +206,18 @@ def test_streams_keep_large_quotas_exact(spark):
     out, ck = fresh_paths(spark, "t-big")
     run_to_end(stream_usage_alerts(enrich_static(s, v), "event_id"), ck, "append", path=out)
     assert [(r["quota"], r["total"]) for r in spark.read.parquet(out).collect()] == [(big, big)]
+
+
+def test_late_file_still_counts_in_stream_totals(spark):
+    """The totals stream has no watermark: a file with times before those already seen is counted."""
+    from meterline.streaming.runner import batch_folder_writer, latest_per_key
+    from meterline.streaming.totals import stream_account_totals
+    src = scratch_path(spark, "t-late-totals")
+    schema = "account string, bytesUsed long, ts timestamp, event_id long"
+    out, ck = fresh_paths(spark, "t-late-totals")
+    for chunk in ([("a", 10, "2021-10-10T00:00:00", 1)], [("a", 5, "2021-10-02T00:00:00", 2)]):
+        usage(spark, chunk).coalesce(1).write.mode("append").parquet(src)
+        s = spark.readStream.schema(schema).parquet(src)
+        run_to_end(stream_account_totals(s), ck, "update", sink=batch_folder_writer(out))
+    got = [tuple(r) for r in latest_per_key(spark, out, ["account"]).collect()]
+    assert got == [("a", 15, t("2021-10-10T00:00:00"))]
