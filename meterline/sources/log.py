@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 
 from ..schemas import DEFAULT_BROKERS, DEFAULT_TOPIC, RAW_LOG
 
+KAFKA_HINT = ("the Kafka source is not on the classpath: start Spark with "
+              "--packages org.apache.spark:spark-sql-kafka-0-10_2.13:<spark version>, "
+              "or use kind=\"files\" on a parquet copy of the log")
+
 
 def _epoch_ms(t: str | datetime) -> int:
     if isinstance(t, str):
@@ -73,7 +77,12 @@ def read_log(spark: SparkSession, kind: str = "files", path: str | None = None,
     if kind == "kafka":
         opts = kafka_options(topic, brokers, starting, start, end, streaming, max_offsets_per_trigger)
         reader = spark.readStream if streaming else spark.read
-        df = reader.format("kafka").options(**opts).load()
+        try:
+            df = reader.format("kafka").options(**opts).load()
+        except Exception as e:  # noqa: BLE001 - re-raised with the fix
+            if "kafka" in str(e).lower() and "data source" in str(e).lower():
+                raise RuntimeError(KAFKA_HINT) from e
+            raise
         return df.select(*[c.name for c in RAW_LOG.fields])
     if kind != "files":
         raise ValueError(f"unknown log kind {kind!r}")

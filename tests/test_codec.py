@@ -86,3 +86,8 @@ def test_tolerant_log_table_has_rejects_view(spark):
     table = register_log_table(r, name="dc_tolerant", strict=False)
     assert [tuple(x) for x in table.collect()] == [(t("2021-10-01T00:00:00"), "000001", 7)]
     assert spark.sql("SELECT count(*) FROM dc_tolerant_rejects").first()[0] == 1
+
+
+def test_kafka_without_connector_names_the_fix(spark):
+    with pytest.raises(RuntimeError, match="spark-sql-kafka"):
+        read_log(spark, "kafka", topic="input")
