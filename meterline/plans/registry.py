@@ -38,8 +38,8 @@ def _enriched(spark, sf, strategy="auto", plan="auto"):
                         num_slices=SLICES if plan == "slices" else None)
 
 
-# The "_sliced" entries force the skew plan of the ordered scans (see meterline.operators.scan) with
-# more slices than the test tables have accounts, so that keys run across slice boundaries.
+# The "_sliced" and "_hot_account" entries force the skew plan of the ordered scans (see
+# meterline.operators.scan) with many small slices, so that keys run across slice boundaries.
 SLICES = 64
 
 
