@@ -10,11 +10,14 @@
     event-time watermark has reached its time, so that all versions up to that time have been seen,
     released by an event-time timer.
 
-Rows behind the watermark (usage or versions) are dropped by Spark before they reach the processor —
-observed on Spark 4.1 in event-time mode, and reported as ``numRowsDroppedByWatermark`` in the query
-progress.  The watermark ``delay`` is therefore the lateness the join tolerates.  Because nothing older
-than the watermark can arrive, each release is in event order, and versions older than the newest one
-at or before the watermark are removed from state.
+Event time, and so the watermark, comes from the usage rows only.  Usage behind the watermark is
+dropped by Spark before it reaches the processor (observed on Spark 4.1 in event-time mode, reported
+as ``numRowsDroppedByWatermark``), so the watermark ``delay`` is the lateness the join tolerates.
+Version rows carry no event time: they are never late and never move time on, however old or new —
+each is stored and applies from its own time on (a version arriving after usage it covers was
+released does not correct that usage).  Because no usage older than the watermark can arrive, each
+release is in event order, and versions older than the newest one at or before the watermark are
+removed from state.
 """
 
 from __future__ import annotations
@@ -159,15 +162,18 @@ def enrich_versioned(usage: DataFrame, versions: DataFrame, tie: str, delay: str
     use_rocksdb_state(usage.sparkSession)
     # Null-free long columns (with a flag for a missing quota) reach the processor as exact int64;
     # a column with nulls would arrive in pandas as float64.
-    u = usage.select(F.col("account").alias("key_id"), F.col("ts"), F.lit(1).alias("side"),
+    u = usage.select(F.col("account").alias("key_id"), F.col("ts"), F.col("ts").alias("wm_ts"), F.lit(1).alias("side"),
                      F.col("bytesUsed").cast("long").alias("bytesUsed"), F.col(tie).cast("long").alias(tie),
                      F.lit(0).cast("long").alias("quota"), F.lit(False).alias("quota_null"))
-    v = versions.select(F.col("id").alias("key_id"), F.col("ts"), F.lit(0).alias("side"),
+    v = versions.select(F.col("id").alias("key_id"), F.col("ts"), F.lit(None).cast("timestamp").alias("wm_ts"),
+                        F.lit(0).alias("side"),
                         F.lit(0).cast("long").alias("bytesUsed"), F.lit(0).cast("long").alias(tie),
                         F.coalesce(F.col("quota").cast("long"), F.lit(0).cast("long")).alias("quota"),
                         F.col("quota").isNull().alias("quota_null"))
-    both = (u.unionByName(v).withWatermark("ts", delay)
-             .select("key_id", "ts", F.unix_micros("ts").alias("ts_us"), "side", "bytesUsed", tie, "quota",
+    # Event time (and so the watermark) comes from the usage rows only: a version is never late and
+    # never moves time on, however old or new it is — it is stored, and applies from its own time.
+    both = (u.unionByName(v).withWatermark("wm_ts", delay)
+             .select("key_id", "wm_ts", F.unix_micros("ts").alias("ts_us"), "side", "bytesUsed", tie, "quota",
                      "quota_null"))
     schema = T.StructType([
         T.StructField("account", T.StringType()), T.StructField("bytesUsed", T.LongType()),
