@@ -24,8 +24,6 @@ BASE_CONF = {
     "spark.sql.ansi.enabled": "true",  # a long sum that overflows raises instead of wrapping
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Checkpoints of the slice plan are removed once no DataFrame refers to them.
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
