@@ -63,6 +63,23 @@ ALERTS = f"""alerts AS (
   WHERE rn = 1)"""
 
 
+MONTH_RUNNING = """running AS (
+  SELECT *, SUM(bytesUsed) OVER (PARTITION BY account, billingYear, billingMonth
+                                 ORDER BY ts, event_id
+                                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS total
+  FROM enriched)"""
+
+MONTH_ALERTS = f"""alerts AS (
+  SELECT ts, account, billingYear, billingMonth, quota, CAST(total AS BIGINT) AS total,
+         printf('WARNING: as of %s account %s has used %d out of %d bytes',
+                {_iso('ts')}, account, total, quota) AS message
+  FROM (SELECT *, row_number() OVER (PARTITION BY account, billingYear, billingMonth
+                                     ORDER BY ts, event_id) AS rn
+        FROM running
+        WHERE CAST(total AS DOUBLE) > CAST(0.9 AS DOUBLE) * CAST(quota AS DOUBLE)) h
+  WHERE rn = 1)"""
+
+
 def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
@@ -136,6 +153,8 @@ FROM changes WHERE prev_ts IS NOT NULL"""
         f"SELECT {enriched_cols}, CAST(total AS BIGINT) AS total FROM running")
     q["usage_alerts_hot_account"] = _with(HOT_USAGE, VERSIONS, ENRICHED, RUNNING, ALERTS) + (
         "SELECT ts, account, billingYear, billingMonth, quota, total, message FROM alerts")
+    q["usage_alerts_month_key"] = _with(USAGE, VERSIONS, ENRICHED, MONTH_RUNNING, MONTH_ALERTS) + (
+        "SELECT ts, account, billingYear, billingMonth, quota, total, message FROM alerts")
     q["usage_alert_messages"] = _with(USAGE, VERSIONS, ENRICHED, RUNNING, ALERTS) + "SELECT message FROM alerts"
     q["usage_alerts_long_range"] = _with(LONG_USAGE, LONG_VERSIONS, ENRICHED, RUNNING, ALERTS) + (
         "SELECT ts, account, billingYear, billingMonth, quota, total, message FROM alerts")

@@ -171,6 +171,13 @@ def usage_alerts_hot_account(spark, sf):
     return usage_alerts(_hot_enriched(spark, sf), TIE, plan="slices", num_slices=SLICES).select(*ALERT_COLS)
 
 
+def usage_alerts_month_key(spark, sf):
+    """Alerts keyed by account and month only: the total runs on across quota changes, each row is
+    compared with the quota in force at its time."""
+    return usage_alerts(_enriched(spark, sf), TIE, key=("account", "billingYear", "billingMonth")).select(
+        *ALERT_COLS)
+
+
 def usage_alert_messages(spark, sf):
     return usage_alerts_q(spark, sf).select("message")
 
@@ -225,6 +232,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "usage_alerts_bucketed": usage_alerts_bucketed,
         "running_usage_hot_account": running_usage_hot_account,
         "usage_alerts_hot_account": usage_alerts_hot_account,
+        "usage_alerts_month_key": usage_alerts_month_key,
         "usage_alert_messages": usage_alert_messages,
         "usage_alerts_long_range": usage_alerts_long_range,
         "account_keys": account_keys,
