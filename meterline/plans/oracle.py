@@ -171,6 +171,7 @@ FROM changes WHERE prev_ts IS NOT NULL"""
     q["quota_enriched_versions_stream"] = q["quota_enriched"]
     q["usage_alerts_stream"] = q["usage_alerts"]
     q["usage_alerts_versions_stream"] = q["usage_alerts"]
+    q["usage_alerts_clearing_stream"] = q["usage_alerts"]
     q["quota_enriched_ordered_stream"] = q["quota_enriched_ordered"]
     q["usage_publish_stream"] = _with(USAGE) + (
         "SELECT date_trunc('millisecond', ts) AS ts, account, bytesUsed FROM usage")

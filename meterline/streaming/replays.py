@@ -28,6 +28,7 @@ from .totals import stream_account_totals, stream_total_changes
 
 TIE = "event_id"
 CHUNK = timedelta(days=7)
+CLEAR_AFTER = timedelta(days=1)     # grace after a month's end before its alert state is dropped
 
 
 class EventOrderReplay:
@@ -147,6 +148,17 @@ def usage_alerts_stream(spark: SparkSession, sf: str) -> DataFrame:
                                           "message")
 
 
+def usage_alerts_clearing_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Alerts with monthly state clearing on (event-time mode, a timer per account and month)."""
+    rp = EventOrderReplay(spark, "alerts_clearing")
+    e = enrich_static(rp.source(td.usage_from_events(spark, sf), "ts"), td.versions_from_events(spark, sf))
+    q = stream_usage_alerts(e, TIE, clear_after=CLEAR_AFTER)
+    out, ck = fresh_paths(spark, "alerts_clearing")
+    rp.run(lambda: run_to_end(q, ck, "append", path=out))
+    return spark.read.parquet(out).select("ts", "account", "billingYear", "billingMonth", "quota", "total",
+                                          "message")
+
+
 def usage_alerts_versions_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Alerts with the versions as a stream too: the version-stream join feeds the alert processor."""
     rp, e = _versioned(spark, sf, "alerts_versions")
@@ -168,5 +180,6 @@ def stream_queries() -> dict:
         "usage_publish_stream": usage_publish_stream,
         "usage_alerts_stream": usage_alerts_stream,
         "usage_alerts_versions_stream": usage_alerts_versions_stream,
+        "usage_alerts_clearing_stream": usage_alerts_clearing_stream,
     }
 
