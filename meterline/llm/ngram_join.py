@@ -3,14 +3,14 @@
 Two sets x, y with ``J(x, y) >= t`` share at least ``T = ceil(t * |x|)`` members of x, so y occurs on T
 of x's inverted lists.  The join finds those y in five steps:
 
-1. **Repeated shingles.**  Blocks of documents (some MB of text each) are shingled in numpy, equal sets
-   of a block become one class, and the hashes go to ``ranges`` by hash range.  Each range answers every
-   block which of its hashes occur in another set too.  A hash that repeats inside a block is sent once
-   per block, so no hash is sent once per document.  A class with fewer than T repeated shingles has no
-   partner and ends here; the rest go on with their repeated shingles only.
-2. **Rarity.**  Equal sets of different blocks become one class; shingles are counted over the classes
-   that are left and each class sorts its own by (count, hash).  With T of n needed, two partners share
-   one of the ``n - T + 1`` rarest of either.
+1. **Counts.**  Blocks of documents (some MB of text each) are shingled in numpy, equal sets of a block
+   become one class, and the shingles go to ``ranges`` by hash range.  Each range adds up in how many
+   classes a shingle occurs and answers every block for those of its own that occur in two or more.
+   A shingle that repeats inside a block is sent once per block with its count, so none is sent once per
+   document of a hot group.  A class with fewer than T repeated shingles has no partner and ends
+   here; the rest go on with their repeated shingles only.
+2. **Rarity.**  Each class sorts its own by (count, hash).  With T of n needed, two partners share one of
+   the ``n - T + 1`` rarest of either.  Equal sets of different blocks become one class.
 3. **Candidate groups.**  Classes that share such a rare shingle are joined to the smallest class on
    the list, and the components of these edges hold every candidate pair.
 4. **One leader each.**  A class is compared exactly with the leader that it meets most often.
@@ -25,7 +25,8 @@ Components of the links follow in Spark (:mod:`.components`).
 Defined results: a null or empty text, or one without words, has an empty set and links with nothing.  A
 text of fewer than k words has its whole sequence as the one shingle.  Rows are the nodes: rows that
 repeat an id are linked like other copies, and a null id stays unlinked with a null component.  Equality of
-shingles is equality of 64-bit hashes.  Other columns are ignored.
+shingles is equality of their range and 40 more bits of their hash; the number of ranges grows with the
+number of shuffle partitions, hence with the data.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -41,12 +42,15 @@ from .components import components
 from .words import SPACED, Words, batch_texts, shingles
 
 NO_ID = -(1 << 63)  # stands for a null id inside numpy
-_MESSAGE = "range int, block long, counts binary, cells binary, dups binary, info binary, inner binary"
-_ANSWER = "block long, counts binary, cells binary, info binary, inner binary"
+_MESSAGE = "range int, block long, counts binary, cells binary, dups binary, dup_counts binary, info binary, inner binary"
+_ANSWER = "range int, block long, counts binary, cells binary, often binary, dups binary, dup_often binary, info binary, inner binary"
 _ROW = ("doc_id long, class long, rep long, n_shingles long, sig_a long, sig_b long, "
         "tokens array<long>")
 _INFO = np.dtype([("id", "<i8"), ("class", "<i4"), ("n", "<i4"), ("a", "<u8"), ("b", "<u8")])
 
+_CELL = 40  # bits of a shingle's hash beside its range
+_MOST = 65535  # counts are kept up to this
+
 #: Classes of a candidate group that one side of a search task holds, at least.
 PART = 96
 #: Weight of the longest list in the number of lists set aside, as in the published search.
@@ -64,6 +68,25 @@ def _sets(batch: pa.RecordBatch, k: int) -> list[np.ndarray]:
     return [np.unique(hashes[begin[i]:begin[i + 1]]) for i in range(batch.num_rows)]
 
 
+def _pack(cells: np.ndarray) -> bytes:
+    """The low five bytes of each number."""
+    return np.ascontiguousarray(cells.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_CELL // 8]).tobytes()
+
+
+def _unpack(data: bytes | None) -> np.ndarray:
+    out = np.zeros((len(data or b"") * 8 // _CELL, 8), np.uint8)
+    out[:, :_CELL // 8] = np.frombuffer(data or b"", np.uint8).reshape(-1, _CELL // 8)
+    return out.view("<u8").ravel().astype(np.int64)
+
+
+def _runs(ranked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where equal values of a sorted array begin, and how many they are."""
+    new = np.ones(len(ranked), bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    at = np.flatnonzero(new)
+    return at, np.diff(np.append(at, len(ranked)))
+
+
 def _block_messages(batch: pa.RecordBatch, block: int, k: int, ranges: int):
     """The messages of one block of documents, one per hash range that it has shingles in."""
     sets = _sets(batch, k)
@@ -82,32 +105,25 @@ def _block_messages(batch: pa.RecordBatch, block: int, k: int, ranges: int):
         info["class"][i] = c
     of = np.repeat(np.arange(len(members), dtype=np.int64), [len(s) for s in members])
     cells = np.concatenate(members) if members else np.zeros(0, np.uint64)
+    low = (cells & np.uint64((1 << _CELL) - 1)).astype(np.int64)
+    cells = (((cells >> np.uint64(_CELL)).astype(np.int64) % ranges) << _CELL) | low
     order = np.argsort(cells, kind="stable")
-    ranked = cells[order]
-    same = np.zeros(len(cells), bool)
-    same[1:] = ranked[1:] == ranked[:-1]
-    again = same.copy()
-    again[:-1] |= same[1:]
-    inner = np.zeros(len(cells), bool)
-    inner[order] = again
-    dups = ranked[again & ~same]
-    inside = (np.bincount(of[inner], minlength=len(members)).astype(np.uint32).tobytes()
-              + cells[inner].tobytes())
-    of, cells = of[~inner], cells[~inner]
-    rng = (cells >> np.uint64(40)).astype(np.int64) % ranges
-    order = np.argsort(rng, kind="stable")
-    of, cells, rng = of[order], cells[order], rng[order]
-    dup_rng = (dups >> np.uint64(40)).astype(np.int64) % ranges
-    order = np.argsort(dup_rng, kind="stable")
-    dups, dup_rng = dups[order], dup_rng[order]
-    steps = np.arange(ranges + 1)
-    at, dup_at = np.searchsorted(rng, steps), np.searchsorted(dup_rng, steps)
+    ranked, of = cells[order], of[order]
+    at, times = _runs(ranked)
+    inner = np.repeat(times > 1, times)
+    dups, dup_times = ranked[at[times > 1]], np.minimum(times[times > 1], _MOST).astype(np.uint16)
+    inside = of[inner].astype(np.uint32).tobytes() + ranked[inner].tobytes()
+    of, cells = of[~inner], ranked[~inner]
+    steps = np.arange(ranges + 1, dtype=np.int64) << _CELL
+    cut, dup_cut = np.searchsorted(cells, steps), np.searchsorted(dups, steps)
     home = block % ranges
     for r in range(ranges):
-        a, b, c, d = at[r], at[r + 1], dup_at[r], dup_at[r + 1]
+        a, b, c, d = cut[r], cut[r + 1], dup_cut[r], dup_cut[r + 1]
         if a == b and c == d and r != home:
             continue
-        yield {"range": r, "block": block, "cells": cells[a:b].tobytes(), "dups": dups[c:d].tobytes(),
+        order = np.argsort(of[a:b], kind="stable")
+        yield {"range": r, "block": block, "cells": _pack(cells[a:b][order]), "dups": _pack(dups[c:d]),
+               "dup_counts": dup_times[c:d].tobytes(),
                "counts": np.bincount(of[a:b], minlength=len(members)).astype(np.uint32).tobytes(),
                "info": info.tobytes() if r == home else None, "inner": inside if r == home else None}
 
@@ -129,43 +145,56 @@ def _arrays(column, dtype) -> list[np.ndarray]:
 
 
 def _answer(schema: pa.Schema):
-    """Of one hash range: what each block sent that another block sent too."""
+    """Of one hash range: which of its shingles each block shares with another set, and their counts."""
     def run(t):
-        cells = _arrays(t["cells"], np.uint64)
-        everything = np.concatenate(cells)
-        order = np.argsort(everything, kind="stable")
-        ranked = everything[order]
-        same = ranked[1:] == ranked[:-1]
-        hit = np.zeros(len(everything), bool)
-        hit[order[1:][same]] = True
-        hit[order[:-1][same]] = True
-        dups = np.unique(np.concatenate(_arrays(t["dups"], np.uint64)))
-        if len(dups):
-            hit |= dups[np.searchsorted(dups, everything).clip(max=len(dups) - 1)] == everything
-        counts, out, at = [], [], 0
+        cells = [_unpack(x) for x in t["cells"].to_pylist()]
+        dups = [_unpack(x) for x in t["dups"].to_pylist()]
+        dup_counts = _arrays(t["dup_counts"], np.uint16)
+        every = np.concatenate(cells + dups)
+        weight = np.concatenate([np.ones(sum(map(len, cells)), np.int64), *dup_counts])
+        order = np.argsort(every, kind="stable")
+        at, times = _runs(every[order])
+        total = np.add.reduceat(weight[order], at) if len(at) else np.zeros(0, np.int64)
+        often = np.empty(len(every), np.uint16)
+        often[order] = np.repeat(np.minimum(total, _MOST), times)
+        rows = {n: [] for n in ("counts", "cells", "often", "dup_often")}
+        begin = 0
         for own, per in zip(cells, _arrays(t["counts"], np.uint32)):
-            mine = hit[at:at + len(own)]
-            at += len(own)
+            mine = often[begin:begin + len(own)]
+            begin += len(own)
+            again = mine > 1
             of = np.repeat(np.arange(len(per)), per)
-            counts.append(np.bincount(of[mine], minlength=len(per)).astype(np.uint32).tobytes())
-            out.append(own[mine].tobytes())
-        return pa.table([t["block"].combine_chunks(), pa.array(counts, pa.binary()), pa.array(out, pa.binary()),
-                         t["info"].combine_chunks(), t["inner"].combine_chunks()], schema=schema)
+            rows["counts"].append(np.bincount(of[again], minlength=len(per)).astype(np.uint32).tobytes())
+            rows["cells"].append(_pack(own[again]))
+            rows["often"].append(mine[again].tobytes())
+        for own in dups:
+            rows["dup_often"].append(often[begin:begin + len(own)].tobytes())
+            begin += len(own)
+        return pa.table([pa.array(rows[f.name], f.type) if f.name in rows else t[f.name].combine_chunks()
+                         for f in schema], schema=schema)
     return run
 
 
 def _assemble(num: int, den: int, schema: pa.Schema):
-    """Of one block: the rows of its documents, with the repeated shingles of classes that have enough."""
+    """Of one block: the rows of its documents, with the repeated shingles, rarest first, of classes that
+    have enough of them."""
     def run(t):
-        info = next(np.frombuffer(x, _INFO) for x in t["info"].to_pylist() if x)
-        inside = next((x for x, i in zip(t["inner"].to_pylist(), t["info"].to_pylist()) if i))
+        home = next(i for i, x in enumerate(t["info"].to_pylist()) if x)
+        info, inside = np.frombuffer(t["info"][home].as_py(), _INFO), t["inner"][home].as_py()
+        n_inside = len(inside) // 12
         classes = int(info["class"].max()) + 1
-        counts = _arrays(t["counts"], np.uint32) + [np.frombuffer(inside[:4 * classes], np.uint32)]
-        cells = _arrays(t["cells"], np.uint64) + [np.frombuffer(inside[4 * classes:], np.uint64)]
-        of = np.concatenate([np.repeat(np.arange(classes), c) for c in counts])
-        cells = np.concatenate(cells)
-        order = np.lexsort((cells, of))
-        cells = cells[order].view(np.int64)
+        high = t["range"].to_numpy().astype(np.int64) << _CELL
+        dups = np.concatenate([_unpack(x) + h for x, h in zip(t["dups"].to_pylist(), high)])
+        dup_often = np.concatenate(_arrays(t["dup_often"], np.uint16))
+        order = np.argsort(dups)
+        dups, dup_often = dups[order], dup_often[order]
+        inner = np.frombuffer(inside, np.int64, n_inside, 4 * n_inside)
+        of = [np.repeat(np.arange(classes), c) for c in _arrays(t["counts"], np.uint32)]
+        of = np.concatenate([*of, np.frombuffer(inside, np.uint32, n_inside).astype(np.int64)])
+        cells = np.concatenate([*[_unpack(x) + h for x, h in zip(t["cells"].to_pylist(), high)], inner])
+        often = np.concatenate([*_arrays(t["often"], np.uint16), dup_often[np.searchsorted(dups, inner)]])
+        order = np.lexsort((cells, often, of))
+        cells = cells[order]
         found = np.bincount(of, minlength=classes)
         begin = np.concatenate([[0], np.cumsum(found)])
         # one row of a class, the first, carries the tokens
@@ -279,19 +308,12 @@ def _search_task(num: int, den: int):
 
 
 def links_of_classes(classes: DataFrame, threshold) -> DataFrame:
-    """(a, b): links between classes (cid, n_shingles, tokens) that connect all that are linked."""
+    """(a, b): links between classes (cid, n_shingles, tokens) that connect all that are linked; tokens
+    are the class's repeated shingles, rarest first."""
     num, den = ratio(threshold)
     n_parts = partitions(classes)
-    each = classes.select("cid", F.explode("tokens").alias("token"))
-    # Steps 2: shingles that two classes share, rarest first
-    often = each.groupBy("token").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
-    ranked = (each.join(often.repartition("often"), "token").groupBy("cid")
-              .agg(F.sort_array(F.collect_list(F.struct("often", "token"))).alias("r")))
     must = F.expr(f"cast(ceil({num} * n_shingles / {den}BD) as int)")
-    ranked = keep(classes.select("cid", "n_shingles").join(ranked, "cid")
-                  .select("cid", "n_shingles", F.col("r.token").alias("tokens"),
-                          (F.size("r") - must + 1).alias("rare"))
-                  .where("rare > 0"))
+    ranked = classes.withColumn("rare", F.size("tokens") - must + 1)
     # Step 3: the lists of rare shingles, and their leaders
     lists = ranked.select("cid", F.explode(F.slice("tokens", F.lit(1), F.col("rare"))).alias("token"))
     leaders = (lists.groupBy("token").agg(F.min("cid").alias("leader"), F.count(F.lit(1)).alias("on"))
@@ -334,7 +356,7 @@ def ngram_jaccard_join(docs: DataFrame, k: int = 4, threshold: float | str = "0.
     live = rows.where("tokens is not null")
     signature = ["n_shingles", "sig_a", "sig_b"]
     classes = live.groupBy(*signature).agg(F.min("rep").alias("cid"), F.first("tokens").alias("tokens"))
-    classes = keep(classes)
+    classes = keep(classes)  # few: what has no partner is gone
     found = components(links_of_classes(classes.select("cid", "n_shingles", "tokens"), threshold), "a", "b")
     label = (classes.select(*signature, "cid")
              .join(found.withColumnRenamed("node", "cid"), "cid", "left")
