@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from ..session import shared_dir
 
 
+ARROW_BYTES = 16 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -21,6 +24,18 @@ def keep(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def in_arrow(df: DataFrame, function, schema) -> DataFrame:
+    """``mapInArrow`` over batches that are bounded in bytes, not only in rows: texts may be long."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+    return df.mapInArrow(function, schema)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal an aggregate's rows out evenly.  A join on its key then makes an exchange of its own on this
+    side too, and only so can Spark split the other side where a key is hot."""
+    return df.repartition(partitions(df))
+
+
 def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 

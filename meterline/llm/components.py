@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep
+from .common import keep, spread
 
 
 def _lowest(e: DataFrame) -> DataFrame:
@@ -19,8 +19,7 @@ def _lowest(e: DataFrame) -> DataFrame:
 
 
 def _with_lowest(e: DataFrame, low: DataFrame) -> DataFrame:
-    # An exchange of its own on the aggregate leaves both join sides splittable when a node is hot.
-    return e.join(low.repartition("m"), "u")
+    return e.join(spread(low), "u")
 
 
 def _state(e: DataFrame) -> tuple:

@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep, partitions, ratio
+from .common import in_arrow, keep, partitions, ratio, spread
 from .components import components
 from .words import SPACED, Words, batch_texts, shingles
 
@@ -48,6 +48,7 @@ _ROW = ("doc_id long, class long, rep long, n_shingles long, sig_a long, sig_b l
         "tokens array<long>")
 _INFO = np.dtype([("id", "<i8"), ("class", "<i4"), ("n", "<i4"), ("a", "<u8"), ("b", "<u8")])
 
+BLOCK_BYTES = 4 << 20
 _CELL = 40  # bits of a shingle's hash beside its range
 _MOST = 65535  # counts are kept up to this
 
@@ -133,7 +134,7 @@ def _to_ranges(k: int, ranges: int, schema: pa.Schema):
         task = TaskContext.get().partitionId()
         n = 0
         for batch in batches:
-            for part in batch_texts(batch, "text"):
+            for part in batch_texts(batch, "text", BLOCK_BYTES):
                 rows = list(_block_messages(part, (task << 20) + n, k, ranges))
                 n += 1
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
@@ -226,8 +227,8 @@ def repeated_shingles(docs: DataFrame, k: int, threshold) -> DataFrame:
     signature; the first row of a class with enough repeated shingles carries those as ``tokens``."""
     num, den = ratio(threshold)
     ranges = 2 * partitions(docs)
-    sent = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        _to_ranges(k, ranges, _arrow_schema(_MESSAGE)), _MESSAGE)
+    sent = in_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"),
+                    _to_ranges(k, ranges, _arrow_schema(_MESSAGE)), _MESSAGE)
     answers = sent.groupBy("range").applyInArrow(_answer(_arrow_schema(_ANSWER)), _ANSWER)
     return answers.groupBy("block").applyInArrow(_assemble(num, den, _arrow_schema(_ROW)), _ROW)
 
@@ -258,33 +259,32 @@ def search(part: int, other: int, side: np.ndarray, ids, group, sizes, tokens, n
     flat = np.concatenate([tokens[i] for i in listed])
     order = np.lexsort((of, flat))
     flat, of = flat[order], of[order]
-    keys, begin = np.unique(flat, return_index=True)
-    end = np.append(begin[1:], len(flat))
-    for x in range(len(ids)):
+    begin, length = _runs(flat)
+    keys, n = flat[begin], len(ids)
+    entry = np.repeat(np.arange(len(keys)), length) * n + of  # (list, set) as one sorted number
+    for x in range(n):
         t = int(needed(sizes[x], num, den))
         at = np.searchsorted(keys, tokens[x]).clip(max=len(keys) - 1)
         at = at[keys[at] == tokens[x]]
         if len(at) < t:
             continue
-        length = end[at] - begin[at]
-        at = at[np.argsort(length, kind="stable")]
-        longest = int(length.max())
-        aside = min(t - 1, int(t / (MU * np.log2(longest + 1) + 1)))
+        at = at[np.argsort(length[at], kind="stable")]
+        aside = min(t - 1, int(t / (MU * np.log2(length[at[-1]] + 1) + 1)))
         short, long = at[:len(at) - aside], at[len(at) - aside:]
-        merged = np.concatenate([of[begin[i]:end[i]] for i in short]) if len(short) else of[:0]
-        found, hits = np.unique(merged, return_counts=True)
-        ok = hits >= t - aside
+        per = length[short]
+        step = np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per)
+        merged = np.bincount(of[np.repeat(begin[short], per) + step], minlength=n)
+        ok = merged >= t - aside
         if part != other:
-            ok &= side[found] != side[x]
-        low, high = needed(sizes[x], num, den), sizes[x] * den // num
-        ok &= (sizes[found] >= low) & (sizes[found] <= high) & (found != x)
-        found, hits = found[ok], hits[ok]
-        for i in long:
-            if not len(found):
-                break
-            inverted = of[begin[i]:end[i]]
-            where = np.searchsorted(inverted, found).clip(max=len(inverted) - 1)
-            hits = hits + (inverted[where] == found)
+            ok &= side != side[x]
+        ok &= (sizes >= t) & (sizes <= sizes[x] * den // num)
+        ok[x] = False
+        found = np.flatnonzero(ok)
+        if not len(found):
+            continue
+        wanted = long[:, None] * n + found[None, :]
+        where = np.searchsorted(entry, wanted).clip(max=len(entry) - 1)
+        hits = merged[found] + (entry[where] == wanted).sum(axis=0)
         for y in found[den * hits >= num * (sizes[x] + sizes[found] - hits)]:
             a, b = root(x), root(int(y))
             if a != b:
@@ -318,7 +318,7 @@ def links_of_classes(classes: DataFrame, threshold) -> DataFrame:
     lists = ranked.select("cid", F.explode(F.slice("tokens", F.lit(1), F.col("rare"))).alias("token"))
     leaders = (lists.groupBy("token").agg(F.min("cid").alias("leader"), F.count(F.lit(1)).alias("on"))
                .where("on > 1"))
-    met = keep(lists.join(leaders.repartition("on"), "token").groupBy("cid", "leader")
+    met = keep(lists.join(spread(leaders), "token").groupBy("cid", "leader")
                .agg(F.count(F.lit(1)).alias("times")))
     groups = components(met, "cid", "leader")
     # Step 4: each class against one leader
@@ -337,7 +337,7 @@ def links_of_classes(classes: DataFrame, threshold) -> DataFrame:
     size = (known.groupBy("component").agg(F.count(F.lit(1)).alias("size"), F.min("leader").alias("lo"),
                                            F.max("leader").alias("hi")).where("lo != hi"))
     parts = F.least(F.ceil(F.col("size") / PART), F.lit(max(2, int((2 * n_parts) ** 0.5)))).cast("int")
-    todo = (known.join(size.withColumn("parts", parts).repartition("size"), "component")
+    todo = (known.join(spread(size.withColumn("parts", parts)), "component")
             .withColumn("part", F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int"))
             .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
             .select("cid", "component", "leader", "part", F.least("part", "with").alias("i"),
@@ -362,5 +362,5 @@ def ngram_jaccard_join(docs: DataFrame, k: int = 4, threshold: float | str = "0.
              .join(found.withColumnRenamed("node", "cid"), "cid", "left")
              .select(*signature, F.coalesce("component", "cid").alias("label")))
     named = live.select("class", *signature).join(label, signature).select("class", "label")
-    return (rows.join(named.repartition("label"), "class", "left")
+    return (rows.join(spread(named), "class", "left")
             .select("doc_id", "n_shingles", F.coalesce("label", "rep").alias("component_id")))
