@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import in_arrow
+
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 TURN, TEXT, END_TURN, END = "<s>", "[INST]", "[/INST]", "</s>"
 CONTROLS = (TURN, TEXT, END_TURN, END)
@@ -130,7 +132,7 @@ def chat_format(conversations: DataFrame, tokenizer: str = TOKENIZER, loss_roles
         F.struct("turn", F.coalesce("role", empty).alias("role"), F.coalesce("text", empty).alias("text")).alias("t"))
     whole = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
     narrow = whole.select("conv_id", F.transform("turns", lambda t: F.struct(t["role"], t["text"])).alias("turns"))
-    return narrow.mapInArrow(_format(tokenizer, tuple(loss_roles)), FORMATTED)
+    return in_arrow(narrow, _format(tokenizer, tuple(loss_roles)), FORMATTED)
 
 
 _DIGEST = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()),
@@ -157,4 +159,4 @@ def _read_back(batches: Iterator[pa.RecordBatch]):
 
 def read_back(formatted: DataFrame) -> DataFrame:
     """Digests of what the formatted rows hold: the turns parsed from the text, and the text under the mask."""
-    return formatted.select("conv_id", "text", "starts", "ends", "loss").mapInArrow(_read_back, DIGEST)
+    return in_arrow(formatted.select("conv_id", "text", "starts", "ends", "loss"), _read_back, DIGEST)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep
+from .common import in_arrow, keep
 from .words import ALNUM, Words, batch_texts, shingles
 
 WINDOW = 10
@@ -206,7 +206,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, q
         win = Windows(items, window, q)
         sent = spark.sparkContext.broadcast(win)
         often = np.zeros(len(win.shingles), np.int64)
-        for r in (docs.select("text").mapInArrow(_count(sent, q), "shingle long, n long")
+        for r in (in_arrow(docs.select("text"), _count(sent, q), "shingle long, n long")
                   .groupBy("shingle").agg(F.sum("n").alias("n")).collect()):
             often[r["shingle"]] = r["n"]
         win.file(often)
@@ -214,7 +214,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, q
         if i:
             out = keep(out)
         schema = _arrow(out)
-        out = out.mapInArrow(_mark(sent, q, schema), out.schema)
+        out = in_arrow(out, _mark(sent, q, schema), out.schema)
     total = F.expr("aggregate(spans, 0L, (s, x) -> x - s)")  # the ends less the begins, as they alternate
     return out.select("doc_id", "n_words", total.alias("n_hit"), "items", "spans", *carry)
 

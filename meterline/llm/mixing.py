@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import keep
+from .common import in_arrow, keep
 from .words import SPACED, Words, batch_texts
 
 WEIGHTS = (5, 2, 1)
@@ -60,7 +60,7 @@ def sized(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     rest = [F.col(c).alias(f"c{i}") for i, c in enumerate(carry)]
     rows = docs.select("text", "doc_id", "source", *rest)
     out = rows.drop("text").withColumn("size", F.lit(0).cast("long")).schema
-    counted = rows.mapInArrow(_count_words(to_arrow_schema(out)), out)
+    counted = in_arrow(rows, _count_words(to_arrow_schema(out)), out)
     return counted.select("doc_id", "source", *[F.col(f"c{i}").alias(c) for i, c in enumerate(carry)], "size")
 
 

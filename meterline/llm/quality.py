@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import in_arrow
 from .words import SPACED, Words, batch_texts, text_buffer
 
 MAX_ROWS = 20_000
@@ -51,6 +52,12 @@ def _per_text(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return total[first[1:]] - total[first[:-1]]
 
 
+def _kinds(kind: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """How often each text has each kind; the kinds of text d are the next ``counts[d]``."""
+    n = len(counts)
+    return np.bincount(np.repeat(np.arange(n) * _KINDS, counts) + kind, minlength=n * _KINDS).reshape(n, _KINDS)
+
+
 def _ranks_within(keys: np.ndarray, of: np.ndarray):
     """(text, times) of each distinct (text, key)."""
     order = np.lexsort((keys, of))
@@ -71,9 +78,8 @@ def statistics(column) -> np.ndarray:
     words, size = w.counts.astype(float), np.diff(off).astype(float)
     per_word, per_byte = 1 / np.maximum(words, 1), 1 / np.maximum(size, 1)
     kind = _KIND.astype(np.int8)[raw]
-    shares = [_per_text(kind == i, off) * per_byte for i in range(_KINDS)]
-    ending = kind[w.ends - 1]
-    shares += [_per_text(ending == i, w.first) * per_word for i in range(_KINDS)]
+    shares = list((_kinds(kind, np.diff(off)) * per_byte[:, None]).T)
+    shares += list((_kinds(kind[w.ends - 1], w.counts) * per_word[:, None]).T)
     mean = _per_text(length, w.first) * per_word
     square = _per_text(length.astype(float) ** 2, w.first) * per_word
     of = np.repeat(np.arange(n), w.counts)
@@ -194,7 +200,7 @@ def fold(doc_id: str | Column = "doc_id", folds: int = 3) -> Column:
 def _to_statistics(schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            for part in batch_texts(batch, "text"):
+            for part in batch_texts(batch, "text", 1 << 20):
                 x = statistics(part.column(0))
                 yield pa.RecordBatch.from_arrays([part.column(1), pa.array(list(x), pa.list_(pa.float64()))],
                                                  schema=schema)
@@ -210,7 +216,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, label: s
               .select("doc_id", "label"))
     sample = docs.select("doc_id", "text").join(F.broadcast(marked), "doc_id")
     schema = pa.schema([("label", pa.int32()), ("x", pa.list_(pa.float64()))])
-    rows = sample.select("text", "label").mapInArrow(_to_statistics(schema), "label int, x array<double>").toArrow()
+    rows = in_arrow(sample.select("text", "label"), _to_statistics(schema), "label int, x array<double>").toArrow()
     y = rows["label"].to_numpy().astype(float)
     x = np.array(rows["x"].to_pylist(), float).reshape(len(y), len(FEATURES))
     order = np.lexsort((*x.T, y))  # the same model whatever order the rows came in
@@ -220,7 +226,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, label: s
 def _score(model, schema: pa.Schema, text: int):
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            for part in batch_texts(batch, "text"):
+            for part in batch_texts(batch, "text", 1 << 20):
                 score = model.value.scores(statistics(part.column(text)))
                 cols = [c for i, c in enumerate(part.columns) if i != text]
                 yield pa.RecordBatch.from_arrays([*cols, pa.array(score)], schema=schema)
@@ -235,5 +241,5 @@ def score(docs: DataFrame, model: Boosted, carry: Sequence[str] = ()) -> DataFra
     rest = [F.col(c).alias(f"c{i}") for i, c in enumerate(carry)]  # a carried column may be named "text"
     rows = docs.select("doc_id", *rest, "text")
     out = rows.drop("text").withColumn("score", F.lit(0.0)).schema
-    scored = rows.mapInArrow(_score(sent, to_arrow_schema(out), len(carry) + 1), out)
+    scored = in_arrow(rows, _score(sent, to_arrow_schema(out), len(carry) + 1), out)
     return scored.select("doc_id", *[F.col(f"c{i}").alias(c) for i, c in enumerate(carry)], "score")

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import keep
+from .common import in_arrow, keep
 
 LEAST_REVISIT = 1000
 ARCHIVE_BYTES = 64 << 20
@@ -195,7 +195,7 @@ def write_warc(pages: DataFrame, folder: str, least: int = LEAST_REVISIT,
         key = F.xxhash64(F.coalesce(F.col("page_id").cast("string"), F.lit("null")))
         rows = (rows.withColumn("key", key).withColumn("digest", digest).join(known, ["key", "digest"], "left")
                 .select("page_id", "url", "html", F.col("refers_to").cast("long").alias("refers_to")))
-    return keep(rows.mapInArrow(_write(folder, archive_bytes), MANIFEST))
+    return keep(in_arrow(rows, _write(folder, archive_bytes), MANIFEST))
 
 
 def _read(with_payload: bool):
@@ -246,7 +246,7 @@ def read_archive(uri: str) -> Iterator[bytes]:
 def read_warc(manifest: DataFrame, payload: bool = True) -> DataFrame:
     """The records of the archives in ``manifest``; each task streams some archives."""
     schema = RECORD if payload else RECORD.rpartition(", ")[0]
-    return manifest.select("archive").mapInArrow(_read(payload), schema)
+    return in_arrow(manifest.select("archive"), _read(payload), schema)
 
 
 def archive_folder(spark) -> str:

@@ -132,7 +132,7 @@ def shingles(hashes: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray,
     return rolled[at], begin
 
 
-def batch_texts(batch: pa.RecordBatch, column: str, limit: int = 8 << 20):
+def batch_texts(batch: pa.RecordBatch, column: str, limit: int = 2 << 20):
     """Slices of a batch whose texts hold about ``limit`` bytes (one text at least)."""
     col = batch.column(batch.schema.get_field_index(column))
     _, off = text_buffer(col)
