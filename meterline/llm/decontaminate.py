@@ -41,9 +41,10 @@ _CELLS = 1 << 22
 
 
 class Windows:
-    """The windows of one block of items, as arrays."""
+    """The windows of one block of items, as arrays; no window may have fewer than ``q`` words."""
 
     def __init__(self, items: list[tuple[object, str]], window: int, q: int):
+        self.q = q
         self.names = [i for i, _ in items]
         w = Words(pa.array([t or "" for _, t in items], pa.large_string()), ALNUM)
         self.words = w.hashes()
@@ -53,7 +54,7 @@ class Windows:
         step = np.arange(len(self.item)) - np.repeat(np.cumsum(runs) - runs, runs)
         self.start = np.repeat(w.first[:-1], runs) + step
         self.length = np.minimum(np.repeat(counts, runs), window)
-        # shingles by the position of their first word; a window shorter than q words is one itself
+        # shingles by the position of their first word
         rolled, begin = shingles(self.words, w.first, q)
         self.at = np.repeat(begin[:-1], runs) + step
         self.per = np.maximum(self.length - q + 1, 1)
@@ -103,28 +104,41 @@ def _spread(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return of, np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + lo[of]
 
 
-def _count(windows, q: int):
-    schema = pa.schema([("shingle", pa.int64()), ("n", pa.int64())])
+def windows_of(items: list[tuple[object, str]], window: int, q: int) -> list[Windows]:
+    """The windows of a block of items; those of fewer than ``q`` words have shingles of their own size."""
+    counts = Words(pa.array([t for _, t in items], pa.large_string()), ALNUM).counts
+    by_size: dict[int, list] = {}
+    for item, n in zip(items, counts):
+        if n:
+            by_size.setdefault(min(q, int(n)), []).append(item)
+    return [Windows(own, window, size) for size, own in sorted(by_size.items())]
+
+
+def _count(windows):
+    schema = pa.schema([("part", pa.int32()), ("shingle", pa.int64()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]):
-        known = windows.value.shingles
-        look = Lookup(known)
-        total = np.zeros(len(known), np.int64)
+        parts = windows.value
+        looks = [Lookup(p.shingles) for p in parts]
+        totals = [np.zeros(len(p.shingles), np.int64) for p in parts]
         for batch in batches:
             for part in batch_texts(batch, "text"):
                 w = Words(part.column(0), ALNUM)
-                rolled, _, _ = _document_shingles(w, w.hashes(), q)
-                at = look.positions(rolled)
-                if len(at):
-                    total += np.bincount(np.searchsorted(known, rolled[at]), minlength=len(known))
-        found = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], schema=schema)
+                hashes = w.hashes()
+                for p, look, total in zip(parts, looks, totals):
+                    rolled, _ = shingles(hashes, w.first, p.q)
+                    at = look.positions(rolled)
+                    total += np.bincount(np.searchsorted(p.shingles, rolled[at]), minlength=len(total))
+        for i, total in enumerate(totals):
+            found = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(found), i, np.int32)), pa.array(found), pa.array(total[found])], schema=schema)
     return run
 
 
-def hits(w: Words, hashes: np.ndarray, windows: Windows, look: Lookup, q: int):
+def hits(w: Words, hashes: np.ndarray, windows: Windows, look: Lookup):
     """(text, first word, words, item) of every occurrence of a window in the texts of ``w``."""
-    rolled, of, word = _document_shingles(w, hashes, q)
+    rolled, of, word = _document_shingles(w, hashes, windows.q)
     pos = look.positions(rolled)
     at, filed = _spread(np.searchsorted(windows.key, rolled[pos], "left"),
                         np.searchsorted(windows.key, rolled[pos], "right"))
@@ -141,22 +155,23 @@ def hits(w: Words, hashes: np.ndarray, windows: Windows, look: Lookup, q: int):
     return text, start, n, windows.item[filed]
 
 
-def _mark(windows, q: int, schema: pa.Schema):
+def _mark(windows, schema: pa.Schema):
     names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]):
-        win = windows.value
-        look = Lookup(np.unique(win.key))
+        parts = [(p, Lookup(np.unique(p.key))) for p in windows.value]
         for batch in batches:
             for part in batch_texts(batch, "text"):
                 w = Words(part.column(names.index("text")), ALNUM)
-                text, start, n, item = hits(w, w.hashes(), win, look, q)
-                begin = start - w.first[text]
+                hashes = w.hashes()
                 spans, items = part.column(names.index("spans")).to_pylist(), part.column(names.index("items")).to_pylist()
-                for d in np.unique(text):
-                    mine = slice(*np.searchsorted(text, [d, d + 1]))
-                    spans[d] = _joined(spans[d], begin[mine], n[mine])
-                    items[d] = sorted(set(items[d]) | {str(win.names[i]) for i in np.unique(item[mine])})
+                for win, look in parts:
+                    text, start, n, item = hits(w, hashes, win, look)
+                    begin = start - w.first[text]
+                    for d in np.unique(text):
+                        mine = slice(*np.searchsorted(text, [d, d + 1]))
+                        spans[d] = _joined(spans[d], begin[mine], n[mine])
+                        items[d] = sorted(set(items[d]) | {str(win.names[i]) for i in np.unique(item[mine])})
                 cols = list(part.columns)
                 cols[names.index("n_words")] = pa.array(w.counts)
                 cols[names.index("spans")] = pa.array(spans, schema.field("spans").type)
@@ -203,18 +218,18 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, q
                       F.array().cast("array<long>").alias("spans"),
                       F.array().cast("array<string>").alias("items"))
     for i, items in enumerate(_blocks(benchmark, block_bytes)):
-        win = Windows(items, window, q)
-        sent = spark.sparkContext.broadcast(win)
-        often = np.zeros(len(win.shingles), np.int64)
-        for r in (in_arrow(docs.select("text"), _count(sent, q), "shingle long, n long")
-                  .groupBy("shingle").agg(F.sum("n").alias("n")).collect()):
-            often[r["shingle"]] = r["n"]
-        win.file(often)
-        sent = spark.sparkContext.broadcast(win)
+        parts = windows_of(items, window, q)
+        often = [np.zeros(len(p.shingles), np.int64) for p in parts]
+        for r in (in_arrow(docs.select("text"), _count(spark.sparkContext.broadcast(parts)), "part int, shingle long, n long")
+                  .groupBy("part", "shingle").agg(F.sum("n").alias("n")).collect()):
+            often[r["part"]][r["shingle"]] = r["n"]
+        for p, n in zip(parts, often):
+            p.file(n)
+        sent = spark.sparkContext.broadcast(parts)
         if i:
             out = keep(out)
         schema = _arrow(out)
-        out = in_arrow(out, _mark(sent, q, schema), out.schema)
+        out = in_arrow(out, _mark(sent, schema), out.schema)
     total = F.expr("aggregate(spans, 0L, (s, x) -> x - s)")  # the ends less the begins, as they alternate
     return out.select("doc_id", "n_words", total.alias("n_hit"), "items", "spans", *carry)
 

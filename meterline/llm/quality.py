@@ -138,7 +138,7 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 4, rate: flo
     p = y.mean() if len(y) else 0.5
     base = float(np.log(p / (1 - p))) if 0 < p < 1 else (0.0 if not len(y) else 35.0 * (1 if p else -1))
     model = Boosted(base, depth)
-    if not 0 < p < 1:
+    if not len(y) or not 0 < p < 1:
         return model
     cuts = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, bins + 1)[1:-1])) for j in range(x.shape[1])]
     binned = np.stack([np.searchsorted(c, x[:, j], "left") for j, c in enumerate(cuts)], 1)

@@ -119,7 +119,7 @@ class Archive:
         self.uri = f"{folder}/{self.path.rpartition('/')[2]}"
         dictionary = build_dictionary(sample)
         raw = dictionary.as_bytes()
-        self.out = self.fs.open_output_stream(self.path)
+        self.out = self.fs.open_output_stream(self.path, compression=None)
         self.out.write(struct.pack("<II", DICTIONARY_MAGIC, len(raw)) + raw)
         self.compressor = zstandard.ZstdCompressor(level=LEVEL, dict_data=dictionary, write_content_size=True)
         self.records, self.bytes = 0, 8 + len(raw)
@@ -221,7 +221,7 @@ def _read(with_payload: bool):
 def read_archive(uri: str) -> Iterator[bytes]:
     """The records of one archive, streamed."""
     fs, path = pafs.FileSystem.from_uri(uri)
-    with fs.open_input_stream(path) as f:
+    with fs.open_input_stream(path, compression=None) as f:
         magic, n = struct.unpack("<II", f.read(8))
         if magic != DICTIONARY_MAGIC:
             raise ValueError("the archive doesn't begin with a dictionary")
