@@ -127,17 +127,18 @@ def as_of_join(left: DataFrame, right: DataFrame, left_key: str = "account", rig
     and ``right_ts <= left_ts``.
 
     ``right`` must have one row per ``(key, time)``; with ``tie`` the row with the largest tie value is
-    kept, without it ``auto`` raises on duplicates.  The explicit strategies trust the caller.
+    kept, without it duplicates raise under every strategy.
     ``plan`` is the ordered-scan plan of the merge strategy (see :mod:`meterline.operators.scan`).
     """
     values = values or [c for c in right.columns if c not in (right_key, right_ts)]
     if tie is not None:
         right = latest_per_time(right, tie, right_key, right_ts)
     right = right.select(right_key, right_ts, *values)
-    if strategy == "auto":
+    if tie is None or strategy == "auto":
         stats = version_stats(right, right_key, right_ts)
         if not stats.unique:
             raise ValueError(f"{stats.max_same_time} versions of one key share a time; pass tie=")
+    if strategy == "auto":
         strategy = choose_strategy(stats, max_broadcast_rows, max_versions_per_key)
     if strategy in ("broadcast", "shuffle"):
         iv = version_intervals(right, right_key, right_ts, plan="window")

@@ -117,6 +117,15 @@ def _same_key(batch, keys: Sequence[str], last: tuple | None) -> bool:
     return last is not None and tuple(batch.column(k)[0].as_py() for k in keys) == last
 
 
+def check_sums(sums, values):
+    """Raise if a running sum left the 64-bit range.  ``sums`` wrap, so the sum before a value is exactly
+    ``sum - value`` again, and an addition overflowed if both terms have the sign that the sum lacks."""
+    before = sums - values
+    if (((before ^ sums) & (values ^ sums)) < 0).any():
+        raise OverflowError("running usage total exceeds the 64-bit range")
+    return sums
+
+
 def _local_running_sum(keys: Sequence[str], value: str, out: str, prev_col: str | None):
     """Per-partition pass for the slice plan: running sum (and previous time) per run of equal keys,
     continuing across the Arrow batches of one partition.  Exact 64-bit sums; an overflow raises."""
@@ -139,12 +148,8 @@ def _local_running_sum(keys: Sequence[str], value: str, out: str, prev_col: str
             vals = pc.fill_null(batch.column(value), 0).to_numpy(zero_copy_only=False).astype("int64")
             cs = np.cumsum(vals)                       # differences below are exact even if cs wraps
             local = cs - (cs - vals)[starts][rid]
-            fvals = vals.astype("float64")
-            fcs = np.cumsum(fvals)
-            flocal = fcs - (fcs - fvals)[starts][rid] + np.where(rid == 0, float(carry_in), 0.0)
-            if np.abs(flocal).max() >= 2.0 ** 63:
-                raise OverflowError("running usage total exceeds the 64-bit range")
             local[rid == 0] += carry_in
+            check_sums(local, vals)
             res = batch.append_column(out, pa.array(local, pa.int64()))
             if prev_col:
                 t = batch.column(prev_col)

@@ -33,13 +33,16 @@ LOG_POSITION = "log_position"
 
 
 def log_position() -> F.Column:
-    """A long that orders records of equal time by their place in the log: partition, then offset."""
+    """A long that orders records of equal time by their place in the log: partition, then offset; null in
+    a file log that was published without them."""
     return F.col("partition").cast("long") * F.lit(1 << 40) + F.col("offset")
 
 
 def usage_from_log(raw: DataFrame, ts_from: str = "body") -> DataFrame:
-    """Decoded usage with the log position as tie column."""
-    return decode_usage(raw, ts_from=ts_from, keep=[log_position().alias(LOG_POSITION)])
+    """Decoded usage with a tie column that is never null: the log position, or else the bytes used (rows
+    equal in account, time and bytes can change places without changing any result)."""
+    usage = decode_usage(raw, ts_from=ts_from, keep=[log_position().alias(LOG_POSITION)])
+    return usage.withColumn(LOG_POSITION, F.coalesce(LOG_POSITION, "bytesUsed"))
 
 
 def publish_job(usage: DataFrame, kind: str = "files", path: str | None = None, topic: str = DEFAULT_TOPIC,
@@ -65,8 +68,9 @@ def batch_totals_job(spark: SparkSession, kind: str = "kafka", path: str | None
                      start_at: str = MONTH_START, end_at: str = MONTH_END) -> DataFrame:
     """``account, totalConsumption, asOf`` over the records with ``start_at <= ts < end_at``.
 
-    The source is bounded by record time; the same half-open range is then applied to every row, so
-    out-of-order records at the edges are cut exactly (a time-bounded offset range alone would not).
+    The source is bounded by record time and the same half-open range is then applied to every row.  Over
+    files that is exact.  Kafka turns times into one offset per partition, so a record that was appended
+    out of time order beyond the end offset is not read.
     """
     raw = read_log(spark, kind, path, topic, brokers, start=start_at, end=end_at)
     return account_totals(in_range(decode_usage(raw), start_at, end_at))
@@ -86,7 +90,8 @@ def streaming_totals_job(spark: SparkSession, checkpoint: str, out: str, kind: s
 def quota_enrichment_job(spark: SparkSession, versions: DataFrame, kind: str = "kafka", path: str | None = None,
                          topic: str = DEFAULT_TOPIC, brokers: str = DEFAULT_BROKERS, streaming: bool = False,
                          checkpoint: str | None = None, out: str | None = None,
-                         delay: str = "0 seconds") -> DataFrame | StreamingQuery:
+                         delay: str = "0 seconds", late: str | None = None, trigger: dict | None = None,
+                         max_per_trigger: int | None = None) -> DataFrame | StreamingQuery:
     """``account, bytesUsed, quota, ts`` in event-time order, event time from the log record.
 
     Batch: as-of join, then a global sort.  Stream: with a static version table a stream–static join
@@ -96,27 +101,34 @@ def quota_enrichment_job(spark: SparkSession, versions: DataFrame, kind: str = "
     if not streaming:
         usage = usage_from_log(read_log(spark, kind, path, topic, brokers), ts_from="record")
         return enriched_view(in_time_order(enrich_usage(usage, versions), LOG_POSITION))
-    raw = read_log(spark, kind, path, topic, brokers, streaming=True, starting="earliest")
+    raw = read_log(spark, kind, path, topic, brokers, streaming=True, starting="earliest",
+                   max_files_per_trigger=max_per_trigger, max_offsets_per_trigger=max_per_trigger)
     usage = usage_from_log(raw, ts_from="record")
     if versions.isStreaming:
-        enriched = enrich_versioned(usage, versions, LOG_POSITION, delay=delay)
+        enriched = enrich_versioned(usage, versions, LOG_POSITION, delay=delay, late=late or "emit")
     else:
         enriched = enrich_static(usage, versions)
     return start(enriched.select("account", "bytesUsed", "quota", "ts", LOG_POSITION), checkpoint, "append",
-                 sink=ordered_batch_writer(out, ["ts", LOG_POSITION]))
+                 sink=ordered_batch_writer(out, ["ts", LOG_POSITION]), trigger=trigger)
 
 
 def alerting_job(spark: SparkSession, versions: DataFrame, kind: str = "kafka", path: str | None = None,
                  topic: str = DEFAULT_TOPIC, brokers: str = DEFAULT_BROKERS, streaming: bool = False,
                  checkpoint: str | None = None, out: str | None = None, ratio: float = ALERT_RATIO,
-                 delay: str = "0 seconds", clear_after=None) -> DataFrame | StreamingQuery:
-    """Warnings ``ts, account, billingYear, billingMonth, quota, total, message``, one per billing key."""
+                 delay: str = "0 seconds", clear_after=None, late: str | None = None, trigger: dict | None = None,
+                 max_per_trigger: int | None = None) -> DataFrame | StreamingQuery:
+    """Warnings ``ts, account, billingYear, billingMonth, quota, total, message``, one per billing key.
+
+    ``max_per_trigger`` (files, or Kafka offsets) and ``trigger`` bound a micro-batch of a long log.
+    """
     if not streaming:
         usage = usage_from_log(read_log(spark, kind, path, topic, brokers), ts_from="record")
         return usage_alerts(enrich_usage(usage, versions), LOG_POSITION, ratio)
-    raw = read_log(spark, kind, path, topic, brokers, streaming=True, starting="earliest")
+    raw = read_log(spark, kind, path, topic, brokers, streaming=True, starting="earliest",
+                   max_files_per_trigger=max_per_trigger, max_offsets_per_trigger=max_per_trigger)
     usage = usage_from_log(raw, ts_from="record")
-    enriched = (enrich_versioned(usage, versions, LOG_POSITION, delay=delay) if versions.isStreaming
+    late = late or ("emit" if clear_after is None else "drop")
+    enriched = (enrich_versioned(usage, versions, LOG_POSITION, delay=delay, late=late) if versions.isStreaming
                 else enrich_static(usage, versions))
     alerts = stream_usage_alerts(enriched, LOG_POSITION, ratio, clear_after=clear_after, watermark_delay=delay)
-    return start(alerts, checkpoint, "append", path=out)
+    return start(alerts, checkpoint, "append", path=out, trigger=trigger)

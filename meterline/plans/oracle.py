@@ -38,6 +38,12 @@ LONG_VERSIONS = f"""versions AS (
          TIMESTAMP '1990-01-01 00:00:00' AS ts
   FROM customer)"""
 
+# Usage as the log holds it: whole milliseconds, and no position in the log but the bytes as a tie.
+LOG_USAGE = """usage AS (
+  SELECT printf('%06d', user_id) AS account, CAST(round(value * 100) AS BIGINT) AS bytesUsed,
+         date_trunc('millisecond', ts) AS ts, CAST(round(value * 100) AS BIGINT) AS event_id
+  FROM events WHERE event_type <> 'signup')"""
+
 RUNNING = """running AS (
   SELECT *, SUM(bytesUsed) OVER (PARTITION BY account, billingYear, billingMonth, quota
                                  ORDER BY ts, event_id
@@ -179,4 +185,16 @@ FROM changes WHERE prev_ts IS NOT NULL"""
         "SELECT account, CAST(SUM(bytesUsed) AS BIGINT) AS totalConsumption, "
         "date_trunc('millisecond', MAX(ts)) AS asOf FROM usage "
         f"WHERE ts >= TIMESTAMP '{RANGE_START}' AND ts < TIMESTAMP '{RANGE_END}' GROUP BY account")
+    q["quota_enriched_late_stream"] = q["quota_enriched"]
+    q["usage_alerts_clearing_orders_stream"] = q["usage_alerts_long_range"]
+    q["usage_alerts_published"] = _with(LOG_USAGE, VERSIONS, ENRICHED, RUNNING, ALERTS) + (
+        "SELECT ts, account, billingYear, billingMonth, quota, total, message FROM alerts")
+    q["usage_alerts_published_stream"] = q["usage_alerts_published"]
+    q["quota_enriched_log_sql"] = _with(LOG_USAGE, VERSIONS, ENRICHED) + (
+        "SELECT account, bytesUsed, quota, ts, billingYear, billingMonth FROM enriched")
+    q["quota_enriched_json_versions"] = q["quota_enriched"]
+    q["enriched_records"] = q["quota_enriched"]
+    q["usage_range_micros"] = _with(USAGE) + (
+        "SELECT account, bytesUsed, ts, event_id FROM usage "
+        "WHERE ts >= TIMESTAMP '2024-01-08 00:00:00.0005' AND ts < TIMESTAMP '2024-01-15 11:59:59.999999'")
     return q

@@ -152,8 +152,10 @@ def usage_alerts_bucketed(spark, sf):
     from ..session import scratch_path
     from ..sources.tables import read_table, save_bucketed
 
-    save_bucketed(_usage(spark, sf), "usage_by_account", path=scratch_path(spark, "tables", "usage"))
-    e = enrich_usage(read_table(spark, "usage_by_account"), _versions(spark, sf))
+    path = scratch_path(spark, "tables", "usage")
+    name = "usage_by_account_" + path.rpartition("/")[2]  # frames of several calls don't meet
+    save_bucketed(_usage(spark, sf), name, path=path)
+    e = enrich_usage(read_table(spark, name), _versions(spark, sf))
     return usage_alerts(e, TIE).select(*ALERT_COLS)
 
 
@@ -198,6 +200,56 @@ def log_account_totals_range(spark, sf):
     return batch_totals_job(spark, "files", path, start_at=td.RANGE_START + "Z", end_at=td.RANGE_END + "Z")
 
 
+def usage_range_micros(spark, sf):
+    """A range with bounds finer than a millisecond."""
+    return in_range(usage_scan(spark, sf), "2024-01-08T00:00:00.000500Z", "2024-01-15T11:59:59.999999Z")
+
+
+def _published(spark, sf):
+    from ..plans.jobs import publish_job
+    from ..session import scratch_path
+
+    path = scratch_path(spark, "logs", "published")
+    publish_job(_usage(spark, sf), "files", path)
+    return path
+
+
+def usage_alerts_published(spark, sf):
+    """The alert job, bounded, over the log that the publish job wrote."""
+    from ..plans.jobs import alerting_job
+
+    return alerting_job(spark, _versions(spark, sf), "files", _published(spark, sf)).select(*ALERT_COLS)
+
+
+def quota_enriched_log_sql(spark, sf):
+    """The SQL text over the SQL-declared log table, which reads the published log."""
+    from ..sources.log import read_log
+    from .views import register_log_table
+
+    usage = register_log_table(read_log(spark, "files", path=_published(spark, sf)))
+    register_views(spark, usage, _versions(spark, sf))
+    return enrich_sql(spark)
+
+
+def quota_enriched_json_versions(spark, sf):
+    """Versions read from a JSON source, checked, then joined."""
+    from ..session import scratch_path
+    from ..sources.versions import checked_versions, read_versions
+
+    path = scratch_path(spark, "versions", "json")
+    stamp = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+    _versions(spark, sf).write.options(**stamp).json(path)
+    versions = checked_versions(read_versions(spark, path, fmt="json"))
+    return enrich_usage(_usage(spark, sf), versions).select(*ENRICHED_COLS)
+
+
+def enriched_records(spark, sf):
+    """Typed enriched records, matched by field name."""
+    from ..operators import to_enriched_records
+
+    return to_enriched_records(_enriched(spark, sf), keep=(TIE,))
+
+
 def account_keys(spark, sf):
     return _enriched(spark, sf).select(billing_key().alias("key")).distinct()
 
@@ -237,6 +289,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "usage_alerts_long_range": usage_alerts_long_range,
         "account_keys": account_keys,
         "log_account_totals_range": log_account_totals_range,
+        "usage_range_micros": usage_range_micros,
+        "usage_alerts_published": usage_alerts_published,
+        "quota_enriched_log_sql": quota_enriched_log_sql,
+        "quota_enriched_json_versions": quota_enriched_json_versions,
+        "enriched_records": enriched_records,
     }
     q.update(replays.stream_queries())
     return q

@@ -9,6 +9,7 @@ few versions per account; for unbounded version counts use :func:`meterline.oper
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.asof import version_intervals
 from ..sources.codec import decode_usage, decode_usage_tolerant
@@ -38,7 +39,11 @@ def register_views(spark: SparkSession, usage: DataFrame, versions: DataFrame) -
     """``data_consumption`` (usage), ``account`` (versions) and ``account_intervals``."""
     usage.createOrReplaceTempView("data_consumption")
     versions.createOrReplaceTempView("account")
-    version_intervals(versions).createOrReplaceTempView("account_intervals")
+    # no job runs here: two versions of one account at one time fail the query that reads them
+    same = F.raise_error(F.lit("two versions of one account share a time"))
+    (version_intervals(versions, plan="window")
+     .withColumn("valid_to", F.when(F.col("valid_to") == F.col("valid_from"), same.cast("timestamp"))
+                 .otherwise(F.col("valid_to"))).createOrReplaceTempView("account_intervals"))
 
 
 def enrich_sql(spark: SparkSession) -> DataFrame:

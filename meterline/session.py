@@ -46,7 +46,7 @@ def build_session(master: str | None = None, app_name: str = "meterline",
     spark = builder.getOrCreate()
     # Runtime SQL settings also apply when the session already existed.
     for k, v in settings.items():
-        if k.startswith("spark.sql."):
+        if k.startswith("spark.sql.") and spark.conf.isModifiable(k):
             spark.conf.set(k, v)
     return spark
 
@@ -61,9 +61,8 @@ def use_rocksdb_state(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    Read from ``spark.checkpoint.dir`` (the cluster names it).  Only when the session has none — local
-    tests — a scratch folder is made and registered, so the rest of the code never picks a
-    machine-local path on its own.
+    Read from ``spark.checkpoint.dir`` (the cluster names it).  Only a local master without one — tests —
+    gets a scratch folder; on a cluster a machine-local folder would lose data, so that raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -71,6 +70,8 @@ def shared_dir(spark: SparkSession) -> str:
         return current
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="meterline-")
     sc.setCheckpointDir(path)
     # The context may place a sub-folder below the given one; use what it reports.

@@ -7,7 +7,7 @@ PySpark; ``read_log(kind="kafka")`` builds the reader and needs the package on t
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,31 +19,42 @@ KAFKA_HINT = ("the Kafka source is not on the classpath: start Spark with "
               "or use kind=\"files\" on a parquet copy of the log")
 
 
-def _epoch_ms(t: str | datetime) -> int:
+def _as_dt(t: str | datetime) -> datetime:
+    """The instant, to the microsecond; text or times without a zone are UTC."""
     if isinstance(t, str):
         t = datetime.fromisoformat(t.replace("Z", "+00:00"))
-    if t.tzinfo is None:
-        t = t.replace(tzinfo=timezone.utc)
-    return int(t.timestamp() * 1000)
+    return t.replace(tzinfo=timezone.utc) if t.tzinfo is None else t.astimezone(timezone.utc)
+
+
+def _epoch_ms(t: str | datetime, up: bool = False) -> int:
+    """Epoch milliseconds for Kafka, rounded down, or up so that a bound loses no record."""
+    us = (_as_dt(t) - datetime(1970, 1, 1, tzinfo=timezone.utc)) // timedelta(microseconds=1)
+    return -(-us // 1000) if up else us // 1000
 
 
 def kafka_options(topic: str = DEFAULT_TOPIC, brokers: str = DEFAULT_BROKERS, starting: str = "earliest",
                   start: str | datetime | None = None, end: str | datetime | None = None,
-                  streaming: bool = False, max_offsets_per_trigger: int | None = None) -> dict:
+                  streaming: bool = False, max_offsets_per_trigger: int | None = None,
+                  min_partitions: int | None = None) -> dict:
     """Reader options for the log topic.
 
     ``start``/``end`` bound a batch read by record time (Kafka looks up, per partition, the first offset
-    at or after each time); a stream starts at ``start`` or at ``starting``.
+    at or after each time); a stream starts at ``start`` or at ``starting``.  A partition without a record
+    at or after ``start`` gives none.  ``min_partitions`` reads a topic in more tasks than it has
+    partitions.
     """
     opts = {"kafka.bootstrap.servers": brokers, "subscribe": topic, "includeHeaders": "false"}
     if start is not None:
         opts["startingTimestamp"] = str(_epoch_ms(start))
+        opts["startingOffsetsByTimestampStrategy"] = "latest"
     else:
         opts["startingOffsets"] = starting
     if end is not None:
         if streaming:
             raise ValueError("an unbounded read has no end")
-        opts["endingTimestamp"] = str(_epoch_ms(end))
+        opts["endingTimestamp"] = str(_epoch_ms(end, up=True))
+    if min_partitions:
+        opts["minPartitions"] = str(min_partitions)
     if streaming:
         opts["failOnDataLoss"] = "true"
         if max_offsets_per_trigger:
@@ -61,21 +72,17 @@ def in_range(df: DataFrame, start: str | datetime | None, end: str | datetime |
     return df.where(cond)
 
 
-def _as_dt(t: str | datetime) -> datetime:
-    return datetime.fromtimestamp(_epoch_ms(t) / 1000, tz=timezone.utc)
-
-
 def read_log(spark: SparkSession, kind: str = "files", path: str | None = None, topic: str = DEFAULT_TOPIC,
              brokers: str = DEFAULT_BROKERS, streaming: bool = False, starting: str = "earliest",
              start=None, end=None, max_files_per_trigger: int | None = None,
-             max_offsets_per_trigger: int | None = None) -> DataFrame:
+             max_offsets_per_trigger: int | None = None, min_partitions: int | None = None) -> DataFrame:
     """Raw log records, bounded (``read``) or unbounded (``readStream``).
 
     ``kind="files"`` reads a parquet replay of the log (written by :func:`write_log`) at ``path``; the
     time range is then a row filter on the record time, pushed into the scan.
     """
     if kind == "kafka":
-        opts = kafka_options(topic, brokers, starting, start, end, streaming, max_offsets_per_trigger)
+        opts = kafka_options(topic, brokers, starting, start, end, streaming, max_offsets_per_trigger, min_partitions)
         reader = spark.readStream if streaming else spark.read
         try:
             df = reader.format("kafka").options(**opts).load()

@@ -6,9 +6,9 @@ are put in ``(ts, tie)`` order before they are added, so files replayed in event
 result.  Rows go through pandas (Arrow batches), so the work is vectorized.
 
 State grows with accounts × months × quotas unless ``clear_after`` is set: then an event-time timer at
-the end of the billing month plus that grace clears the key.  A row of that month arriving afterwards
-is behind the watermark, and Spark drops such rows before the processor, so a cleared total is never
-restarted; the grace plus the watermark delay is the lateness a month accepts.
+the end of the billing month plus that grace clears the key.  Rows of a month that is still open are added
+however late they are (the watermark column is kept away from the processor's input, so Spark filters
+nothing); rows of a month past its end plus grace are dropped, so a cleared total is never restarted.
 Times inside the processor are epoch microseconds — the process's zone can never shift them.
 """
 
@@ -27,17 +27,13 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from ..session import use_rocksdb_state
 
 from ..functions.billing import alert_message
+from ..operators.scan import check_sums
 from ..schemas import ALERT_RATIO, BILLING_KEY
 
-LONG_MAX = float(2 ** 63 - 1)
-
-
 def checked_cumsum(prior: int, values: np.ndarray) -> np.ndarray:
     """Running sum continuing from ``prior``; raises rather than wrapping past the long range."""
-    approx = float(prior) + np.cumsum(values.astype("float64"))
-    if approx.size and np.abs(approx).max() >= LONG_MAX:
-        raise OverflowError("running usage total exceeds the 64-bit range")
-    return prior + np.cumsum(values.astype("int64"))
+    values = values.astype("int64")
+    return check_sums(np.int64(prior) + np.cumsum(values), values)
 
 
 def month_end_ms(year: int, month: int) -> int:
@@ -81,6 +77,14 @@ class UsageAlertProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         # The rows carry the key columns too.
         pdf = pd.concat(list(rows), ignore_index=True).sort_values(["ts_us", self.tie], kind="stable")
+        if self.clear_after_ms is not None:  # months that are over, grace included, take no more rows
+            wm = timerValues.getCurrentWatermarkInMs()
+            over = [ym for ym in set(zip(pdf["billingYear"], pdf["billingMonth"]))
+                    if month_end_ms(int(ym[0]), int(ym[1])) + self.clear_after_ms <= wm]
+            if over:
+                pdf = pdf[[ym not in over for ym in zip(pdf["billingYear"], pdf["billingMonth"])]]
+                if not len(pdf):
+                    return
         pdf = pdf.reset_index(drop=True)
         # The quota arrives null-free with a separate flag, so that it stays an exact int64.
         group_cols = self.sub + (["quota_null"] if "quota" in self.sub else [])
@@ -103,10 +107,7 @@ class UsageAlertProcessor(StatefulProcessor):
             else:
                 prior[g], alerted[g] = int(prev[0]), bool(prev[1])
         vals = pdf["bytesUsed"].to_numpy(dtype="int64")
-        approx = pd.Series(vals.astype("float64")).groupby(gid).cumsum().to_numpy() + prior[gid].astype("float64")
-        if approx.size and np.abs(approx).max() >= LONG_MAX:
-            raise OverflowError("running usage total exceeds the 64-bit range")
-        run = pd.Series(vals).groupby(gid).cumsum().to_numpy() + prior[gid]
+        run = check_sums(pd.Series(vals).groupby(gid).cumsum().to_numpy() + prior[gid], vals)
         # Java compares long > double: the total is widened to double, like here; a null quota
         # never passes (NaN compares false).
         quota = np.where(pdf["quota_null"].to_numpy(dtype=bool), np.nan,
@@ -141,6 +142,11 @@ class UsageAlertProcessor(StatefulProcessor):
         pass
 
 
+def _is_versioned_join(df: DataFrame) -> bool:
+    """Whether a stateful operator with event time stands below already."""
+    return df.isStreaming and "EventTimeWatermark" in df._jdf.queryExecution().logical().toString()
+
+
 def _out_schema(tie: str) -> T.StructType:
     return T.StructType([
         T.StructField("ts_us", T.LongType()), T.StructField("account", T.StringType()),
@@ -161,12 +167,14 @@ def stream_usage_alerts(enriched: DataFrame, tie: str, ratio: float = ALERT_RATI
             F.col("quota").isNull().alias("quota_null"), F.unix_micros("ts").alias("ts_us"), "bytesUsed", tie]
     prepared = enriched.select(*cols, *(["event_ts"] if upstream_time else []))
     time_mode = "None"
+    if clear_after is not None and not upstream_time and _is_versioned_join(enriched):
+        raise ValueError("clearing after a version-stream join needs its watermark: use late='drop' there")
     if clear_after is not None:
         # Rows of the version-stream join already carry its watermark (``event_ts``); any other input
         # gets one here.  A second watermark after that join would find every released row late.
         if not upstream_time:
             prepared = (prepared.withColumn("event_ts", F.timestamp_micros("ts_us"))
-                                .withWatermark("event_ts", watermark_delay))
+                                .withWatermark("event_ts", watermark_delay).drop("event_ts"))
         time_mode = "EventTime"
     out = prepared.groupBy("account").transformWithStateInPandas(
         UsageAlertProcessor(tie, ratio, clear_after, key), _out_schema(tie), "Append", time_mode)

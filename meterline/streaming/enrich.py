@@ -10,14 +10,15 @@
     event-time watermark has reached its time, so that all versions up to that time have been seen,
     released by an event-time timer.
 
-Event time, and so the watermark, comes from the usage rows only.  Usage behind the watermark is
-dropped by Spark before it reaches the processor (observed on Spark 4.1 in event-time mode, reported
-as ``numRowsDroppedByWatermark``), so the watermark ``delay`` is the lateness the join tolerates.
+Event time, and so the watermark, comes from the usage rows only.  Usage behind the watermark is late.
+By default (``late="emit"``) it is joined and emitted at once: the watermark column is kept away from the
+processor's input, so Spark filters nothing, and versions stay in state, as late usage may need an old one.
+With ``late="drop"`` Spark drops late rows before the processor (``numRowsDroppedByWatermark``), so ``delay``
+is the lateness the join tolerates; then each release is in event order, and versions older than the
+newest one at or before the watermark are removed from state.
 Version rows carry no event time: they are never late and never move time on, however old or new —
 each is stored and applies from its own time on (a version arriving after usage it covers was
-released does not correct that usage).  Because no usage older than the watermark can arrive, each
-release is in event order, and versions older than the newest one at or before the watermark are
-removed from state.
+released does not correct that usage).
 """
 
 from __future__ import annotations
@@ -65,8 +66,9 @@ class VersionedJoinProcessor(StatefulProcessor):
     pending event-time timer at the earliest waiting time (``ValueState``).  Row work is vectorized;
     only the state calls take tuples."""
 
-    def __init__(self, tie: str):
+    def __init__(self, tie: str, prune: bool):
         self.tie = tie
+        self.prune = prune
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -135,7 +137,8 @@ class VersionedJoinProcessor(StatefulProcessor):
             self.waiting.put([tuple(r) for r in rest.tolist()])
             self._arm(int(rest[:, 0].min() // 1000))
         out = self._emit(key[0], arr[ready, 0], arr[ready, 1], arr[ready, 2])
-        self._prune(wm_ms * 1000, rest[:, 0])
+        if self.prune:
+            self._prune(wm_ms * 1000, rest[:, 0])
         if out is not None:
             yield out
 
@@ -151,14 +154,18 @@ class VersionedJoinProcessor(StatefulProcessor):
         pass
 
 
-def enrich_versioned(usage: DataFrame, versions: DataFrame, tie: str, delay: str = "0 seconds") -> DataFrame:
+def enrich_versioned(usage: DataFrame, versions: DataFrame, tie: str, delay: str = "0 seconds",
+                     late: str = "emit") -> DataFrame:
     """Usage stream joined with a version stream (both carry event times), plus the billing period.
 
     Output rows come out when the watermark reaches their time; rows more than ``delay`` behind the
-    latest event time are late and dropped by Spark.  Output columns: ``account, bytesUsed, ts, tie,
-    quota, billingYear, billingMonth`` and ``event_ts`` (= ``ts``), the event-time column through
-    which a later event-time operator of the same query gets the watermark.
+    latest event time are late: emitted at once, or dropped with ``late="drop"``.  Output columns:
+    ``account, bytesUsed, ts, tie, quota, billingYear, billingMonth``; with ``late="drop"`` also
+    ``event_ts`` (= ``ts``), the event-time column through which a later event-time operator of the same
+    query gets the watermark.
     """
+    if late not in ("emit", "drop"):
+        raise ValueError(f"late must be 'emit' or 'drop', not {late!r}")
     use_rocksdb_state(usage.sparkSession)
     # Null-free long columns (with a flag for a missing quota) reach the processor as exact int64;
     # a column with nulls would arrive in pandas as float64.
@@ -173,15 +180,16 @@ def enrich_versioned(usage: DataFrame, versions: DataFrame, tie: str, delay: str
     # Event time (and so the watermark) comes from the usage rows only: a version is never late and
     # never moves time on, however old or new it is — it is stored, and applies from its own time.
     both = (u.unionByName(v).withWatermark("wm_ts", delay)
-             .select("key_id", "wm_ts", F.unix_micros("ts").alias("ts_us"), "side", "bytesUsed", tie, "quota",
-                     "quota_null"))
+             .select("key_id", *(["wm_ts"] if late == "drop" else []), F.unix_micros("ts").alias("ts_us"), "side",
+                     "bytesUsed", tie, "quota", "quota_null"))
     schema = T.StructType([
         T.StructField("account", T.StringType()), T.StructField("bytesUsed", T.LongType()),
         T.StructField("ts_us", T.LongType()), T.StructField(tie, T.LongType()),
         T.StructField("quota", T.LongType()), T.StructField("event_ts", T.TimestampType())])
     # ``event_ts`` carries the watermark on to later event-time operators in the same query.
+    carry = {"eventTimeColumnName": "event_ts"} if late == "drop" else {}
     out = both.groupBy("key_id").transformWithStateInPandas(
-        VersionedJoinProcessor(tie), schema, "Append", "EventTime", eventTimeColumnName="event_ts")
+        VersionedJoinProcessor(tie, prune=late == "drop"), schema, "Append", "EventTime", **carry)
     out = out.select("account", "bytesUsed", F.timestamp_micros("ts_us").alias("ts"), tie, "quota",
-                     "event_ts")
+                     *(["event_ts"] if late == "drop" else []))
     return out.withColumns({"billingYear": billing_year("ts"), "billingMonth": billing_month("ts")})

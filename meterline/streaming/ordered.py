@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +20,12 @@ from .runner import BATCH
 
 def ordered_batch_writer(path: str, order: Sequence[str]) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.orderBy(*order).write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        # the sort samples its input first: without this the stateful operators would run twice
+        kept = batch.persist(StorageLevel.DISK_ONLY)
+        try:
+            kept.orderBy(*order).write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        finally:
+            kept.unpersist()
     return write
 
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import testdata as td
@@ -37,12 +37,13 @@ class EventOrderReplay:
     def __init__(self, spark: SparkSession, name: str, chunk: timedelta = CHUNK):
         self.spark, self.chunk = spark, chunk
         self.base = scratch_path(spark, "replays", name)
-        self.tables: list[tuple[DataFrame, str, str]] = []
+        self.tables: list[tuple[DataFrame, Column, str]] = []
 
-    def source(self, df: DataFrame, ts: str, fmt: str = "parquet") -> DataFrame:
-        """Register ``df`` (event time ``ts``) and return the stream that will replay it."""
+    def source(self, df: DataFrame, ts: str | Column, fmt: str = "parquet") -> DataFrame:
+        """Register ``df`` and return the stream that will replay it by ``ts``: its event time, or a time
+        of arrival to replay rows out of order."""
         path = f"{self.base}/{len(self.tables)}"
-        self.tables.append((df, ts, path))
+        self.tables.append((df, F.col(ts) if isinstance(ts, str) else ts, path))
         # The folder must exist before the stream is defined: start it with an empty file.
         self.spark.createDataFrame([], df.schema).write.mode("append").format(fmt).save(path)
         return self.spark.readStream.schema(df.schema).format(fmt).load(path)
@@ -60,7 +61,7 @@ class EventOrderReplay:
         while start <= hi:
             end = start + self.chunk
             for df, ts, path in self.tables:
-                (df.where((F.col(ts) >= F.lit(start)) & (F.col(ts) < F.lit(end)))
+                (df.where((ts >= F.lit(start)) & (ts < F.lit(end)))
                    .repartition(parts).write.mode("append").parquet(path))
             step()
             n += 1
@@ -103,11 +104,11 @@ def quota_enriched_stream(spark: SparkSession, sf: str) -> DataFrame:
                                           "billingMonth")
 
 
-def _versioned(spark: SparkSession, sf: str, name: str) -> tuple[EventOrderReplay, DataFrame]:
+def _versioned(spark: SparkSession, sf: str, name: str, late: str = "emit") -> tuple[EventOrderReplay, DataFrame]:
     rp = EventOrderReplay(spark, name)
     usage = rp.source(td.usage_from_events(spark, sf), "ts")
     versions = rp.source(td.versions_from_events(spark, sf), "ts")
-    return rp, enrich_versioned(usage, versions, TIE)
+    return rp, enrich_versioned(usage, versions, TIE, late=late)
 
 
 def quota_enriched_versions_stream(spark: SparkSession, sf: str) -> DataFrame:
@@ -120,12 +121,48 @@ def quota_enriched_versions_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 def quota_enriched_ordered_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Version-stream join written batch by batch in event order, read back as one sequence."""
-    rp, e = _versioned(spark, sf, "enriched_ordered")
+    rp, e = _versioned(spark, sf, "enriched_ordered", late="drop")
     out, ck = fresh_paths(spark, "enriched_ordered")
     rp.run(lambda: run_to_end(e, ck, "append", sink=ordered_batch_writer(out, ["ts", TIE])))
     return read_ordered(spark, out, ["ts", TIE]).select("account", "bytesUsed", "quota", "ts")
 
 
+def quota_enriched_late_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The version-stream join with every third usage row arriving ten days late: none is lost."""
+    rp = EventOrderReplay(spark, "enriched_late")
+    delay = F.when(F.col(TIE) % 3 == 0, F.expr("interval 10 days")).otherwise(F.expr("interval 0 days"))
+    usage = rp.source(td.usage_from_events(spark, sf), F.col("ts") + delay)
+    e = enrich_versioned(usage, rp.source(td.versions_from_events(spark, sf), "ts"), TIE)
+    out, ck = fresh_paths(spark, "enriched_late")
+    rp.run(lambda: run_to_end(e, ck, "append", path=out))
+    return spark.read.parquet(out).select("account", "bytesUsed", "ts", TIE, "quota", "billingYear",
+                                          "billingMonth")
+
+
+def usage_alerts_clearing_orders_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Clearing over years of orders, so that the timers of many months fire between the runs."""
+    rp = EventOrderReplay(spark, "alerts_clearing_orders", chunk=timedelta(days=366))
+    e = enrich_static(rp.source(td.usage_from_orders(spark, sf), "ts"), td.versions_from_customers(spark, sf))
+    q = stream_usage_alerts(e, TIE, clear_after=CLEAR_AFTER)
+    out, ck = fresh_paths(spark, "alerts_clearing_orders")
+    rp.run(lambda: run_to_end(q, ck, "append", path=out))
+    return spark.read.parquet(out).select("ts", "account", "billingYear", "billingMonth", "quota", "total",
+                                          "message")
+
+
+def usage_alerts_published_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The alert job reading the log that the publish job wrote."""
+    from ..plans.jobs import alerting_job, publish_job
+
+    path = scratch_path(spark, "logs", "published")
+    publish_job(td.usage_from_events(spark, sf), "files", path)
+    out, ck = fresh_paths(spark, "alerts_published")
+    await_end(alerting_job(spark, td.versions_from_events(spark, sf), "files", path, streaming=True, checkpoint=ck,
+                           out=out, trigger={"availableNow": True}))
+    return spark.read.parquet(out).select("ts", "account", "billingYear", "billingMonth", "quota", "total",
+                                          "message")
+
+
 def usage_publish_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Usage published as a JSON log through the exactly-once file sink, then read and decoded."""
     from ..plans.jobs import publish_job
@@ -181,5 +218,8 @@ def stream_queries() -> dict:
         "usage_alerts_stream": usage_alerts_stream,
         "usage_alerts_versions_stream": usage_alerts_versions_stream,
         "usage_alerts_clearing_stream": usage_alerts_clearing_stream,
+        "quota_enriched_late_stream": quota_enriched_late_stream,
+        "usage_alerts_clearing_orders_stream": usage_alerts_clearing_orders_stream,
+        "usage_alerts_published_stream": usage_alerts_published_stream,
     }
 

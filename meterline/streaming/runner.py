@@ -46,16 +46,19 @@ def start(df: DataFrame, checkpoint: str, output_mode: str = "append", path: str
 
 
 def run_to_end(df: DataFrame, checkpoint: str, output_mode: str = "append", path: str | None = None,
-               sink: Callable[[DataFrame, int], None] | None = None, timeout_s: float = 600) -> None:
+               sink: Callable[[DataFrame, int], None] | None = None, timeout_s: float | None = None) -> None:
     """Replay everything available (``availableNow``) and wait for the query to stop."""
     q = start(df, checkpoint, output_mode, path, sink, trigger={"availableNow": True})
     await_end(q, timeout_s)
 
 
-def await_end(q: StreamingQuery, timeout_s: float = 600) -> None:
-    """Wait for a query started with ``availableNow`` to stop; re-raise its failure."""
+def await_end(q: StreamingQuery, timeout_s: float | None = None) -> None:
+    """Wait for a query started with ``availableNow`` to stop, without a limit by default; re-raise its
+    failure."""
     try:
-        if not q.awaitTermination(timeout_s):
+        if timeout_s is None:
+            q.awaitTermination()
+        elif not q.awaitTermination(timeout_s):
             raise TimeoutError(f"stream did not finish in {timeout_s} s")
         if q.exception() is not None:
             raise q.exception()

@@ -5,6 +5,8 @@ import subprocess
 import sys
 import textwrap
 
+import pytest
+
 
 from meterline import testdata as td
 from meterline.operators import enrich_usage, usage_alerts
@@ -64,7 +66,7 @@ def test_late_file_keeps_totals_in_static_join(spark):
     assert sorted(r["event_id"] for r in spark.read.parquet(out).collect()) == [1, 2]
 
 
-def _versioned(spark, files, delay="0 seconds"):
+def _versioned(spark, files, delay="0 seconds", late="emit"):
     """files: list of (usage rows, version rows), one micro-batch each."""
     usrc, vsrc = scratch_path(spark, "t-vu"), scratch_path(spark, "t-vv")
     for urows, vrows in files:
@@ -74,7 +76,7 @@ def _versioned(spark, files, delay="0 seconds"):
         .option("maxFilesPerTrigger", 1).parquet(usrc)
     vs = spark.readStream.schema("id string, quota long, ts timestamp").option("maxFilesPerTrigger", 1).parquet(vsrc)
     out, ck = fresh_paths(spark, "t-versioned")
-    run_to_end(enrich_versioned(us, vs, "event_id", delay=delay), ck, "append", path=out)
+    run_to_end(enrich_versioned(us, vs, "event_id", delay=delay, late=late), ck, "append", path=out)
     return sorted((r["event_id"], r["quota"]) for r in spark.read.parquet(out).collect())
 
 
@@ -95,9 +97,10 @@ def test_version_stream_late_usage(spark):
         ([("a", 1, "2021-10-02T00:00:00", 3)], [("b", 1, "2021-10-07T00:00:00")]),  # late usage
         ([("c", 1, "2021-10-20T00:00:00", 4)], [("c", 1, "2021-10-19T00:00:00")]),  # moves the watermark on
     ]
-    # Behind a zero-delay watermark the late row is dropped; a 5-day delay tolerates it.
-    assert _versioned(spark, files) == [(1, 100), (2, 300), (4, 1)]
-    assert _versioned(spark, files, "5 days") == [(1, 100), (2, 300), (3, 100)]
+    # The late row is joined and emitted; with late="drop" it goes, unless the delay tolerates it.
+    assert _versioned(spark, files) == [(1, 100), (2, 300), (3, 100), (4, 1)]
+    assert _versioned(spark, files, late="drop") == [(1, 100), (2, 300), (4, 1)]
+    assert _versioned(spark, files, "5 days", "drop") == [(1, 100), (2, 300), (3, 100)]
 
 
 def test_version_stream_in_another_process_zone(tmp_path):
@@ -122,8 +125,7 @@ def test_version_stream_in_another_process_zone(tmp_path):
 
 def test_alert_stream_clears_state_after_month(spark):
     """With clearing on, a key's state is dropped once the watermark passes month end + grace; a row
-    of that month arriving later is behind the watermark and dropped by Spark, so it cannot restart
-    the total."""
+    of that month arriving later is dropped, so it cannot restart the total."""
     from datetime import timedelta
     v = versions(spark, [("a", 100, "2021-09-01T00:00:00"), ("b", 100, "2021-09-01T00:00:00")])
     src = scratch_path(spark, "t-clear")
@@ -142,6 +144,28 @@ def test_alert_stream_clears_state_after_month(spark):
     assert months == [("b", 11)]
 
 
+def test_clearing_keeps_late_rows_of_open_months(spark):
+    from datetime import timedelta
+    v = versions(spark, [("a", 100, "2021-09-01T00:00:00")])
+    src = scratch_path(spark, "t-open")
+    for chunk in ([("a", 50, "2021-10-10T00:00:00", 1)], [("b", 1, "2021-10-20T00:00:00", 2)],
+                  [("a", 45, "2021-10-09T00:00:00", 3)]):
+        usage(spark, chunk).coalesce(1).write.mode("append").parquet(src)
+    s = spark.readStream.schema("account string, bytesUsed long, ts timestamp, event_id long") \
+        .option("maxFilesPerTrigger", 1).parquet(src)
+    out, ck = fresh_paths(spark, "t-open")
+    run_to_end(stream_usage_alerts(enrich_static(s, v), "event_id", clear_after=timedelta(days=3)), ck, "append", path=out)
+    assert [(r["account"], r["total"], r["event_id"]) for r in spark.read.parquet(out).collect()] == [("a", 95, 3)]
+
+
+def test_clearing_after_an_emitting_join_raises(spark, tmp_path):
+    from datetime import timedelta
+    s = spark.readStream.schema("account string, bytesUsed long, ts timestamp, event_id long").parquet(str(tmp_path))
+    v = spark.readStream.schema("id string, quota long, ts timestamp").parquet(str(tmp_path))
+    with pytest.raises(ValueError, match="late='drop'"):
+        stream_usage_alerts(enrich_versioned(s, v, "event_id"), "event_id", clear_after=timedelta(days=1))
+
+
 def test_alert_stream_adds_in_arrival_order(spark):
     """Documents the one difference to batch: the stream adds rows in arrival order (as the reference
     does), so a file replayed out of event order can move the warning to another row."""
@@ -183,7 +207,7 @@ def test_alerts_with_clearing_after_version_stream(spark, sf001):
     rp = EventOrderReplay(spark, "t-chain")
     u = rp.source(td.usage_from_events(spark, sf001), "ts")
     v = rp.source(td.versions_from_events(spark, sf001), "ts")
-    q = stream_usage_alerts(enrich_versioned(u, v, "event_id"), "event_id", clear_after=timedelta(days=1))
+    q = stream_usage_alerts(enrich_versioned(u, v, "event_id", late="drop"), "event_id", clear_after=timedelta(days=1))
     out, ck = fresh_paths(spark, "t-chain")
     rp.run(lambda: run_to_end(q, ck, "append", path=out))
     batch = usage_alerts(enrich_usage(td.usage_from_events(spark, sf001), td.versions_from_events(spark, sf001)),

@@ -183,3 +183,17 @@ def test_slice_plan_survives_task_retries(tmp_path):
     out = subprocess.run([sys.executable, str(script)], capture_output=True, text=True, timeout=600)
     assert "RESULT True" in out.stdout, out.stderr[-3000:]
     assert "injected task failure" in out.stderr
+
+
+def test_overflow_is_exact():
+    import numpy as np
+    from meterline.operators.scan import check_sums
+    from meterline.streaming.alerts import checked_cumsum
+
+    with pytest.raises(OverflowError):
+        checked_cumsum(2 ** 63 - 1024, np.ones(2000, dtype="int64"))
+    assert checked_cumsum(2 ** 63 - 10, np.ones(8, dtype="int64"))[-1] == 2 ** 63 - 2
+    v = np.array([2 ** 62, 2 ** 62 - 1, 1], dtype="int64")
+    assert check_sums(np.cumsum(v[:2]), v[:2])[-1] == 2 ** 63 - 1
+    with pytest.raises(OverflowError):
+        check_sums(np.cumsum(v), v)
