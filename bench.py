@@ -26,8 +26,8 @@ HEADLINE = {
     "quota_enriched_ordered": R.quota_enriched_ordered,  # enrichment in event-time order
     "running_usage": R.running_usage_q,                # running total per billing key
     "usage_alerts": R.usage_alerts_q,                  # flagship: enrichment + running total + first hit
-    "usage_alerts_sliced": R.usage_alerts_sliced,      # the same with the skew (slice) plan forced
-    "usage_alerts_hot_account": R.usage_alerts_hot_account,  # a third of the rows in one account, slices
+    "usage_alerts_sliced": R.usage_alerts_sliced,      # the same in narrow time buckets
+    "usage_alerts_hot_account": R.usage_alerts_hot_account,  # a third of the rows in one account
     "account_totals_changes": R.account_totals_changes,  # change rows of the updating total
 }
 

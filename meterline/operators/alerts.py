@@ -6,6 +6,8 @@ and may warn again; returning to an earlier quota continues that quota's total.
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -13,19 +15,19 @@ from pyspark.sql import functions as F
 
 from ..functions.billing import alert_message, over_threshold
 from ..schemas import ALERT_RATIO, BILLING_KEY
-from .scan import running_sum
+from .scan import WIDTH, running_sum
 
 
-def running_usage(enriched: DataFrame, tie: str, key: Sequence[str] = BILLING_KEY, plan: str = "auto",
-                  num_slices: int | None = None) -> DataFrame:
+def running_usage(enriched: DataFrame, tie: str, key: Sequence[str] = BILLING_KEY, plan: str = "buckets",
+                  width: timedelta = WIDTH) -> DataFrame:
     """Add ``total``: the key's usage up to and including this row in ``(ts, tie)`` order."""
     return running_sum(enriched, list(key), ["ts", tie], "bytesUsed", "total", plan=plan,
-                       num_slices=num_slices)
+                       width=width)
 
 
 def usage_alerts(enriched: DataFrame, tie: str, ratio: float = ALERT_RATIO,
-                 key: Sequence[str] = BILLING_KEY, plan: str = "auto",
-                 num_slices: int | None = None) -> DataFrame:
+                 key: Sequence[str] = BILLING_KEY, plan: str = "buckets",
+                 width: timedelta = WIDTH) -> DataFrame:
     """One row per billing key whose total passes ``ratio * quota``: the first row that does.
 
     Columns ``ts, account, total, quota, message`` plus ``billingYear, billingMonth``.  The first hit
@@ -36,7 +38,7 @@ def usage_alerts(enriched: DataFrame, tie: str, ratio: float = ALERT_RATIO,
     changes and each row is compared with the quota in force at its time.
     """
     key = list(key)
-    run = running_usage(enriched, tie, key, plan, num_slices)
+    run = running_usage(enriched, tie, key, plan, width)
     hits = run.where(over_threshold("total", "quota", ratio))
     carried = [c for c in ("account", "billingYear", "billingMonth", "quota") if c not in key]
     first = hits.groupBy(*key).agg(F.min(F.struct("ts", tie, "total", *carried)).alias("_h"))

@@ -9,7 +9,7 @@ three physical strategies:
     version intervals (``lead`` over the versions of one account) are broadcast and probed with an
     equi-join on the account plus the time range as residual; the usage side is not shuffled.
 ``shuffle``
-    the same interval join, planned by Spark (sort-merge with adaptive skew splitting).
+    the same interval join, planned by Spark as a shuffle join.
 ``merge``
     usage and versions are unioned, put in event order and every usage row carries forward the last
     version before it (see :mod:`meterline.operators.scan`).  Linear, balanced under any skew, and
@@ -22,12 +22,14 @@ aggregate over the versions.
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scan import last_seen, next_in_order
+from .scan import WIDTH, last_seen, next_in_order
 
 # Defaults of the strategy choice.
 MAX_BROADCAST_ROWS = 1_000_000       # about 60 MB of intervals per executor
@@ -67,14 +69,14 @@ def latest_per_time(versions: DataFrame, tie: str, id_col: str = "id", ts_col: s
                     .select(id_col, ts_col, *[F.col(f"_v.{c}").alias(c) for c in rest]))
 
 
-def version_intervals(versions: DataFrame, id_col: str = "id", ts_col: str = "ts", plan: str = "auto",
-                      num_slices: int | None = None) -> DataFrame:
+def version_intervals(versions: DataFrame, id_col: str = "id", ts_col: str = "ts", plan: str = "buckets",
+                      width: timedelta = WIDTH) -> DataFrame:
     """``versions`` plus ``valid_from`` (= ``ts``) and ``valid_to`` (next version's time or null).
 
-    ``plan="window"`` (the caller has checked that no account has many versions) is a plain ``lead``;
-    ``"auto"`` checks and uses the slice-wise ``lead`` when one account has very many versions.
+    ``plan="window"`` is a plain ``lead``, for accounts of few versions; otherwise see
+    :mod:`meterline.operators.scan`.
     """
-    out = next_in_order(versions, [id_col], [ts_col], "valid_to", plan=plan, num_slices=num_slices)
+    out = next_in_order(versions, [id_col], [ts_col], "valid_to", plan=plan, width=width)
     return out.withColumn("valid_from", F.col(ts_col))
 
 
@@ -93,7 +95,7 @@ def interval_join(left: DataFrame, intervals: DataFrame, left_key: str, left_ts:
 
 
 def _merge_join(left: DataFrame, right: DataFrame, left_key: str, left_ts: str, id_col: str,
-                ts_col: str, values: list[str], plan: str, num_slices: int | None) -> DataFrame:
+                ts_col: str, values: list[str], plan: str, width: timedelta) -> DataFrame:
     row_t = left.select(F.struct(*left.columns).alias("r")).schema["r"].dataType
     ver_t = right.select(F.struct(*values).alias("v")).schema["v"].dataType
     facts = left.select(F.col(left_key).alias("_k"), F.col(left_ts).alias("_t"), F.lit(1).alias("_side"),
@@ -102,7 +104,7 @@ def _merge_join(left: DataFrame, right: DataFrame, left_key: str, left_ts: str,
                         F.lit(None).cast(row_t).alias("_row"), F.struct(*values).alias("_ver"))
     # Versions sort before usage at the same time: a version applies from its own time on.
     both = facts.unionByName(dims)
-    found = last_seen(both, ["_k"], ["_t", "_side"], "_ver", "_found", plan=plan, num_slices=num_slices)
+    found = last_seen(both, ["_k"], ["_t", "_side"], "_ver", "_found", plan=plan, width=width)
     return (found.where((F.col("_side") == 1) & F.col("_found").isNotNull())
                  .select(*[F.col(f"_row.{c}").alias(c) for c in left.columns],
                          *[F.col(f"_found.{v}").alias(v) for v in values]))
@@ -122,7 +124,7 @@ def as_of_join(left: DataFrame, right: DataFrame, left_key: str = "account", rig
                strategy: str = "auto", tie: str | None = None,
                max_broadcast_rows: int = MAX_BROADCAST_ROWS,
                max_versions_per_key: int = MAX_VERSIONS_PER_KEY,
-               plan: str = "auto", num_slices: int | None = None) -> DataFrame:
+               plan: str = "buckets", width: timedelta = WIDTH) -> DataFrame:
     """Inner as-of join: ``left`` columns plus ``values`` of the latest ``right`` row with the same key
     and ``right_ts <= left_ts``.
 
@@ -144,5 +146,5 @@ def as_of_join(left: DataFrame, right: DataFrame, left_key: str = "account", rig
         iv = version_intervals(right, right_key, right_ts, plan="window")
         return interval_join(left, iv, left_key, left_ts, right_key, values, strategy == "broadcast")
     if strategy == "merge":
-        return _merge_join(left, right, left_key, left_ts, right_key, right_ts, values, plan, num_slices)
+        return _merge_join(left, right, left_key, left_ts, right_key, right_ts, values, plan, width)
     raise ValueError(f"unknown strategy {strategy!r}")

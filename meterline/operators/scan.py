@@ -2,336 +2,128 @@
 
 A running total per key is naturally a window partitioned by the key, but one window partition is
 processed by one task: a key holding a third of all rows would put a third of the data into one task.
-Each operator here therefore has two plans:
+So a key's rows are cut into time buckets of a fixed ``width``:
 
-``window``
-    the plain window partitioned by the key — one shuffle; used when a group-size check (one grouped
-    count, combined map-side) shows that no key exceeds ``max_group_rows``.
-``slices``
-    the rows are cut into ``n`` contiguous *slices* of the global order ``(keys…, order…, position)``
-    by a range shuffle, so a hot key is spread over many consecutive slices of about ``rows / n``
-    rows each.  Each slice computes its part locally, in one ordered pass over the stored slice
-    (``mapInArrow``, no further shuffle; ``local="window"`` uses a window partitioned by
-    ``(keys…, slice)`` instead, at the cost of a second shuffle).  What a slice needs from earlier
-    slices of the same key (the *carry*) comes from a small table of per-``(key, slice)`` summaries.
+1. rows are aggregated by (key, bucket), combined before the shuffle;
+2. a window over a key's buckets, one row each, gives what a bucket needs from the others (the carry);
+3. the carry is joined back by (key, bucket), and a window inside (key, bucket) does the rest.
 
-The sliced rows are read twice (local part and summaries), and both reads must see the same slice
-numbers, so the sliced rows are written once with a reliable ``checkpoint()`` into the cluster's shared
-checkpoint folder.  That also cuts the lineage: a lost executor re-reads the files instead of
-re-running the range shuffle.
-
-Bound used for every broadcast below: a key can only need a carry in slice ``s`` if it also occurs in
-an earlier slice; slices are contiguous ranges of the order, so such a key runs across the boundary
-``s-1 | s``, and each boundary is crossed by at most one key.  A carry table therefore has at most
-``n - 1`` rows, whatever the data size or skew.
+The join and the last window share one shuffle of the rows.  A hot key spreads over its buckets, so
+``width`` bounds what a task gets; it should be chosen so that a bucket of the busiest key fits one.
+Everything is a DataFrame expression: no job runs while a result is being defined, nothing is written, and
+there is no switch on size.  ``plan="window"`` is the plain window, for input that is partitioned by key
+already (a bucketed table).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
+from datetime import timedelta
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import shared_dir, shuffle_partitions
-
-SLICE = "_slice"
-SEQ = "_seq"
-
-# Largest key group one window task is given (rows).  Above it the slice plan is used.
-MAX_GROUP_ROWS = 20_000_000
-
-
-def _cols(names: Sequence) -> list:
-    return [F.col(c) if isinstance(c, str) else c for c in names]
+WIDTH = timedelta(hours=1)
+_KEY, _BUCKET = "_key", "_bucket"
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Row count of the largest key group (a grouped count, combined map-side; one row to the driver)."""
-    r = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("m")).first()
-    return int(r["m"] or 0)
+def check_sums(sums, values):
+    """Raise if a running sum left the 64-bit range.  ``sums`` wrap, so the sum before a value is exactly
+    ``sum - value`` again, and an addition overflowed if both terms have the sign that the sum lacks."""
+    before = sums - values
+    if (((before ^ sums) & (values ^ sums)) < 0).any():
+        raise OverflowError("running usage total exceeds the 64-bit range")
+    return sums
 
 
-def pick_plan(df: DataFrame, keys: Sequence[str], plan: str, max_group_rows: int) -> str:
-    if plan == "auto":
-        return "window" if largest_group(df, keys) <= max_group_rows else "slices"
-    if plan not in ("window", "slices"):
+def _whole(plan: str) -> bool:
+    if plan not in ("buckets", "window"):
         raise ValueError(f"unknown plan {plan!r}")
-    return plan
+    return plan == "window"
 
 
-def order_slices(df: DataFrame, keys: Sequence[str], order: Sequence, num_slices: int | None = None,
-                 sort: bool = False) -> DataFrame:
-    """Range-partition ``df`` by ``(keys…, order…, position)``, number the partitions in ``_slice`` and
-    checkpoint the result (see module doc).  With ``sort`` each slice is also stored in that order, so
-    that a per-partition pass sees one slice, in order.
+def time_buckets(df: DataFrame, keys: Sequence[str], time: str, width: timedelta = WIDTH) -> DataFrame:
+    """Adds the key as one struct, which compares nulls as equal, and the number of the time bucket."""
+    us = max(1, width // timedelta(microseconds=1))
+    kind = df.schema[time].dataType
+    at = F.unix_micros(time) if isinstance(kind, T.TimestampType) else F.col(time).cast("long") * 1_000_000
+    return df.withColumns({_KEY: F.struct(*keys), _BUCKET: F.floor(at / F.lit(us))})
 
-    The row position ``_seq`` ends the range order, so that even many copies of one row are spread over
-    slices.
-    """
-    n = num_slices or shuffle_partitions(df.sparkSession)
-    shared_dir(df.sparkSession)
-    sliced = (df.withColumn(SEQ, F.monotonically_increasing_id())
-                .repartitionByRange(n, *_cols(keys), *_cols(order), F.col(SEQ))
-                .withColumn(SLICE, F.spark_partition_id()))
-    if sort:
-        sliced = sliced.sortWithinPartitions(*_cols(keys), *_cols(order), F.col(SEQ))
-    return sliced.checkpoint(eager=True)
 
+def _with_carry(rows: DataFrame, parts: list[Column], carry: dict[str, Column]) -> DataFrame:
+    per = rows.groupBy(_KEY, _BUCKET).agg(*parts)
+    return rows.join(per.withColumns(carry).select(_KEY, _BUCKET, *carry), [_KEY, _BUCKET])
 
-def _attach_carry(local: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left-join the carry table (at most n-1 rows, see module doc) by broadcast.
-
-    Keys compare null-safe: a key part may be null (a version without quota) and still span slices.
-    """
-    c = carry
-    for k in keys:
-        c = c.withColumnRenamed(k, f"_c_{k}")
-    c = c.withColumnRenamed(SLICE, "_c_slice")
-    cond = reduce(lambda a, b: a & b,
-                  [local[k].eqNullSafe(c[f"_c_{k}"]) for k in keys] + [local[SLICE] == c["_c_slice"]])
-    out = local.join(F.broadcast(c), cond, "left")
-    return out.drop(*[f"_c_{k}" for k in keys], "_c_slice")
 
+def _same_bucket(rows: DataFrame) -> DataFrame:
+    """Null buckets (rows without a time) join as well: they get a number before all others."""
+    return rows.withColumn(_BUCKET, F.coalesce(_BUCKET, F.lit(-(1 << 63) + 1)))
 
-def _runs(batch, keys: Sequence[str]):
-    """Start flags of runs of equal keys (null-safe) in a key-sorted Arrow batch."""
-    import numpy as np
-    import pyarrow.compute as pc
 
-    n = batch.num_rows
-    new = np.zeros(n, dtype=bool)
-    new[0] = True
-    for k in keys:
-        col = batch.column(k)
-        a, b = col.slice(1), col.slice(0, n - 1)
-        neq = pc.fill_null(pc.not_equal(a, b), False)
-        one_null = pc.xor(pc.is_null(a), pc.is_null(b))
-        new[1:] |= np.asarray(pc.or_(neq, one_null))
-    return new
+def _inside(order: Sequence[str]):
+    return Window.partitionBy(_KEY, _BUCKET).orderBy(*order)
 
 
-def _same_key(batch, keys: Sequence[str], last: tuple | None) -> bool:
-    return last is not None and tuple(batch.column(k)[0].as_py() for k in keys) == last
-
-
-def check_sums(sums, values):
-    """Raise if a running sum left the 64-bit range.  ``sums`` wrap, so the sum before a value is exactly
-    ``sum - value`` again, and an addition overflowed if both terms have the sign that the sum lacks."""
-    before = sums - values
-    if (((before ^ sums) & (values ^ sums)) < 0).any():
-        raise OverflowError("running usage total exceeds the 64-bit range")
-    return sums
-
+def _across():
+    return Window.partitionBy(_KEY).orderBy(_BUCKET)
 
-def _local_running_sum(keys: Sequence[str], value: str, out: str, prev_col: str | None):
-    """Per-partition pass for the slice plan: running sum (and previous time) per run of equal keys,
-    continuing across the Arrow batches of one partition.  Exact 64-bit sums; an overflow raises."""
-    def run(batches):
-        import numpy as np
-        import pyarrow as pa
-        import pyarrow.compute as pc
 
-        last, total, prev = None, 0, None
-        for batch in batches:
-            n = batch.num_rows
-            if n == 0:
-                continue
-            new = _runs(batch, keys)
-            cont = _same_key(batch, keys, last)
-            carry_in = total if cont else 0
-            rid = np.cumsum(new) - 1
-            starts = np.flatnonzero(new)
-            # Nulls add nothing, as in Spark's sum (bytes are non-null by contract anyway).
-            vals = pc.fill_null(batch.column(value), 0).to_numpy(zero_copy_only=False).astype("int64")
-            cs = np.cumsum(vals)                       # differences below are exact even if cs wraps
-            local = cs - (cs - vals)[starts][rid]
-            local[rid == 0] += carry_in
-            check_sums(local, vals)
-            res = batch.append_column(out, pa.array(local, pa.int64()))
-            if prev_col:
-                t = batch.column(prev_col)
-                shifted = pa.concat_arrays([pa.array([prev], t.type), t.slice(0, n - 1)])
-                first = new.copy()
-                first[0] = not cont
-                res = res.append_column("_prev", pc.if_else(pa.array(first), pa.nulls(n, t.type), shifted))
-                prev = t[n - 1].as_py()
-            last = tuple(batch.column(k)[n - 1].as_py() for k in keys)
-            total = int(local[-1])
-            yield res
-    return run
+def _up_to(w):
+    return w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str,
-                prev_order: str | None = None, plan: str = "auto",
-                max_group_rows: int = MAX_GROUP_ROWS, num_slices: int | None = None,
-                local: str = "arrow") -> DataFrame:
+                prev_order: str | None = None, plan: str = "buckets", width: timedelta = WIDTH) -> DataFrame:
     """Add ``out`` = sum of ``value`` over the key's rows up to and including this row.
 
-    ``order`` must be a total order within a key (add a tie column).  With ``prev_order`` set, also
-    add ``_prev`` = the first ``order`` column of the key's previous row (null on the first row).
-    Sums use checked long arithmetic: an overflow raises instead of wrapping.
-
-    In the slice plan the part inside each slice runs, with ``local="arrow"``, as one ordered pass over
-    each stored slice (``mapInArrow``): no shuffle after the range shuffle.  ``local="window"`` uses a
-    window partitioned by ``(keys, slice)`` instead, which stays in the JVM but shuffles the rows again.
+    ``order`` must be a total order within a key (add a tie column) and begin with its time.  Nulls add
+    nothing.  With ``prev_order`` set, also add ``_prev`` = the first ``order`` column of the key's
+    previous row (null on the first row).  Sums are checked: an overflow raises instead of wrapping.
     """
-    keys, order = list(keys), list(order)
-    if pick_plan(df, keys, plan, max_group_rows) == "window":
+    order, amount = list(order), F.coalesce(F.col(value), F.lit(0)).cast("long")
+    if _whole(plan):
         w = Window.partitionBy(*keys).orderBy(*order)
-        res = df.withColumn(out, F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        res = df.withColumn(out, F.sum(amount).over(_up_to(w)))
         return res.withColumn("_prev", F.lag(order[0]).over(w)) if prev_order else res
-
-    sliced = order_slices(df, keys, order, num_slices, sort=(local == "arrow"))
-    if local == "arrow":
-        fields = list(sliced.schema.fields) + [T.StructField(out, T.LongType())]
-        if prev_order:
-            fields.append(T.StructField("_prev", sliced.schema[order[0]].dataType))
-        local_df = sliced.mapInArrow(_local_running_sum(keys, value, out, order[0] if prev_order else None),
-                                     T.StructType(fields))
-    else:
-        w = Window.partitionBy(*keys, SLICE).orderBy(*order, SEQ)
-        local_df = sliced.withColumn(out, F.sum(value).over(w.rowsBetween(Window.unboundedPreceding,
-                                                                          Window.currentRow)))
-        if prev_order:
-            local_df = local_df.withColumn("_prev", F.lag(order[0]).over(w))
-    local = local_df
-    aggs = [F.sum(value).alias("_part")]
-    if prev_order:
-        aggs.append(F.max(order[0]).alias("_last"))
-    per_slice = sliced.groupBy(*keys, SLICE).agg(*aggs)
-    before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_slice.withColumn("_carry", F.sum("_part").over(before))
-    sel = [*keys, SLICE, "_carry"]
-    if prev_order:
-        carry = carry.withColumn("_carry_last", F.max("_last").over(before))
-        sel.append("_carry_last")
-    carry = carry.where(F.col("_carry").isNotNull()).select(*sel)
-    res = _attach_carry(local, carry, keys).withColumn(out, F.col(out) + F.coalesce("_carry", F.lit(0)))
+    rows = _same_bucket(time_buckets(df, keys, order[0], width))
+    before = _across().rowsBetween(Window.unboundedPreceding, -1)
+    res = _with_carry(rows, [F.sum(amount).alias("_part"), F.max(order[0]).alias("_last")],
+                      {"_carry": F.coalesce(F.sum("_part").over(before), F.lit(0)),
+                       "_carry_last": F.lag("_last").over(_across())})
+    res = res.withColumn(out, F.col("_carry") + F.sum(amount).over(_up_to(_inside(order))))
     if prev_order:
-        res = res.withColumn("_prev", F.coalesce("_prev", "_carry_last")).drop("_carry_last")
-    return res.drop("_carry", SLICE, SEQ)
+        res = res.withColumn("_prev", F.coalesce(F.lag(order[0]).over(_inside(order)), "_carry_last"))
+    return res.drop(_KEY, _BUCKET, "_carry", "_carry_last")
 
 
-def _local_next(keys: Sequence[str], order_col: str, out: str):
-    """Per-partition pass for the slice plan: ``lead(order_col)`` within runs of equal keys.  The last
-    row of each Arrow batch is held back and put in front of the next batch, which supplies its lead."""
-    def run(batches):
-        import numpy as np
-        import pyarrow as pa
-        import pyarrow.compute as pc
-
-        pending = None
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            if pending is not None:
-                batch = pa.Table.from_batches([pending, batch]).combine_chunks().to_batches()[0]
-            n = batch.num_rows
-            col = batch.column(order_col)
-            new = _runs(batch, keys)
-            nxt = pa.concat_arrays([col.slice(1), pa.nulls(1, col.type)])
-            ends = np.append(new[1:], True)            # last row of each run has no lead here
-            lead = pc.if_else(pa.array(ends), pa.nulls(n, col.type), nxt)
-            done = batch.append_column(out, lead)
-            pending = batch.slice(n - 1, 1)
-            if n > 1:
-                yield done.slice(0, n - 1)
-        if pending is not None:
-            yield pending.append_column(out, pa.nulls(1, pending.column(order_col).type))
-    return run
-
-
-def next_in_order(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, plan: str = "auto",
-                  max_group_rows: int = MAX_GROUP_ROWS, num_slices: int | None = None,
-                  local: str = "arrow") -> DataFrame:
-    """Add ``out`` = the first ``order`` column of the key's next row (``lead``), null on the last.
-    ``local`` as in :func:`running_sum`."""
-    keys, order = list(keys), list(order)
-    if pick_plan(df, keys, plan, max_group_rows) == "window":
+def next_in_order(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, plan: str = "buckets",
+                  width: timedelta = WIDTH) -> DataFrame:
+    """Add ``out`` = the first ``order`` column of the key's next row (``lead``), null on the last."""
+    order = list(order)
+    if _whole(plan):
         return df.withColumn(out, F.lead(order[0]).over(Window.partitionBy(*keys).orderBy(*order)))
-
-    sliced = order_slices(df, keys, order, num_slices, sort=(local == "arrow"))
-    if local == "arrow":
-        schema = T.StructType(list(sliced.schema.fields)
-                              + [T.StructField(out, sliced.schema[order[0]].dataType)])
-        local_df = sliced.mapInArrow(_local_next(keys, order[0], out), schema)
-    else:
-        w = Window.partitionBy(*keys, SLICE).orderBy(*order, SEQ)
-        local_df = sliced.withColumn(out, F.lead(order[0]).over(w))
-    local = local_df
-    per_slice = sliced.groupBy(*keys, SLICE).agg(F.min(order[0]).alias("_first"))
-    after = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(1, 1)
-    carry = (per_slice.withColumn("_carry", F.first("_first").over(after))
-                      .where(F.col("_carry").isNotNull()).select(*keys, SLICE, "_carry"))
-    res = _attach_carry(local, carry, keys).withColumn(out, F.coalesce(out, "_carry"))
-    return res.drop("_carry", SLICE, SEQ)
-
-
-def _local_last_seen(keys: Sequence[str], value: str, out: str):
-    """Per-partition pass for the slice plan: last non-null ``value`` so far within each run of equal
-    keys, continuing across Arrow batches.  Works on nested values (taken by index, never converted)."""
-    def run(batches):
-        import numpy as np
-        import pyarrow as pa
-        import pyarrow.compute as pc
-
-        last, carry = None, None
-        for batch in batches:
-            n = batch.num_rows
-            if n == 0:
-                continue
-            col = batch.column(value)
-            new = _runs(batch, keys)
-            cont = _same_key(batch, keys, last)
-            rid = np.cumsum(new) - 1
-            run_start = np.flatnonzero(new)[rid]
-            valid = ~np.asarray(pc.is_null(col))
-            seen = np.maximum.accumulate(np.where(valid, np.arange(n), -1))
-            # Index into [carry] + column: a value of this run, else the carried one, else none.
-            idx = np.where(seen >= run_start, seen + 1, -1)
-            if cont and carry is not None:
-                idx = np.where((idx < 0) & (rid == 0), 0, idx)
-            src = pa.concat_arrays([carry if carry is not None else pa.nulls(1, col.type), col])
-            filled = pc.take(src, pa.array(idx, mask=idx < 0))
-            tail = filled.slice(n - 1, 1)
-            carry = tail if tail.null_count == 0 else None
-            last = tuple(batch.column(k)[n - 1].as_py() for k in keys)
-            yield batch.append_column(out, filled)
-    return run
+    rows = _same_bucket(time_buckets(df, keys, order[0], width))
+    res = _with_carry(rows, [F.min(order[0]).alias("_first")], {"_carry": F.lead("_first").over(_across())})
+    return (res.withColumn(out, F.coalesce(F.lead(order[0]).over(_inside(order)), "_carry"))
+               .drop(_KEY, _BUCKET, "_carry"))
 
 
 def last_seen(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str,
-              plan: str = "auto", max_group_rows: int = MAX_GROUP_ROWS,
-              num_slices: int | None = None, local: str = "arrow") -> DataFrame:
+              plan: str = "buckets", width: timedelta = WIDTH) -> DataFrame:
     """Add ``out`` = the last non-null ``value`` at or before this row within the key.
 
     This is the carry-forward step of a merge as-of join: ``value`` is set on the dimension rows and
-    null on the fact rows, which then pick up the latest dimension row before them.  ``local`` as in
-    :func:`running_sum`.
+    null on the fact rows, which then pick up the latest dimension row before them.
     """
-    keys, order = list(keys), list(order)
-    if pick_plan(df, keys, plan, max_group_rows) == "window":
-        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.withColumn(out, F.last(value, ignorenulls=True).over(w))
-
-    sliced = order_slices(df, keys, order, num_slices, sort=(local == "arrow"))
-    if local == "arrow":
-        schema = T.StructType(list(sliced.schema.fields)
-                              + [T.StructField(out, sliced.schema[value].dataType)])
-        local_df = sliced.mapInArrow(_local_last_seen(keys, value, out), schema)
-    else:
-        w = (Window.partitionBy(*keys, SLICE).orderBy(*order, SEQ)
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        local_df = sliced.withColumn(out, F.last(value, ignorenulls=True).over(w))
-    local = local_df
-    # Last non-null value of each (key, slice): the max of (order, position, value) over rows with one.
-    per_slice = sliced.groupBy(*keys, SLICE).agg(
-        F.max(F.when(F.col(value).isNotNull(), F.struct(*_cols(order), F.col(SEQ), F.col(value).alias("_v")))).alias("_lastv"))
-    before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    carry = (per_slice.withColumn("_carry", F.last(F.col("_lastv._v"), ignorenulls=True).over(before))
-                      .where(F.col("_carry").isNotNull()).select(*keys, SLICE, "_carry"))
-    res = _attach_carry(local, carry, keys).withColumn(out, F.coalesce(out, "_carry"))
-    return res.drop("_carry", SLICE, SEQ)
+    order = list(order)
+    if _whole(plan):
+        w = Window.partitionBy(*keys).orderBy(*order)
+        return df.withColumn(out, F.last(value, ignorenulls=True).over(_up_to(w)))
+    rows = _same_bucket(time_buckets(df, keys, order[0], width))
+    at = F.when(F.col(value).isNotNull(), F.struct(*order))  # rows without a value don't count
+    before = _across().rowsBetween(Window.unboundedPreceding, -1)
+    res = _with_carry(rows, [F.max_by(value, at).alias("_part")],
+                      {"_carry": F.last("_part", ignorenulls=True).over(before)})
+    here = F.last(value, ignorenulls=True).over(_up_to(_inside(order)))
+    return res.withColumn(out, F.coalesce(here, "_carry")).drop(_KEY, _BUCKET, "_carry")

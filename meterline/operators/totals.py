@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scan import running_sum
+from .scan import WIDTH, running_sum
 
 
 def account_totals(usage: DataFrame, total: str = "totalConsumption", as_of: str = "asOf") -> DataFrame:
@@ -18,14 +20,14 @@ def account_totals(usage: DataFrame, total: str = "totalConsumption", as_of: str
 
 
 def account_total_changes(usage: DataFrame, tie: str, total: str = "totalUsage", as_of: str = "asOf",
-                          plan: str = "auto", num_slices: int | None = None) -> DataFrame:
+                          plan: str = "buckets", width: timedelta = WIDTH) -> DataFrame:
     """The change rows an updating per-account total emits, one step per usage row in ``(ts, tie)`` order.
 
     First row of an account: ``+I``; every later row retracts the previous result (``-U``) and adds
-    the new one (``+U``).  ``seq`` numbers the steps of an account (``+I`` is 0).
+    the new one (``+U``).
     """
     run = running_sum(usage, ["account"], ["ts", tie], "bytesUsed", "_total", prev_order="ts",
-                      plan=plan, num_slices=num_slices)
+                      plan=plan, width=width)
     run = run.withColumn("_asof", F.col("ts"))  # in time order the running max of ts is the row's ts
     first = F.col("_prev").isNull()
     steps = F.when(first, F.array(F.struct(F.lit("+I").alias("op"), F.col("_total").alias("t"),

@@ -8,6 +8,7 @@ Streaming to completion and return what the sink holds.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from .. import testdata as td
 from ..functions.billing import billing_key
 from ..operators import (account_total_changes, account_totals, enrich_usage, in_time_order,
                          running_usage, usage_alerts, version_intervals)
+from ..operators.scan import WIDTH
 from ..schemas import BILLING_KEY
 from ..sources.codec import decode_usage, usage_json
 from ..sources.log import in_range
@@ -33,14 +35,13 @@ def _versions(spark, sf):
     return td.versions_from_events(spark, sf)
 
 
-def _enriched(spark, sf, strategy="auto", plan="auto"):
-    return enrich_usage(_usage(spark, sf), _versions(spark, sf), strategy=strategy, plan=plan,
-                        num_slices=SLICES if plan == "slices" else None)
+def _enriched(spark, sf, strategy="auto", width=WIDTH):
+    return enrich_usage(_usage(spark, sf), _versions(spark, sf), strategy=strategy, width=width)
 
 
-# The "_sliced" and "_hot_account" entries force the skew plan of the ordered scans (see
-# meterline.operators.scan) with many small slices, so that keys run across slice boundaries.
-SLICES = 64
+# The "_sliced" and "_hot_account" entries use narrow time buckets (see meterline.operators.scan), so that
+# keys run across very many of them.
+NARROW = timedelta(minutes=10)
 
 
 def usage_scan(spark: SparkSession, sf: str) -> DataFrame:
@@ -78,7 +79,7 @@ def account_totals_changes(spark, sf):
 
 
 def account_totals_changes_sliced(spark, sf):
-    return account_total_changes(_usage(spark, sf), tie=TIE, plan="slices", num_slices=SLICES)
+    return account_total_changes(_usage(spark, sf), tie=TIE, width=NARROW)
 
 
 def quota_intervals(spark, sf):
@@ -86,7 +87,7 @@ def quota_intervals(spark, sf):
 
 
 def quota_intervals_sliced(spark, sf):
-    return version_intervals(_versions(spark, sf), plan="slices", num_slices=SLICES).select(
+    return version_intervals(_versions(spark, sf), width=NARROW).select(
         "id", "quota", "valid_from", "valid_to")
 
 
@@ -104,7 +105,7 @@ def quota_enriched_merge(spark, sf):
 
 
 def quota_enriched_merge_sliced(spark, sf):
-    return _enriched(spark, sf, "merge", "slices").select(*ENRICHED_COLS)
+    return _enriched(spark, sf, "merge", NARROW).select(*ENRICHED_COLS)
 
 
 def quota_enriched_ordered(spark, sf):
@@ -132,7 +133,7 @@ def running_usage_q(spark, sf):
 
 
 def running_usage_sliced(spark, sf):
-    return running_usage(_enriched(spark, sf), TIE, plan="slices", num_slices=SLICES).select(
+    return running_usage(_enriched(spark, sf), TIE, width=NARROW).select(
         *ENRICHED_COLS, "total")
 
 
@@ -144,7 +145,7 @@ def usage_alerts_q(spark, sf):
 
 
 def usage_alerts_sliced(spark, sf):
-    return usage_alerts(_enriched(spark, sf), TIE, plan="slices", num_slices=SLICES).select(*ALERT_COLS)
+    return usage_alerts(_enriched(spark, sf), TIE, width=NARROW).select(*ALERT_COLS)
 
 
 def usage_alerts_bucketed(spark, sf):
@@ -156,7 +157,7 @@ def usage_alerts_bucketed(spark, sf):
     name = "usage_by_account_" + path.rpartition("/")[2]  # frames of several calls don't meet
     save_bucketed(_usage(spark, sf), name, path=path)
     e = enrich_usage(read_table(spark, name), _versions(spark, sf))
-    return usage_alerts(e, TIE).select(*ALERT_COLS)
+    return usage_alerts(e, TIE, plan="window").select(*ALERT_COLS)
 
 
 def _hot_enriched(spark, sf):
@@ -164,13 +165,13 @@ def _hot_enriched(spark, sf):
 
 
 def running_usage_hot_account(spark, sf):
-    """Skew fixture: one account holds a third of the rows; the slice plan cuts it across slices."""
-    return running_usage(_hot_enriched(spark, sf), TIE, plan="slices", num_slices=SLICES).select(
+    """Skew fixture: one account holds a third of the rows; it is cut into its time buckets."""
+    return running_usage(_hot_enriched(spark, sf), TIE, width=NARROW).select(
         *ENRICHED_COLS, "total")
 
 
 def usage_alerts_hot_account(spark, sf):
-    return usage_alerts(_hot_enriched(spark, sf), TIE, plan="slices", num_slices=SLICES).select(*ALERT_COLS)
+    return usage_alerts(_hot_enriched(spark, sf), TIE, width=NARROW).select(*ALERT_COLS)
 
 
 def usage_alerts_month_key(spark, sf):

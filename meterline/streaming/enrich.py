@@ -50,7 +50,7 @@ def enrich_static(usage: DataFrame, versions: DataFrame, max_broadcast_rows: int
     stats = version_stats(versions)
     if not stats.unique:
         raise ValueError("versions must be unique per (id, ts)")
-    plan = "window" if stats.max_per_key <= MAX_VERSIONS_PER_KEY else "auto"
+    plan = "window" if stats.max_per_key <= MAX_VERSIONS_PER_KEY else "buckets"
     iv = version_intervals(versions.select("id", "ts", "quota"), plan=plan)
     if usage.isStreaming:
         # The static side is planned again in every micro-batch: compute the intervals once and keep

@@ -6,12 +6,12 @@ import pytest
 from meterline.operators import enrich_usage, running_usage, usage_alerts
 from helpers import t, usage, versions
 
-PLANS = [("window", None), ("slices", 3)]
+PLANS = [("window", timedelta(days=1)), ("buckets", timedelta(days=3))]
 
 
 def hits(spark, urows, vrows, plan, n):
     e = enrich_usage(usage(spark, urows), versions(spark, vrows))
-    out = usage_alerts(e, tie="event_id", plan=plan, num_slices=n)
+    out = usage_alerts(e, tie="event_id", plan=plan, width=n)
     return sorted((r["ts"], r["account"], r["total"], r["quota"]) for r in out.collect())
 
 
@@ -59,7 +59,7 @@ class TestEdgeRows:
         rows = [("a", 85, "2021-10-02T00:00:00", 2), ("a", 10, "2021-10-02T00:00:00", 1)]
         # tie 1 (10) comes first: 10, then 95 crosses at event 2.
         e = enrich_usage(usage(spark, rows), versions(spark, Q100))
-        out = usage_alerts(e, tie="event_id", plan=plan, num_slices=n).collect()
+        out = usage_alerts(e, tie="event_id", plan=plan, width=n).collect()
         assert [(r["total"], r["message"]) for r in out] == [
             (95, "WARNING: as of 2021-10-02T00:00:00Z account a has used 95 out of 100 bytes")]
 
@@ -127,5 +127,5 @@ def test_key_without_quota_continues_month_total(spark, plan, n):
     v = Q100 + [("a", 200, "2021-10-05T00:00:00")]
     rows = [("a", 60, "2021-10-02T00:00:00", 1), ("a", 150, "2021-10-06T00:00:00", 2)]
     e = enrich_usage(usage(spark, rows), versions(spark, v))
-    out = usage_alerts(e, "event_id", key=("account", "billingYear", "billingMonth"), plan=plan, num_slices=n)
+    out = usage_alerts(e, "event_id", key=("account", "billingYear", "billingMonth"), plan=plan, width=n)
     assert [(r["total"], r["quota"]) for r in out.collect()] == [(210, 200)]

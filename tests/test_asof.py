@@ -3,11 +3,11 @@ import pytest
 from meterline.operators import as_of_join, enrich_usage, version_intervals, version_stats
 from helpers import t, usage, versions
 
-STRATEGIES = [("broadcast", "auto"), ("shuffle", "auto"), ("merge", "window"), ("merge", "slices")]
+STRATEGIES = [("broadcast", "buckets"), ("shuffle", "buckets"), ("merge", "window"), ("merge", "buckets")]
 
 
 def joined(spark, u, v, strategy, plan):
-    out = as_of_join(u, v, values=["quota"], strategy=strategy, plan=plan, num_slices=5)
+    out = as_of_join(u, v, values=["quota"], strategy=strategy, plan=plan)
     return sorted((r["event_id"], r["quota"]) for r in out.collect())
 
 
@@ -49,11 +49,11 @@ def test_duplicate_versions_need_a_tie(spark):
     assert [r["quota"] for r in out.collect()] == [300]
 
 
-@pytest.mark.parametrize("plan", ["window", "slices"])
+@pytest.mark.parametrize("plan", ["window", "buckets"])
 def test_intervals(spark, plan):
     v = versions(spark, [("a", 1, "2021-01-01T00:00:00"), ("a", 2, "2021-02-01T00:00:00"),
                          ("a", 3, "2021-03-01T00:00:00"), ("b", 9, "2021-01-05T00:00:00")])
-    iv = version_intervals(v, plan=plan, num_slices=3)
+    iv = version_intervals(v, plan=plan)
     got = sorted((r["id"], r["quota"], r["valid_from"], r["valid_to"]) for r in iv.collect())
     assert got == [("a", 1, t("2021-01-01T00:00:00"), t("2021-02-01T00:00:00")),
                    ("a", 2, t("2021-02-01T00:00:00"), t("2021-03-01T00:00:00")),
@@ -68,8 +68,8 @@ def test_enrichment_adds_billing_period(spark, edge):
     assert {(r["billingYear"], r["billingMonth"]) for r in e.collect()} == {(2021, 10)}
 
 
-def test_hot_account_with_many_versions_merge_slices(spark):
-    # One account holds most rows and many versions: the merge strategy with slices must equal the
+def test_hot_account_with_many_versions_merge_buckets(spark):
+    # One account holds most rows and many versions: the merge strategy in buckets must equal the
     # interval join, while no slice has to hold the whole account.
     urows = [("hot", i, f"2021-10-01T00:{i // 60:02d}:{i % 60:02d}", i) for i in range(600)]
     urows += [("cold", i, f"2021-10-01T00:00:{i:02d}", 1000 + i) for i in range(20)]
@@ -77,7 +77,7 @@ def test_hot_account_with_many_versions_merge_slices(spark):
     vrows += [("cold", 5, "2021-09-01T00:00:00")]
     u, v = usage(spark, urows), versions(spark, vrows)
     want = joined(spark, u, v, "broadcast", "auto")
-    assert joined(spark, u, v, "merge", "slices") == want
+    assert joined(spark, u, v, "merge", "buckets") == want
     assert len(want) == 600 - 30 + 20
 
 

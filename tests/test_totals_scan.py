@@ -1,10 +1,11 @@
 import random
+from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from meterline.operators import account_total_changes, account_totals
-from meterline.operators.scan import last_seen, largest_group, next_in_order, order_slices, running_sum
+from meterline.operators.scan import last_seen, next_in_order, running_sum, time_buckets
 from helpers import t, usage
 
 
@@ -22,11 +23,11 @@ def test_account_totals_plan_combines_before_shuffle(spark):
     assert "partial_sum" in plan and "partial_max" in plan
 
 
-@pytest.mark.parametrize("plan", ["window", "slices"])
+@pytest.mark.parametrize("plan", ["window", "buckets"])
 def test_change_rows(spark, plan):
     u = usage(spark, [("a", 5, "2021-10-01T00:00:00", 1), ("a", 3, "2021-10-02T00:00:00", 2),
                       ("b", 1, "2021-10-02T00:00:00", 3)])
-    got = sorted(tuple(r) for r in account_total_changes(u, "event_id", plan=plan, num_slices=3)
+    got = sorted(tuple(r) for r in account_total_changes(u, "event_id", plan=plan)
                  .select("op", "account", "totalUsage", "asOf").collect())
     assert got == sorted([("+I", "a", 5, t("2021-10-01T00:00:00")), ("-U", "a", 5, t("2021-10-01T00:00:00")),
                           ("+U", "a", 8, t("2021-10-02T00:00:00")), ("+I", "b", 1, t("2021-10-02T00:00:00"))])
@@ -43,146 +44,56 @@ def skewed(spark, seed=7, n=400):
     return spark.createDataFrame([(a, v, t(ts), e) for a, v, ts, e in rows], "k string, v long, ts timestamp, e long")
 
 
-def test_slices_spread_a_hot_key(spark):
-    df = skewed(spark)
-    sl = order_slices(df, ["k"], ["ts", "e"], num_slices=8)
-    per = {r["_slice"]: r["n"] for r in sl.where(F.col("k") == "hot").groupBy("_slice").count()
-           .withColumnRenamed("count", "n").collect()}
-    assert len(per) >= 6                      # the hot key spans most slices
-    assert max(per.values()) < largest_group(df, ["k"]) / 2
+DAYS = [timedelta(days=d) for d in (1, 3, 400)]
 
 
-def test_running_sum_slices_equal_window(spark):
-    df = skewed(spark)
-    a = running_sum(df, ["k"], ["ts", "e"], "v", "tot", plan="window")
-    b = running_sum(df, ["k"], ["ts", "e"], "v", "tot", plan="slices", num_slices=8)
-    # Only exact copies share (k, ts, e), so the multisets must agree.
-    key = lambda d: sorted((r["k"], r["ts"], r["e"], r["v"], r["tot"]) for r in d.collect())
-    assert key(a) == key(b)
+def values(df, *cols):
+    return sorted(repr(tuple(r[c] for c in cols)) for r in df.collect())
+
 
+def test_buckets_spread_a_hot_key(spark):
+    df = time_buckets(skewed(spark), ["k"], "ts", timedelta(days=3)).where("k = 'hot'")
+    per = [r["count"] for r in df.groupBy("_bucket").count().collect()]
+    assert len(per) >= 9 and max(per) < sum(per) / 2
 
-def test_next_and_last_seen_slices_equal_window(spark):
-    df = skewed(spark).dropDuplicates(["k", "ts", "e"])
-    for fn in (next_in_order, last_seen):
-        if fn is next_in_order:
-            a = fn(df, ["k"], ["ts", "e"], "nx", plan="window")
-            b = fn(df, ["k"], ["ts", "e"], "nx", plan="slices", num_slices=8)
-        else:
-            d = df.withColumn("val", F.when(F.col("e") % 7 == 0, F.col("e")))
-            a = fn(d, ["k"], ["ts", "e"], "val", "nx", plan="window")
-            b = fn(d, ["k"], ["ts", "e"], "val", "nx", plan="slices", num_slices=8)
-        key = lambda d: sorted((r["k"], r["ts"], r["e"], r["nx"]) for r in d.collect())
-        assert key(a) == key(b)
+
+@pytest.mark.parametrize("width", DAYS)
+def test_buckets_equal_window(spark, width):
+    df = skewed(spark).withColumn("q", F.when(F.col("e") % 5 == 0, F.lit(None)).otherwise(F.lit(1)))
+    a = running_sum(df, ["k", "q"], ["ts", "e"], "v", "tot", prev_order="ts", plan="window")
+    b = running_sum(df, ["k", "q"], ["ts", "e"], "v", "tot", prev_order="ts", width=width)
+    # Only exact copies share (k, ts, e), so the multisets must agree.
+    cols = ("k", "q", "ts", "e", "v", "tot", "_prev")
+    assert values(a, *cols) == values(b, *cols)
+    df = df.dropDuplicates(["k", "ts", "e"]).withColumn(
+        "val", F.when(F.col("e") % 7 == 0, F.struct(F.col("e").alias("x"), F.lit("y").alias("y"))))
+    for a, b in ((next_in_order(df, ["k"], ["ts", "e"], "nx", plan="window"), next_in_order(df, ["k"], ["ts", "e"], "nx", width=width)),
+                 (last_seen(df, ["k"], ["ts", "e"], "val", "nx", plan="window"), last_seen(df, ["k"], ["ts", "e"], "val", "nx", width=width))):
+        assert values(a, "k", "ts", "e", "nx") == values(b, "k", "ts", "e", "nx")
 
 
-def test_auto_plan_switches_on_group_size(spark):
-    df = skewed(spark)
-    out = running_sum(df, ["k"], ["ts", "e"], "v", "tot", max_group_rows=10, num_slices=4)
-    assert out.count() == df.count()
+@pytest.mark.parametrize("plan", ["window", "buckets"])
+def test_nulls_add_nothing(spark, plan):
+    df = spark.createDataFrame([("a", None, t("2021-10-01T00:00:00"), 1), ("a", 5, t("2021-10-02T00:00:00"), 2),
+                                ("a", 1, None, 3)], "k string, v long, ts timestamp, e long")
+    out = running_sum(df, ["k"], ["ts", "e"], "v", "tot", plan=plan)
+    assert sorted((r["e"], r["tot"]) for r in out.collect()) == [(1, 1), (2, 6), (3, 1)]  # no time comes first
 
 
-def test_arrow_local_pass_across_small_batches(spark):
-    """The per-slice Arrow pass must continue runs across Arrow batches; compare it with the window."""
-    df = skewed(spark).withColumn("q", F.when(F.col("e") % 5 == 0, F.lit(None)).otherwise(F.lit(1)))
-    key = lambda d: sorted(repr((r["k"], r["q"], r["ts"], r["e"], r["v"], r["tot"], r["_prev"]))
-                           for r in d.collect())
-    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
-    try:
-        a = running_sum(df, ["k", "q"], ["ts", "e"], "v", "tot", prev_order="ts", plan="slices",
-                        num_slices=5, local="arrow")
-        b = running_sum(df, ["k", "q"], ["ts", "e"], "v", "tot", prev_order="ts", plan="slices",
-                        num_slices=5, local="window")
-        c = running_sum(df, ["k", "q"], ["ts", "e"], "v", "tot", prev_order="ts", plan="window")
-        assert key(a) == key(b) == key(c)
-    finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
-
-
-def test_arrow_local_pass_overflow_raises(spark):
+@pytest.mark.parametrize("plan", ["window", "buckets"])
+def test_overflow_raises(spark, plan):
     df = spark.createDataFrame([("a", 2**62, t("2021-10-01T00:00:00"), 1), ("a", 2**62, t("2021-10-02T00:00:00"), 2),
                                 ("a", 2**62, t("2021-10-03T00:00:00"), 3)], "k string, v long, ts timestamp, e long")
     with pytest.raises(Exception, match="(?i)overflow"):
-        running_sum(df, ["k"], ["ts", "e"], "v", "tot", plan="slices", num_slices=2).collect()
+        running_sum(df, ["k"], ["ts", "e"], "v", "tot", plan=plan).collect()
 
 
-def test_arrow_last_seen_across_small_batches(spark):
-    df = skewed(spark).dropDuplicates(["k", "ts", "e"]).withColumn(
-        "val", F.when(F.col("e") % 7 == 0, F.struct(F.col("e").alias("x"), F.lit("y").alias("y"))))
-    key = lambda d: sorted(repr((r["k"], r["ts"], r["e"], r["nx"])) for r in d.collect())
-    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
-    try:
-        a = last_seen(df, ["k"], ["ts", "e"], "val", "nx", plan="slices", num_slices=6, local="arrow")
-        b = last_seen(df, ["k"], ["ts", "e"], "val", "nx", plan="window")
-        assert key(a) == key(b)
-    finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
-
-
-def test_arrow_lead_across_small_batches(spark):
-    df = skewed(spark).dropDuplicates(["k", "ts", "e"])
-    key = lambda d: sorted(repr((r["k"], r["ts"], r["e"], r["nx"])) for r in d.collect())
-    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
-    try:
-        a = next_in_order(df, ["k"], ["ts", "e"], "nx", plan="slices", num_slices=6, local="arrow")
-        b = next_in_order(df, ["k"], ["ts", "e"], "nx", plan="window")
-        assert a.count() == b.count() == df.count()
-        assert key(a) == key(b)
-    finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
-
-
-@pytest.mark.parametrize("n", [3, 8, 24])
-def test_carry_table_bound(spark, n):
-    """Keys that continue into a slice from an earlier one: at most one per slice boundary."""
-    from pyspark.sql import Window
-    from meterline.operators.scan import SLICE
-    sl = order_slices(skewed(spark), ["k"], ["ts", "e"], num_slices=n)
-    per = sl.groupBy("k", SLICE).agg(F.sum("v").alias("s"))
-    before = Window.partitionBy("k").orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    carried = per.withColumn("c", F.sum("s").over(before)).where(F.col("c").isNotNull()).count()
-    assert 0 < carried <= n - 1
-
-
-def test_slice_plan_survives_task_retries(tmp_path):
-    """A task of the per-slice pass fails on its first attempt and is retried: the checkpointed
-    slices give it the same rows again, so the result equals the window plan."""
-    import os
-    import subprocess
-    import sys
-    import textwrap
-    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    script = tmp_path / "retry.py"
-    script.write_text(textwrap.dedent(f"""
-        import sys
-        sys.path.insert(0, {repo!r}); sys.path.insert(0, {repo + '/tests'!r})
-        from pyspark import TaskContext
-        from meterline.session import build_session
-        import meterline.operators.scan as scan
-        spark = build_session("local[4,3]", shuffle_partitions=4)
-        spark.sparkContext.setLogLevel("ERROR")
-        inner = scan._local_running_sum
-        def failing(*a, **k):
-            run = inner(*a, **k)
-            def wrapped(batches):
-                tc = TaskContext.get()
-                if tc.partitionId() == 1 and tc.attemptNumber() == 0:
-                    raise RuntimeError("injected task failure")
-                yield from run(batches)
-            return wrapped
-        scan._local_running_sum = failing
-        from test_totals_scan import skewed
-        df = skewed(spark)
-        a = scan.running_sum(df, ["k"], ["ts", "e"], "v", "tot", plan="slices", num_slices=5)
-        b = scan.running_sum(df, ["k"], ["ts", "e"], "v", "tot", plan="window")
-        key = lambda d: sorted(repr((r["k"], r["ts"], r["e"], r["v"], r["tot"])) for r in d.collect())
-        print("RESULT", key(a) == key(b))
-    """))
-    out = subprocess.run([sys.executable, str(script)], capture_output=True, text=True, timeout=600)
-    assert "RESULT True" in out.stdout, out.stderr[-3000:]
-    assert "injected task failure" in out.stderr
+def test_defining_a_result_runs_no_job(spark):
+    df, tracker = skewed(spark), spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("define", "")
+    running_sum(df, ["k"], ["ts", "e"], "v", "tot")
+    assert not tracker.getJobIdsForGroup("define")
+    spark.sparkContext.setJobGroup("", "")
 
 
 def test_overflow_is_exact():
