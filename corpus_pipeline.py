@@ -11,8 +11,8 @@ folder and the next one reads them, so that a lost executor costs at most a stag
 * ``mixing``: a document stays as often as the mix of sources takes it (0 to 3 times).
 * ``sharding``: 40 shards of equal row counts along a Hilbert curve.
 
-Rows with a null doc_id pass the second stage as they are; rows that repeat an id are one document there and
-the first in (source, lang, text) order stays.
+Rows with a null doc_id pass the second stage as they are; rows that repeat an id are one document there: if it
+stays, then as its first row in the order of the other columns (nulls first).
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterline.llm import decontaminate, hilbert, mixing, ngram_join, quality
-from meterline.llm.common import table
+from meterline.llm.common import keep, table
 from meterline.session import scratch_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -40,7 +40,14 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     found = ngram_join.ngram_jaccard_join(docs, k=5, threshold="0.8")
     goes = (found.where("component_id is not null and doc_id != component_id")
             .select("doc_id").distinct())
-    return docs.join(goes, "doc_id", "left_anti").select(*docs.columns)
+    stay = docs.join(goes, "doc_id", "left_anti").select(*docs.columns)
+    repeated = keep(docs.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+                    .where("n > 1").select("doc_id"))
+    if repeated.isEmpty():
+        return stay
+    first = (stay.join(repeated, "doc_id", "left_semi").groupBy("doc_id")
+             .agg(F.min(F.struct(*_other(docs))).alias("row")).select("doc_id", "row.*"))
+    return stay.join(repeated, "doc_id", "left_anti").unionByName(first).select(*docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
