@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.billing import alert_message, over_threshold
 from ..schemas import ALERT_RATIO, BILLING_KEY
-from .scan import WIDTH, running_sum
+from .scan import WIDTH, crossing_rows, running_sum, running_sum_of
 
 
 def running_usage(enriched: DataFrame, tie: str, key: Sequence[str] = BILLING_KEY, plan: str = "buckets",
@@ -30,7 +30,8 @@ def usage_alerts(enriched: DataFrame, tie: str, ratio: float = ALERT_RATIO,
                  width: timedelta = WIDTH) -> DataFrame:
     """One row per billing key whose total passes ``ratio * quota``: the first row that does.
 
-    Columns ``ts, account, total, quota, message`` plus ``billingYear, billingMonth``.  The first hit
+    Columns ``ts, account, total, quota, message`` plus ``billingYear, billingMonth``.  With time buckets, only
+    the rows of the buckets in which a key can pass first get a running total.  The first hit
     is a grouped ``min`` over the hits (combined map-side), so no key's rows meet in one task.
 
     The default key includes the quota, like the reference: a quota change starts a new total.  With
@@ -38,7 +39,12 @@ def usage_alerts(enriched: DataFrame, tie: str, ratio: float = ALERT_RATIO,
     changes and each row is compared with the quota in force at its time.
     """
     key = list(key)
-    run = running_usage(enriched, tie, key, plan, width)
+    if plan == "window":
+        run = running_usage(enriched, tie, key, plan, width)
+    else:
+        near = crossing_rows(enriched, key, ["ts", tie], "bytesUsed", "quota",
+                             lambda total, quota: over_threshold(total, quota, ratio), width)
+        run = running_sum_of(near, ["ts", tie], "bytesUsed", "total")
     hits = run.where(over_threshold("total", "quota", ratio))
     carried = [c for c in ("account", "billingYear", "billingMonth", "quota") if c not in key]
     first = hits.groupBy(*key).agg(F.min(F.struct("ts", tie, "total", *carried)).alias("_h"))

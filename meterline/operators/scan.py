@@ -97,6 +97,38 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     return res.drop(_KEY, _BUCKET, "_carry", "_carry_last")
 
 
+def crossing_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, limit: str, passes,
+                  width: timedelta = WIDTH) -> DataFrame:
+    """The rows of those time buckets in which a key's running sum may pass its limit for the first time,
+    with ``_carry``, the key's sum before the bucket; exact for amounts of either sign.
+
+    ``passes(sum, limit)`` must hold for every larger sum and every smaller limit too, and never for a null
+    limit.  No row of a bucket passes unless the carry plus the bucket's positive amounts passes its smallest
+    limit.  If the sum at a bucket's end passes its largest limit, its last row does, so later buckets aren't
+    needed.  With amounts of 0 and more that leaves about one bucket per key.
+    """
+    amount = F.coalesce(F.col(value), F.lit(0)).cast("long")
+    rows = _same_bucket(time_buckets(df, keys, order[0], width))
+    before = _across().rowsBetween(Window.unboundedPreceding, -1)
+    most = F.sum(F.greatest(amount, F.lit(0)).cast("decimal(38,0)"))
+    per = (rows.groupBy(_KEY, _BUCKET)
+           .agg(F.sum(amount).alias("_part"), most.alias("_most"), F.min(limit).alias("_low"),
+                F.max(limit).alias("_high"), F.max(F.col(limit).isNull()).alias("_open"))
+           .withColumn("_end", F.sum("_part").over(_up_to(_across())))
+           .withColumn("_sure", ~F.col("_open") & passes(F.col("_end"), F.col("_high")))
+           .withColumns({"_carry": F.lag("_end", 1, 0).over(_across()),
+                         "_done": F.coalesce(F.max("_sure").over(before), F.lit(False))})
+           .where(~F.col("_done") & passes(F.col("_carry") + F.col("_most"), F.col("_low"))))
+    return rows.join(per.select(_KEY, _BUCKET, "_carry"), [_KEY, _BUCKET])
+
+
+def running_sum_of(rows: DataFrame, order: Sequence[str], value: str, out: str) -> DataFrame:
+    """``running_sum`` of the rows of :func:`crossing_rows`."""
+    amount = F.coalesce(F.col(value), F.lit(0)).cast("long")
+    res = rows.withColumn(out, F.col("_carry") + F.sum(amount).over(_up_to(_inside(order))))
+    return res.drop(_KEY, _BUCKET, "_carry")
+
+
 def next_in_order(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, plan: str = "buckets",
                   width: timedelta = WIDTH) -> DataFrame:
     """Add ``out`` = the first ``order`` column of the key's next row (``lead``), null on the last."""

@@ -129,3 +129,19 @@ def test_key_without_quota_continues_month_total(spark, plan, n):
     e = enrich_usage(usage(spark, rows), versions(spark, v))
     out = usage_alerts(e, "event_id", key=("account", "billingYear", "billingMonth"), plan=plan, width=n)
     assert [(r["total"], r["quota"]) for r in out.collect()] == [(210, 200)]
+
+
+@pytest.mark.parametrize("key", [("account", "billingYear", "billingMonth", "quota"),
+                                 ("account", "billingYear", "billingMonth")])
+def test_candidate_buckets_lose_no_alert(spark, key):
+    """Amounts of either sign and null or changing quotas: the bucket plan equals the plain window."""
+    rng = random.Random(5)
+    start = t("2021-10-01T00:00:00")
+    urows = [(f"a{rng.randrange(40)}", rng.choice([rng.randrange(60), -rng.randrange(50)]),
+              (start + timedelta(minutes=rng.randrange(60 * 24 * 40))).isoformat(), i) for i in range(1500)]
+    vrows = [(f"a{a}", rng.choice([None, 50, 100, 200]), (start + timedelta(days=4 * d)).isoformat())
+             for a in range(40) for d in range(10)]
+    e = enrich_usage(usage(spark, urows), versions(spark, vrows), strategy="broadcast")
+    found = [sorted(map(tuple, usage_alerts(e, "event_id", key=key, plan=p, width=timedelta(hours=30)).collect()))
+             for p in ("window", "buckets")]
+    assert found[0] == found[1] and len(found[0]) > 20
