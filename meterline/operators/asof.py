@@ -7,17 +7,18 @@ three physical strategies:
 
 ``broadcast``
     version intervals (``lead`` over the versions of one account) are broadcast and probed with an
-    equi-join on the account plus the time range as residual; the usage side is not shuffled.
+    equi-join on the account plus the time range as residual; the usage side is not shuffled.  Beyond
+    ``max_broadcast_rows`` versions this becomes ``shuffle``.
 ``shuffle``
-    the same interval join, planned by Spark as a shuffle join.
+    the same interval join as a sort-merge join, in which Spark can split a hot account's usage.
 ``merge``
     usage and versions are unioned, put in event order and every usage row carries forward the last
     version before it (see :mod:`meterline.operators.scan`).  Linear, balanced under any skew, and
     needs no bound on the number of versions per account.
 
-The interval strategies compare each usage row with every version of its account, so they are only
-chosen when that number is checked to be small; ``auto`` checks it (and the table size) with one
-aggregate over the versions.
+One aggregate over the versions gives their number, the most of one account, and duplicates.  Where an
+account has more than ``FAN`` versions, the interval strategies go down through levels of coarser intervals
+(:func:`interval_levels`), so a usage row meets at most ``FAN`` intervals in each; ``auto`` then takes ``merge``.
 """
 
 from __future__ import annotations
@@ -29,11 +30,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scan import WIDTH, last_seen, next_in_order
+from ..session import shuffle_partitions
+from .scan import WIDTH, last_seen, next_in_order, running_sum
 
 # Defaults of the strategy choice.
 MAX_BROADCAST_ROWS = 1_000_000       # about 60 MB of intervals per executor
-MAX_VERSIONS_PER_KEY = 64            # comparisons per usage row in an interval join
+MAX_VERSIONS_PER_KEY = 64            # above it, "auto" takes the merge
+FAN = 64                             # comparisons per usage row in one level of an interval join
 
 
 @dataclass(frozen=True)
@@ -80,18 +83,55 @@ def version_intervals(versions: DataFrame, id_col: str = "id", ts_col: str = "ts
     return out.withColumn("valid_from", F.col(ts_col))
 
 
-def interval_join(left: DataFrame, intervals: DataFrame, left_key: str, left_ts: str,
-                  id_col: str, values: list[str], broadcast: bool) -> DataFrame:
-    """Equi-join on the key with ``valid_from <= ts < valid_to`` as residual; ``broadcast`` only for an
-    interval table whose size the caller has checked."""
-    iv = intervals.select(F.col(id_col).alias("_iv_id"), F.col("valid_from").alias("_iv_from"),
-                          F.col("valid_to").alias("_iv_to"), *[F.col(v).alias(f"_iv_{v}") for v in values])
-    if broadcast:
-        iv = F.broadcast(iv)
-    cond = ((left[left_key] == iv["_iv_id"]) & (left[left_ts] >= iv["_iv_from"])
-            & (iv["_iv_to"].isNull() | (left[left_ts] < iv["_iv_to"])))
-    return left.join(iv, cond, "inner").select(*[left[c] for c in left.columns],
-                                               *[iv[f"_iv_{v}"].alias(v) for v in values])
+def interval_levels(versions: DataFrame, values: list[str], max_per_key: int, id_col: str = "id",
+                    ts_col: str = "ts", plan: str = "buckets", width: timedelta = WIDTH) -> list[DataFrame]:
+    """The version intervals below as many levels of coarser ones as keep any row's comparisons in each
+    level within ``FAN``: an interval of one level covers up to ``FAN`` successive ones of the next.
+
+    Each level has ``_iv_id, _iv_up`` (number of the interval above), ``_iv_at`` (own number), ``_iv_from``
+    and ``_iv_to``; the last one, the versions themselves, also ``values`` as ``_iv_*``.
+    """
+    depth = 1
+    while FAN ** depth < max_per_key:
+        depth += 1
+    iv = version_intervals(versions, id_col, ts_col, plan, width).withColumn("_one", F.lit(1))
+    if depth > 1:
+        iv = running_sum(iv, [id_col], [ts_col], "_one", "_rank", plan=plan, width=width)
+    else:
+        iv = iv.withColumn("_rank", F.lit(1).cast("long"))
+    levels = []
+    for level in range(depth - 1, -1, -1):
+        key = [F.col(id_col).alias("_iv_id"), F.expr(f"(_rank - 1) div {FAN ** (level + 1)}").alias("_iv_up"),
+               F.expr(f"(_rank - 1) div {FAN ** level}").alias("_iv_at")]
+        if level:
+            levels.append(iv.groupBy(*key).agg(F.min("valid_from").alias("_iv_from"),
+                                               F.max_by("valid_to", "_rank").alias("_iv_to")))
+        else:
+            levels.append(iv.select(*key, F.col("valid_from").alias("_iv_from"), F.col("valid_to").alias("_iv_to"),
+                                    *[F.col(v).alias(f"_iv_{v}") for v in values]))
+    return levels
+
+
+def interval_join(left: DataFrame, levels: list[DataFrame], left_key: str, left_ts: str, values: list[str],
+                  broadcast: bool) -> DataFrame:
+    """Level by level, an equi-join on the key (and the interval above) with ``from <= ts < to`` as residual.
+
+    ``broadcast`` only for intervals whose number the caller has checked.  Otherwise these are sort-merge joins,
+    and as the intervals are dealt out anew, both sides have an exchange of their own: only so does Spark split
+    the left rows of a hot key.
+    """
+    out, names = left, left.columns
+    for i, level in enumerate(levels):
+        iv = (F.broadcast(level) if broadcast
+              else level.repartition(shuffle_partitions(left.sparkSession)).hint("merge"))
+        cond = ((out[left_key] == iv["_iv_id"]) & (out[left_ts] >= iv["_iv_from"])
+                & (iv["_iv_to"].isNull() | (out[left_ts] < iv["_iv_to"])))
+        if i:
+            cond &= out["_at"] == iv["_iv_up"]
+        found = ([iv["_iv_at"].alias("_at")] if i < len(levels) - 1
+                 else [iv[f"_iv_{v}"].alias(v) for v in values])
+        out = out.join(iv, cond, "inner").select(*[out[c] for c in names], *found)
+    return out
 
 
 def _merge_join(left: DataFrame, right: DataFrame, left_key: str, left_ts: str, id_col: str,
@@ -136,15 +176,17 @@ def as_of_join(left: DataFrame, right: DataFrame, left_key: str = "account", rig
     if tie is not None:
         right = latest_per_time(right, tie, right_key, right_ts)
     right = right.select(right_key, right_ts, *values)
-    if tie is None or strategy == "auto":
+    if tie is None or strategy != "merge":
         stats = version_stats(right, right_key, right_ts)
         if not stats.unique:
             raise ValueError(f"{stats.max_same_time} versions of one key share a time; pass tie=")
     if strategy == "auto":
         strategy = choose_strategy(stats, max_broadcast_rows, max_versions_per_key)
     if strategy in ("broadcast", "shuffle"):
-        iv = version_intervals(right, right_key, right_ts, plan="window")
-        return interval_join(left, iv, left_key, left_ts, right_key, values, strategy == "broadcast")
+        scan = "window" if stats.max_per_key <= FAN else plan
+        levels = interval_levels(right, values, stats.max_per_key, right_key, right_ts, scan, width)
+        small = strategy == "broadcast" and stats.rows <= max_broadcast_rows
+        return interval_join(left, levels, left_key, left_ts, values, small)
     if strategy == "merge":
         return _merge_join(left, right, left_key, left_ts, right_key, right_ts, values, plan, width)
     raise ValueError(f"unknown strategy {strategy!r}")

@@ -35,29 +35,27 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from ..session import shared_dir, use_rocksdb_state
 
 from ..functions.billing import billing_month, billing_year
-from ..operators.asof import (MAX_BROADCAST_ROWS, MAX_VERSIONS_PER_KEY, interval_join, version_intervals,
-                              version_stats)
+from ..operators.asof import FAN, MAX_BROADCAST_ROWS, interval_join, interval_levels, version_stats
 
 
 def enrich_static(usage: DataFrame, versions: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Stream (or batch) usage joined with a static version table, plus the billing period.
 
     The version table is checked once (unique per ``(id, ts)``); it is broadcast when small, else
-    joined by Spark's shuffle join.  A stream can only meet a table through a join, so each usage row is
-    compared with every version of its account: fine for the usual handful, linear in them otherwise
-    (the version-stream join has no such cost).
+    joined by sort-merge.  A stream can only meet a table through a join; accounts of many versions are
+    searched through levels of coarser intervals, with a bounded number of comparisons in each.
     """
     stats = version_stats(versions)
     if not stats.unique:
         raise ValueError("versions must be unique per (id, ts)")
-    plan = "window" if stats.max_per_key <= MAX_VERSIONS_PER_KEY else "buckets"
-    iv = version_intervals(versions.select("id", "ts", "quota"), plan=plan)
+    plan = "window" if stats.max_per_key <= FAN else "buckets"
+    levels = interval_levels(versions.select("id", "ts", "quota"), ["quota"], stats.max_per_key, plan=plan)
     if usage.isStreaming:
         # The static side is planned again in every micro-batch: compute the intervals once and keep
         # them in the shared checkpoint folder, so a batch only reads them.
         shared_dir(usage.sparkSession)
-        iv = iv.checkpoint(eager=True)
-    joined = interval_join(usage, iv, "account", "ts", "id", ["quota"], stats.rows <= max_broadcast_rows)
+        levels = [level.checkpoint(eager=True) for level in levels]
+    joined = interval_join(usage, levels, "account", "ts", ["quota"], stats.rows <= max_broadcast_rows)
     return joined.withColumns({"billingYear": billing_year("ts"), "billingMonth": billing_month("ts")})
 
 

@@ -88,3 +88,68 @@ def test_typed_enriched_records(spark, edge):
     rec = to_enriched_records(enrich_usage(u, v), keep=("event_id",))
     assert [(f.name, f.dataType) for f in rec.schema.fields][:6] == [(f.name, f.dataType) for f in ENRICHED.fields]
     assert rec.columns[-1] == "event_id" and rec.count() == 4
+
+
+@pytest.fixture
+def dense(spark):
+    """An account of 10,000 versions and one of a few; what each usage row must get, by binary search."""
+    from bisect import bisect_right
+    from datetime import timedelta
+
+    start = t("2021-10-01T00:00:00")
+    vrows = [("hot", i, start + timedelta(seconds=60 * i + i % 7)) for i in range(10_000)]
+    vrows += [("few", -i, start + timedelta(days=i)) for i in range(1, 4)]
+    urows = [(("few", "hot", "zz")[i % 3], i, start + timedelta(seconds=1511 * i - 9000), i) for i in range(500)]
+    urows += [("hot", 1, vrows[i][2], 1000 + i) for i in (0, 63, 64, 4095, 4096, 9999)]
+    times = {a: [(ts, q) for i, q, ts in vrows if i == a] for a in ("few", "hot", "zz")}
+    want = []
+    for a, _, ts, e in urows:
+        at = bisect_right([x[0] for x in times[a]], ts)
+        want += [(e, times[a][at - 1][1])] if at else []
+    return (spark.createDataFrame(urows, "account string, bytesUsed long, ts timestamp, event_id long"),
+            spark.createDataFrame(vrows, "id string, quota long, ts timestamp"), sorted(want))
+
+
+@pytest.mark.parametrize("strategy,plan", [("broadcast", "window"), ("shuffle", "buckets")])
+def test_many_versions_through_levels(spark, dense, strategy, plan):
+    u, v, want = dense
+    assert joined(spark, u, v, strategy, plan) == want
+
+
+def test_many_versions_in_a_stream(spark, dense, tmp_path):
+    from meterline.streaming.enrich import enrich_static
+    from meterline.streaming.runner import run_to_end
+
+    u, v, want = dense
+    u.repartition(2).write.parquet(str(tmp_path / "in"))
+    s = spark.readStream.schema(u.schema).parquet(str(tmp_path / "in"))
+    run_to_end(enrich_static(s, v), str(tmp_path / "ck"), "append", path=str(tmp_path / "out"))
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted((r["event_id"], r["quota"]) for r in got.collect()) == want
+
+
+def test_shuffle_join_splits_a_hot_account(spark):
+    settings = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB"}
+    old = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, x in settings.items():
+            spark.conf.set(k, x)
+        n = 20_000
+        u = spark.range(0, n, 1, 8).selectExpr("if(id % 3 = 0, cast(id % 200 as string), 'hot') as account", "id as bytesUsed",
+                                               "timestamp_seconds(1600000000 + id) as ts", "id as event_id")
+        v = u.select("account").distinct().selectExpr("account as id", "1L as quota", "timestamp_seconds(1) as ts")
+        out = as_of_join(u, v, values=["quota"], strategy="shuffle")
+        assert len(out.collect()) == n
+        assert "SortMergeJoin(skew=true)" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, x in old.items():
+            spark.conf.set(k, x)
+
+
+def test_broadcast_beyond_its_bound_is_a_shuffle_join(spark, edge):
+    u, v = edge
+    out = as_of_join(u, v, values=["quota"], strategy="broadcast", max_broadcast_rows=2)
+    assert "SortMergeJoin" in out._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r["event_id"], r["quota"]) for r in out.collect()) == [(2, 100), (3, 100), (4, 200), (5, None)]
