@@ -28,6 +28,14 @@ HOT_USAGE = f"""usage AS (
          CAST(round(value * 100) AS BIGINT) AS bytesUsed, ts, event_id
   FROM events WHERE event_type <> 'signup')"""
 
+HOT_VERSIONS = f"""versions AS (
+  SELECT id, quota, ts FROM (
+    SELECT printf('%06d', user_id) AS id, 50000 + CAST(round(value * 100) AS BIGINT) AS quota, ts
+    FROM events WHERE event_type = 'signup') WHERE id <> '{HOT_ACCOUNT}'
+  UNION ALL
+  SELECT '{HOT_ACCOUNT}' AS id, max(50000 + CAST(round(value * 100) AS BIGINT)) AS quota, ts
+  FROM events WHERE event_type = 'signup' GROUP BY ts)"""
+
 LONG_USAGE = """usage AS (
   SELECT printf('%06d', o_custkey) AS account, CAST(round(o_totalprice) AS BIGINT) AS bytesUsed,
          o_orderdate AS ts, o_orderkey AS event_id
@@ -159,6 +167,9 @@ FROM changes WHERE prev_ts IS NOT NULL"""
         f"SELECT {enriched_cols}, CAST(total AS BIGINT) AS total FROM running")
     q["usage_alerts_hot_account"] = _with(HOT_USAGE, VERSIONS, ENRICHED, RUNNING, ALERTS) + (
         "SELECT ts, account, billingYear, billingMonth, quota, total, message FROM alerts")
+    q["quota_enriched_dense_versions"] = _with(HOT_USAGE, HOT_VERSIONS, ENRICHED) + (
+        f"SELECT {enriched_cols} FROM enriched")
+    q["quota_enriched_dense_versions_stream"] = q["quota_enriched_dense_versions"]
     q["usage_alerts_month_key"] = _with(USAGE, VERSIONS, ENRICHED, MONTH_RUNNING, MONTH_ALERTS) + (
         "SELECT ts, account, billingYear, billingMonth, quota, total, message FROM alerts")
     q["usage_alert_messages"] = _with(USAGE, VERSIONS, ENRICHED, RUNNING, ALERTS) + "SELECT message FROM alerts"

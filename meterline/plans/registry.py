@@ -174,6 +174,12 @@ def usage_alerts_hot_account(spark, sf):
     return usage_alerts(_hot_enriched(spark, sf), TIE, width=NARROW).select(*ALERT_COLS)
 
 
+def quota_enriched_dense_versions(spark, sf):
+    """The hot account's usage against as many versions as there are sign-ups, through interval levels."""
+    return enrich_usage(td.usage_hot_account(spark, sf), td.versions_hot_account(spark, sf), "broadcast").select(
+        *ENRICHED_COLS)
+
+
 def usage_alerts_month_key(spark, sf):
     """Alerts keyed by account and month only: the total runs on across quota changes, each row is
     compared with the quota in force at its time."""
@@ -285,6 +291,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "usage_alerts_bucketed": usage_alerts_bucketed,
         "running_usage_hot_account": running_usage_hot_account,
         "usage_alerts_hot_account": usage_alerts_hot_account,
+        "quota_enriched_dense_versions": quota_enriched_dense_versions,
         "usage_alerts_month_key": usage_alerts_month_key,
         "usage_alert_messages": usage_alert_messages,
         "usage_alerts_long_range": usage_alerts_long_range,

@@ -84,5 +84,13 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return os.path.join(base, *parts, uuid.uuid4().hex)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder made by :func:`scratch_path`, wherever the shared folder lies."""
+    base, own = shared_dir(spark).rstrip("/") + "/", spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not path.startswith(base):
+        raise ValueError(f"{path!r} is not below the shared folder")
+    own.getFileSystem(spark._jsc.hadoopConfiguration()).delete(own, True)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

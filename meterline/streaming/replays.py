@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import testdata as td
-from ..session import scratch_path
+from ..session import remove_path, scratch_path
 from ..sources.codec import decode_usage
 from ..sources.log import read_log
 from .alerts import stream_usage_alerts
@@ -50,7 +50,7 @@ class EventOrderReplay:
 
     def run(self, step: Callable[[], None]) -> int:
         """Append chunk after chunk to every source, calling ``step`` (run the query to the end) after
-        each one; returns the number of chunks."""
+        each one; returns the number of chunks.  The sources' folders are removed in the end."""
         bounds = [df.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first() for df, ts, _ in self.tables]
         los = [b["lo"] for b in bounds if b["lo"] is not None]
         if not los:
@@ -66,6 +66,7 @@ class EventOrderReplay:
             step()
             n += 1
             start = end
+        remove_path(self.spark, self.base)
         return n
 
 
@@ -104,6 +105,16 @@ def quota_enriched_stream(spark: SparkSession, sf: str) -> DataFrame:
                                           "billingMonth")
 
 
+def quota_enriched_dense_versions_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The stream-static join where the hot account has as many versions as there are sign-ups."""
+    rp = EventOrderReplay(spark, "enriched_dense")
+    e = enrich_static(rp.source(td.usage_hot_account(spark, sf), "ts"), td.versions_hot_account(spark, sf))
+    out, ck = fresh_paths(spark, "enriched_dense")
+    rp.run(lambda: run_to_end(e, ck, "append", path=out))
+    return spark.read.parquet(out).select("account", "bytesUsed", "ts", TIE, "quota", "billingYear",
+                                          "billingMonth")
+
+
 def _versioned(spark: SparkSession, sf: str, name: str, late: str = "emit") -> tuple[EventOrderReplay, DataFrame]:
     rp = EventOrderReplay(spark, name)
     usage = rp.source(td.usage_from_events(spark, sf), "ts")
@@ -212,6 +223,7 @@ def stream_queries() -> dict:
         "account_totals_stream": account_totals_stream,
         "account_totals_changes_stream": account_totals_changes_stream,
         "quota_enriched_stream": quota_enriched_stream,
+        "quota_enriched_dense_versions_stream": quota_enriched_dense_versions_stream,
         "quota_enriched_versions_stream": quota_enriched_versions_stream,
         "quota_enriched_ordered_stream": quota_enriched_ordered_stream,
         "usage_publish_stream": usage_publish_stream,

@@ -65,6 +65,15 @@ def versions_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("ts")))
 
 
+def versions_hot_account(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events versions, and every one of them as a version of ``HOT_ACCOUNT`` too (of equal times the
+    largest quota): one account with as many versions as there are sign-up times."""
+    v = versions_from_events(spark, sf_dir)
+    hot = (v.groupBy("ts").agg(F.max("quota").alias("quota"))
+            .select(F.lit(HOT_ACCOUNT).alias("id"), "quota", "ts"))
+    return v.where(F.col("id") != HOT_ACCOUNT).unionByName(hot)
+
+
 def usage_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long-range usage: one order is one usage row; ``o_orderkey`` is the tie column."""
     o = table(spark, sf_dir, "orders")

@@ -1,3 +1,5 @@
+import pytest
+
 from meterline import testdata as td
 from meterline.operators import account_totals, enrich_usage, usage_alerts
 from meterline.session import scratch_path
@@ -19,3 +21,15 @@ def test_bucketed_usage_needs_no_shuffle(spark, sf001):
     assert all("Broadcast" in e or "hashpartitioning(id" in e for e in exchanges(alerts)), exchanges(alerts)
     want = usage_alerts(enrich_usage(u, td.versions_from_events(spark, sf001)), "event_id")
     assert sorted(map(tuple, alerts.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_only_paths_below_the_shared_folder_are_removed(spark, tmp_path):
+    from meterline.session import remove_path, scratch_path
+
+    path = scratch_path(spark, "t-remove")
+    spark.range(3).write.parquet(path)
+    remove_path(spark, path)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+    with pytest.raises(ValueError):
+        remove_path(spark, str(tmp_path))
