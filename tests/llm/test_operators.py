@@ -385,6 +385,41 @@ def test_lm_learns_from_both_sides(documents):
     assert good > bad + 50
 
 
+def test_lm_learns_every_word(documents):
+    """With the production parameters: pairs that never stand at a multiple of 16 of their text are learned too."""
+    import pyarrow as pa
+    from meterline.llm.words import SPACED, Words
+
+    rng = np.random.default_rng(0)
+    texts = []
+    for d in range(5000):
+        w = ["z"]
+        for _ in range(7):
+            i = rng.integers(8)
+            w += [f"a{i}", f"b{i}"]
+        texts.append((d, " ".join(w + ["z"])))
+    vocabulary, net = lm_score.train(documents(texts).coalesce(1))
+    pairs = [f"a{i} b{j}" for i in range(8) for j in (i, (i + 1) % 8)]
+    score = lm_score.pseudo_likelihood(Words(pa.array(pairs), SPACED), vocabulary, net)
+    assert score[0::2].mean() > score[1::2].mean() + 1
+
+
+@pytest.mark.parametrize("stride,rounds", [(1, 1), (2, 2), (5, 5)])
+def test_lm_rounds_cover_all_words(monkeypatch, stride, rounds):
+    import pyarrow as pa
+    from types import SimpleNamespace
+
+    texts = [" ".join(f"w{d}_{i}" for i in range(d % 7)) for d in range(60)]
+    vocabulary = lm_score.Vocabulary.of(np.zeros(lm_score.BUCKETS, np.int64))
+    net = lm_score.Network.fresh(vocabulary.prior)
+    targets = []
+    monkeypatch.setattr(lm_score.Network, "learn", lambda self, sides, target, rate: targets.append(len(target)))
+    batches = pa.table({"text": texts}).to_batches(max_chunksize=11)
+    for r in range(rounds):
+        list(lm_score._learn(SimpleNamespace(value=vocabulary), SimpleNamespace(value=net.flat()), stride, r % stride, 0.1)(iter(batches)))
+    assert sum(targets) == sum(d % 7 for d in range(60))
+
+
 def test_lm_edges(odd_documents):
     got = rows(lm_score.lm_scores(odd_documents, carry=["x"]))
     assert len(got) == odd_documents.count()
