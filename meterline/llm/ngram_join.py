@@ -16,9 +16,9 @@ of x's inverted lists.  The join finds those y in five steps:
 4. **One leader each.**  A class is compared exactly with the leader that it meets most often.
 5. **T-occurrence search** (DivideSkip; Li, Lu, Lu 2008).  In a candidate group the lists of a query
    are split by length: short ones are merged and counted, and what reaches ``T - L`` there is looked
-   up in the L long ones by binary search.  Groups are cut into parts, and a task searches one pair
-   of parts.  Classes that step 4 linked to the commonest leader aren't searched against each other,
-   and a search returns only links that join two parts of the graph, never all pairs of a group.
+   up in the L long ones by binary search.  Groups are cut into parts of bounded size, so their number
+   grows with the group, and a task searches one pair of parts.  Classes that step 4 linked to the
+   group's commonest leader have parts of their own, which meet only those of the others, and a search returns only links that join two parts of the graph, never all pairs of a group.
 
 Components of the links follow in Spark (:mod:`.components`).
 
@@ -33,6 +33,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -54,6 +55,10 @@ _MOST = 65535  # counts are kept up to this
 
 #: Classes of a candidate group that one side of a search task holds, at least.
 PART = 96
+#: Shingles that one side of a search task holds, at most (about: parts are dealt by hash), where each class counts
+#: as ``CLASS_CELLS`` more.
+PART_CELLS = 1 << 20
+CLASS_CELLS = 256
 #: Weight of the longest list in the number of lists set aside, as in the published search.
 MU = 0.01
 
@@ -298,7 +303,11 @@ def _search_task(num: int, den: int):
     def run(key, t):
         part, other = key[1].as_py(), key[2].as_py()
         ids = t["cid"].to_numpy()
-        tokens = [np.sort(np.array(x, np.int64)) for x in t["tokens"].to_pylist()]
+        lists = t["tokens"].combine_chunks()
+        length = pc.list_value_length(lists).to_numpy()
+        flat = lists.flatten().to_numpy()
+        flat = flat[np.lexsort((flat, np.repeat(np.arange(len(length)), length)))]
+        tokens = np.split(flat, np.cumsum(length)[:-1])
         links = list(search(part, other, t["part"].to_numpy(), ids, t["leader"].to_numpy(),
                             t["n_shingles"].to_numpy(), tokens, num, den))
         a = np.array([ids[i] for i, _ in links], np.int64)
@@ -307,6 +316,38 @@ def _search_task(num: int, den: int):
     return run
 
 
+def search_tasks(known: DataFrame, n_parts: int) -> DataFrame:
+    """(cid, component, leader, part, i, j): the pairs of parts that each class of ``known`` (cid, component,
+    leader, cells) is searched in.
+
+    Parts 0 to s - 1 hold the strays, which meet all parts; the others hold the classes of the commonest leader.
+    """
+    led = known.groupBy("component", "leader").agg(F.count(F.lit(1)).alias("n"), F.sum("cells").alias("cells"))
+    size = (led.groupBy("component")
+            .agg(F.count(F.lit(1)).alias("leaders"), F.sum("n").alias("n"), F.sum("cells").alias("cells"),
+                 F.max(F.struct("n", "leader", "cells")).alias("top")).where("leaders > 1"))
+    # a leader of few classes isn't worth parts of its own
+    own = F.when((F.col("top.n") >= PART) & (F.col("n") > PART), F.col("top.n")).otherwise(0)
+    own_cells = F.when(F.col("own") > 0, F.col("top.cells")).otherwise(0)
+    wanted = F.least(F.ceil(F.col("n") / PART), F.lit(max(2, int((2 * n_parts) ** 0.5))))
+
+    def parts(n, cells):
+        return F.greatest(F.ceil(F.col("wanted") * n / F.col("n")), F.ceil(cells / PART_CELLS)).cast("int")
+
+    size = (size.withColumn("own", own).withColumn("own_cells", own_cells).withColumn("wanted", wanted)
+            .select("component", F.when(F.col("own") > 0, F.col("top.leader")).alias("common"),
+                    parts(F.col("n") - F.col("own"), F.col("cells") - F.col("own_cells")).alias("strays"),
+                    parts(F.col("own"), F.col("own_cells")).alias("commons")))
+    code = F.xxhash64("cid")
+    linked = F.coalesce(F.col("leader") == F.col("common"), F.lit(False))
+    part = F.when(linked, F.col("strays") + F.pmod(code, F.col("commons"))).otherwise(F.pmod(code, F.col("strays")))
+    last = F.when(F.col("part") >= F.col("strays"), F.col("strays")).otherwise(F.col("strays") + F.col("commons")) - 1
+    return (known.join(spread(size), "component").withColumn("part", part.cast("int"))
+            .withColumn("with", F.explode(F.sequence(F.lit(0), last)))
+            .select("cid", "component", "leader", "part", F.least("part", "with").alias("i"),
+                    F.greatest("part", "with").alias("j")))
+
+
 def links_of_classes(classes: DataFrame, threshold) -> DataFrame:
     """(a, b): links between classes (cid, n_shingles, tokens) that connect all that are linked; tokens
     are the class's repeated shingles, rarest first."""
@@ -332,16 +373,10 @@ def links_of_classes(classes: DataFrame, threshold) -> DataFrame:
              .select("cid", "leader"))
     tried = keep(tried)
     # Step 5: search in what isn't linked yet
-    known = (groups.withColumnRenamed("node", "cid").join(tried, "cid", "left")
+    cells = ranked.select("cid", (F.size("tokens") + CLASS_CELLS).cast("long").alias("cells"))
+    known = (groups.withColumnRenamed("node", "cid").join(cells, "cid").join(tried, "cid", "left")
              .withColumn("leader", F.coalesce("leader", "cid")))
-    size = (known.groupBy("component").agg(F.count(F.lit(1)).alias("size"), F.min("leader").alias("lo"),
-                                           F.max("leader").alias("hi")).where("lo != hi"))
-    parts = F.least(F.ceil(F.col("size") / PART), F.lit(max(2, int((2 * n_parts) ** 0.5)))).cast("int")
-    todo = (known.join(spread(size.withColumn("parts", parts)), "component")
-            .withColumn("part", F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int"))
-            .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-            .select("cid", "component", "leader", "part", F.least("part", "with").alias("i"),
-                    F.greatest("part", "with").alias("j")))
+    todo = search_tasks(known, n_parts)
     found = (todo.join(ranked.select("cid", "n_shingles", "tokens"), "cid")
              .groupBy("component", "i", "j").applyInArrow(_search_task(num, den), "a long, b long"))
     return found.unionByName(tried.select(F.col("cid").alias("a"), F.col("leader").alias("b")))

@@ -122,6 +122,52 @@ def test_ngram_join_equals_brute_force(documents, monkeypatch, k, threshold, num
     assert {i: (r["n_shingles"], r["component_id"]) for i, r in got.items()} == linked(texts, k, num, den)
 
 
+def test_ngram_join_search_tasks_are_bounded(documents, monkeypatch):
+    """A task's rows don't grow with the group, however many partitions there are."""
+    search_task = ngram_join._search_task
+
+    def watched(num, den):
+        inner = search_task(num, den)
+
+        def run(key, t):
+            assert t.num_rows <= 60, t.num_rows
+            return inner(key, t)
+        return run
+    monkeypatch.setattr(ngram_join, "_search_task", watched)
+    monkeypatch.setattr(ngram_join, "PART", 7)
+    monkeypatch.setattr(ngram_join, "PART_CELLS", 3000, raising=False)
+    texts = near_copies(2, groups=2, members=150, edits=8)
+    got = by_id(ngram_join.ngram_jaccard_join(documents(list(texts.items()))))
+    assert {i: (r["n_shingles"], r["component_id"]) for i, r in got.items()} == linked(texts, 4, 85, 100)
+
+
+def test_search_tasks_meet_all_but_linked(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "PART", 5)
+    monkeypatch.setattr(ngram_join, "PART_CELLS", 3000)
+    rng = np.random.default_rng(0)
+    # component 0: many of one leader; 1000: all for themselves; 2000: small; 3000: one leader, nothing to search
+    data = [(i, 0, 0 if i < 60 else i, 300) for i in range(90)] + [(i, 1000, i, 300) for i in range(1000, 1060)]
+    data += [(2000, 2000, 2000, 300), (2001, 2000, 2000, 300), (2002, 2000, 2002, 300), (3000, 3000, 3000, 9), (3001, 3000, 3000, 9)]
+    known = spark.createDataFrame([data[i] for i in rng.permutation(len(data))], "cid long, component long, leader long, cells long")
+    tasks = defaultdict(list)
+    for r in ngram_join.search_tasks(known, 4).collect():
+        tasks[r["component"], r["i"], r["j"]].append(r)
+    met = Counter()
+    for (_, i, j), rs in tasks.items():
+        assert len(rs) <= 2 * 25
+        for x in rs:
+            for y in rs:
+                if x["cid"] < y["cid"] and (i == j or x["part"] != y["part"]):
+                    met[x["cid"], y["cid"]] += 1
+    assert set(met.values()) == {1}
+    assert {c for c, _, _ in tasks} == {0, 1000, 2000}
+    for a in data[:-2]:
+        for b in data[:-2]:
+            if a[0] < b[0] and a[1] == b[1] and a[2] != b[2]:
+                assert met[a[0], b[0]] == 1
+    assert not any(a < 60 and b < 60 for a, b in met)
+
+
 def test_ngram_join_exact_boundary(documents):
     # 17 of 20 shingles in common with 17 + 3 in the union: 85 of 100 links, one fewer doesn't
     base = [f"w{i}" for i in range(20)]
