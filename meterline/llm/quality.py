@@ -7,7 +7,8 @@ most ``max_rows`` (the rows of smallest ``xxhash64(doc_id)``; a documented bound
 parallel arrays and all documents of a batch walk down a tree together.
 
 Defined results: null and empty texts have all statistics 0 and are scored like any other.  Labels
-other than 0 and 1, and labels of unknown documents, are ignored; a document labelled twice counts twice.
+other than 0 and 1, and labels of unknown documents, are ignored; a document labelled twice counts twice, as one
+row of weight 2 (rows with equal labels are one before the sample is taken, so that repeats don't fill it).
 Without labels of both kinds every score is the share of label 1 (0.5 without labels).  Repeated rows get
 equal scores.  Columns named in ``carry`` come along, and nothing but the text is an input.
 """
@@ -133,9 +134,11 @@ class Boosted:
 
 
 def fit(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 4, rate: float = 0.15, bins: int = 64,
-        least: int = 10, l2: float = 1.0) -> Boosted:
-    """Logistic boosting; every split is searched over histograms of at most ``bins`` bins per statistic."""
-    p = y.mean() if len(y) else 0.5
+        least: int = 10, l2: float = 1.0, weight: np.ndarray | None = None) -> Boosted:
+    """Logistic boosting; every split is searched over histograms of at most ``bins`` bins per statistic.
+    A row of weight n counts as n rows."""
+    weight = np.ones(len(y)) if weight is None else weight
+    p = np.average(y, weights=weight) if len(y) else 0.5
     base = float(np.log(p / (1 - p))) if 0 < p < 1 else (0.0 if not len(y) else 35.0 * (1 if p else -1))
     model = Boosted(base, depth)
     if not len(y) or not 0 < p < 1:
@@ -147,7 +150,7 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 4, rate: flo
     margin = np.full(len(y), base)
     for _ in range(trees):
         prob = 1 / (1 + np.exp(-margin))
-        g, h = y - prob, prob * (1 - prob)
+        g, h = weight * (y - prob), weight * prob * (1 - prob)
         root = len(feature)
         model.roots.append(root)
         feature.append(-1), cut.append(0.0), left.append(0), value.append(0.0)
@@ -160,7 +163,7 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 4, rate: flo
                 margin[rows] += value[node] if d == depth else 0
                 if d == depth:
                     continue
-                split = _split(flat[rows], g[rows], h[rows], x.shape[1], bins, least, l2)
+                split = _split(flat[rows], g[rows], h[rows], weight[rows], x.shape[1], bins, least, l2)
                 if split is None:
                     margin[rows] += value[node]
                     continue
@@ -176,14 +179,14 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 4, rate: flo
     return model
 
 
-def _split(flat, g, h, n_features: int, bins: int, least: int, l2: float):
+def _split(flat, g, h, weight, n_features: int, bins: int, least: int, l2: float):
     """The best (statistic, bin) to split at, from gradient histograms of all statistics at once."""
     size = n_features * bins
     at = flat.ravel()
     hist = [np.bincount(at, weights=np.repeat(v, n_features), minlength=size).reshape(n_features, bins)
-            for v in (g, h, np.ones(len(g)))]
+            for v in (g, h, weight)]
     gl, hl, nl = (np.cumsum(v, axis=1)[:, :-1] for v in hist)
-    gt, ht, nt = g.sum(), h.sum(), len(g)
+    gt, ht, nt = g.sum(), h.sum(), weight.sum()
     gain = gl ** 2 / (hl + l2) + (gt - gl) ** 2 / (ht - hl + l2) - gt ** 2 / (ht + l2)
     gain[(nl < least) | (nt - nl < least)] = -1
     best = int(np.argmax(gain))
@@ -202,25 +205,30 @@ def _to_statistics(schema: pa.Schema):
         for batch in batches:
             for part in batch_texts(batch, "text", 1 << 20):
                 x = statistics(part.column(0))
-                yield pa.RecordBatch.from_arrays([part.column(1), pa.array(list(x), pa.list_(pa.float64()))],
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(list(x), pa.list_(pa.float64()))],
                                                  schema=schema)
     return run
 
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, label: str = "quality",
           where: Column | None = None, **options) -> Boosted:
-    """Fit on at most ``max_rows`` labelled documents, chosen by the hash of their id."""
+    """Fit on at most ``max_rows`` labelled documents, chosen by the hash of their id.  Where documents repeat
+    labelled ids beyond that, equal texts of an id are one row and the hash of id and text chooses again."""
     marked = labels.select("doc_id", F.col(label).cast("int").alias("label")).where("label in (0, 1)")
     marked = marked.where(where) if where is not None else marked
-    marked = (marked.withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id", "label").limit(max_rows)
-              .select("doc_id", "label"))
+    marked = (marked.groupBy("doc_id", "label").agg(F.count(F.lit(1)).alias("n")).withColumn("h", F.xxhash64("doc_id"))
+              .orderBy("h", "doc_id", "label").limit(max_rows).select("doc_id", "label", "n"))
     sample = docs.select("doc_id", "text").join(F.broadcast(marked), "doc_id")
-    schema = pa.schema([("label", pa.int32()), ("x", pa.list_(pa.float64()))])
-    rows = in_arrow(sample.select("text", "label"), _to_statistics(schema), "label int, x array<double>").toArrow()
-    y = rows["label"].to_numpy().astype(float)
+    schema = pa.schema([("label", pa.int32()), ("n", pa.int64()), ("h", pa.int64()), ("x", pa.list_(pa.float64()))])
+    rows = in_arrow(sample.select("text", "label", "n", F.xxhash64("doc_id", "text").alias("h")), _to_statistics(schema),
+                    "label int, n long, h long, x array<double>")
+    if sample.count() > max_rows:
+        rows = rows.groupBy("h", "label", "x").agg(F.sum("n").alias("n")).orderBy("h", "label", "x").limit(max_rows)
+    rows = rows.select("label", "n", "x").toArrow()
+    y, n = (rows[c].to_numpy().astype(float) for c in ("label", "n"))
     x = np.array(rows["x"].to_pylist(), float).reshape(len(y), len(FEATURES))
-    order = np.lexsort((*x.T, y))  # the same model whatever order the rows came in
-    return fit(x[order], y[order], **options)
+    order = np.lexsort((n, *x.T, y))  # the same model whatever order the rows came in
+    return fit(x[order], y[order], weight=n[order], **options)
 
 
 def _score(model, schema: pa.Schema, text: int):

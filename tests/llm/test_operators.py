@@ -281,6 +281,31 @@ def test_quality_held_out(spark, sf01):
     assert len(got) > 50 and ((got.score >= 0.5) == (got.quality == 1)).mean() > 0.95
 
 
+def test_quality_repeats_do_not_fill_the_sample(spark, documents, monkeypatch):
+    from pyspark.sql import functions as F
+
+    texts = [(i, f"text {i} " + "word, " * i) for i in range(40)]
+    first = spark.range(40).orderBy(F.xxhash64("id")).first()[0]
+    marks = [(i, int(i % 2 == first % 2)) for i in range(40)]
+    seen = []
+    fit = quality.fit
+    monkeypatch.setattr(quality, "fit", lambda x, y, **o: seen.append((y, o.get("weight"))) or fit(x, y, **o))
+    for more_labels, more_docs in ((50, 0), (0, 50)):
+        labels = spark.createDataFrame(marks + [marks[first]] * more_labels, "doc_id long, quality int")
+        quality.train(documents(texts + [texts[first]] * more_docs), labels, max_rows=20)
+        y, weight = seen.pop()
+        assert len(y) == 20 and set(y) == {0.0, 1.0} and sorted(weight) == [1] * 19 + [51]
+
+
+def test_weights_equal_repeated_rows():
+    rng = np.random.default_rng(0)
+    x = np.repeat(np.eye(4), 10, axis=0)
+    y = rng.integers(0, 2, 40).astype(float)
+    n = rng.integers(1, 4, 40)
+    one = quality.fit(x, y, weight=n.astype(float)).scores(x)
+    assert np.allclose(one, quality.fit(np.repeat(x, n, axis=0), np.repeat(y, n)).scores(x))
+
+
 def test_quality_edges(spark, odd_documents):
     labels = spark.createDataFrame([(4, 1), (6, 0), (2, None), (None, 1), (77, 1), (5, 9)], "doc_id long, quality int")
     model = quality.train(odd_documents, labels)
