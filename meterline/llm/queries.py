@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, exact_dedup, hilbert, license_scan, lm_score, mixing, ngram_join, quality, warc
+from . import (align, chat_format, decontaminate, exact_dedup, hilbert, license_scan, lm_score, mixing, ngram_join,
+               pack, quality, warc)
 from .common import table
 
 
@@ -74,7 +75,17 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_align_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align(table(spark, sf_dir, "documents"))
+
+
+def op13_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack.pack(table(spark, sf_dir, "documents")).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     each = (op1_exact_dedup, op2_license_scan, op3_ngram_jaccard_join, op4_decontaminate, op5_quality_classifier,
-            op6_chat_format, op7_hilbert_sharding, op8_lm_score, op9_mix_sources, op10_warc)
+            op6_chat_format, op7_hilbert_sharding, op8_lm_score, op9_mix_sources, op10_warc,
+            op11_align_tokens, op13_pack)
     return {f.__name__: f for f in each}
