@@ -40,6 +40,8 @@ from .encode import (BYTE_BPE, PIECE_BPE, Ragged, byte_tokens, cut, encode_bytes
                      piece_table, piece_tokens, tokenizer_path)
 
 RADIX, FAN = 16, 32
+#: Bytes of text of a chunk.
+CHUNK = 8 << 20
 
 _SPILL = pa.schema([
     ("chunk", pa.int64()), ("row", pa.int32()), ("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()),
@@ -336,7 +338,7 @@ def _aligned(documents, byte_tokenizer, piece_tokenizer, groups, radix, fan) ->
     paths = byte_tokenizer or tokenizer_path(BYTE_BPE), piece_tokenizer or tokenizer_path(PIECE_BPE)
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     path = scratch_path(spark, "align")
-    in_arrow(rows, _spill(*paths, radix, groups), SPILL).write.parquet(path)
+    in_arrow(rows, _spill(*paths, radix, groups), SPILL, CHUNK).write.parquet(path)
     spilt = spark.read.schema(SPILL).parquet(path)
     runs = spilt.where("radix is not null").select("radix", "chunk", "pairs", "records")
     totals = _totals(runs, fan)

@@ -8,8 +8,7 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
-
+from ..session import scratch_path, shared_dir
 
 ARROW_BYTES = 16 << 20
 
@@ -24,9 +23,16 @@ def keep(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def in_arrow(df: DataFrame, function, schema) -> DataFrame:
+def written(df: DataFrame) -> DataFrame:
+    """Cut the lineage through a table in the shared folder: the rows are computed once and read narrow."""
+    path = scratch_path(df.sparkSession, "tables")
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def in_arrow(df: DataFrame, function, schema, size: int = ARROW_BYTES) -> DataFrame:
     """``mapInArrow`` over batches that are bounded in bytes, not only in rows: texts may be long."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
     return df.mapInArrow(function, schema)
 
 

@@ -138,7 +138,38 @@ SELECT p.page_id, p.n::BIGINT AS payload_bytes, p.digest AS payload_digest,
 FROM p LEFT JOIN g ON p.digest = g.digest AND p.n >= 1000
 """
 
+# crc32, bit by bit: for each byte its value, then eight steps.
+_CRC32 = """xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(
+  string_split(c::VARCHAR, ''), lambda x: [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda s, o: CASE WHEN o >= 0 THEN xor(s, o) ELSE xor(s >> 1, 3988292384 * (s & 1)) END))"""
+
+OP12 = f"""
+WITH t AS (
+  SELECT conv_id AS c, turn, coalesce(text, '') AS text,
+         sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT c, list({{'k': k, 'w': len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'))}} ORDER BY turn NULLS FIRST, k) AS ts
+        FROM t GROUP BY c),
+hs AS (SELECT c, ts, ({_CRC32}) % 4 AS h FROM own),
+r AS (SELECT a.c, list_concat(coalesce(b.ts, [])[1:a.h], a.ts[a.h + 1:]) AS ts
+      FROM hs a LEFT JOIN own b ON b.c = a.c - a.c % 20),
+p AS (SELECT c, d, d = len(ts) AS ends, ts[d].w AS w,
+             array_to_string(list_transform(ts[1:d], lambda x: x.k), ',') AS name,
+             CASE WHEN d > 0 THEN array_to_string(list_transform(ts[1:d - 1], lambda x: x.k), ',') END AS parent
+      FROM r, unnest(range(0, len(ts) + 1)) AS u(d)),
+n AS (SELECT name, d, min(c) AS conv_id, any_value(parent) AS parent, count(*) AS n_convs, coalesce(any_value(w), 0) AS w,
+             bool_and(ends) AS leaf, string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE ends) AS ids
+      FROM p GROUP BY name, d),
+below AS (SELECT a.name, count(*) FILTER (WHERE m.leaf) AS n_leaves, sum((m.n_convs - 1) * m.w) AS saved
+          FROM n m JOIN p a ON a.c = m.conv_id AND a.d <= m.d GROUP BY a.name),
+kids AS (SELECT parent AS name, count(*) AS n_children FROM n WHERE parent IS NOT NULL GROUP BY parent)
+SELECT n.conv_id, n.d AS depth, up.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children,
+       below.n_leaves, below.saved::BIGINT AS saved_tokens, sha256(coalesce(n.ids, '')) AS ends_sha256
+FROM n JOIN below ON below.name = n.name LEFT JOIN kids ON kids.name = n.name
+LEFT JOIN n AS up ON up.name = n.parent
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_exact_dedup": OP1, "op2_license_scan": OP2, "op3_ngram_jaccard_join": OP3, "op4_decontaminate": OP4,
-            "op6_chat_format": OP6, "op9_mix_sources": OP9, "op10_warc": OP10}
+            "op6_chat_format": OP6, "op9_mix_sources": OP9, "op10_warc": OP10, "op12_prefix_trie": OP12}

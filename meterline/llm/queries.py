@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (align, chat_format, decontaminate, exact_dedup, hilbert, license_scan, lm_score, mixing, ngram_join,
-               pack, quality, warc)
+               pack, prefix_trie, quality, warc)
 from .common import table
 
 
@@ -79,6 +80,15 @@ def op11_align_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.align(table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, conversations = prefix_trie.with_shared_openings(table(spark, sf_dir, "conversations"))
+    nodes, members = prefix_trie.build(turns, conversations)
+    none = F.lit(hashlib.sha256().hexdigest())
+    return nodes.join(prefix_trie.ends_digest(members), "name", "left").select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+        F.coalesce("ends_sha256", none).alias("ends_sha256"))
+
+
 def op13_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack.pack(table(spark, sf_dir, "documents")).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -87,5 +97,5 @@ def op13_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     each = (op1_exact_dedup, op2_license_scan, op3_ngram_jaccard_join, op4_decontaminate, op5_quality_classifier,
             op6_chat_format, op7_hilbert_sharding, op8_lm_score, op9_mix_sources, op10_warc,
-            op11_align_tokens, op13_pack)
+            op11_align_tokens, op12_prefix_trie, op13_pack)
     return {f.__name__: f for f in each}
