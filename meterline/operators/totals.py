@@ -24,7 +24,7 @@ def account_total_changes(usage: DataFrame, tie: str, total: str = "totalUsage",
     """The change rows an updating per-account total emits, one step per usage row in ``(ts, tie)`` order.
 
     First row of an account: ``+I``; every later row retracts the previous result (``-U``) and adds
-    the new one (``+U``).
+    the new one (``+U``).  A null amount counts as 0.
     """
     run = running_sum(usage, ["account"], ["ts", tie], "bytesUsed", "_total", prev_order="ts",
                       plan=plan, width=width)
@@ -33,7 +33,7 @@ def account_total_changes(usage: DataFrame, tie: str, total: str = "totalUsage",
     steps = F.when(first, F.array(F.struct(F.lit("+I").alias("op"), F.col("_total").alias("t"),
                                            F.col("_asof").alias("a"))))\
              .otherwise(F.array(
-                 F.struct(F.lit("-U").alias("op"), (F.col("_total") - F.col("bytesUsed")).alias("t"),
+                 F.struct(F.lit("-U").alias("op"), (F.col("_total") - F.coalesce("bytesUsed", F.lit(0))).alias("t"),
                           F.col("_prev").alias("a")),
                  F.struct(F.lit("+U").alias("op"), F.col("_total").alias("t"), F.col("_asof").alias("a"))))
     return (run.select("account", "ts", tie, F.explode(steps).alias("s"))

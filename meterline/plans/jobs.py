@@ -20,7 +20,7 @@ from ..operators import account_totals, enrich_usage, enriched_view, in_time_ord
 from ..schemas import ALERT_RATIO, DEFAULT_BROKERS, DEFAULT_TOPIC
 from ..sources.codec import decode_usage, encode_usage
 from ..sources.log import in_range, read_log, write_log
-from ..streaming.alerts import stream_usage_alerts
+from ..streaming.alerts import stream_usage_alerts, stream_versioned_alerts
 from ..streaming.enrich import enrich_static, enrich_versioned
 from ..streaming.ordered import ordered_batch_writer
 from ..streaming.runner import batch_folder_writer, start
@@ -91,12 +91,16 @@ def quota_enrichment_job(spark: SparkSession, versions: DataFrame, kind: str = "
                          topic: str = DEFAULT_TOPIC, brokers: str = DEFAULT_BROKERS, streaming: bool = False,
                          checkpoint: str | None = None, out: str | None = None,
                          delay: str = "0 seconds", late: str | None = None, trigger: dict | None = None,
-                         max_per_trigger: int | None = None) -> DataFrame | StreamingQuery:
+                         max_per_trigger: int | None = None, wait_for: str = "usage",
+                         late_out: str | None = None) -> DataFrame | StreamingQuery:
     """``account, bytesUsed, quota, ts`` in event-time order, event time from the log record.
 
     Batch: as-of join, then a global sort.  Stream: with a static version table a stream–static join
-    (order within each micro-batch); with a version stream the watermark-released join, whose batches
-    concatenate into one ordered sequence (see :mod:`meterline.streaming.ordered`).
+    (order within each micro-batch only); with a version stream the watermark-released join, whose batches in
+    ``out`` concatenate into one ordered sequence (see :mod:`meterline.streaming.ordered`).  Usage behind the watermark
+    is joined too, but can't have a place in that sequence: it goes to ``late_out`` (by default ``out`` with ``_late``
+    behind it).  With ``late="drop"`` Spark drops it.  ``wait_for="both"`` waits for versions too (see
+    :mod:`meterline.streaming.enrich`).
     """
     if not streaming:
         usage = usage_from_log(read_log(spark, kind, path, topic, brokers), ts_from="record")
@@ -104,21 +108,25 @@ def quota_enrichment_job(spark: SparkSession, versions: DataFrame, kind: str = "
     raw = read_log(spark, kind, path, topic, brokers, streaming=True, starting="earliest",
                    max_files_per_trigger=max_per_trigger, max_offsets_per_trigger=max_per_trigger)
     usage = usage_from_log(raw, ts_from="record")
-    if versions.isStreaming:
-        enriched = enrich_versioned(usage, versions, LOG_POSITION, delay=delay, late=late or "emit")
-    else:
-        enriched = enrich_static(usage, versions)
-    return start(enriched.select("account", "bytesUsed", "quota", "ts", LOG_POSITION), checkpoint, "append",
-                 sink=ordered_batch_writer(out, ["ts", LOG_POSITION]), trigger=trigger)
+    columns, order = ["account", "bytesUsed", "quota", "ts", LOG_POSITION], ["ts", LOG_POSITION]
+    if not versions.isStreaming:
+        return start(enrich_static(usage, versions).select(*columns), checkpoint, "append",
+                     sink=ordered_batch_writer(out, order), trigger=trigger)
+    enriched = enrich_versioned(usage, versions, LOG_POSITION, delay=delay, late=late or "emit", wait_for=wait_for,
+                                mark_late=True)
+    sink = ordered_batch_writer(out, order, late_out or out.rstrip("/") + "_late")
+    return start(enriched.select(*columns, "late"), checkpoint, "append", sink=sink, trigger=trigger)
 
 
 def alerting_job(spark: SparkSession, versions: DataFrame, kind: str = "kafka", path: str | None = None,
                  topic: str = DEFAULT_TOPIC, brokers: str = DEFAULT_BROKERS, streaming: bool = False,
                  checkpoint: str | None = None, out: str | None = None, ratio: float = ALERT_RATIO,
                  delay: str = "0 seconds", clear_after=None, late: str | None = None, trigger: dict | None = None,
-                 max_per_trigger: int | None = None) -> DataFrame | StreamingQuery:
+                 max_per_trigger: int | None = None, wait_for: str = "usage") -> DataFrame | StreamingQuery:
     """Warnings ``ts, account, billingYear, billingMonth, quota, total, message``, one per billing key.
 
+    Late usage counts as long as its month is open: always, or with ``clear_after`` until that long after the month's
+    end (only ``late="drop"``, with a version stream, lets Spark drop it).  ``wait_for="both"`` waits for versions too.
     ``max_per_trigger`` (files, or Kafka offsets) and ``trigger`` bound a micro-batch of a long log.
     """
     if not streaming:
@@ -127,8 +135,10 @@ def alerting_job(spark: SparkSession, versions: DataFrame, kind: str = "kafka",
     raw = read_log(spark, kind, path, topic, brokers, streaming=True, starting="earliest",
                    max_files_per_trigger=max_per_trigger, max_offsets_per_trigger=max_per_trigger)
     usage = usage_from_log(raw, ts_from="record")
-    late = late or ("emit" if clear_after is None else "drop")
-    enriched = (enrich_versioned(usage, versions, LOG_POSITION, delay=delay, late=late) if versions.isStreaming
-                else enrich_static(usage, versions))
-    alerts = stream_usage_alerts(enriched, LOG_POSITION, ratio, clear_after=clear_after, watermark_delay=delay)
+    if versions.isStreaming:
+        alerts = stream_versioned_alerts(usage, versions, LOG_POSITION, ratio, clear_after=clear_after, delay=delay,
+                                         late=late or "emit", wait_for=wait_for)
+    else:
+        alerts = stream_usage_alerts(enrich_static(usage, versions), LOG_POSITION, ratio, clear_after=clear_after,
+                                     watermark_delay=delay)
     return start(alerts, checkpoint, "append", path=out, trigger=trigger)

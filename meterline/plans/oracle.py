@@ -197,6 +197,11 @@ FROM changes WHERE prev_ts IS NOT NULL"""
         "date_trunc('millisecond', MAX(ts)) AS asOf FROM usage "
         f"WHERE ts >= TIMESTAMP '{RANGE_START}' AND ts < TIMESTAMP '{RANGE_END}' GROUP BY account")
     q["quota_enriched_late_stream"] = q["quota_enriched"]
+    for name in ("lagging_versions", "delay", "changes"):
+        q[f"quota_enriched_{name}_stream"] = q["quota_enriched"]
+    q["quota_enriched_ordered_late_stream"] = q["quota_enriched_ordered"]
+    q["usage_alerts_late_clearing_stream"] = _with(LONG_USAGE, LONG_VERSIONS, ENRICHED, RUNNING, ALERTS) + (
+        "SELECT account, billingYear, billingMonth, quota FROM alerts")
     q["usage_alerts_clearing_orders_stream"] = q["usage_alerts_long_range"]
     q["usage_alerts_published"] = _with(LOG_USAGE, VERSIONS, ENRICHED, RUNNING, ALERTS) + (
         "SELECT ts, account, billingYear, billingMonth, quota, total, message FROM alerts")

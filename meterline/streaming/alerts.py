@@ -1,15 +1,19 @@
-"""Streaming usage alerts: a keyed stateful processor, the one place where rows meet Python.
+"""Streaming usage alerts: a keyed stateful processor, one of the few places where rows meet Python.
 
 Per billing key ``(account, billingYear, billingMonth, quota)`` the processor keeps the running total
 and whether the key has already warned (a ``MapState`` per account).  Within a micro-batch the rows
 are put in ``(ts, tie)`` order before they are added, so files replayed in event order give the batch
-result.  Rows go through pandas (Arrow batches), so the work is vectorized.
+result.  Rows go through numpy (Arrow batches), so the work is vectorized.
 
 State grows with accounts × months × quotas unless ``clear_after`` is set: then an event-time timer at
 the end of the billing month plus that grace clears the key.  Rows of a month that is still open are added
 however late they are (the watermark column is kept away from the processor's input, so Spark filters
 nothing); rows of a month past its end plus grace are dropped, so a cleared total is never restarted.
 Times inside the processor are epoch microseconds — the process's zone can never shift them.
+
+After a version stream, :func:`stream_versioned_alerts` does the join and the totals in one processor keyed by
+account: both see the same watermark, so months are cleared and late usage of open months still counts.
+Null amounts count as 0.
 """
 
 from __future__ import annotations
@@ -29,6 +33,10 @@ from ..session import use_rocksdb_state
 from ..functions.billing import alert_message
 from ..operators.scan import check_sums
 from ..schemas import ALERT_RATIO, BILLING_KEY
+from .enrich import VersionedJoinProcessor, _horizon, two_sides
+
+_COLUMNS = ("ts_us", "billingYear", "billingMonth", "quota", "quota_null", "bytesUsed")
+
 
 def checked_cumsum(prior: int, values: np.ndarray) -> np.ndarray:
     """Running sum continuing from ``prior``; raises rather than wrapping past the long range."""
@@ -41,107 +49,152 @@ def month_end_ms(year: int, month: int) -> int:
     return int(nxt.timestamp() * 1000)
 
 
-class UsageAlertProcessor(StatefulProcessor):
-    """Per account: add each row to its billing key's total; the first time a key's total passes
-    ``ratio * quota``, emit once.
-
-    The processor is keyed by account (one call per account and micro-batch; the per-call cost of the
-    operator dominates when keys are many and small) and keeps, per remaining key part — year, month
-    and, by default, quota — the total and the alert flag in a ``MapState``.  Within a call the
-    running totals of all its billing keys are computed together, vectorized.  Key parts left out of
-    ``key`` (e.g. the quota) are read from each row.
-    """
+class BillingTotals:
+    """An account's totals and flags by billing key, in a ``MapState``: year, month and, by default, quota.
+    Only the keys of the rows at hand are read.  Key parts left out of ``key`` (e.g. the quota) are read
+    from each row."""
 
     SUB_KEY_TYPES = {"billingYear": "long", "billingMonth": "long", "quota": "long"}
 
-    def __init__(self, tie: str, ratio: float = ALERT_RATIO, clear_after: timedelta | None = None,
-                 key: Sequence[str] = BILLING_KEY):
-        self.tie = tie
-        self.ratio = float(ratio)
+    def __init__(self, tie: str, ratio: float, clear_after: timedelta | None, key: Sequence[str]):
+        self.tie, self.ratio = tie, float(ratio)
         self.sub = [k for k in key if k != "account"]
         if "account" not in key or any(k not in self.SUB_KEY_TYPES for k in self.sub):
             raise ValueError(f"key must be account plus some of {sorted(self.SUB_KEY_TYPES)}")
         if clear_after is not None and not {"billingYear", "billingMonth"} <= set(self.sub):
             raise ValueError("clearing by month needs billingYear and billingMonth in the key")
-        self.clear_after_ms = None if clear_after is None else int(clear_after.total_seconds() * 1000)
+        self.grace = None if clear_after is None else int(clear_after.total_seconds() * 1000)
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
+    def open(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         sub_schema = ", ".join(f"{k} {self.SUB_KEY_TYPES[k]}" for k in self.sub)
         self.state = handle.getMapState("usage", sub_schema, "total long, alerted boolean")
 
-    @staticmethod
-    def _py(v):
-        return None if v is None or (isinstance(v, float) and np.isnan(v)) else int(v)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        # The rows carry the key columns too.
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values(["ts_us", self.tie], kind="stable")
-        if self.clear_after_ms is not None:  # months that are over, grace included, take no more rows
-            wm = timerValues.getCurrentWatermarkInMs()
-            over = [ym for ym in set(zip(pdf["billingYear"], pdf["billingMonth"]))
-                    if month_end_ms(int(ym[0]), int(ym[1])) + self.clear_after_ms <= wm]
-            if over:
-                pdf = pdf[[ym not in over for ym in zip(pdf["billingYear"], pdf["billingMonth"])]]
-                if not len(pdf):
-                    return
-        pdf = pdf.reset_index(drop=True)
-        # The quota arrives null-free with a separate flag, so that it stays an exact int64.
-        group_cols = self.sub + (["quota_null"] if "quota" in self.sub else [])
-        gid = pdf.groupby(group_cols, sort=False).ngroup().to_numpy()
-        firsts = pdf.groupby(gid, sort=False).head(1)
-        subkeys = [tuple(None if (c == "quota" and qn) else int(v) for c, v in zip(self.sub, r[:-1]))
-                   for r in firsts[self.sub + ["quota_null"]].itertuples(index=False) for qn in [r[-1]]]
-        order = firsts.index.to_numpy()            # first row of each group, in group-id order
-        groups = gid[order]
-        prior = np.zeros(len(subkeys), dtype="int64")
-        alerted = np.zeros(len(subkeys), dtype=bool)
-        fresh = []
-        # One read of the account's map (small: the open months, when clearing is on) instead of one
-        # lookup per billing key.
-        known = {tuple(self._py(v) for v in k): v for k, v in self.state.iterator()}
-        for g, sk in zip(groups, subkeys):
-            prev = known.get(sk)
-            if prev is None:
-                fresh.append(sk)
-            else:
-                prior[g], alerted[g] = int(prev[0]), bool(prev[1])
-        vals = pdf["bytesUsed"].to_numpy(dtype="int64")
-        run = check_sums(pd.Series(vals).groupby(gid).cumsum().to_numpy() + prior[gid], vals)
+    def add(self, account: str, rows: dict[str, np.ndarray], watermark: int | None) -> pd.DataFrame | None:
+        """Adds rows (any order) to their totals; the first row of each key that passes, once per key."""
+        order = np.lexsort((rows[self.tie], rows["ts_us"]))
+        rows = {c: v[order] for c, v in rows.items()}
+        if self.grace is not None:  # months that are over, grace included, take no more rows
+            months = rows["billingYear"] * 12 + rows["billingMonth"] - 1
+            over = [m for m in np.unique(months).tolist() if month_end_ms(m // 12, m % 12 + 1) + self.grace <= watermark]
+            keep = ~np.isin(months, over)
+            rows = {c: v[keep] for c, v in rows.items()}
+        n = len(rows["ts_us"])
+        if not n:
+            return None
+        # The quota comes null-free with a separate flag, so that it stays an exact int64.
+        parts = [rows[c].astype("int64") for c in self.sub] + ([rows["quota_null"].astype("int64")] if "quota" in self.sub else [])
+        keys, first, group = np.unique(np.stack(parts, axis=1), axis=0, return_index=True, return_inverse=True)
+        group = group.reshape(-1)
+        prior, alerted = np.zeros(len(keys), "int64"), np.zeros(len(keys), bool)
+        subkeys = []
+        for g, row in enumerate(keys.tolist()):
+            sk = tuple(None if c == "quota" and row[-1] else v for c, v in zip(self.sub, row))
+            subkeys.append(sk)
+            known = self.state.getValue(sk)
+            if known is not None:
+                prior[g], alerted[g] = int(known[0]), bool(known[1])
+            elif self.grace is not None:
+                year, month = sk[self.sub.index("billingYear")], sk[self.sub.index("billingMonth")]
+                self.handle.registerTimer(month_end_ms(year, month) + self.grace)
+        used = rows["bytesUsed"].astype("int64")
+        run = check_sums(pd.Series(used).groupby(group).cumsum().to_numpy() + prior[group], used)
         # Java compares long > double: the total is widened to double, like here; a null quota
         # never passes (NaN compares false).
-        quota = np.where(pdf["quota_null"].to_numpy(dtype=bool), np.nan,
-                         pdf["quota"].to_numpy(dtype="int64").astype("float64"))
-        hit = (~alerted[gid]) & (run.astype("float64") > self.ratio * quota)
-        first_hits = pdf.index[hit].to_series().groupby(gid[hit]).first()
-        last_rows = pd.Series(np.arange(len(pdf))).groupby(gid).last()
-        for g, sk in zip(groups, subkeys):
-            self.state.updateValue(sk, (int(run[last_rows[g]]), bool(alerted[g] or g in first_hits.index)))
-        if self.clear_after_ms is not None:
-            iy, im = self.sub.index("billingYear"), self.sub.index("billingMonth")
-            for y, m in {(sk[iy], sk[im]) for sk in fresh}:
-                self.handle.registerTimer(month_end_ms(y, m) + self.clear_after_ms)
-        if len(first_hits) == 0:
-            return
-        idx = first_hits.to_numpy()
-        out = pdf.loc[idx, ["ts_us", "account", "billingYear", "billingMonth", "quota", self.tie]].copy()
-        out["total"] = run[idx]
-        yield out.astype({"ts_us": "int64", "billingYear": "int64", "billingMonth": "int64",
-                          "quota": "int64", "total": "int64", self.tie: "int64"})
+        quota = np.where(rows["quota_null"].astype(bool), np.nan, rows["quota"].astype("float64"))
+        hit = np.flatnonzero(~alerted[group] & (run.astype("float64") > self.ratio * quota))
+        passed, at = np.unique(group[hit], return_index=True)
+        alerted[passed] = True
+        last = np.zeros(len(keys), "int64")
+        last[group] = np.arange(n)      # the last row of a group is the last one written
+        for g, sk in enumerate(subkeys):
+            self.state.updateValue(sk, (int(run[last[g]]), bool(alerted[g])))
+        if not len(hit):
+            return None
+        at = np.sort(hit[at])
+        return pd.DataFrame({"ts_us": rows["ts_us"][at], "account": account, "billingYear": rows["billingYear"][at],
+                             "billingMonth": rows["billingMonth"][at], "quota": rows["quota"][at], "total": run[at],
+                             self.tie: rows[self.tie][at]}).astype(
+            {c: "int64" for c in ("ts_us", "billingYear", "billingMonth", "quota", "total", self.tie)})
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        """Drop the billing keys of every month whose end plus grace has passed."""
-        expiry = expiredTimerInfo.getExpiryTimeInMs()
+    def clear(self, expiry_ms: int) -> None:
+        """Drops the billing keys of every month whose end plus grace has passed."""
         iy, im = self.sub.index("billingYear"), self.sub.index("billingMonth")
         for sk in list(self.state.keys()):
-            if month_end_ms(sk[iy], sk[im]) + self.clear_after_ms <= expiry:
+            if month_end_ms(sk[iy], sk[im]) + self.grace <= expiry_ms:
                 self.state.removeKey(sk)
+
+
+class UsageAlertProcessor(StatefulProcessor):
+    """Per account: add each row to its billing key's total; the first time a key's total passes
+    ``ratio * quota``, emit once.
+
+    The processor is keyed by account (one call per account and micro-batch; the per-call cost of the
+    operator dominates when keys are many and small).  Within a call the running totals of all its billing
+    keys are computed together, vectorized; rows are held as integers, some 60 bytes each.
+    """
+
+    def __init__(self, tie: str, ratio: float = ALERT_RATIO, clear_after: timedelta | None = None,
+                 key: Sequence[str] = BILLING_KEY):
+        self.totals = BillingTotals(tie, ratio, clear_after, key)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.totals.open(handle)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        chunks = [{c: pdf[c].to_numpy().astype("int64") for c in (*_COLUMNS, self.totals.tie)} for pdf in rows]
+        whole = {c: np.concatenate([chunk[c] for chunk in chunks]) for c in chunks[0]}
+        watermark = timerValues.getCurrentWatermarkInMs() if self.totals.grace is not None else None
+        out = self.totals.add(key[0], whole, watermark)
+        if out is not None:
+            yield out
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.totals.clear(expiredTimerInfo.getExpiryTimeInMs())
         return iter([])
 
     def close(self) -> None:
         pass
 
 
+class VersionedAlertProcessor(VersionedJoinProcessor):
+    """The version-stream join whose joined usage goes straight into the account's totals."""
+
+    def __init__(self, tie: str, horizon: int | None, ratio: float = ALERT_RATIO, clear_after: timedelta | None = None,
+                 key: Sequence[str] = BILLING_KEY):
+        super().__init__(tie, horizon)
+        self.totals = BillingTotals(tie, ratio, clear_after, key)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.totals.open(handle)
+
+    def joined(self, account: str, rows: np.ndarray, late: bool) -> Iterator[pd.DataFrame]:
+        found, version = self.versions.in_force(rows[:, 0])
+        if found.any():
+            rows, version = rows[found], version[found]
+            month = rows[:, 0].astype("datetime64[us]").astype("datetime64[M]").astype("int64")
+            out = self.totals.add(account, {
+                "ts_us": rows[:, 0], "bytesUsed": rows[:, 1], self.tie: rows[:, 2], "quota": version[:, 1],
+                "quota_null": version[:, 2], "billingYear": 1970 + month // 12, "billingMonth": month % 12 + 1}, self.watermark)
+            if out is not None:
+                yield out
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        self.watermark = timerValues.getCurrentWatermarkInMs()
+        yield from super().handleInputRows(key, rows, timerValues)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        # The clock is the timer's: however far the watermark jumped, usage that waited is not late, and it comes before
+        # its month is cleared, as a row of a month lies before its end.
+        expiry = self.watermark = expiredTimerInfo.getExpiryTimeInMs()
+        yield from super().handleExpiredTimer(key, timerValues, expiredTimerInfo)
+        if self.totals.grace is not None:
+            end = datetime.fromtimestamp(0, timezone.utc) + timedelta(milliseconds=expiry - self.totals.grace)
+            if (end.day, end.hour, end.minute, end.second, end.microsecond) == (1, 0, 0, 0, 0):
+                self.totals.clear(expiry)
+
+
 def _is_versioned_join(df: DataFrame) -> bool:
     """Whether a stateful operator with event time stands below already."""
     return df.isStreaming and "EventTimeWatermark" in df._jdf.queryExecution().logical().toString()
@@ -155,20 +208,29 @@ def _out_schema(tie: str) -> T.StructType:
         T.StructField(tie, T.LongType())])
 
 
+def _with_message(out: DataFrame, tie: str) -> DataFrame:
+    return (out.select(F.timestamp_micros("ts_us").alias("ts"), "account", "billingYear", "billingMonth",
+                       "quota", "total", tie)
+               .withColumn("message", alert_message("ts", "account", "total", "quota")))
+
+
 def stream_usage_alerts(enriched: DataFrame, tie: str, ratio: float = ALERT_RATIO,
                         key: Sequence[str] = BILLING_KEY, clear_after: timedelta | None = None,
                         watermark_delay: str = "0 seconds") -> DataFrame:
     """Alerts of an enriched usage stream (append mode): ``ts, account, billingYear, billingMonth,
     quota, total, message`` plus ``tie``.  Also runs on a bounded DataFrame (without ``clear_after``)."""
     use_rocksdb_state(enriched.sparkSession)
-    key = list(key)
+    key, zero = list(key), F.lit(0).cast("long")
     upstream_time = "event_ts" in enriched.columns
-    cols = ["account", "billingYear", "billingMonth", F.coalesce("quota", F.lit(0)).alias("quota"),
-            F.col("quota").isNull().alias("quota_null"), F.unix_micros("ts").alias("ts_us"), "bytesUsed", tie]
+    cols = ["account", "billingYear", "billingMonth", F.coalesce("quota", zero).alias("quota"),
+            F.col("quota").isNull().alias("quota_null"), F.unix_micros("ts").alias("ts_us"),
+            F.coalesce(F.col("bytesUsed").cast("long"), zero).alias("bytesUsed"),
+            F.coalesce(F.col(tie).cast("long"), zero).alias(tie)]
     prepared = enriched.select(*cols, *(["event_ts"] if upstream_time else []))
     time_mode = "None"
     if clear_after is not None and not upstream_time and _is_versioned_join(enriched):
-        raise ValueError("clearing after a version-stream join needs its watermark: use late='drop' there")
+        raise ValueError("clearing after a version-stream join needs its watermark: use stream_versioned_alerts, "
+                         "or late='drop' in the join")
     if clear_after is not None:
         # Rows of the version-stream join already carry its watermark (``event_ts``); any other input
         # gets one here.  A second watermark after that join would find every released row late.
@@ -178,6 +240,19 @@ def stream_usage_alerts(enriched: DataFrame, tie: str, ratio: float = ALERT_RATI
         time_mode = "EventTime"
     out = prepared.groupBy("account").transformWithStateInPandas(
         UsageAlertProcessor(tie, ratio, clear_after, key), _out_schema(tie), "Append", time_mode)
-    return (out.select(F.timestamp_micros("ts_us").alias("ts"), "account", "billingYear", "billingMonth",
-                       "quota", "total", tie)
-               .withColumn("message", alert_message("ts", "account", "total", "quota")))
+    return _with_message(out, tie)
+
+
+def stream_versioned_alerts(usage: DataFrame, versions: DataFrame, tie: str, ratio: float = ALERT_RATIO,
+                            key: Sequence[str] = BILLING_KEY, clear_after: timedelta | None = None,
+                            delay: str = "0 seconds", late: str = "emit", wait_for: str = "usage",
+                            version_delay: str | None = None, horizon: timedelta | None = None) -> DataFrame:
+    """Alerts of a usage stream joined with a version stream, in one stateful operator; the parameters are those of
+    :func:`~meterline.streaming.enrich.enrich_versioned` and :func:`stream_usage_alerts`.  With ``clear_after`` late
+    usage counts as long as its month is open."""
+    keep = _horizon(horizon, late)
+    both = two_sides(usage, versions, tie, delay, version_delay or delay, wait_for)
+    both = both.select("key_id", *(["wm_ts"] if late == "drop" else []), "ts_us", "side", "bytesUsed", tie, "quota", "quota_null")
+    out = both.groupBy("key_id").transformWithStateInPandas(
+        VersionedAlertProcessor(tie, keep, ratio, clear_after, list(key)), _out_schema(tie), "Append", "EventTime")
+    return _with_message(out, tie)

@@ -6,24 +6,33 @@
     watermark, nothing is ever late.
 ``enrich_versioned``
     versions arrive as a stream too.  Both streams are unioned and keyed by account into
-    :class:`VersionedJoinProcessor`: versions are stored (``MapState``); a usage row is joined once the
-    event-time watermark has reached its time, so that all versions up to that time have been seen,
-    released by an event-time timer.
-
-Event time, and so the watermark, comes from the usage rows only.  Usage behind the watermark is late.
-By default (``late="emit"``) it is joined and emitted at once: the watermark column is kept away from the
-processor's input, so Spark filters nothing, and versions stay in state, as late usage may need an old one.
-With ``late="drop"`` Spark drops late rows before the processor (``numRowsDroppedByWatermark``), so ``delay``
-is the lateness the join tolerates; then each release is in event order, and versions older than the
-newest one at or before the watermark are removed from state.
-Version rows carry no event time: they are never late and never move time on, however old or new —
-each is stored and applies from its own time on (a version arriving after usage it covers was
-released does not correct that usage).
+    :class:`VersionedJoinProcessor`: versions are stored in time buckets; a usage row waits in a calendar queue and
+    is joined once the watermark has reached its time.
+``enrich_changes``
+    the same join without waiting: usage is joined at once, and a version that arrives after usage it covers retracts
+    and corrects that usage (``+I``, ``-U``, ``+U`` rows).
+
+**Completeness.**  With ``wait_for="both"`` each side has its own watermark and the lower one holds: usage waits until
+both streams have reached its time, and versions that lag behind are not missed.  A row without an account
+or id is a heartbeat: it only moves its side's time.  A side that is idle, or finished, must send heartbeats (a finished
+one once, :data:`FINISHED`; after a restart of the query again, as Spark forgets the time of each side), or
+the other side's rows wait for it.  With ``wait_for="usage"``, the default, only usage moves time and nothing stalls, but a
+version that arrives after usage it covers was released does not correct it.
+
+**Late usage**, behind the watermark, is joined and emitted at once by default (``late="emit"``): the watermark
+column is kept away from the processor's input, so Spark filters nothing.  Versions then stay in state for it;
+with a ``horizon`` only as long as usage up to that far behind the watermark needs them, and usage still later is
+dropped.  With ``late="drop"`` Spark drops late usage before the processor (``numRowsDroppedByWatermark``), so
+``delay`` is the lateness tolerated, and each release is in event order.  Versions are never late: each is stored and
+applies from its own time on.
+
+Nulls: a null amount counts as 0, a null tie as 0; rows without a time match nothing.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from datetime import datetime, timedelta, timezone
 
 import numpy as np
 import pandas as pd
@@ -36,6 +45,11 @@ from ..session import shared_dir, use_rocksdb_state
 
 from ..functions.billing import billing_month, billing_year
 from ..operators.asof import FAN, MAX_BROADCAST_ROWS, interval_join, interval_levels, version_stats
+from .keyed_state import BUCKET, Calendar, VersionStore, groups, in_order, micros, opened, packed
+
+#: Time of the heartbeat of a side that sends no more rows.
+FINISHED = datetime(9999, 1, 1, tzinfo=timezone.utc)
+VERSION, USAGE, HEARTBEAT = 0, 1, 2
 
 
 def enrich_static(usage: DataFrame, versions: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
@@ -59,135 +73,292 @@ def enrich_static(usage: DataFrame, versions: DataFrame, max_broadcast_rows: int
     return joined.withColumns({"billingYear": billing_year("ts"), "billingMonth": billing_month("ts")})
 
 
+def split_rows(pdf: pd.DataFrame, tie: str) -> tuple[np.ndarray, np.ndarray]:
+    """Versions (time, quota, null) and usage (time, bytes, tie) of a chunk of input rows; heartbeats are left out."""
+    side = pdf["side"].to_numpy()
+    found = []
+    for which, columns in ((VERSION, ["ts_us", "quota", "quota_null"]), (USAGE, ["ts_us", "bytesUsed", tie])):
+        at = side == which
+        found.append(np.stack([pdf[c].to_numpy()[at].astype("<i8") for c in columns], axis=1))
+    return found[0], found[1]
+
+
 class VersionedJoinProcessor(StatefulProcessor):
-    """Per account: versions in ``MapState`` (time → quota), waiting usage in ``ListState`` and one
-    pending event-time timer at the earliest waiting time (``ValueState``).  Row work is vectorized;
-    only the state calls take tuples."""
+    """Per account: versions in time buckets, and usage that waits in a calendar queue.
+
+    ``horizon`` (microseconds): versions that usage this far behind the watermark can't use are removed by a timer,
+    of idle accounts too; None keeps them all.
+    """
 
-    def __init__(self, tie: str, prune: bool):
-        self.tie = tie
-        self.prune = prune
+    def __init__(self, tie: str, horizon: int | None, bucket: timedelta = BUCKET):
+        self.tie, self.horizon, self.bucket = tie, horizon, bucket
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.versions = handle.getMapState("versions", "vts long", "quota long")
-        self.waiting = handle.getListState("waiting", f"ts long, bytesUsed long, {self.tie} long")
-        self.timer = handle.getValueState("timer", "ms long")
-
-    def _emit(self, account, ts: np.ndarray, used: np.ndarray, tie: np.ndarray) -> pd.DataFrame | None:
-        """Join time-sorted usage with the latest stored version at or before each time."""
-        if ts.size == 0:
-            return None
-        pairs = sorted((int(k[0]), v[0]) for k, v in self.versions.iterator())
-        if not pairs:
-            return None
-        vts = np.array([p[0] for p in pairs], dtype="int64")
-        quotas = pd.array([p[1] for p in pairs], dtype="Int64")
-        pos = np.searchsorted(vts, ts, side="right") - 1
-        keep = pos >= 0
-        if not keep.any():
-            return None
-        return pd.DataFrame({"account": account, "bytesUsed": used[keep], "ts_us": ts[keep],
-                             self.tie: tie[keep], "quota": quotas[pos[keep]],
-                             "event_ts": pd.to_datetime(ts[keep], unit="us", utc=True)})
-
-    def _arm(self, ms: int) -> None:
-        """Keep one timer per account, at the earliest waiting time."""
-        cur = self.timer.get()
-        if cur is None or ms < cur[0]:
+        self.versions = VersionStore(handle, self.bucket)
+        self.calendar = Calendar(handle, self.bucket)
+        self.prune_at = handle.getValueState("prune_at", "ms long")
+
+    def joined(self, account: str, rows: np.ndarray, late: bool) -> Iterator[pd.DataFrame]:
+        """What goes out for usage in time order with its versions; a subclass may make something else of it."""
+        found, version = self.versions.in_force(rows[:, 0])
+        if found.any():
+            rows, version = rows[found], version[found]
+            quota = pd.array(version[:, 1], dtype="Int64")
+            quota[version[:, 2] != 0] = pd.NA
+            yield pd.DataFrame({"account": account, "bytesUsed": rows[:, 1], "ts_us": rows[:, 0], self.tie: rows[:, 2],
+                                "quota": quota, "event_ts": pd.to_datetime(rows[:, 0], unit="us", utc=True),
+                                "late": late})
+
+    def _schedule(self) -> None:
+        """The timer at which the oldest version is of no more use."""
+        us, have = self.versions.second(), self.prune_at.get()
+        if us is None:
+            return
+        ms = -(-(us + self.horizon) // 1000)
+        if have is None or int(have[0]) != ms:
             self.handle.registerTimer(ms)
-            self.timer.update((ms,))
+            self.prune_at.update((ms,))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True)
-        vers = pdf[pdf["side"] == 0]
-        if len(vers):
-            for vts, qv, qn in zip(vers["ts_us"].astype("int64").tolist(), vers["quota"].astype("int64").tolist(),
-                                   vers["quota_null"].astype(bool).tolist()):
-                self.versions.updateValue((vts,), (None if qn else qv,))
-        # The watermark has millisecond resolution; a row counts as reached once its millisecond is.
-        wm_ms = timerValues.getCurrentWatermarkInMs()
-        use = pdf[pdf["side"] == 1].sort_values(["ts_us", self.tie], kind="stable")
-        ts = use["ts_us"].to_numpy(dtype="int64")
-        used = use["bytesUsed"].to_numpy(dtype="int64")
-        tie = use[self.tie].to_numpy(dtype="int64")
-        later = (ts // 1000) > wm_ms
-        if later.any():
-            self.waiting.appendList(list(zip(ts[later].tolist(), used[later].tolist(), tie[later].tolist())))
-            self._arm(int(ts[later].min() // 1000))
-        now = ~later
-        out = self._emit(key[0], ts[now], used[now], tie[now])
-        if out is not None:
-            yield out
+        watermark = timerValues.getCurrentWatermarkInMs()
+        late, any_version = [], False
+        for pdf in rows:
+            versions, usage = split_rows(pdf, self.tie)
+            if len(versions):
+                self.versions.add(versions)
+                any_version = True
+            # The watermark has millisecond resolution; a row counts as reached once its millisecond is.
+            later = usage[:, 0] // 1000 > watermark
+            if later.any():
+                self.calendar.add(usage[later])
+            if not later.all():
+                late.append(usage[~later])
+        if any_version and self.horizon is not None:
+            self._schedule()
+        if late:
+            late = in_order(np.concatenate(late))
+            if self.horizon:
+                late = late[late[:, 0] >= watermark * 1000 - self.horizon]
+            yield from self.joined(key[0], late, True)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        wm_ms = timerValues.getCurrentWatermarkInMs()
-        rows = list(self.waiting.get())
-        self.timer.clear()
-        if not rows:
-            return
-        arr = np.array(rows, dtype="int64").reshape(-1, 3)
-        arr = arr[np.lexsort((arr[:, 2], arr[:, 0]))]
-        ready = (arr[:, 0] // 1000) <= wm_ms
-        rest = arr[~ready]
-        self.waiting.clear()
-        if len(rest):
-            self.waiting.put([tuple(r) for r in rest.tolist()])
-            self._arm(int(rest[:, 0].min() // 1000))
-        out = self._emit(key[0], arr[ready, 0], arr[ready, 1], arr[ready, 2])
-        if self.prune:
-            self._prune(wm_ms * 1000, rest[:, 0])
-        if out is not None:
-            yield out
-
-    def _prune(self, wm_us: int, waiting_ts: np.ndarray) -> None:
-        """Drop versions that no future row can use: older than the newest one at or before the
-        earliest time still to come (rows behind the watermark never arrive)."""
-        horizon = min(wm_us, int(waiting_ts.min())) if waiting_ts.size else wm_us
-        older = sorted(int(k[0]) for k, _ in self.versions.iterator() if int(k[0]) <= horizon)
-        for vts in older[:-1]:
-            self.versions.removeKey((vts,))
+        watermark, expiry = timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs()
+        ready = self.calendar.release(expiry, watermark)
+        if len(ready):
+            yield from self.joined(key[0], ready, False)
+        if self.horizon is not None:
+            due = self.prune_at.get()
+            if due is not None and int(due[0]) == expiry:
+                self.prune_at.clear()
+                waits = self.calendar.earliest()
+                until = watermark if waits is None else min(watermark, waits)
+                self.versions.prune(until * 1000 - self.horizon)
+                self._schedule()
 
     def close(self) -> None:
         pass
 
 
-def enrich_versioned(usage: DataFrame, versions: DataFrame, tie: str, delay: str = "0 seconds",
-                     late: str = "emit") -> DataFrame:
-    """Usage stream joined with a version stream (both carry event times), plus the billing period.
+def two_sides(usage: DataFrame, versions: DataFrame, tie: str, delay: str, version_delay: str, wait_for: str,
+              clocked: bool = True) -> DataFrame:
+    """Usage and versions as rows of one stream, each with a watermark of its own.
 
-    Output rows come out when the watermark reaches their time; rows more than ``delay`` behind the
-    latest event time are late: emitted at once, or dropped with ``late="drop"``.  Output columns:
-    ``account, bytesUsed, ts, tie, quota, billingYear, billingMonth``; with ``late="drop"`` also
-    ``event_ts`` (= ``ts``), the event-time column through which a later event-time operator of the same
-    query gets the watermark.
+    ``wm_ts`` is the event time of usage rows.  Every long is null-free with a flag for a missing quota, as a column
+    with nulls would reach the processor as float64.  Heartbeats stay: a filter would be pushed below the watermark.
     """
-    if late not in ("emit", "drop"):
-        raise ValueError(f"late must be 'emit' or 'drop', not {late!r}")
+    if wait_for not in ("both", "usage"):
+        raise ValueError(f"wait_for must be 'both' or 'usage', not {wait_for!r}")
+    policy = usage.sparkSession.conf.get("spark.sql.streaming.multipleWatermarkPolicy", "min")
+    if wait_for == "both" and policy != "min":
+        raise ValueError("waiting for both sides needs spark.sql.streaming.multipleWatermarkPolicy = min")
     use_rocksdb_state(usage.sparkSession)
-    # Null-free long columns (with a flag for a missing quota) reach the processor as exact int64;
-    # a column with nulls would arrive in pandas as float64.
-    u = usage.select(F.col("account").alias("key_id"), F.col("ts"), F.col("ts").alias("wm_ts"), F.lit(1).alias("side"),
-                     F.col("bytesUsed").cast("long").alias("bytesUsed"), F.col(tie).cast("long").alias(tie),
-                     F.lit(0).cast("long").alias("quota"), F.lit(False).alias("quota_null"))
-    v = versions.select(F.col("id").alias("key_id"), F.col("ts"), F.lit(None).cast("timestamp").alias("wm_ts"),
-                        F.lit(0).alias("side"),
-                        F.lit(0).cast("long").alias("bytesUsed"), F.lit(0).cast("long").alias(tie),
-                        F.coalesce(F.col("quota").cast("long"), F.lit(0).cast("long")).alias("quota"),
+    zero = F.lit(0).cast("long")
+
+    def side(number: int, key: str):
+        return F.when(F.col(key).isNull() | F.col("ts").isNull(), F.lit(HEARTBEAT)).otherwise(F.lit(number)).alias("side")
+
+    def time():
+        return F.coalesce(F.unix_micros("ts"), zero).alias("ts_us")
+
+    u = usage.select(F.col("account").alias("key_id"), F.col("ts").alias("wm_ts"), time(), side(USAGE, "account"),
+                     F.coalesce(F.col("bytesUsed").cast("long"), zero).alias("bytesUsed"),
+                     F.coalesce(F.col(tie).cast("long"), zero).alias(tie), zero.alias("quota"),
+                     F.lit(False).alias("quota_null"))
+    v = versions.select(F.col("id").alias("key_id"), F.col("ts").alias("v_ts"), time(), side(VERSION, "id"),
+                        zero.alias("bytesUsed"), zero.alias(tie), F.coalesce(F.col("quota").cast("long"), zero).alias("quota"),
                         F.col("quota").isNull().alias("quota_null"))
-    # Event time (and so the watermark) comes from the usage rows only: a version is never late and
-    # never moves time on, however old or new it is — it is stored, and applies from its own time.
-    both = (u.unionByName(v).withWatermark("wm_ts", delay)
-             .select("key_id", *(["wm_ts"] if late == "drop" else []), F.unix_micros("ts").alias("ts_us"), "side",
-                     "bytesUsed", tie, "quota", "quota_null"))
+    if clocked:
+        u = u.withWatermark("wm_ts", delay)
+        v = v.withWatermark("v_ts", version_delay) if wait_for == "both" else v
+    # Versions carry no event time beyond this point, so Spark never takes one for late.
+    v = v.drop("v_ts").withColumn("wm_ts", F.lit(None).cast("timestamp"))
+    return u.unionByName(v)
+
+
+def _horizon(horizon: timedelta | None, late: str) -> int | None:
+    if late not in ("emit", "drop"):
+        raise ValueError(f"late must be 'emit' or 'drop', not {late!r}")
+    return 0 if late == "drop" else None if horizon is None else micros(horizon)
+
+
+def enrich_versioned(usage: DataFrame, versions: DataFrame, tie: str, delay: str = "0 seconds",
+                     late: str = "emit", wait_for: str = "usage", version_delay: str | None = None,
+                     horizon: timedelta | None = None, mark_late: bool = False) -> DataFrame:
+    """Usage stream joined with a version stream (both carry event times), plus the billing period.
+
+    Output rows come out when the watermark reaches their time; ``delay`` and ``version_delay`` (the same by default)
+    say how far out of order each side may be.  Output columns: ``account, bytesUsed, ts, tie, quota, billingYear,
+    billingMonth``; with ``mark_late`` also ``late``; with ``late="drop"`` also ``event_ts`` (= ``ts``), the event-time
+    column through which a later event-time operator of the same query gets the watermark.
+    """
+    keep = _horizon(horizon, late)
+    both = two_sides(usage, versions, tie, delay, version_delay or delay, wait_for)
+    both = both.select("key_id", *(["wm_ts"] if late == "drop" else []), "ts_us", "side", "bytesUsed", tie, "quota", "quota_null")
     schema = T.StructType([
         T.StructField("account", T.StringType()), T.StructField("bytesUsed", T.LongType()),
         T.StructField("ts_us", T.LongType()), T.StructField(tie, T.LongType()),
-        T.StructField("quota", T.LongType()), T.StructField("event_ts", T.TimestampType())])
+        T.StructField("quota", T.LongType()), T.StructField("event_ts", T.TimestampType()),
+        T.StructField("late", T.BooleanType())])
     # ``event_ts`` carries the watermark on to later event-time operators in the same query.
     carry = {"eventTimeColumnName": "event_ts"} if late == "drop" else {}
     out = both.groupBy("key_id").transformWithStateInPandas(
-        VersionedJoinProcessor(tie, prune=late == "drop"), schema, "Append", "EventTime", **carry)
+        VersionedJoinProcessor(tie, keep), schema, "Append", "EventTime", **carry)
     out = out.select("account", "bytesUsed", F.timestamp_micros("ts_us").alias("ts"), tie, "quota",
-                     *(["event_ts"] if late == "drop" else []))
+                     *(["late"] if mark_late else []), *(["event_ts"] if late == "drop" else []))
     return out.withColumns({"billingYear": billing_year("ts"), "billingMonth": billing_month("ts")})
+
+
+class RetractingJoinProcessor(StatefulProcessor):
+    """Per account: versions, and the usage seen so far, both in time buckets.
+
+    New usage is joined at once.  A new version covers the time up to the next one: usage seen in that time gets a
+    ``-U`` row with its former quota, if it had a version, and a ``+U`` row (``+I`` if it had none) with the new one.
+    Only the buckets of that time are read.  With a ``horizon`` (microseconds) a bucket's usage is forgotten once the
+    watermark is that far past its end: versions still later don't correct it.
+    """
+
+    def __init__(self, tie: str, horizon: int | None, bucket: timedelta = BUCKET):
+        self.tie, self.horizon, self.bucket = tie, horizon, bucket
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.width = micros(self.bucket) // 1000 * 1000
+        self.versions = VersionStore(handle, self.bucket)
+        self.list = handle.getValueState("usage_buckets", "buckets binary")
+        self.parts = handle.getMapState("usage_parts", "bucket long", "n long")
+        self.rows = handle.getMapState("usage", "bucket long, part long", "rows binary")
+
+    def _buckets(self) -> np.ndarray:
+        value = self.list.get()
+        return opened(value[0], 1)[:, 0] if value is not None else np.zeros(0, "<i8")
+
+    def _seen(self, buckets) -> np.ndarray:
+        found = [np.zeros((0, 3), "<i8")]
+        for bucket in buckets:
+            for part in range(int(self.parts.getValue((bucket,))[0])):
+                found.append(opened(self.rows.getValue((bucket, part))[0], 3))
+        return in_order(np.concatenate(found))
+
+    def _remember(self, rows: np.ndarray) -> None:
+        known = self._buckets()
+        have, fresh = set(known.tolist()), []
+        for bucket, at in groups(rows[:, 0] // self.width):
+            n = int(self.parts.getValue((bucket,))[0]) if bucket in have else 0
+            self.rows.updateValue((bucket, n), (packed(rows[at]),))
+            self.parts.updateValue((bucket,), (n + 1,))
+            if not n:
+                fresh.append(bucket)
+                if self.horizon is not None:
+                    self.handle.registerTimer(((bucket + 1) * self.width + self.horizon) // 1000)
+        if fresh:
+            self.list.update((packed(np.union1d(known, np.array(fresh, "<i8"))),))
+
+    def _frame(self, account, op, rows, version, step: int) -> pd.DataFrame:
+        quota = pd.array(version[:, 1], dtype="Int64")
+        quota[version[:, 2] != 0] = pd.NA
+        return pd.DataFrame({"op": op, "account": account, "bytesUsed": rows[:, 1], "ts_us": rows[:, 0],
+                             self.tie: rows[:, 2], "quota": quota, "step": step})
+
+    def _corrected(self, account, new: np.ndarray) -> Iterator[pd.DataFrame]:
+        """Stores new versions; the change rows of the usage they cover."""
+        low, known = int(new[:, 0].min()), self._buckets()
+        known = known[known >= low // self.width]
+        # The times that the new versions cover end at the next older version.
+        old = self.versions.around(low, int(known[-1] + 1) * self.width) if len(known) else np.zeros((0, 3), "<i8")
+        times = np.union1d(new[:, 0], old[old[:, 0] > low, 0])
+        starts = np.unique(new[:, 0])
+        after = np.searchsorted(times, starts, "right")
+        ends = np.append(times, np.iinfo("<i8").max)[after]
+        hit = [b for b in known.tolist() if ((starts < (b + 1) * self.width) & (ends > b * self.width)).any()]
+        rows = self._seen(hit)
+        had, before = self.versions.in_force(rows[:, 0])
+        self.versions.add(new)
+        has, now = self.versions.in_force(rows[:, 0])
+        changed = has & (~had | (before[:, 1:] != now[:, 1:]).any(axis=1))
+        if changed.any():
+            back = changed & had
+            if back.any():
+                yield self._frame(account, "-U", rows[back], before[back], 0)
+            yield self._frame(account, np.where(had[changed], "+U", "+I"), rows[changed], now[changed], 1)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        new, used = [], []
+        for pdf in rows:
+            versions, usage = split_rows(pdf, self.tie)
+            new.append(versions)
+            used.append(usage)
+        new, used = np.concatenate(new), in_order(np.concatenate(used))
+        if len(new):
+            yield from self._corrected(key[0], new)
+        if len(used):
+            found, version = self.versions.in_force(used[:, 0])
+            if found.any():
+                yield self._frame(key[0], "+I", used[found], version[found], 1)
+            self._remember(used)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        over = (expiredTimerInfo.getExpiryTimeInMs() * 1000 - self.horizon) // self.width
+        known = self._buckets()
+        for bucket in known[known < over].tolist():
+            for part in range(int(self.parts.getValue((bucket,))[0])):
+                self.rows.removeKey((bucket, part))
+            self.parts.removeKey((bucket,))
+        if (known < over).any():
+            self.list.update((packed(known[known >= over]),))
+        if len(known):
+            self.versions.prune(int(over) * self.width)
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def enrich_changes(usage: DataFrame, versions: DataFrame, tie: str, horizon: timedelta | None = None,
+                   delay: str = "0 seconds") -> DataFrame:
+    """Change rows of the version-stream join, without waiting: ``op, account, bytesUsed, ts, tie, quota, billingYear,
+    billingMonth, step`` (within a batch, ``-U`` rows have step 0 and the others 1).
+
+    Whatever the order in which versions and usage arrive, the rows that :func:`folded` leaves are those of the batch
+    join.  ``horizon`` bounds the state: usage older than that, behind the watermark (``delay`` behind the
+    latest usage), is corrected no more.
+    """
+    both = two_sides(usage, versions, tie, delay, delay, "usage", clocked=horizon is not None)
+    both = both.select("key_id", "ts_us", "side", "bytesUsed", tie, "quota", "quota_null")
+    schema = T.StructType([
+        T.StructField("op", T.StringType()), T.StructField("account", T.StringType()),
+        T.StructField("bytesUsed", T.LongType()), T.StructField("ts_us", T.LongType()), T.StructField(tie, T.LongType()),
+        T.StructField("quota", T.LongType()), T.StructField("step", T.IntegerType())])
+    out = both.groupBy("key_id").transformWithStateInPandas(
+        RetractingJoinProcessor(tie, None if horizon is None else micros(horizon)), schema, "Append",
+        "None" if horizon is None else "EventTime")
+    out = out.select("op", "account", "bytesUsed", F.timestamp_micros("ts_us").alias("ts"), tie, "quota", "step")
+    return out.withColumns({"billingYear": billing_year("ts"), "billingMonth": billing_month("ts")})
+
+
+def folded(changes: DataFrame) -> DataFrame:
+    """The rows that change rows leave: each as often as it was added and not taken back."""
+    rest = [c for c in changes.columns if c not in ("op", "step")]
+    left = F.sum(F.when(F.col("op") == "-U", F.lit(-1)).otherwise(F.lit(1)))
+    return (changes.groupBy(*rest).agg(left.alias("left")).where("left > 0")
+            .select(*rest, F.explode(F.sequence(F.lit(1).cast("long"), F.col("left").cast("long")))).select(*rest))

@@ -20,8 +20,8 @@ from .. import testdata as td
 from ..session import remove_path, scratch_path
 from ..sources.codec import decode_usage
 from ..sources.log import read_log
-from .alerts import stream_usage_alerts
-from .enrich import enrich_static, enrich_versioned
+from .alerts import stream_usage_alerts, stream_versioned_alerts
+from .enrich import FINISHED, enrich_changes, enrich_static, enrich_versioned, folded
 from .ordered import ordered_batch_writer, read_ordered
 from .runner import await_end, batch_folder_writer, fresh_paths, latest_per_key, run_to_end
 from .totals import stream_account_totals, stream_total_changes
@@ -150,6 +150,89 @@ def quota_enriched_late_stream(spark: SparkSession, sf: str) -> DataFrame:
                                           "billingMonth")
 
 
+def _arriving(df: DataFrame, delay: Column) -> DataFrame:
+    return df.withColumn("arrival", F.col("ts") + delay)
+
+
+def _days(n: int) -> Column:
+    return F.expr(f"interval {n} days")
+
+
+def _heartbeats(df: DataFrame, delay: Column) -> DataFrame:
+    """Rows without a key that say, for every day of ``df``, that it's over, and in the end that all is."""
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields if f.name != "ts"]
+    days = df.select(F.date_trunc("day", "ts").alias("ts")).distinct().select(
+        *empty, (F.col("ts") + F.expr("interval 1 day") - F.expr("interval 1 millisecond")).alias("ts"))
+    beats = _arriving(days, delay)
+    last = beats.agg((F.max("arrival") + CHUNK).alias("arrival")).select(
+        *empty, F.lit(FINISHED).cast("timestamp").alias("ts"), "arrival")
+    return beats.unionByName(last)
+
+
+def _lagging(spark: SparkSession, sf: str, name: str, usage_delay: Column, version_delay: Column, beat_delay: Column,
+             delay: str) -> DataFrame:
+    """The join that waits for both sides, replayed by time of arrival; a side's heartbeats come with ``beat_delay``."""
+    rp = EventOrderReplay(spark, name)
+    sides = []
+    for df, late in ((td.usage_from_events(spark, sf), usage_delay), (td.versions_from_events(spark, sf), version_delay)):
+        rows = _arriving(df, late).unionByName(_heartbeats(df, beat_delay))
+        sides.append(rp.source(rows, "arrival").drop("arrival"))
+    e = enrich_versioned(*sides, TIE, delay=delay, wait_for="both")
+    out, ck = fresh_paths(spark, name)
+    rp.run(lambda: run_to_end(e, ck, "append", path=out))
+    return spark.read.parquet(out).select("account", "bytesUsed", "ts", TIE, "quota", "billingYear", "billingMonth")
+
+
+def quota_enriched_lagging_versions_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Versions arrive a micro-batch after the usage they cover; the join waits for both sides."""
+    return _lagging(spark, sf, "enriched_lagging", _days(0), _days(7), _days(7), "0 seconds")
+
+
+def quota_enriched_delay_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Both sides up to two days out of order, within the watermark's delay of three days: nothing is late."""
+    jitter = F.when(F.col("ts").cast("long") % 2 == 0, _days(2)).otherwise(_days(0))
+    return _lagging(spark, sf, "enriched_delay", jitter, jitter, _days(2), "3 days")
+
+
+def quota_enriched_changes_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The retracting join: every other version arrives ten days late; the folded change rows are the batch join."""
+    rp = EventOrderReplay(spark, "enriched_changes")
+    late = F.when(F.col("ts").cast("long") % 2 == 0, _days(10)).otherwise(_days(0))
+    usage = rp.source(td.usage_from_events(spark, sf), "ts")
+    versions = rp.source(_arriving(td.versions_from_events(spark, sf), late), "arrival").drop("arrival")
+    out, ck = fresh_paths(spark, "enriched_changes")
+    e = enrich_changes(usage, versions, TIE)
+    rp.run(lambda: run_to_end(e, ck, "append", path=out))
+    return folded(spark.read.parquet(out)).select("account", "bytesUsed", "ts", TIE, "quota", "billingYear", "billingMonth")
+
+
+def quota_enriched_ordered_late_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The enrichment written as an ordered sequence and a folder of late rows, read back together; every third usage
+    row arrives ten days late."""
+    rp = EventOrderReplay(spark, "enriched_ordered_late")
+    late = F.when(F.col(TIE) % 3 == 0, _days(10)).otherwise(_days(0))
+    usage = rp.source(_arriving(td.usage_from_events(spark, sf), late), "arrival").drop("arrival")
+    e = enrich_versioned(usage, rp.source(td.versions_from_events(spark, sf), "ts"), TIE, mark_late=True)
+    out, ck = fresh_paths(spark, "enriched_ordered_late")
+    sink = ordered_batch_writer(f"{out}/main", ["ts", TIE], f"{out}/late")
+    rp.run(lambda: run_to_end(e, ck, "append", sink=sink))
+    return spark.read.parquet(f"{out}/main").unionByName(spark.read.parquet(f"{out}/late")).select(
+        "account", "bytesUsed", "quota", "ts")
+
+
+def usage_alerts_late_clearing_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Alerts after a version stream with monthly clearing over years of orders, every third of which arrives ten days
+    late: the billing keys that warn (which row warns depends on the order of arrival)."""
+    rp = EventOrderReplay(spark, "alerts_late_clearing", chunk=timedelta(days=366))
+    late = F.when(F.col(TIE) % 3 == 0, _days(10)).otherwise(_days(0))
+    usage = rp.source(_arriving(td.usage_from_orders(spark, sf), late), "arrival").drop("arrival")
+    versions = rp.source(td.versions_from_customers(spark, sf), "ts")
+    q = stream_versioned_alerts(usage, versions, TIE, clear_after=timedelta(days=20))
+    out, ck = fresh_paths(spark, "alerts_late_clearing")
+    rp.run(lambda: run_to_end(q, ck, "append", path=out))
+    return spark.read.parquet(out).select("account", "billingYear", "billingMonth", "quota")
+
+
 def usage_alerts_clearing_orders_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Clearing over years of orders, so that the timers of many months fire between the runs."""
     rp = EventOrderReplay(spark, "alerts_clearing_orders", chunk=timedelta(days=366))
@@ -208,9 +291,10 @@ def usage_alerts_clearing_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def usage_alerts_versions_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """Alerts with the versions as a stream too: the version-stream join feeds the alert processor."""
-    rp, e = _versioned(spark, sf, "alerts_versions")
-    q = stream_usage_alerts(e, TIE)
+    """Alerts with the versions as a stream too: join and totals in one processor."""
+    rp = EventOrderReplay(spark, "alerts_versions")
+    usage = rp.source(td.usage_from_events(spark, sf), "ts")
+    q = stream_versioned_alerts(usage, rp.source(td.versions_from_events(spark, sf), "ts"), TIE)
     out, ck = fresh_paths(spark, "alerts_versions")
     rp.run(lambda: run_to_end(q, ck, "append", path=out))
     return spark.read.parquet(out).select("ts", "account", "billingYear", "billingMonth", "quota", "total",
@@ -233,5 +317,10 @@ def stream_queries() -> dict:
         "quota_enriched_late_stream": quota_enriched_late_stream,
         "usage_alerts_clearing_orders_stream": usage_alerts_clearing_orders_stream,
         "usage_alerts_published_stream": usage_alerts_published_stream,
+        "quota_enriched_lagging_versions_stream": quota_enriched_lagging_versions_stream,
+        "quota_enriched_delay_stream": quota_enriched_delay_stream,
+        "quota_enriched_changes_stream": quota_enriched_changes_stream,
+        "quota_enriched_ordered_late_stream": quota_enriched_ordered_late_stream,
+        "usage_alerts_late_clearing_stream": usage_alerts_late_clearing_stream,
     }
 

@@ -22,6 +22,7 @@ from ..session import use_rocksdb_state
 
 from ..operators.totals import account_totals
 from .alerts import checked_cumsum
+from .keyed_state import in_order
 
 
 def stream_account_totals(usage: DataFrame) -> DataFrame:
@@ -39,17 +40,16 @@ class TotalChangesProcessor(StatefulProcessor):
         self.state = handle.getValueState("acc", "total long, asof long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values(["ts_us", self.tie], kind="stable")
-        n = len(pdf)
+        chunks = [np.stack([pdf[c].to_numpy().astype("int64") for c in ("ts_us", "bytesUsed", self.tie)], axis=1) for pdf in rows]
+        ts, used, tie = in_order(np.concatenate(chunks)).T
+        n = len(ts)
         prev = self.state.get()
         prior_total, prior_asof = (int(prev[0]), int(prev[1])) if prev is not None else (0, None)
-        totals = checked_cumsum(prior_total, pdf["bytesUsed"].to_numpy())
-        ts = pdf["ts_us"].to_numpy(dtype="int64")
+        totals = checked_cumsum(prior_total, used)
         asof = np.maximum.accumulate(ts if prior_asof is None else np.maximum(ts, prior_asof))
         before_total = np.concatenate([[prior_total], totals[:-1]])
         before_asof = np.concatenate([[prior_asof if prior_asof is not None else -1], asof[:-1]])
         self.state.update((int(totals[-1]), int(asof[-1])))
-        tie = pdf[self.tie].to_numpy(dtype="int64")
         plus = pd.DataFrame({"op": "+U", "totalUsage": totals, "asof_us": asof, "ts_us": ts, self.tie: tie,
                              "step": 1})
         minus = pd.DataFrame({"op": "-U", "totalUsage": before_total, "asof_us": before_asof, "ts_us": ts,
@@ -67,14 +67,16 @@ class TotalChangesProcessor(StatefulProcessor):
 
 def stream_total_changes(usage: DataFrame, tie: str) -> DataFrame:
     """Change rows of the per-account total, one step per usage row (append mode):
-    ``op, account, totalUsage, asOf, ts, tie``."""
+    ``op, account, totalUsage, asOf, ts, tie``.  A null amount counts as 0."""
     use_rocksdb_state(usage.sparkSession)
     schema = T.StructType([
         T.StructField("op", T.StringType()), T.StructField("account", T.StringType()),
         T.StructField("totalUsage", T.LongType()), T.StructField("asof_us", T.LongType()),
         T.StructField("ts_us", T.LongType()), T.StructField(tie, T.LongType()),
         T.StructField("step", T.IntegerType())])
-    prepared = usage.select("account", "bytesUsed", F.unix_micros("ts").alias("ts_us"), tie)
+    zero = F.lit(0).cast("long")     # a column with nulls would reach the processor as float64
+    prepared = usage.select("account", F.coalesce(F.col("bytesUsed").cast("long"), zero).alias("bytesUsed"),
+                            F.unix_micros("ts").alias("ts_us"), F.coalesce(F.col(tie).cast("long"), zero).alias(tie))
     out = prepared.groupBy("account").transformWithStateInPandas(
         TotalChangesProcessor(tie), schema, "Append", "None")
     return out.select("op", "account", "totalUsage", F.timestamp_micros("asof_us").alias("asOf"),
