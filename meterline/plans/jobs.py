@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators import account_totals, enrich_usage, enriched_view, in_time_order, usage_alerts
 from ..schemas import ALERT_RATIO, DEFAULT_BROKERS, DEFAULT_TOPIC
 from ..sources.codec import decode_usage, encode_usage
-from ..sources.log import in_range, read_log, write_log
+from ..sources.log import in_range, kafka_columns, read_log, write_log
 from ..streaming.alerts import stream_usage_alerts, stream_versioned_alerts
 from ..streaming.enrich import enrich_static, enrich_versioned
 from ..streaming.ordered import ordered_batch_writer
@@ -47,16 +47,17 @@ def usage_from_log(raw: DataFrame, ts_from: str = "body") -> DataFrame:
 
 def publish_job(usage: DataFrame, kind: str = "files", path: str | None = None, topic: str = DEFAULT_TOPIC,
                 brokers: str = DEFAULT_BROKERS, checkpoint: str | None = None,
-                trigger: dict | None = None) -> StreamingQuery | None:
-    """Write usage rows to the log.  A stream goes through the file sink (exactly once by its commit
+                trigger: dict | None = None, record_id: str | None = None) -> StreamingQuery | None:
+    """Write usage rows to the log; a column ``record_id`` gives the records ids, by which a reader finds those that an
+    at-least-once sink wrote twice (:func:`~meterline.sources.codec.unique_records`).  A stream goes through the file sink (exactly once by its commit
     log and the checkpoint, every 5 seconds by default) or Kafka (at least once); a batch is written once."""
-    raw = encode_usage(usage, topic)
+    raw = encode_usage(usage, topic, record_id=record_id)
     if not usage.isStreaming:
         write_log(raw, kind, path, brokers)
         return None
     trigger = trigger or {"processingTime": "5 seconds"}
     if kind == "kafka":
-        q = (raw.select("key", "value", "topic").writeStream.format("kafka")
+        q = (raw.select(*kafka_columns(raw)).writeStream.format("kafka")
                 .option("kafka.bootstrap.servers", brokers).option("checkpointLocation", checkpoint)
                 .trigger(**trigger).start())
         return q

@@ -182,6 +182,9 @@ FROM changes WHERE prev_ts IS NOT NULL"""
     q["account_totals_stream"] = _with(USAGE) + (
         "SELECT account, CAST(SUM(bytesUsed) AS BIGINT) AS totalUsage, MAX(ts) AS asOf "
         "FROM usage GROUP BY account")
+    q["account_totals_unique_stream"] = _with(USAGE) + (
+        "SELECT account, CAST(SUM(bytesUsed) AS BIGINT) AS totalUsage, date_trunc('millisecond', MAX(ts)) AS asOf "
+        "FROM usage GROUP BY account")
     q["usage_log_stream"] = q["usage_json_roundtrip"]
     q["account_totals_changes_stream"] = q["account_totals_changes"]
     q["quota_enriched_stream"] = q["quota_enriched"]

@@ -21,8 +21,36 @@ def usage_json(ts="ts", account="account", bytes_used="bytesUsed") -> Column:
                               F.col(bytes_used).alias("bytesUsed")), JSON_OPTIONS)
 
 
-def encode_usage(usage: DataFrame, topic: str = DEFAULT_TOPIC, extra: Sequence[Column] = ()) -> DataFrame:
-    """Usage rows as log records: null key, JSON value, the topic, record time = event time (ms)."""
+RECORD_ID = "record_id"
+
+
+def record_headers(record_id: str | Column) -> Column:
+    """Log headers that hold a record's id."""
+    c = F.col(record_id) if isinstance(record_id, str) else record_id
+    return F.array(F.struct(F.lit(RECORD_ID).alias("key"), c.cast("string").cast("binary").alias("value"))).alias("headers")
+
+
+def unique_records(raw: DataFrame, within: str | None = None) -> DataFrame:
+    """Each record of a log once, however often it was written: an at-least-once sink repeats records, with their ids.
+
+    ``raw`` has ``headers`` with a record id (``read_log(..., headers=True)``); a record without one raises.  In a
+    stream ``within`` bounds the state: a repeated record is found if its time is at most that far behind the latest
+    one, and records still later are dropped by Spark, so it must cover the log's disorder too.  Without ``within`` ids are
+    kept forever.  Repeats are alike, so it doesn't matter which one stays.
+    """
+    found = F.element_at(F.filter("headers", lambda h: h["key"] == RECORD_ID), 1)["value"].cast("string")
+    checked = F.coalesce(found, F.raise_error(F.lit("a log record has no id")).cast("string"))
+    rows = raw.withColumn(RECORD_ID, checked)
+    if within is not None and raw.isStreaming:
+        return rows.withWatermark("timestamp", within).dropDuplicatesWithinWatermark([RECORD_ID]).drop(RECORD_ID)
+    return rows.dropDuplicates([RECORD_ID]).drop(RECORD_ID)
+
+
+def encode_usage(usage: DataFrame, topic: str = DEFAULT_TOPIC, extra: Sequence[Column] = (),
+                 record_id: str | Column | None = None) -> DataFrame:
+    """Usage rows as log records: null key, JSON value, the topic, record time = event time (ms).  ``record_id``, which
+    must tell rows apart and be the same in every attempt, goes into the record's headers."""
+    extra = [*extra, *([record_headers(record_id)] if record_id is not None else [])]
     cols = [F.lit(None).cast("binary").alias("key"), usage_json().cast("binary").alias("value"),
             F.lit(topic).alias("topic"), *extra,
             F.timestamp_millis(F.unix_millis("ts")).alias("timestamp")]

@@ -11,9 +11,11 @@ from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import DEFAULT_BROKERS, DEFAULT_TOPIC, RAW_LOG
 
+HEADERS = T.ArrayType(T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.BinaryType())]))
 KAFKA_HINT = ("the Kafka source is not on the classpath: start Spark with "
               "--packages org.apache.spark:spark-sql-kafka-0-10_2.13:<spark version>, "
               "or use kind=\"files\" on a parquet copy of the log")
@@ -35,7 +37,7 @@ def _epoch_ms(t: str | datetime, up: bool = False) -> int:
 def kafka_options(topic: str = DEFAULT_TOPIC, brokers: str = DEFAULT_BROKERS, starting: str = "earliest",
                   start: str | datetime | None = None, end: str | datetime | None = None,
                   streaming: bool = False, max_offsets_per_trigger: int | None = None,
-                  min_partitions: int | None = None) -> dict:
+                  min_partitions: int | None = None, headers: bool = False) -> dict:
     """Reader options for the log topic.
 
     ``start``/``end`` bound a batch read by record time (Kafka looks up, per partition, the first offset
@@ -43,7 +45,7 @@ def kafka_options(topic: str = DEFAULT_TOPIC, brokers: str = DEFAULT_BROKERS, st
     at or after ``start`` gives none.  ``min_partitions`` reads a topic in more tasks than it has
     partitions.
     """
-    opts = {"kafka.bootstrap.servers": brokers, "subscribe": topic, "includeHeaders": "false"}
+    opts = {"kafka.bootstrap.servers": brokers, "subscribe": topic, "includeHeaders": str(headers).lower()}
     if start is not None:
         opts["startingTimestamp"] = str(_epoch_ms(start))
         opts["startingOffsetsByTimestampStrategy"] = "latest"
@@ -75,14 +77,17 @@ def in_range(df: DataFrame, start: str | datetime | None, end: str | datetime |
 def read_log(spark: SparkSession, kind: str = "files", path: str | None = None, topic: str = DEFAULT_TOPIC,
              brokers: str = DEFAULT_BROKERS, streaming: bool = False, starting: str = "earliest",
              start=None, end=None, max_files_per_trigger: int | None = None,
-             max_offsets_per_trigger: int | None = None, min_partitions: int | None = None) -> DataFrame:
-    """Raw log records, bounded (``read``) or unbounded (``readStream``).
+             max_offsets_per_trigger: int | None = None, min_partitions: int | None = None,
+             headers: bool = False) -> DataFrame:
+    """Raw log records, bounded (``read``) or unbounded (``readStream``); with their ``headers`` on request.
 
     ``kind="files"`` reads a parquet replay of the log (written by :func:`write_log`) at ``path``; the
     time range is then a row filter on the record time, pushed into the scan.
     """
+    schema = T.StructType([*RAW_LOG.fields, T.StructField("headers", HEADERS)]) if headers else RAW_LOG
     if kind == "kafka":
-        opts = kafka_options(topic, brokers, starting, start, end, streaming, max_offsets_per_trigger, min_partitions)
+        opts = kafka_options(topic, brokers, starting, start, end, streaming, max_offsets_per_trigger, min_partitions,
+                             headers)
         reader = spark.readStream if streaming else spark.read
         try:
             df = reader.format("kafka").options(**opts).load()
@@ -90,27 +95,31 @@ def read_log(spark: SparkSession, kind: str = "files", path: str | None = None,
             if "kafka" in str(e).lower() and "data source" in str(e).lower():
                 raise RuntimeError(KAFKA_HINT) from e
             raise
-        return df.select(*[c.name for c in RAW_LOG.fields])
+        return df.select(*[c.name for c in schema.fields])
     if kind != "files":
         raise ValueError(f"unknown log kind {kind!r}")
     if streaming:
-        r = spark.readStream.schema(RAW_LOG)
+        r = spark.readStream.schema(schema)
         if max_files_per_trigger:
             r = r.option("maxFilesPerTrigger", max_files_per_trigger)
         df = r.parquet(path)
     else:
-        df = spark.read.schema(RAW_LOG).parquet(path)
+        df = spark.read.schema(schema).parquet(path)
     df = df.where(F.col("topic") == topic)
     if start is not None or end is not None:
         df = in_range(df, start, end, ts="timestamp")
     return df
 
 
+def kafka_columns(raw: DataFrame) -> list[str]:
+    return ["key", "value", "topic", *(["headers"] if "headers" in raw.columns else [])]
+
+
 def write_log(raw: DataFrame, kind: str = "files", path: str | None = None, brokers: str = DEFAULT_BROKERS,
               mode: str = "append") -> None:
-    """Write log records (batch).  Kafka takes ``key, value, topic``; files keep all raw columns."""
+    """Write log records (batch).  Kafka takes ``key, value, topic`` and ``headers``; files keep all raw columns."""
     if kind == "kafka":
-        (raw.select("key", "value", "topic").write.format("kafka")
+        (raw.select(*kafka_columns(raw)).write.format("kafka")
             .option("kafka.bootstrap.servers", brokers).save())
     else:
         raw.write.mode(mode).parquet(path)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .. import testdata as td
 from ..session import remove_path, scratch_path
-from ..sources.codec import decode_usage
+from ..sources.codec import decode_usage, record_headers, unique_records
 from ..sources.log import read_log
 from .alerts import stream_usage_alerts, stream_versioned_alerts
 from .enrich import FINISHED, enrich_changes, enrich_static, enrich_versioned, folded
@@ -80,6 +80,20 @@ def usage_log_stream(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
+def account_totals_unique_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Totals of a log in which every third record was written twice, the second time a day later."""
+    rp = EventOrderReplay(spark, "unique")
+    log = td.raw_log_from_events(spark, sf).withColumn("headers", record_headers("offset"))
+    again = log.where(F.col("offset") % 3 == 0)
+    both = log.withColumn("arrival", F.col("timestamp")).unionByName(again.withColumn("arrival", F.col("timestamp") + _days(1)))
+    rp.source(both, "arrival")
+    raw = read_log(spark, "files", path=rp.tables[0][2], streaming=True, headers=True)
+    out, ck = fresh_paths(spark, "unique")
+    q = stream_account_totals(decode_usage(unique_records(raw, "10 days")))
+    rp.run(lambda: run_to_end(q, ck, "update", sink=batch_folder_writer(out)))
+    return latest_per_key(spark, out, ["account"])
+
+
 def account_totals_stream(spark: SparkSession, sf: str) -> DataFrame:
     rp = EventOrderReplay(spark, "totals")
     q = stream_account_totals(rp.source(td.usage_from_events(spark, sf), "ts"))
@@ -305,6 +319,7 @@ def stream_queries() -> dict:
     return {
         "usage_log_stream": usage_log_stream,
         "account_totals_stream": account_totals_stream,
+        "account_totals_unique_stream": account_totals_unique_stream,
         "account_totals_changes_stream": account_totals_changes_stream,
         "quota_enriched_stream": quota_enriched_stream,
         "quota_enriched_dense_versions_stream": quota_enriched_dense_versions_stream,

@@ -91,3 +91,24 @@ def test_tolerant_log_table_has_rejects_view(spark):
 def test_kafka_without_connector_names_the_fix(spark):
     with pytest.raises(RuntimeError, match="spark-sql-kafka"):
         read_log(spark, "kafka", topic="input")
+
+
+def test_repeated_log_records_count_once(spark):
+    from meterline.sources.codec import unique_records
+    from meterline.sources.log import kafka_columns, kafka_options
+    from helpers import usage
+
+    rows = usage(spark, [("a", 1, "2021-10-01T00:00:00", 1), ("a", 1, "2021-10-01T00:00:00", 2), ("b", 5, "2021-10-02T00:00:00", 3)])
+    path = scratch_path(spark, "t-unique")
+    for part in (rows, rows.where("event_id > 1")):     # a retried write
+        write_log(encode_usage(part, record_id="event_id"), "files", path)
+    raw = read_log(spark, "files", path=path, headers=True)
+    assert raw.count() == 5
+    assert sorted(tuple(r) for r in decode_usage(unique_records(raw)).select("account", "bytesUsed").collect()) == [
+        ("a", 1), ("a", 1), ("b", 5)]       # equal records of different ids both stay
+    assert kafka_columns(raw) == ["key", "value", "topic", "headers"]
+    assert kafka_options(headers=True)["includeHeaders"] == "true" and kafka_options()["includeHeaders"] == "false"
+    bare = scratch_path(spark, "t-unique-bare")
+    write_log(encode_usage(rows), "files", bare)
+    with pytest.raises(Exception, match="has no id"):
+        unique_records(read_log(spark, "files", path=bare, headers=True)).collect()
