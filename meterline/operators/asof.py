@@ -27,14 +27,16 @@ from datetime import timedelta
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import shuffle_partitions
 from .scan import WIDTH, last_seen, next_in_order, running_sum
 
 # Defaults of the strategy choice.
 MAX_BROADCAST_ROWS = 1_000_000       # about 60 MB of intervals per executor
+MAX_BROADCAST_BYTES = 128 << 20      # of ids and values, which may be wide
 MAX_VERSIONS_PER_KEY = 64            # above it, "auto" takes the merge
 FAN = 64                             # comparisons per usage row in one level of an interval join
 
@@ -45,22 +47,38 @@ class VersionStats:
     keys: int
     max_per_key: int
     max_same_time: int
+    bytes: int = 0
 
     @property
     def unique(self) -> bool:
         return self.max_same_time <= 1
 
+    def small(self, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+        """Whether the versions may be broadcast: bounded in rows and in bytes."""
+        return self.rows <= max_rows and self.bytes <= max_bytes
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row's values take."""
+    size = F.lit(8 * len(df.columns)).cast("long")
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            size = size + F.coalesce(F.octet_length(f.name), F.lit(0))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(f.name))), F.lit(0))
+    return size
+
 
 def version_stats(versions: DataFrame, id_col: str = "id", ts_col: str = "ts") -> VersionStats:
-    """Row count, key count, most versions of one key, most versions of one key at one time.
+    """Row count, key count, most versions of one key, most versions of one key at one time, and bytes.
 
     Three grouped aggregates with map-side combining; only one row reaches the driver.
     """
-    per_time = versions.groupBy(id_col, ts_col).agg(F.count(F.lit(1)).alias("c"))
-    per_key = per_time.groupBy(id_col).agg(F.sum("c").alias("n"), F.max("c").alias("d"))
+    per_time = versions.groupBy(id_col, ts_col).agg(F.count(F.lit(1)).alias("c"), F.sum(row_bytes(versions)).alias("b"))
+    per_key = per_time.groupBy(id_col).agg(F.sum("c").alias("n"), F.max("c").alias("d"), F.sum("b").alias("b"))
     r = per_key.agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("keys"),
-                    F.max("n").alias("mx"), F.max("d").alias("dup")).first()
-    return VersionStats(int(r["rows"] or 0), int(r["keys"] or 0), int(r["mx"] or 0), int(r["dup"] or 0))
+                    F.max("n").alias("mx"), F.max("d").alias("dup"), F.sum("b").alias("bytes")).first()
+    return VersionStats(*[int(r[c] or 0) for c in ("rows", "keys", "mx", "dup", "bytes")])
 
 
 def latest_per_time(versions: DataFrame, tie: str, id_col: str = "id", ts_col: str = "ts") -> DataFrame:
@@ -154,7 +172,7 @@ def choose_strategy(stats: VersionStats, max_broadcast_rows: int = MAX_BROADCAST
                     max_versions_per_key: int = MAX_VERSIONS_PER_KEY) -> str:
     if stats.max_per_key > max_versions_per_key:
         return "merge"
-    if stats.rows <= max_broadcast_rows:
+    if stats.small(max_broadcast_rows):
         return "broadcast"
     return "shuffle"
 
@@ -185,7 +203,7 @@ def as_of_join(left: DataFrame, right: DataFrame, left_key: str = "account", rig
     if strategy in ("broadcast", "shuffle"):
         scan = "window" if stats.max_per_key <= FAN else plan
         levels = interval_levels(right, values, stats.max_per_key, right_key, right_ts, scan, width)
-        small = strategy == "broadcast" and stats.rows <= max_broadcast_rows
+        small = strategy == "broadcast" and stats.small(max_broadcast_rows)
         return interval_join(left, levels, left_key, left_ts, values, small)
     if strategy == "merge":
         return _merge_join(left, right, left_key, left_ts, right_key, right_ts, values, plan, width)

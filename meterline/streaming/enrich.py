@@ -69,7 +69,7 @@ def enrich_static(usage: DataFrame, versions: DataFrame, max_broadcast_rows: int
         # them in the shared checkpoint folder, so a batch only reads them.
         shared_dir(usage.sparkSession)
         levels = [level.checkpoint(eager=True) for level in levels]
-    joined = interval_join(usage, levels, "account", "ts", ["quota"], stats.rows <= max_broadcast_rows)
+    joined = interval_join(usage, levels, "account", "ts", ["quota"], stats.small(max_broadcast_rows))
     return joined.withColumns({"billingYear": billing_year("ts"), "billingMonth": billing_month("ts")})
 
 

@@ -1,4 +1,7 @@
+from dataclasses import replace
+
 import pytest
+from pyspark.sql import functions as F
 
 from meterline.operators import as_of_join, enrich_usage, version_intervals, version_stats
 from helpers import t, usage, versions
@@ -153,3 +156,14 @@ def test_broadcast_beyond_its_bound_is_a_shuffle_join(spark, edge):
     out = as_of_join(u, v, values=["quota"], strategy="broadcast", max_broadcast_rows=2)
     assert "SortMergeJoin" in out._jdf.queryExecution().executedPlan().toString()
     assert sorted((r["event_id"], r["quota"]) for r in out.collect()) == [(2, 100), (3, 100), (4, 200), (5, None)]
+
+
+def test_wide_values_are_not_broadcast(spark):
+    """Few rows may be large: the bound is in bytes too."""
+    from meterline.operators.asof import choose_strategy
+
+    v = versions(spark, [("a", 1, "2021-10-01T00:00:00"), ("a", 2, "2021-10-05T00:00:00")])
+    narrow, wide = version_stats(v), version_stats(v.withColumn("note", F.repeat(F.lit("x"), 1 << 20)))
+    assert narrow.bytes < 200 and wide.bytes > 2 << 20
+    assert choose_strategy(narrow) == "broadcast" and narrow.small() and not wide.small(max_bytes=1 << 20)
+    assert choose_strategy(replace(wide, bytes=200 << 20)) == "shuffle"
