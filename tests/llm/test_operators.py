@@ -535,6 +535,23 @@ def test_mix_edges(documents):
     assert mixing.mix_sources(docs.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["one id", "null ids", "equal rows", "one id, few texts"])
+def test_mix_divides_rows_that_repeat_an_id(documents, kind):
+    """What a source takes comes near its target whatever its ids are, and equal reruns agree."""
+    text = {"equal rows": lambda i: "a b", "one id, few texts": lambda i: f"{i % 3} b c d"}.get(kind, lambda i: f"{i} " + "w " * (i % 7))
+    one = [(None if kind == "null ids" else 7, text(i), "one") for i in range(1000)]
+    docs = documents(one + [(i, "x y z", "other") for i in range(300)] + [(i, "x y z", "third") for i in range(30)]).repartition(6)
+    got = [r.asDict() for r in mixing.mix_sources(docs, carry=["text"]).collect()]
+    assert len(got) == docs.count()
+    for source in ("one", "other", "third"):
+        own = [r for r in got if r["source"] == source]
+        assert abs(sum(r["size"] * r["copies"] for r in own) - own[0]["target"]) <= max(r["size"] for r in own)
+        assert {r["copies"] for r in own} <= {own[0]["target"] // own[0]["source_size"] + d for d in (0, 1)}
+    again = mixing.mix_sources(docs, carry=["text"]).collect()
+    key = lambda r: (str(r["doc_id"]), r["source"], r["text"], r["copies"])
+    assert sorted(map(key, got)) == sorted(map(key, again))
+
+
 # WARC ----------------------------------------------------------------------------------------------
 
 
