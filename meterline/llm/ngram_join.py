@@ -23,8 +23,8 @@ of x's inverted lists.  The join finds those y in five steps:
 Components of the links follow in Spark (:mod:`.components`).
 
 Defined results: a null or empty text, or one without words, has an empty set and links with nothing.  A
-text of fewer than k words has its whole sequence as the one shingle.  Rows are the nodes: rows that
-repeat an id are linked like other copies, and a null id stays unlinked with a null component.  Equality of
+text of fewer than k words has its whole sequence as the one shingle.  Sets are the nodes: rows that
+repeat an id are linked by their own texts only, and a null id stays unlinked with a null component.  Equality of
 shingles is equality of their range and 40 more bits of their hash; the number of ranges grows with the
 number of shuffle partitions, hence with the data.  Other columns are ignored.
 """
@@ -390,12 +390,15 @@ def ngram_jaccard_join(docs: DataFrame, k: int = 4, threshold: float | str = "0.
     rows = keep(repeated_shingles(docs, k, threshold))
     live = rows.where("tokens is not null")
     signature = ["n_shingles", "sig_a", "sig_b"]
-    classes = live.groupBy(*signature).agg(F.min("rep").alias("cid"), F.first("tokens").alias("tokens"))
+    # A class is a node of its own, whatever ids its rows have: texts that share an id don't meet through it.
+    classes = live.groupBy(*signature).agg(F.min("class").alias("cid"), F.min("rep").alias("lowest"), F.first("tokens").alias("tokens"))
     classes = keep(classes)  # few: what has no partner is gone
     found = components(links_of_classes(classes.select("cid", "n_shingles", "tokens"), threshold), "a", "b")
-    label = (classes.select(*signature, "cid")
-             .join(found.withColumnRenamed("node", "cid"), "cid", "left")
-             .select(*signature, F.coalesce("component", "cid").alias("label")))
+    at = keep(classes.select(*signature, "cid", "lowest")
+              .join(found.withColumnRenamed("node", "cid"), "cid", "left")
+              .select(*signature, F.coalesce("component", "cid").alias("component"), "lowest"))
+    lowest = at.groupBy("component").agg(F.min("lowest").alias("label"))
+    label = at.drop("lowest").join(spread(lowest), "component").drop("component")
     named = live.select("class", *signature).join(label, signature).select("class", "label")
     return (rows.join(spread(named), "class", "left")
             .select("doc_id", "n_shingles", F.coalesce("label", "rep").alias("component_id")))

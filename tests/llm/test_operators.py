@@ -584,3 +584,11 @@ def test_crc_of_text_is_unsigned(spark):
     from pyspark.sql import functions as F
 
     assert spark.range(1).select(F.crc32(F.lit("é").cast("binary"))).first()[0] == zlib.crc32("é".encode())
+
+
+def test_join_of_texts_that_share_an_id(documents):
+    """An id's texts are nodes of their own: they neither merge two groups nor lend a group their id."""
+    a, b = (" ".join(f"{w}{i}" for i in range(60)) for w in "ab")
+    data = [(5, a), (2, a + " more"), (5, b), (3, b + " more"), (5, "alone in the world of words"), (9, a + " more"), (9, "x")]
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in ngram_join.ngram_jaccard_join(documents(data)).collect())
+    assert got == sorted([(5, 57, 2), (2, 58, 2), (5, 57, 3), (3, 58, 3), (5, 3, 5), (9, 58, 2), (9, 1, 9)])
