@@ -11,8 +11,8 @@ folder and the next one reads them, so that a lost executor costs at most a stag
 * ``mixing``: a document stays as often as the mix of sources takes it (0 to 3 times).
 * ``sharding``: 40 shards of equal row counts along a Hilbert curve.
 
-Rows with a null doc_id pass the second stage as they are; rows that repeat an id are one document there: if it
-stays, then as its first row in the order of the other columns (nulls first).
+Rows with a null doc_id pass the second stage as they are.  Rows that repeat an id are judged by their own texts there: of
+rows of one id in a group the first in the order of the other columns (nulls first) stays.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterline.llm import decontaminate, hilbert, mixing, ngram_join, quality
-from meterline.llm.common import keep, table
+from meterline.llm.common import keep, spread, table, written
 from meterline.session import scratch_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -37,17 +37,22 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = ngram_join.ngram_jaccard_join(docs, k=5, threshold="0.8")
-    goes = (found.where("component_id is not null and doc_id != component_id")
-            .select("doc_id").distinct())
-    stay = docs.join(goes, "doc_id", "left_anti").select(*docs.columns)
-    repeated = keep(docs.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-                    .where("n > 1").select("doc_id"))
-    if repeated.isEmpty():
-        return stay
-    first = (stay.join(repeated, "doc_id", "left_semi").groupBy("doc_id")
-             .agg(F.min(F.struct(*_other(docs))).alias("row")).select("doc_id", "row.*"))
-    return stay.join(repeated, "doc_id", "left_anti").unionByName(first).select(*docs.columns)
+    ids = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    if ids.where("n > 1").isEmpty():
+        found = ngram_join.ngram_jaccard_join(docs, k=5, threshold="0.8")
+        goes = found.where("component_id is not null and doc_id != component_id").select("doc_id")
+        return docs.join(goes, "doc_id", "left_anti").select(*docs.columns)
+    # Ids that repeat don't tell rows apart, so the rows get numbers, and each group's first row stays.
+    rows = written(docs.withColumn("row", F.monotonically_increasing_id()))
+    found = ngram_join.ngram_jaccard_join(
+        rows.where("doc_id is not null").select(F.col("row").alias("doc_id"), "text"), k=5, threshold="0.8")
+    groups = keep(found.select(F.col("doc_id").alias("row"), "component_id"))
+    several = groups.groupBy("component_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("component_id")
+    members = rows.join(groups.join(spread(several), "component_id"), "row")
+    first = members.groupBy("component_id").agg(F.min(F.struct("doc_id", *_other(docs), "row")).alias("first"))
+    goes = (groups.join(spread(first.select("component_id", F.col("first.row").alias("stays"))), "component_id")
+            .where("row != stays").select("row"))
+    return rows.join(goes, "row", "left_anti").select(*docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
