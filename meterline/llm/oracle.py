@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .license_scan import TEMPLATES, THRESHOLD
+from .license_scan import FULL_TEXTS, TEMPLATES, THRESHOLD
 from .mixing import HASH_BITS, MAX_REPEAT, WEIGHTS
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -19,33 +19,34 @@ SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id IS NOT DISTINCT FROM g.keep_i
 FROM d JOIN g USING (text_sha256)
 """
 
-_MARKS = ", ".join(f"('{k}', '{v}')" for k, v in sorted(TEMPLATES.items()))
+def _quoted(text: str) -> str:
+    return "'" + " ".join(text.split()).replace("'", "''") + "'"
 
 
-def _bigrams(text: str) -> str:
-    """Distinct bigrams b of the rows (id, line), and how many n the line has in all."""
-    return f"""
-  SELECT DISTINCT id, w[i] || ' ' || w[i + 1] AS b, len(w) - 1 AS n
-  FROM (SELECT id, regexp_extract_all(lower(line), '[\\p{{L}}\\p{{N}}]+') AS w FROM {text}) t,
-       unnest(range(1, greatest(len(w), 1))) AS u(i)"""
-
+_MARKS = ", ".join(f"({i}, '{name}', {_quoted(text)})" for i, (name, text) in enumerate(
+    [*sorted(TEMPLATES.items()), *sorted(FULL_TEXTS.items())]))
 
 OP2 = f"""
-WITH lines AS (
-  SELECT row_number() OVER () AS id, doc_id, line
-  FROM documents, unnest(string_split(coalesce(text, ''), chr(10))) AS u(line) WHERE length(line) > 2),
-marks(id, line) AS (VALUES {_MARKS}),
-a AS ({_bigrams("lines")}), m AS ({_bigrams("marks")}),
-s AS (SELECT a.id, m.id AS name, 2.0::DOUBLE * count(*) / (any_value(a.n) + any_value(m.n)) AS score
-      FROM a JOIN m USING (b) GROUP BY a.id, m.id),
-best AS (SELECT id, max(score) AS score, arg_max(name, (score, name)) AS name FROM s
-         WHERE score >= {THRESHOLD}::DOUBLE GROUP BY id),
-f AS (SELECT lines.doc_id, count(*) AS n_matches, string_agg(DISTINCT best.name, ',' ORDER BY best.name) AS licenses,
-             arg_min(best.name, (-best.score, best.name)) AS best_license, max(best.score) AS best_score
-      FROM best JOIN lines USING (id) GROUP BY lines.doc_id)
-SELECT d.doc_id, (SELECT count(*) FROM lines WHERE lines.doc_id = d.doc_id) AS n_lines,
-       coalesce(n_matches, 0) AS n_matches, coalesce(licenses, '') AS licenses, best_license, best_score
-FROM documents d LEFT JOIN f ON d.doc_id = f.doc_id
+WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+                  regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{N}}]+') AS w FROM documents),
+given(t, name, text) AS (VALUES {_MARKS}),
+tw AS (SELECT t, name, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') AS w FROM given),
+marks AS (SELECT t, w[i] || ' ' || w[i + 1] AS b, min(i) - 1 AS place FROM tw, unnest(range(1, len(w))) AS u(i) GROUP BY t, b),
+sizes AS (SELECT t, any_value(name) AS name, any_value(len(w) - 1) AS size, count(*) AS n FROM tw JOIN marks USING (t) GROUP BY t),
+b AS (SELECT r, i - 1 AS p, w[i] || ' ' || w[i + 1] AS b FROM d, unnest(range(1, greatest(len(w), 1))) AS u(i)),
+-- every window that begins where an occurrence of a bigram puts the template
+starts AS (SELECT DISTINCT r, t, p - place AS s FROM b JOIN marks USING (b)),
+scored AS (SELECT starts.r, t, s, 2.0::DOUBLE * count(DISTINCT b.b) FILTER (WHERE marks.b IS NOT NULL)
+                  / (count(DISTINCT b.b) + any_value(sizes.n)) AS score
+           FROM starts JOIN sizes USING (t) JOIN b ON b.r = starts.r AND b.p >= s AND b.p < s + sizes.size
+           LEFT JOIN marks ON marks.t = starts.t AND marks.b = b.b GROUP BY starts.r, starts.t, s),
+best AS (SELECT r, name, max(score) AS score FROM scored JOIN sizes USING (t)
+         WHERE score >= {THRESHOLD}::DOUBLE GROUP BY r, name),
+f AS (SELECT r, count(*) AS n_matches, string_agg(name, ',' ORDER BY name) AS licenses,
+             arg_min(name, (-score, name)) AS best_license, max(score) AS best_score FROM best GROUP BY r)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_matches, 0) AS n_matches, coalesce(licenses, '') AS licenses,
+       best_license, best_score
+FROM d LEFT JOIN f USING (r)
 """
 
 OP3 = f"""
