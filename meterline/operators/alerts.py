@@ -51,3 +51,16 @@ def usage_alerts(enriched: DataFrame, tie: str, ratio: float = ALERT_RATIO,
     out = first.select(F.col("_h.ts").alias("ts"), *[F.col(k) for k in key],
                        *[F.col(f"_h.{c}").alias(c) for c in carried], F.col("_h.total").alias("total"))
     return out.withColumn("message", alert_message("ts", "account", "total", "quota"))
+
+
+def billing_state(enriched: DataFrame, tie: str, ratio: float = ALERT_RATIO, key: Sequence[str] = BILLING_KEY) -> DataFrame:
+    """``key, total, alerted``: where each billing key stands after the given usage, from which a stream can go on.
+
+    Null amounts count as 0; ``alerted`` holds if the key has passed ``ratio * quota`` at any row, so it never
+    warns again.
+    """
+    key = list(key)
+    totals = enriched.groupBy(*key).agg(F.sum(F.coalesce("bytesUsed", F.lit(0))).cast("long").alias("total"))
+    passed = usage_alerts(enriched, tie, ratio, key).select(*[F.col(k).alias(f"_{k}") for k in key], F.lit(True).alias("_passed"))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in key]
+    return totals.join(passed, same, "left").select(*key, "total", F.coalesce("_passed", F.lit(False)).alias("alerted"))

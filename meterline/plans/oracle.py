@@ -190,6 +190,7 @@ FROM changes WHERE prev_ts IS NOT NULL"""
     q["quota_enriched_stream"] = q["quota_enriched"]
     q["quota_enriched_versions_stream"] = q["quota_enriched"]
     q["usage_alerts_stream"] = q["usage_alerts"]
+    q["usage_alerts_handover_stream"] = q["usage_alerts"]
     q["usage_alerts_versions_stream"] = q["usage_alerts"]
     q["usage_alerts_clearing_stream"] = q["usage_alerts"]
     q["quota_enriched_ordered_stream"] = q["quota_enriched_ordered"]

@@ -117,6 +117,14 @@ class BillingTotals:
                              self.tie: rows[self.tie][at]}).astype(
             {c: "int64" for c in ("ts_us", "billingYear", "billingMonth", "quota", "total", self.tie)})
 
+    def start(self, known: pd.DataFrame) -> None:
+        """Totals and flags to begin with (rows of :func:`~meterline.operators.alerts.billing_state`)."""
+        for r in known.itertuples(index=False):
+            sk = tuple(None if c == "quota" and r.quota_null else int(getattr(r, c)) for c in self.sub)
+            self.state.updateValue(sk, (int(r.total), bool(r.alerted)))
+            if self.grace is not None:
+                self.handle.registerTimer(month_end_ms(int(r.billingYear), int(r.billingMonth)) + self.grace)
+
     def clear(self, expiry_ms: int) -> None:
         """Drops the billing keys of every month whose end plus grace has passed."""
         iy, im = self.sub.index("billingYear"), self.sub.index("billingMonth")
@@ -141,6 +149,9 @@ class UsageAlertProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.totals.open(handle)
 
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        self.totals.start(initialState)
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         chunks = [{c: pdf[c].to_numpy().astype("int64") for c in (*_COLUMNS, self.totals.tie)} for pdf in rows]
         whole = {c: np.concatenate([chunk[c] for chunk in chunks]) for c in chunks[0]}
@@ -216,9 +227,13 @@ def _with_message(out: DataFrame, tie: str) -> DataFrame:
 
 def stream_usage_alerts(enriched: DataFrame, tie: str, ratio: float = ALERT_RATIO,
                         key: Sequence[str] = BILLING_KEY, clear_after: timedelta | None = None,
-                        watermark_delay: str = "0 seconds") -> DataFrame:
+                        watermark_delay: str = "0 seconds", initial: DataFrame | None = None) -> DataFrame:
     """Alerts of an enriched usage stream (append mode): ``ts, account, billingYear, billingMonth,
-    quota, total, message`` plus ``tie``.  Also runs on a bounded DataFrame (without ``clear_after``)."""
+    quota, total, message`` plus ``tie``.  Also runs on a bounded DataFrame (without ``clear_after``).
+
+    ``initial`` takes over from a batch run: totals and flags of the usage before the stream's first row, from
+    :func:`~meterline.operators.alerts.billing_state` with the same key and ratio.  Spark reads it in the query's first
+    micro-batch only."""
     use_rocksdb_state(enriched.sparkSession)
     key, zero = list(key), F.lit(0).cast("long")
     upstream_time = "event_ts" in enriched.columns
@@ -238,8 +253,13 @@ def stream_usage_alerts(enriched: DataFrame, tie: str, ratio: float = ALERT_RATI
             prepared = (prepared.withColumn("event_ts", F.timestamp_micros("ts_us"))
                                 .withWatermark("event_ts", watermark_delay).drop("event_ts"))
         time_mode = "EventTime"
+    begin = None
+    if initial is not None:
+        sub = [k for k in key if k not in ("account", "quota")]
+        quota = [F.coalesce("quota", zero).alias("quota"), F.col("quota").isNull().alias("quota_null")] if "quota" in key else []
+        begin = initial.select("account", *sub, *quota, "total", "alerted").groupBy("account")
     out = prepared.groupBy("account").transformWithStateInPandas(
-        UsageAlertProcessor(tie, ratio, clear_after, key), _out_schema(tie), "Append", time_mode)
+        UsageAlertProcessor(tie, ratio, clear_after, key), _out_schema(tie), "Append", time_mode, begin)
     return _with_message(out, tie)
 
 

@@ -293,6 +293,23 @@ def usage_alerts_stream(spark: SparkSession, sf: str) -> DataFrame:
                                           "message")
 
 
+def usage_alerts_handover_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Alerts of the batch up to a cut and of the stream that takes over from its totals, together."""
+    from ..operators import enrich_usage, usage_alerts
+    from ..operators.alerts import billing_state
+
+    usage, versions = td.usage_from_events(spark, sf), td.versions_from_events(spark, sf)
+    cut = F.lit(td.RANGE_START).cast("timestamp")
+    before = enrich_usage(usage.where(F.col("ts") < cut), versions)
+    rp = EventOrderReplay(spark, "alerts_handover")
+    e = enrich_static(rp.source(usage.where(F.col("ts") >= cut), "ts"), versions)
+    q = stream_usage_alerts(e, TIE, initial=billing_state(before, TIE))
+    out, ck = fresh_paths(spark, "alerts_handover")
+    rp.run(lambda: run_to_end(q, ck, "append", path=out))
+    columns = ["ts", "account", "billingYear", "billingMonth", "quota", "total", "message"]
+    return usage_alerts(before, TIE).select(*columns).unionByName(spark.read.parquet(out).select(*columns))
+
+
 def usage_alerts_clearing_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Alerts with monthly state clearing on (event-time mode, a timer per account and month)."""
     rp = EventOrderReplay(spark, "alerts_clearing")
@@ -337,5 +354,6 @@ def stream_queries() -> dict:
         "quota_enriched_changes_stream": quota_enriched_changes_stream,
         "quota_enriched_ordered_late_stream": quota_enriched_ordered_late_stream,
         "usage_alerts_late_clearing_stream": usage_alerts_late_clearing_stream,
+        "usage_alerts_handover_stream": usage_alerts_handover_stream,
     }
 

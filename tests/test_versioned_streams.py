@@ -315,3 +315,23 @@ def test_null_amounts_after_a_version_stream(spark):
     u, v = streams(spark, files)
     out, _ = end(enrich_versioned(u, v, "event_id"), "t-nulls-v", spark)
     assert sorted((r["event_id"], r["bytesUsed"], r["quota"]) for r in out.collect()) == [(1, 5, 100), (2, 0, 100), (3, 90, 100)]
+
+
+def test_a_stream_takes_over_from_a_batch(spark):
+    """Totals, flags and null quotas go on; a key that has warned in the batch doesn't warn again."""
+    from meterline.operators.alerts import billing_state
+
+    v = versions(spark, [("a", 100, "2021-10-01T00:00:00"), ("b", 100, "2021-10-01T00:00:00"), ("c", None, "2021-10-01T00:00:00")])
+    old = usage(spark, [("a", 60, "2021-10-02T00:00:00", 1), ("b", 95, "2021-10-02T00:00:00", 2), ("c", 9, "2021-10-02T00:00:00", 3),
+                        ("a", None, "2021-10-02T00:00:00", 4)])
+    state = billing_state(enrich_usage(old, v), "event_id")
+    assert sorted((r["account"], r["quota"], r["total"], r["alerted"]) for r in state.collect()) == [
+        ("a", 100, 60, False), ("b", 100, 95, True), ("c", None, 9, False)]
+    src = scratch_path(spark, "t-handover")
+    new = [("a", 35, "2021-10-03T00:00:00", 5), ("b", 50, "2021-10-03T00:00:00", 6), ("c", 1, "2021-10-03T00:00:00", 7)]
+    usage(spark, new).coalesce(1).write.parquet(src)
+    s = spark.readStream.schema(USAGE_DDL).parquet(src)
+    out, ck = end(stream_usage_alerts(enrich_static(s, v), "event_id", initial=state), "t-handover", spark)
+    assert [(r["account"], r["total"]) for r in out.collect()] == [("a", 95)]
+    kept = spark.read.format("statestore").option("path", ck).option("stateVarName", "usage").load()
+    assert sorted((r["key"]["account"], r["user_map_value"]["total"]) for r in kept.collect()) == [("a", 95), ("b", 145), ("c", 10)]
