@@ -1,19 +1,30 @@
 """Masked pseudo-likelihood: every word is predicted from the words on both of its sides.
 
-The vocabulary is ``BUCKETS`` hash buckets of words, counted over the whole corpus.  The commonest
-buckets are classes of their own, the others share ``SHARED`` classes.  A window network (embeddings of the
-``SIDE`` words before and after, added, tanh, softmax over classes) gives the class of a masked word;
-the word's share in its class comes from the corpus counts.  The sum of the conditional log-probabilities
+    P(word | sides) = P(class | sides) * P(word | class, left, right)
 
-    log P(class | both sides) + log P(word | class)
+A window network (embeddings of the ``SIDE`` words before and after, added, tanh, softmax over classes) gives
+the class of a masked word.  Classes follow frequency: the commonest of ``BUCKETS`` hash buckets of words are
+classes of their own, the others are cut by rank into ``SHARED`` bands of equal numbers of words.  Inside a class
+each word has its own probability, from the corpus counts of the word between its two neighbours,
 
-over all words of a document is its pseudo-log-likelihood.
+    P(word | class, left, right) = (n(left, word, right) + PRIOR * P0) / (n(left, class, right) + PRIOR)
+    P0 = share of the word's bucket in its class * (n(word) + 1/2) / (n(bucket) + kinds(bucket) / 2)
+
+where the masked occurrence itself is left out of every count, as a masked word mustn't foretell itself, and
+``kinds`` is the number of different words of a bucket.  Words of a class of their own need no neighbours here.  The
+sum of the log-probabilities over all words of a document is its pseudo-log-likelihood.
+
+Counts cover the whole corpus and grow with it: a block of texts sends its different (neighbours, word) pairs, once
+each with a count, to hash ranges, whose number follows the number of words; a range adds them up and answers each
+block, which adds up its texts.  A pair that all texts share is sent once per block, not once per text.  Keys are
+hashes: 40 bits for the neighbours besides those of the range, 32 for the word.
 
 The network is trained in numpy where the text is: in each round every task starts from the same weights
 and learns from the words of all of its documents, then the tasks' weights are averaged,
 weighted by words (as sums of scaled integers, so the order in which they arrive doesn't matter).  Every
 word is a target in every round; with a ``stride`` above 1 round r takes the positions r, r + stride, ..., so
 that ``stride`` rounds cover all.  The driver holds the bucket counts and one set of weights, both of fixed size.
+Averages depend on how rows fall into tasks, so another layout of the table gives slightly other scores.
 
 Defined results: a null or empty text, or one without words, has 0 tokens, a score of 0 and a null mean.
 Repeated rows get equal scores.  An empty corpus scores nothing.  Columns named in ``carry`` come along.
@@ -26,11 +37,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import in_arrow
-from .words import SPACED, Words, batch_texts
+from .words import SPACED, Words, batch_texts, mix
 
 BUCKETS = 1 << 20
 CLASSES = 64
@@ -40,30 +52,41 @@ WIDTH = 16
 ROUNDS = 2
 STRIDE = 1
 RATE = 0.2
+PRIOR = 1.0
+BLOCK_BYTES = 8 << 20
+RANGE_WORDS = 1 << 20
 _MINIBATCH = 512
 _SCALE = float(1 << 24)
 _ROWS = 8192
+_OWN = CLASSES - SHARED - 1
+_BUCKET_BITS = BUCKETS.bit_length() - 1
+_CELL = 40  # bits of a neighbours' hash that a message holds; the 24 above them choose its range
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+_MESSAGE = "range int, block long, cells binary, words binary, counts binary, home binary, at binary, total binary"
+_ANSWER = "range int, block long, x binary, y binary, home binary, at binary, total binary"
 
 OFFSETS = [o for o in range(-SIDE, SIDE + 1) if o]
 
 
 @dataclass
 class Vocabulary:
-    """Class of each bucket (0 stands for the edge of a text) and log P(word | class)."""
+    """Class of each bucket (0 stands for the edge of a text) and a word's share of its class by bucket, without
+    that word itself."""
 
     cls: np.ndarray
-    log_share: np.ndarray
+    share: np.ndarray
     prior: np.ndarray
 
     @classmethod
     def of(cls, counts: np.ndarray) -> Vocabulary:
-        own = CLASSES - SHARED - 1
-        order = np.lexsort((np.arange(len(counts)), -counts))[:own]
-        kind = (1 + own + np.arange(len(counts)) % SHARED).astype(np.uint8)
-        kind[order] = 1 + np.arange(len(order))
+        order = np.lexsort((np.arange(len(counts)), -counts))
         smooth = counts + 0.5
+        mass = np.cumsum(smooth[order[_OWN:]])
+        kind = np.empty(len(counts), np.uint8)
+        kind[order[:_OWN]] = 1 + np.arange(_OWN)
+        kind[order[_OWN:]] = 1 + _OWN + np.minimum(SHARED - 1, (mass * (SHARED / mass[-1])).astype(np.int64))
         total = np.bincount(kind, weights=smooth, minlength=CLASSES)
-        share = np.log(smooth / total[kind]).astype(np.float32)
+        share = np.maximum(smooth - 1, 0.5) / np.maximum(total - 1, 0.5)[kind]
         return cls(kind, share, np.log(np.maximum(total, 0.5) / np.maximum(total, 0.5).sum()).astype(np.float32))
 
 
@@ -123,7 +146,11 @@ class Network:
 
 
 def buckets(w: Words) -> np.ndarray:
-    return (w.hashes() >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int64)
+    return _bucket_of(w.hashes())
+
+
+def _bucket_of(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - _BUCKET_BITS)).astype(np.int64)
 
 
 def neighbours(cls: np.ndarray, first: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -179,9 +206,10 @@ def word_counts(docs: DataFrame) -> np.ndarray:
     return counts
 
 
-def train(docs: DataFrame, rounds: int = ROUNDS, stride: int = STRIDE, rate: float = RATE) -> tuple[Vocabulary, Network]:
+def train(docs: DataFrame, rounds: int = ROUNDS, stride: int = STRIDE, rate: float = RATE,
+          counts: np.ndarray | None = None) -> tuple[Vocabulary, Network]:
     spark = docs.sparkSession
-    vocabulary = Vocabulary.of(word_counts(docs))
+    vocabulary = Vocabulary.of(word_counts(docs) if counts is None else counts)
     net = Network.fresh(vocabulary.prior)
     sent = spark.sparkContext.broadcast(vocabulary)
     for r in range(rounds):
@@ -196,41 +224,173 @@ def train(docs: DataFrame, rounds: int = ROUNDS, stride: int = STRIDE, rate: flo
     return vocabulary, net
 
 
-def pseudo_likelihood(w: Words, vocabulary: Vocabulary, net: Network) -> np.ndarray:
-    """The summed conditional log-probability of the words of each text."""
-    b = buckets(w)
-    own = vocabulary.cls[b]
+def class_likelihood(w: Words, own: np.ndarray, net: Network) -> np.ndarray:
+    """The summed log P(class | sides) of the words of each text; ``own`` has the classes of the words."""
     each = np.zeros(len(own) + 1)
     for i in range(0, len(own), _ROWS):
         at = np.arange(i, min(i + _ROWS, len(own)))
         _, logp = net.log_probs(neighbours(own, w.first, at))
-        each[at + 1] = logp[np.arange(len(at)), own[at]] + vocabulary.log_share[b[at]]
-    total = np.cumsum(each)
-    return total[w.first[1:]] - total[w.first[:-1]]
-
-
-def _score(vocabulary, network, schema: pa.Schema, text: int):
+        each[at + 1] = logp[np.arange(len(at)), own[at]]
+    return _per_text(each[1:], w.first)
+
+
+def _per_text(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    total = np.concatenate([[0.0], np.cumsum(values)])
+    return total[first[1:]] - total[first[:-1]]
+
+
+def _runs(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of equal values begin, and how long they are."""
+    if not len(ordered):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    at = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    return at, np.diff(np.append(at, len(ordered)))
+
+
+def contexts(hashes: np.ndarray, first: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A hash of the words before and after each of the words ``at``; 0 stands for the edge of a text."""
+    left, right = np.roll(hashes, 1), np.roll(hashes, -1)
+    starts, ends = first[:-1], first[1:]
+    left[starts[starts < len(hashes)]] = 0
+    right[ends[ends > 0] - 1] = 0
+    return mix(mix(left[at] + _ODD) * _ODD + right[at])
+
+
+def _packed(cells: np.ndarray) -> bytes:
+    return np.ascontiguousarray(cells.view(np.uint8).reshape(-1, 8)[:, :_CELL // 8]).tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    wide = np.zeros((len(data) * 8 // _CELL, 8), np.uint8)
+    wide[:, :_CELL // 8] = np.frombuffer(data, np.uint8).reshape(-1, _CELL // 8)
+    return wide.reshape(-1).view(np.uint64)
+
+
+def _block_messages(part: pa.RecordBatch, text: int, block: int, ranges: int, vocabulary: Vocabulary, net: Network):
+    """The different keys of a block by range; the block's home range keeps what only the block needs: its
+    rows, which keys its words have (that of the word, and that with its neighbours or -1), and the class part."""
+    w = Words(part.column(text), SPACED)
+    h = w.hashes()
+    bucket = _bucket_of(h)
+    own = vocabulary.cls[bucket]
+    total = class_likelihood(w, own, net)
+    inner = np.flatnonzero(own > _OWN)
+    # the last bit tells keys of words, whose context is their bucket, from those of neighbours
+    context = np.concatenate([mix(bucket.astype(np.uint64) + _ODD) | np.uint64(1),
+                              contexts(h, w.first, inner) & ~np.uint64(1)])
+    word = np.concatenate([h, h[inner]]) >> np.uint64(32)
+    high = context >> np.uint64(_CELL)
+    key = (high << np.uint64(_CELL)) | (mix(context + word * _ODD) >> np.uint64(64 - _CELL))
+    order = np.argsort(key)
+    at, times = _runs(key[order])
+    of = np.empty(len(key), np.int32)
+    of[order] = np.repeat(np.arange(len(at), dtype=np.int32), times)
+    pair = np.full(len(h), -1, np.int32)
+    pair[inner] = of[len(h):]
+    one = order[at]
+    cells, words = context[one] & np.uint64((1 << _CELL) - 1), word[one].astype(np.uint32)
+    goes = (high[one] * np.uint64(ranges) >> np.uint64(64 - _CELL)).astype(np.int64)  # rises with the key
+    home = block % ranges
+    cut = np.searchsorted(goes, np.arange(ranges + 1))
+    rest = pa.RecordBatch.from_arrays([*[c for i, c in enumerate(part.columns) if i != text], pa.array(w.counts)],
+                                      names=[f"f{i}" for i in range(part.num_columns)])
+    for r in sorted({home, *np.flatnonzero(np.diff(cut)).tolist()}):
+        a, b = cut[r], cut[r + 1]
+        yield {"range": r, "block": block, "cells": _packed(cells[a:b]), "words": words[a:b].tobytes(),
+               "counts": times[a:b].astype(np.uint32).tobytes(),
+               "home": _ipc(rest) if r == home else None,
+               "at": np.concatenate([of[:len(h)], pair]).tobytes() if r == home else None,
+               "total": total.tobytes() if r == home else None}
+
+
+def _ipc(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _to_ranges(vocabulary, network, text: int, ranges: int, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]):
         net = Network.unflat(network.value)
+        block = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for part in batch_texts(batch, "text"):
-                w = Words(part.column(text), SPACED)
-                total = pseudo_likelihood(w, vocabulary.value, net)
-                cols = [c for i, c in enumerate(part.columns) if i != text]
-                yield pa.RecordBatch.from_arrays([*cols, pa.array(w.counts), pa.array(np.round(total, 3))], schema=schema)
+            for part in batch_texts(batch, "text", BLOCK_BYTES):
+                rows = list(_block_messages(part, text, block, ranges, vocabulary.value, net))
+                yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                block += 1
+    return run
+
+
+def _totals(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each key the sum of the values of all equal keys, and whether it is the first of them."""
+    order = np.argsort(keys)
+    at, times = _runs(keys[order])
+    out, first = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+    if len(at):
+        out[order] = np.repeat(np.add.reduceat(values[order], at), times)
+        first[order[at]] = 1
+    return out, first
+
+
+def _answer(vocabulary, schema: pa.Schema):
+    """Of one range, for each key of each block: the word's P0, or how often the word and its class stand
+    elsewhere between these neighbours."""
+    def run(t):
+        cells = [_unpacked(x) for x in t["cells"].to_pylist()]
+        cut = np.cumsum([len(x) for x in cells])[:-1]
+        cells = np.concatenate(cells)
+        words = np.concatenate([np.frombuffer(x, np.uint32) for x in t["words"].to_pylist()]).astype(np.uint64)
+        counts = np.concatenate([np.frombuffer(x, np.uint32) for x in t["counts"].to_pylist()]).astype(np.int64)
+        bucket = (words >> np.uint64(32 - _BUCKET_BITS)).astype(np.int64)
+        word, first = _totals(mix(cells * _ODD + words), counts)
+        group = cells * np.uint64(CLASSES) + vocabulary.value.cls[bucket]
+        whole, _ = _totals(group, counts)
+        kinds, _ = _totals(group, first)
+        alone = (cells & np.uint64(1)).astype(bool)
+        x = np.where(alone, vocabulary.value.share[bucket] * (word - 0.5) / (whole - 1 + 0.5 * kinds), word - 1)
+        y = np.where(alone, 0, whole - 1)
+        rows = {n: [part.astype(np.float32).tobytes() for part in np.split(v, cut)] for n, v in (("x", x), ("y", y))}
+        return pa.table([pa.array(rows[f.name], f.type) if f.name in rows else t[f.name].combine_chunks()
+                         for f in schema], schema=schema)
+    return run
+
+
+def _score(schema: pa.Schema):
+    """Of one block: its rows with their scores."""
+    def run(t):
+        t = t.sort_by("range")
+        x, y = (np.concatenate([np.frombuffer(v, np.float32) for v in t[n].to_pylist()]).astype(float) for n in "xy")
+        home = next(i for i, v in enumerate(t["home"].to_pylist()) if v)
+        rest = pa.ipc.open_stream(t["home"][home].as_py()).read_all().combine_chunks()
+        n_tokens = rest.column(rest.num_columns - 1).to_numpy()
+        alone, pair = np.frombuffer(t["at"][home].as_py(), np.int32).reshape(2, -1)
+        p = x[alone]
+        inner = np.flatnonzero(pair >= 0)
+        p[inner] = (x[pair[inner]] + PRIOR * p[inner]) / (y[pair[inner]] + PRIOR)
+        total = np.frombuffer(t["total"][home].as_py(), float)
+        total = total + _per_text(np.log(p), np.concatenate([[0], np.cumsum(n_tokens)]))
+        return pa.table([*rest.columns, pa.array(np.round(total, 3))], schema=schema)
     return run
 
 
 def lm_scores(docs: DataFrame, carry: Sequence[str] = (), rounds: int = ROUNDS, stride: int = STRIDE) -> DataFrame:
     """(doc_id, *carry, n_tokens, log_likelihood, mean_log_likelihood) of every row."""
     from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import _parse_datatype_string
 
-    vocabulary, net = train(docs, rounds, stride)
+    counts = word_counts(docs)
+    vocabulary, net = train(docs, rounds, stride, counts=counts)
     sc = docs.sparkSession.sparkContext
+    sent, weights = sc.broadcast(vocabulary), sc.broadcast(net.flat())
+    ranges = min(1 << 24, 1 + int(counts.sum()) // RANGE_WORDS)
     rest = [F.col(c).alias(f"c{i}") for i, c in enumerate(carry)]
     rows = docs.select("doc_id", *rest, "text")
     out = rows.drop("text").withColumns({"n_tokens": F.lit(0).cast("long"), "log_likelihood": F.lit(0.0)}).schema
-    scored = in_arrow(rows, _score(sc.broadcast(vocabulary), sc.broadcast(net.flat()), to_arrow_schema(out), len(carry) + 1), out)
+    message, answer = (to_arrow_schema(_parse_datatype_string(x)) for x in (_MESSAGE, _ANSWER))
+    scored = (in_arrow(rows, _to_ranges(sent, weights, len(carry) + 1, ranges, message), _MESSAGE)
+              .groupBy("range").applyInArrow(_answer(sent, answer), _ANSWER)
+              .groupBy("block").applyInArrow(_score(to_arrow_schema(out)), out))
     mean = F.when(F.col("n_tokens") > 0, F.round(F.col("log_likelihood") / F.col("n_tokens"), 6))
     return scored.select("doc_id", *[F.col(f"c{i}").alias(c) for i, c in enumerate(carry)], "n_tokens", "log_likelihood",
                          mean.alias("mean_log_likelihood"))

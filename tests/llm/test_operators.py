@@ -458,25 +458,60 @@ def test_shards_edges(odd_documents):
 # LM scores -----------------------------------------------------------------------------------------
 
 
-def test_lm_scores_by_brute_force(spark, sf001):
-    docs = spark.read.parquet(f"{sf001}/documents.parquet").limit(40)
+def test_lm_scores_by_brute_force(spark, sf001, monkeypatch):
+    """Every word of every text from plain dictionaries of the whole corpus; several blocks and ranges."""
+    monkeypatch.setattr(lm_score, "RANGE_WORDS", 1000)
+    monkeypatch.setattr(lm_score, "BLOCK_BYTES", 8192)
+    docs = spark.read.parquet(f"{sf001}/documents.parquet").limit(60)
+    docs = docs.unionAll(docs.limit(5).selectExpr("doc_id + 9000", "text", "lang", "source", "n_chars"))
     docs = spark.createDataFrame(docs.collect(), docs.schema).coalesce(1)
     vocabulary, net = lm_score.train(docs)
     got = by_id(lm_score.lm_scores(docs))
     import pyarrow as pa
     from meterline.llm.words import SPACED, Words
-    for r in docs.collect()[:8]:
-        w = Words(pa.array([r["text"]]), SPACED)
-        b = lm_score.buckets(w)
-        cls = [0, 0, *vocabulary.cls[b].tolist(), 0, 0]
+    texts = {r["doc_id"]: Words(pa.array([r["text"]]), SPACED) for r in docs.collect()}
+    words = {d: [bytes(w.bytes[a:b]) for a, b in zip(w.starts, w.ends)] for d, w in texts.items()}
+    bucket = {x: int(k) for d, w in texts.items() for x, k in zip(words[d], lm_score.buckets(w))}
+    cls = {x: int(vocabulary.cls[k]) for x, k in bucket.items()}
+    single, pairs, by_class, in_bucket, kinds = Counter(), Counter(), Counter(), Counter(), Counter(bucket.values())
+    for ws in words.values():
+        for a, x, b in zip([None, *ws], ws, [*ws[1:], None]):
+            single[x] += 1
+            in_bucket[bucket[x]] += 1
+            pairs[a, x, b] += 1
+            by_class[a, cls[x], b] += 1
+    in_class = Counter()
+    for k in range(lm_score.BUCKETS):
+        in_class[int(vocabulary.cls[k])] += in_bucket[k] + 0.5
+    assert len(got) == len(words) and max(in_bucket.values()) > 100
+    for d, ws in words.items():
+        around = [0, 0, *[cls[x] for x in ws], 0, 0]
         total = 0.0
-        for i in range(len(b)):
-            sides = [cls[i], cls[i + 1], cls[i + 3], cls[i + 4]]
+        for i, (a, x, b) in enumerate(zip([None, *ws], ws, [*ws[1:], None])):
+            sides = [around[i], around[i + 1], around[i + 3], around[i + 4]]
             hidden = np.tanh(sum(net.embed[j][c].astype(float) for j, c in enumerate(sides)))
             logits = hidden @ net.out.astype(float) + net.bias
-            total += logits[cls[i + 2]] - np.log(np.exp(logits).sum()) + vocabulary.log_share[b[i]]
-        assert got[r["doc_id"]]["n_tokens"] == len(b)
-        assert got[r["doc_id"]]["log_likelihood"] == pytest.approx(total, rel=1e-4, abs=0.05)
+            k = bucket[x]
+            p = ((in_bucket[k] - 0.5) / (in_class[cls[x]] - 1)
+                 * (single[x] - 0.5) / (in_bucket[k] - 1 + kinds[k] / 2))
+            if cls[x] > lm_score.CLASSES - lm_score.SHARED - 1:
+                p = (pairs[a, x, b] - 1 + lm_score.PRIOR * p) / (by_class[a, cls[x], b] - 1 + lm_score.PRIOR)
+            total += logits[cls[x]] - np.log(np.exp(logits).sum()) + np.log(p)
+        assert got[d]["n_tokens"] == len(ws)
+        assert got[d]["log_likelihood"] == pytest.approx(total, rel=1e-4, abs=0.05)
+
+
+def test_lm_sets_texts_of_the_corpus_apart(spark, sf001):
+    """Texts that occur twice are likelier, word by word, than texts of the same words that occur once."""
+    rng = np.random.default_rng(0)
+    base = spark.read.parquet(f"{sf001}/documents.parquet").select("doc_id", "text")
+    words = [f"rare{i}" for i in range(600)]
+    once = [(10_000 + i, " ".join(rng.choice(words, 40))) for i in range(20)]
+    twice = [(20_000 + i, " ".join(rng.choice(words, 40))) for i in range(20)]
+    extra = spark.createDataFrame(once + twice + [(i + 10_000, t) for i, t in twice], "doc_id long, text string")
+    got = by_id(lm_score.lm_scores(base.unionAll(extra)))
+    mean = {d: r["mean_log_likelihood"] for d, r in got.items()}
+    assert max(mean[d] for d, _ in once) + 1 < min(mean[d] for d, _ in twice)
 
 
 def test_lm_learns_from_both_sides(documents):
@@ -494,7 +529,8 @@ def test_lm_learns_from_both_sides(documents):
     vocabulary, net = lm_score.train(docs, rounds=3, stride=2)
     import pyarrow as pa
     from meterline.llm.words import SPACED, Words
-    good, bad = lm_score.pseudo_likelihood(Words(pa.array([texts[0][1], shuffled]), SPACED), vocabulary, net)
+    w = Words(pa.array([texts[0][1], shuffled]), SPACED)
+    good, bad = lm_score.class_likelihood(w, vocabulary.cls[lm_score.buckets(w)], net)
     assert good > bad + 50
 
 
@@ -513,7 +549,8 @@ def test_lm_learns_every_word(documents):
         texts.append((d, " ".join(w + ["z"])))
     vocabulary, net = lm_score.train(documents(texts).coalesce(1))
     pairs = [f"a{i} b{j}" for i in range(8) for j in (i, (i + 1) % 8)]
-    score = lm_score.pseudo_likelihood(Words(pa.array(pairs), SPACED), vocabulary, net)
+    w = Words(pa.array(pairs), SPACED)
+    score = lm_score.class_likelihood(w, vocabulary.cls[lm_score.buckets(w)], net)
     assert score[0::2].mean() > score[1::2].mean() + 1
 
 
