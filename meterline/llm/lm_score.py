@@ -17,7 +17,8 @@ sum of the log-probabilities over all words of a document is its pseudo-log-like
 Counts cover the whole corpus and grow with it: a block of texts sends its different (neighbours, word) pairs, once
 each with a count, to hash ranges, whose number follows the number of words; a range adds them up and answers each
 block, which adds up its texts.  A pair that all texts share is sent once per block, not once per text.  Keys are
-hashes: 40 bits for the neighbours besides those of the range, 32 for the word.
+hashes: 32 bits for the neighbours besides those of the range, 32 for the word; among the million words of a range
+about one pair of neighbours in 4,000 shares its bits with another, and only their class counts add up then.
 
 The network is trained in numpy where the text is: in each round every task starts from the same weights
 and learns from the words of all of its documents, then the tasks' weights are averaged,
@@ -37,6 +38,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -57,13 +59,13 @@ BLOCK_BYTES = 8 << 20
 RANGE_WORDS = 1 << 20
 _MINIBATCH = 512
 _SCALE = float(1 << 24)
-_ROWS = 8192
+_ROWS = 1024
 _OWN = CLASSES - SHARED - 1
 _BUCKET_BITS = BUCKETS.bit_length() - 1
-_CELL = 40  # bits of a neighbours' hash that a message holds; the 24 above them choose its range
+_RANGE = np.uint64(40)  # the bits of a neighbours' hash above these choose its range, a message holds the last 32
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-_MESSAGE = "range int, block long, cells binary, words binary, counts binary, home binary, at binary, total binary"
-_ANSWER = "range int, block long, x binary, y binary, home binary, at binary, total binary"
+_MESSAGE = "range int, block long, cells binary, words binary, counts binary, home binary, at binary, inner binary, total binary"
+_ANSWER = "range int, block long, x binary, y binary, home binary, at binary, inner binary, total binary"
 
 OFFSETS = [o for o in range(-SIDE, SIDE + 1) if o]
 
@@ -155,14 +157,11 @@ def _bucket_of(hashes: np.ndarray) -> np.ndarray:
 
 def neighbours(cls: np.ndarray, first: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Classes on both sides of the words ``at`` (sorted positions); 0 beyond the edge of their text."""
-    text = np.searchsorted(first, at, "right") - 1
-    lo, hi = first[text], first[text + 1]
-    out = np.zeros((len(at), len(OFFSETS)), np.int64)
-    for i, o in enumerate(OFFSETS):
-        p = at + o
-        ok = (p >= lo) & (p < hi)
-        out[ok, i] = cls[p[ok]]
-    return out
+    text = np.repeat(np.arange(1, len(first)) * SIDE, np.diff(first))  # SIDE zeros before each text and after the last
+    padded = np.zeros(len(cls) + SIDE * len(first), np.int64)
+    padded[np.arange(len(cls)) + text] = cls
+    here = at + text[at]
+    return np.stack([padded[here + o] for o in OFFSETS], axis=1)
 
 
 def _count(batches: Iterator[pa.RecordBatch]):
@@ -227,10 +226,11 @@ def train(docs: DataFrame, rounds: int = ROUNDS, stride: int = STRIDE, rate: flo
 def class_likelihood(w: Words, own: np.ndarray, net: Network) -> np.ndarray:
     """The summed log P(class | sides) of the words of each text; ``own`` has the classes of the words."""
     each = np.zeros(len(own) + 1)
+    sides = neighbours(own, w.first, np.arange(len(own)))
     for i in range(0, len(own), _ROWS):
-        at = np.arange(i, min(i + _ROWS, len(own)))
-        _, logp = net.log_probs(neighbours(own, w.first, at))
-        each[at + 1] = logp[np.arange(len(at)), own[at]]
+        target = own[i:i + _ROWS]
+        _, logp = net.log_probs(sides[i:i + _ROWS])
+        each[i + 1:i + 1 + len(target)] = logp[np.arange(len(target)), target]
     return _per_text(each[1:], w.first)
 
 
@@ -256,19 +256,21 @@ def contexts(hashes: np.ndarray, first: np.ndarray, at: np.ndarray) -> np.ndarra
     return mix(mix(left[at] + _ODD) * _ODD + right[at])
 
 
-def _packed(cells: np.ndarray) -> bytes:
-    return np.ascontiguousarray(cells.view(np.uint8).reshape(-1, 8)[:, :_CELL // 8]).tobytes()
+def _small(values: np.ndarray) -> bytes:
+    """Four-byte values as compressed byte planes: high bytes are nearly all alike."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, 4).T)
+    return zstandard.ZstdCompressor(1).compress(planes.tobytes())
 
 
-def _unpacked(data: bytes) -> np.ndarray:
-    wide = np.zeros((len(data) * 8 // _CELL, 8), np.uint8)
-    wide[:, :_CELL // 8] = np.frombuffer(data, np.uint8).reshape(-1, _CELL // 8)
-    return wide.reshape(-1).view(np.uint64)
+def _wide(data: bytes, dtype) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(dtype)
 
 
 def _block_messages(part: pa.RecordBatch, text: int, block: int, ranges: int, vocabulary: Vocabulary, net: Network):
     """The different keys of a block by range; the block's home range keeps what only the block needs: its
-    rows, which keys its words have (that of the word, and that with its neighbours or -1), and the class part."""
+    rows, which keys its words have (that of the word, whether there is one with neighbours, and those), and the
+    class part."""
     w = Words(part.column(text), SPACED)
     h = w.hashes()
     bucket = _bucket_of(h)
@@ -279,27 +281,26 @@ def _block_messages(part: pa.RecordBatch, text: int, block: int, ranges: int, vo
     context = np.concatenate([mix(bucket.astype(np.uint64) + _ODD) | np.uint64(1),
                               contexts(h, w.first, inner) & ~np.uint64(1)])
     word = np.concatenate([h, h[inner]]) >> np.uint64(32)
-    high = context >> np.uint64(_CELL)
-    key = (high << np.uint64(_CELL)) | (mix(context + word * _ODD) >> np.uint64(64 - _CELL))
+    high = context >> _RANGE
+    key = (high << _RANGE) | (mix(context + word * _ODD) >> (np.uint64(64) - _RANGE))
     order = np.argsort(key)
     at, times = _runs(key[order])
     of = np.empty(len(key), np.int32)
     of[order] = np.repeat(np.arange(len(at), dtype=np.int32), times)
-    pair = np.full(len(h), -1, np.int32)
-    pair[inner] = of[len(h):]
     one = order[at]
-    cells, words = context[one] & np.uint64((1 << _CELL) - 1), word[one].astype(np.uint32)
-    goes = (high[one] * np.uint64(ranges) >> np.uint64(64 - _CELL)).astype(np.int64)  # rises with the key
+    cells, words = context[one].astype(np.uint32), word[one].astype(np.uint32)
+    goes = (high[one] * np.uint64(ranges) >> (np.uint64(64) - _RANGE)).astype(np.int64)  # rises with the key
     home = block % ranges
     cut = np.searchsorted(goes, np.arange(ranges + 1))
     rest = pa.RecordBatch.from_arrays([*[c for i, c in enumerate(part.columns) if i != text], pa.array(w.counts)],
                                       names=[f"f{i}" for i in range(part.num_columns)])
     for r in sorted({home, *np.flatnonzero(np.diff(cut)).tolist()}):
         a, b = cut[r], cut[r + 1]
-        yield {"range": r, "block": block, "cells": _packed(cells[a:b]), "words": words[a:b].tobytes(),
+        yield {"range": r, "block": block, "cells": cells[a:b].tobytes(), "words": words[a:b].tobytes(),
                "counts": times[a:b].astype(np.uint32).tobytes(),
                "home": _ipc(rest) if r == home else None,
-               "at": np.concatenate([of[:len(h)], pair]).tobytes() if r == home else None,
+               "at": _small(of) if r == home else None,
+               "inner": np.packbits(own > _OWN).tobytes() if r == home else None,
                "total": total.tobytes() if r == home else None}
 
 
@@ -322,35 +323,34 @@ def _to_ranges(vocabulary, network, text: int, ranges: int, schema: pa.Schema):
     return run
 
 
-def _totals(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each key the sum of the values of all equal keys, and whether it is the first of them."""
+def _totals(keys: np.ndarray, *values: np.ndarray | None) -> list[np.ndarray]:
+    """For each key the sums of the values of all equal keys; in place of None, 1 for the first of them and 0 else."""
     order = np.argsort(keys)
     at, times = _runs(keys[order])
-    out, first = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
-    if len(at):
-        out[order] = np.repeat(np.add.reduceat(values[order], at), times)
-        first[order[at]] = 1
-    return out, first
+    found = [np.zeros(len(keys), np.int64) for _ in values]
+    for out, value in zip(found, values):
+        if value is None:
+            out[order[at]] = 1
+        elif len(at):
+            out[order] = np.repeat(np.add.reduceat(value[order], at), times)
+    return found
 
 
 def _answer(vocabulary, schema: pa.Schema):
     """Of one range, for each key of each block: the word's P0, or how often the word and its class stand
     elsewhere between these neighbours."""
     def run(t):
-        cells = [_unpacked(x) for x in t["cells"].to_pylist()]
-        cut = np.cumsum([len(x) for x in cells])[:-1]
-        cells = np.concatenate(cells)
-        words = np.concatenate([np.frombuffer(x, np.uint32) for x in t["words"].to_pylist()]).astype(np.uint64)
-        counts = np.concatenate([np.frombuffer(x, np.uint32) for x in t["counts"].to_pylist()]).astype(np.int64)
+        cells, words, counts = ([np.frombuffer(v, np.uint32) for v in t[n].to_pylist()] for n in ("cells", "words", "counts"))
+        cut = np.cumsum([len(v) for v in cells])[:-1]
+        cells, words = np.concatenate(cells).astype(np.uint64), np.concatenate(words).astype(np.uint64)
+        counts = np.concatenate(counts).astype(np.int64)
         bucket = (words >> np.uint64(32 - _BUCKET_BITS)).astype(np.int64)
-        word, first = _totals(mix(cells * _ODD + words), counts)
-        group = cells * np.uint64(CLASSES) + vocabulary.value.cls[bucket]
-        whole, _ = _totals(group, counts)
-        kinds, _ = _totals(group, first)
+        word, first = _totals((cells << np.uint64(32)) | words, counts, None)
+        whole, kinds = _totals(cells * np.uint64(CLASSES) + vocabulary.value.cls[bucket], counts, first)
         alone = (cells & np.uint64(1)).astype(bool)
         x = np.where(alone, vocabulary.value.share[bucket] * (word - 0.5) / (whole - 1 + 0.5 * kinds), word - 1)
         y = np.where(alone, 0, whole - 1)
-        rows = {n: [part.astype(np.float32).tobytes() for part in np.split(v, cut)] for n, v in (("x", x), ("y", y))}
+        rows = {n: [_small(part.astype(np.float32)) for part in np.split(v, cut)] for n, v in (("x", x), ("y", y))}
         return pa.table([pa.array(rows[f.name], f.type) if f.name in rows else t[f.name].combine_chunks()
                          for f in schema], schema=schema)
     return run
@@ -360,14 +360,14 @@ def _score(schema: pa.Schema):
     """Of one block: its rows with their scores."""
     def run(t):
         t = t.sort_by("range")
-        x, y = (np.concatenate([np.frombuffer(v, np.float32) for v in t[n].to_pylist()]).astype(float) for n in "xy")
+        x, y = (np.concatenate([_wide(v, np.float32) for v in t[n].to_pylist()]).astype(float) for n in "xy")
         home = next(i for i, v in enumerate(t["home"].to_pylist()) if v)
         rest = pa.ipc.open_stream(t["home"][home].as_py()).read_all().combine_chunks()
         n_tokens = rest.column(rest.num_columns - 1).to_numpy()
-        alone, pair = np.frombuffer(t["at"][home].as_py(), np.int32).reshape(2, -1)
-        p = x[alone]
-        inner = np.flatnonzero(pair >= 0)
-        p[inner] = (x[pair[inner]] + PRIOR * p[inner]) / (y[pair[inner]] + PRIOR)
+        at, n = _wide(t["at"][home].as_py(), np.int32), int(n_tokens.sum())
+        inner = np.flatnonzero(np.unpackbits(np.frombuffer(t["inner"][home].as_py(), np.uint8), count=n))
+        p = x[at[:n]]
+        p[inner] = (x[at[n:]] + PRIOR * p[inner]) / (y[at[n:]] + PRIOR)
         total = np.frombuffer(t["total"][home].as_py(), float)
         total = total + _per_text(np.log(p), np.concatenate([[0], np.cumsum(n_tokens)]))
         return pa.table([*rest.columns, pa.array(np.round(total, 3))], schema=schema)
