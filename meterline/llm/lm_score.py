@@ -8,16 +8,17 @@ classes of their own, the others are cut by rank into ``SHARED`` bands of equal
 each word has its own probability, from the corpus counts of the word between its two neighbours,
 
     P(word | class, left, right) = (n(left, word, right) + PRIOR * P0) / (n(left, class, right) + PRIOR)
-    P0 = share of the word's bucket in its class * (n(word) + 1/2) / (n(bucket) + kinds(bucket) / 2)
+    P0 = n(bucket) / n(class)
 
-where the masked occurrence itself is left out of every count, as a masked word mustn't foretell itself, and
-``kinds`` is the number of different words of a bucket.  Words of a class of their own need no neighbours here.  The
-sum of the log-probabilities over all words of a document is its pseudo-log-likelihood.
+where the masked occurrence itself is left out of every count, as a masked word mustn't foretell itself.  A word
+never seen between these neighbours falls back to P0, which words of one bucket have in common; so do words of a
+class of their own, where it is 1 and neighbours are not counted.  The sum of the log-probabilities over all words of
+a document is its pseudo-log-likelihood.
 
 Counts cover the whole corpus and grow with it: a block of texts sends its different (neighbours, word) pairs, once
 each with a count, to hash ranges, whose number follows the number of words; a range adds them up and answers each
-block, which adds up its texts.  A pair that all texts share is sent once per block, not once per text.  Keys are
-hashes: 32 bits for the neighbours besides those of the range, 32 for the word; among the million words of a range
+block by how much the neighbours change P0, and the block adds up its texts.  A pair that all texts share is sent
+once per block, not once per text.  Keys are hashes: 32 bits for the neighbours besides those of the range, 32 for the word; among the million words of a range
 about one pair of neighbours in 4,000 shares its bits with another, and only their class counts add up then.
 
 The network is trained in numpy where the text is: in each round every task starts from the same weights
@@ -64,8 +65,8 @@ _OWN = CLASSES - SHARED - 1
 _BUCKET_BITS = BUCKETS.bit_length() - 1
 _RANGE = np.uint64(40)  # the bits of a neighbours' hash above these choose its range, a message holds the last 32
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-_MESSAGE = "range int, block long, cells binary, words binary, counts binary, home binary, at binary, inner binary, total binary"
-_ANSWER = "range int, block long, x binary, y binary, home binary, at binary, inner binary, total binary"
+_MESSAGE = "range int, block long, cells binary, words binary, counts binary, home binary, at binary, total binary"
+_ANSWER = "range int, block long, gains binary, home binary, at binary, total binary"
 
 OFFSETS = [o for o in range(-SIDE, SIDE + 1) if o]
 
@@ -269,18 +270,15 @@ def _wide(data: bytes, dtype) -> np.ndarray:
 
 def _block_messages(part: pa.RecordBatch, text: int, block: int, ranges: int, vocabulary: Vocabulary, net: Network):
     """The different keys of a block by range; the block's home range keeps what only the block needs: its
-    rows, which keys its words have (that of the word, whether there is one with neighbours, and those), and the
-    class part."""
+    rows, which keys its words have, and what doesn't depend on the neighbours' words."""
     w = Words(part.column(text), SPACED)
     h = w.hashes()
     bucket = _bucket_of(h)
     own = vocabulary.cls[bucket]
-    total = class_likelihood(w, own, net)
-    inner = np.flatnonzero(own > _OWN)
-    # the last bit tells keys of words, whose context is their bucket, from those of neighbours
-    context = np.concatenate([mix(bucket.astype(np.uint64) + _ODD) | np.uint64(1),
-                              contexts(h, w.first, inner) & ~np.uint64(1)])
-    word = np.concatenate([h, h[inner]]) >> np.uint64(32)
+    counted = own > _OWN
+    total = class_likelihood(w, own, net) + _per_text(np.where(counted, np.log(vocabulary.share[bucket]), 0.0), w.first)
+    inner = np.flatnonzero(counted)
+    context, word = contexts(h, w.first, inner), h[inner] >> np.uint64(32)
     high = context >> _RANGE
     key = (high << _RANGE) | (mix(context + word * _ODD) >> (np.uint64(64) - _RANGE))
     order = np.argsort(key)
@@ -292,15 +290,14 @@ def _block_messages(part: pa.RecordBatch, text: int, block: int, ranges: int, vo
     goes = (high[one] * np.uint64(ranges) >> (np.uint64(64) - _RANGE)).astype(np.int64)  # rises with the key
     home = block % ranges
     cut = np.searchsorted(goes, np.arange(ranges + 1))
-    rest = pa.RecordBatch.from_arrays([*[c for i, c in enumerate(part.columns) if i != text], pa.array(w.counts)],
-                                      names=[f"f{i}" for i in range(part.num_columns)])
+    here = np.searchsorted(inner, w.first)
+    rest = pa.RecordBatch.from_arrays([*[c for i, c in enumerate(part.columns) if i != text], pa.array(w.counts),
+                                       pa.array(np.diff(here))], names=[f"f{i}" for i in range(part.num_columns + 1)])
     for r in sorted({home, *np.flatnonzero(np.diff(cut)).tolist()}):
         a, b = cut[r], cut[r + 1]
         yield {"range": r, "block": block, "cells": cells[a:b].tobytes(), "words": words[a:b].tobytes(),
-               "counts": times[a:b].astype(np.uint32).tobytes(),
-               "home": _ipc(rest) if r == home else None,
-               "at": _small(of) if r == home else None,
-               "inner": np.packbits(own > _OWN).tobytes() if r == home else None,
+               "counts": _small(times[a:b].astype(np.uint32)),
+               "home": _ipc(rest) if r == home else None, "at": _small(of) if r == home else None,
                "total": total.tobytes() if r == home else None}
 
 
@@ -323,36 +320,32 @@ def _to_ranges(vocabulary, network, text: int, ranges: int, schema: pa.Schema):
     return run
 
 
-def _totals(keys: np.ndarray, *values: np.ndarray | None) -> list[np.ndarray]:
-    """For each key the sums of the values of all equal keys; in place of None, 1 for the first of them and 0 else."""
+def _totals(keys: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """For each key the sum of the values of all equal keys."""
     order = np.argsort(keys)
     at, times = _runs(keys[order])
-    found = [np.zeros(len(keys), np.int64) for _ in values]
-    for out, value in zip(found, values):
-        if value is None:
-            out[order[at]] = 1
-        elif len(at):
-            out[order] = np.repeat(np.add.reduceat(value[order], at), times)
-    return found
+    out = np.zeros(len(keys), np.int64)
+    if len(at):
+        out[order] = np.repeat(np.add.reduceat(values[order], at), times)
+    return out
 
 
 def _answer(vocabulary, schema: pa.Schema):
-    """Of one range, for each key of each block: the word's P0, or how often the word and its class stand
-    elsewhere between these neighbours."""
+    """Of one range, for each key of each block: the logarithm of P(word | class, left, right) / P0."""
     def run(t):
-        cells, words, counts = ([np.frombuffer(v, np.uint32) for v in t[n].to_pylist()] for n in ("cells", "words", "counts"))
+        cells, words = ([np.frombuffer(v, np.uint32) for v in t[n].to_pylist()] for n in ("cells", "words"))
         cut = np.cumsum([len(v) for v in cells])[:-1]
         cells, words = np.concatenate(cells).astype(np.uint64), np.concatenate(words).astype(np.uint64)
-        counts = np.concatenate(counts).astype(np.int64)
+        counts = np.concatenate([_wide(v, np.uint32) for v in t["counts"].to_pylist()]).astype(np.int64)
         bucket = (words >> np.uint64(32 - _BUCKET_BITS)).astype(np.int64)
-        word, first = _totals((cells << np.uint64(32)) | words, counts, None)
-        whole, kinds = _totals(cells * np.uint64(CLASSES) + vocabulary.value.cls[bucket], counts, first)
-        alone = (cells & np.uint64(1)).astype(bool)
-        x = np.where(alone, vocabulary.value.share[bucket] * (word - 0.5) / (whole - 1 + 0.5 * kinds), word - 1)
-        y = np.where(alone, 0, whole - 1)
-        rows = {n: [_small(part.astype(np.float32)) for part in np.split(v, cut)] for n, v in (("x", x), ("y", y))}
-        return pa.table([pa.array(rows[f.name], f.type) if f.name in rows else t[f.name].combine_chunks()
-                         for f in schema], schema=schema)
+        others = _totals((cells << np.uint64(32)) | words, counts) - 1
+        whole = _totals(cells * np.uint64(CLASSES) + vocabulary.value.cls[bucket], counts) - 1
+        seen = whole > 0  # else the answer is exactly 0, which costs next to nothing to send
+        base = PRIOR * vocabulary.value.share[bucket[seen]]
+        gains = np.zeros(len(cells), np.float32)
+        gains[seen] = np.log((others[seen] + base) / (whole[seen] + PRIOR) * PRIOR / base)
+        sent = pa.array([_small(part) for part in np.split(gains, cut)], pa.binary())
+        return pa.table([sent if f.name == "gains" else t[f.name].combine_chunks() for f in schema], schema=schema)
     return run
 
 
@@ -360,17 +353,13 @@ def _score(schema: pa.Schema):
     """Of one block: its rows with their scores."""
     def run(t):
         t = t.sort_by("range")
-        x, y = (np.concatenate([_wide(v, np.float32) for v in t[n].to_pylist()]).astype(float) for n in "xy")
+        gains = np.concatenate([_wide(v, np.float32) for v in t["gains"].to_pylist()]).astype(float)
         home = next(i for i, v in enumerate(t["home"].to_pylist()) if v)
         rest = pa.ipc.open_stream(t["home"][home].as_py()).read_all().combine_chunks()
-        n_tokens = rest.column(rest.num_columns - 1).to_numpy()
-        at, n = _wide(t["at"][home].as_py(), np.int32), int(n_tokens.sum())
-        inner = np.flatnonzero(np.unpackbits(np.frombuffer(t["inner"][home].as_py(), np.uint8), count=n))
-        p = x[at[:n]]
-        p[inner] = (x[at[n:]] + PRIOR * p[inner]) / (y[at[n:]] + PRIOR)
+        inner = np.concatenate([[0], np.cumsum(rest.column(rest.num_columns - 1).to_numpy())])
         total = np.frombuffer(t["total"][home].as_py(), float)
-        total = total + _per_text(np.log(p), np.concatenate([[0], np.cumsum(n_tokens)]))
-        return pa.table([*rest.columns, pa.array(np.round(total, 3))], schema=schema)
+        total = total + _per_text(gains[_wide(t["at"][home].as_py(), np.int32)], inner)
+        return pa.table([*rest.columns[:-1], pa.array(np.round(total, 3))], schema=schema)
     return run
 
 

@@ -473,10 +473,9 @@ def test_lm_scores_by_brute_force(spark, sf001, monkeypatch):
     words = {d: [bytes(w.bytes[a:b]) for a, b in zip(w.starts, w.ends)] for d, w in texts.items()}
     bucket = {x: int(k) for d, w in texts.items() for x, k in zip(words[d], lm_score.buckets(w))}
     cls = {x: int(vocabulary.cls[k]) for x, k in bucket.items()}
-    single, pairs, by_class, in_bucket, kinds = Counter(), Counter(), Counter(), Counter(), Counter(bucket.values())
+    pairs, by_class, in_bucket = Counter(), Counter(), Counter()
     for ws in words.values():
         for a, x, b in zip([None, *ws], ws, [*ws[1:], None]):
-            single[x] += 1
             in_bucket[bucket[x]] += 1
             pairs[a, x, b] += 1
             by_class[a, cls[x], b] += 1
@@ -492,8 +491,7 @@ def test_lm_scores_by_brute_force(spark, sf001, monkeypatch):
             hidden = np.tanh(sum(net.embed[j][c].astype(float) for j, c in enumerate(sides)))
             logits = hidden @ net.out.astype(float) + net.bias
             k = bucket[x]
-            p = ((in_bucket[k] - 0.5) / (in_class[cls[x]] - 1)
-                 * (single[x] - 0.5) / (in_bucket[k] - 1 + kinds[k] / 2))
+            p = (in_bucket[k] - 0.5) / (in_class[cls[x]] - 1)
             if cls[x] > lm_score.CLASSES - lm_score.SHARED - 1:
                 p = (pairs[a, x, b] - 1 + lm_score.PRIOR * p) / (by_class[a, cls[x], b] - 1 + lm_score.PRIOR)
             total += logits[cls[x]] - np.log(np.exp(logits).sum()) + np.log(p)
