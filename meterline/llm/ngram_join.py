@@ -25,8 +25,8 @@ Components of the links follow in Spark (:mod:`.components`).
 Defined results: a null or empty text, or one without words, has an empty set and links with nothing.  A
 text of fewer than k words has its whole sequence as the one shingle.  Sets are the nodes: rows that
 repeat an id are linked by their own texts only, and a null id stays unlinked with a null component.  Equality of
-shingles is equality of their range and 40 more bits of their hash; the number of ranges grows with the
-number of shuffle partitions, hence with the data.  Other columns are ignored.
+shingles is equality of their range and 40 more bits of their hash; the number of ranges follows the bytes of text,
+whatever the number of shuffle partitions, so a range's group is bounded.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -50,6 +50,7 @@ _ROW = ("doc_id long, class long, rep long, n_shingles long, sig_a long, sig_b l
 _INFO = np.dtype([("id", "<i8"), ("class", "<i4"), ("n", "<i4"), ("a", "<u8"), ("b", "<u8")])
 
 BLOCK_BYTES = 4 << 20
+RANGE_BYTES = 16 << 20  # text whose shingles one hash range gets, about
 _CELL = 40  # bits of a shingle's hash beside its range
 _MOST = 65535  # counts are kept up to this
 
@@ -123,17 +124,27 @@ def _block_messages(batch: pa.RecordBatch, block: int, k: int, ranges: int):
     steps = np.arange(ranges + 1, dtype=np.int64) << _CELL
     cut, dup_cut = np.searchsorted(cells, steps), np.searchsorted(dups, steps)
     home = block % ranges
-    for r in range(ranges):
+    for r in sorted({home, *np.flatnonzero(np.diff(cut) + np.diff(dup_cut)).tolist()}):
         a, b, c, d = cut[r], cut[r + 1], dup_cut[r], dup_cut[r + 1]
-        if a == b and c == d and r != home:
-            continue
         order = np.argsort(of[a:b], kind="stable")
         yield {"range": r, "block": block, "cells": _pack(cells[a:b][order]), "dups": _pack(dups[c:d]),
                "dup_counts": dup_times[c:d].tobytes(),
-               "counts": np.bincount(of[a:b], minlength=len(members)).astype(np.uint32).tobytes(),
+               "counts": _counted(of[a:b][order]),
                "info": info.tobytes() if r == home else None, "inner": inside if r == home else None}
 
 
+def _counted(of: np.ndarray) -> bytes:
+    """Members of a sorted array, then how often each occurs: only those that do, so that a message is no longer than
+    its shingles make it, however many members the block has."""
+    at, times = _runs(of)
+    return np.concatenate([of[at], times]).astype(np.uint32).tobytes()
+
+
+def _members(data: bytes) -> np.ndarray:
+    who, times = np.frombuffer(data, np.uint32).reshape(2, -1).astype(np.int64)
+    return np.repeat(who, times)
+
+
 def _to_ranges(k: int, ranges: int, schema: pa.Schema):
     def run(batches):
         task = TaskContext.get().partitionId()
@@ -165,12 +176,11 @@ def _answer(schema: pa.Schema):
         often[order] = np.repeat(np.minimum(total, _MOST), times)
         rows = {n: [] for n in ("counts", "cells", "often", "dup_often")}
         begin = 0
-        for own, per in zip(cells, _arrays(t["counts"], np.uint32)):
+        for own, per in zip(cells, t["counts"].to_pylist()):
             mine = often[begin:begin + len(own)]
             begin += len(own)
             again = mine > 1
-            of = np.repeat(np.arange(len(per)), per)
-            rows["counts"].append(np.bincount(of[again], minlength=len(per)).astype(np.uint32).tobytes())
+            rows["counts"].append(_counted(_members(per)[again]))
             rows["cells"].append(_pack(own[again]))
             rows["often"].append(mine[again].tobytes())
         for own in dups:
@@ -195,7 +205,7 @@ def _assemble(num: int, den: int, schema: pa.Schema):
         order = np.argsort(dups)
         dups, dup_often = dups[order], dup_often[order]
         inner = np.frombuffer(inside, np.int64, n_inside, 4 * n_inside)
-        of = [np.repeat(np.arange(classes), c) for c in _arrays(t["counts"], np.uint32)]
+        of = [_members(c) for c in t["counts"].to_pylist()]
         of = np.concatenate([*of, np.frombuffer(inside, np.uint32, n_inside).astype(np.int64)])
         cells = np.concatenate([*[_unpack(x) + h for x, h in zip(t["cells"].to_pylist(), high)], inner])
         often = np.concatenate([*_arrays(t["often"], np.uint16), dup_often[np.searchsorted(dups, inner)]])
@@ -231,7 +241,8 @@ def repeated_shingles(docs: DataFrame, k: int, threshold) -> DataFrame:
     """One row per document: its class in its block, the class's smallest id, the set's size and
     signature; the first row of a class with enough repeated shingles carries those as ``tokens``."""
     num, den = ratio(threshold)
-    ranges = 2 * partitions(docs)
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0]
+    ranges = 1 + (size or 0) // RANGE_BYTES
     sent = in_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"),
                     _to_ranges(k, ranges, _arrow_schema(_MESSAGE)), _MESSAGE)
     answers = sent.groupBy("range").applyInArrow(_answer(_arrow_schema(_ANSWER)), _ANSWER)

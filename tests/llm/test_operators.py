@@ -455,6 +455,28 @@ def test_shards_edges(odd_documents):
     assert hilbert.hilbert_shards(shard_input(odd_documents.where("false")), ["a", "b"], ["doc_id"]).count() == 0
 
 
+@pytest.mark.parametrize("ranges", [48, 400, 4000])
+def test_ngram_messages_follow_the_text(ranges):
+    """What a block of short texts sends doesn't grow with the number of hash ranges."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(0)
+    texts = [" ".join(f"w{x:05d}" for x in rng.integers(0, 90_000, 20)) for _ in range(5000)]
+    batch = pa.record_batch({"doc_id": list(range(5000)), "text": texts})
+    sent = sum(len(v) for m in ngram_join._block_messages(batch, 0, 4, ranges) for v in m.values() if isinstance(v, bytes))
+    assert sent < 2 * sum(map(len, texts))
+
+
+def test_ngram_join_over_many_ranges(documents, monkeypatch):
+    rng = np.random.default_rng(1)
+    texts = {i: " ".join(f"w{x}" for x in rng.integers(0, 400, 60)) for i in range(60)}
+    texts |= {100 + i: texts[i] + " more" for i in range(0, 60, 2)} | {200 + i: texts[i] for i in range(0, 60, 3)}
+    few = by_id(ngram_join.ngram_jaccard_join(documents(list(texts.items()))))
+    monkeypatch.setattr(ngram_join, "RANGE_BYTES", 100)
+    many = by_id(ngram_join.ngram_jaccard_join(documents(list(texts.items()))))
+    assert few == many and all(many[100 + i]["component_id"] == i for i in range(0, 60, 2))
+
+
 # LM scores -----------------------------------------------------------------------------------------
 
 
