@@ -23,6 +23,14 @@ def test_bucketed_usage_needs_no_shuffle(spark, sf001):
     assert sorted(map(tuple, alerts.collect())) == sorted(map(tuple, want.collect()))
 
 
+def test_a_bucket_is_not_one_file_per_task(spark, sf001):
+    u = td.usage_from_events(spark, sf001).repartition(16)
+    path = scratch_path(spark, "t-bucketed-files")
+    save_bucketed(u, "usage_bucketed_files", buckets=4, path=path)
+    t = read_table(spark, "usage_bucketed_files")
+    assert 1 < len(t.inputFiles()) <= 4 and t.count() == u.count()  # a bucket may be empty
+
+
 def test_only_paths_below_the_shared_folder_are_removed(spark, tmp_path):
     from meterline.session import remove_path, scratch_path
 
