@@ -38,7 +38,7 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = quality.train(docs, labels, where=quality.fold() != 1)
     return quality.score(docs, model).select(
-        "doc_id", (quality.fold() == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+        "doc_id", F.coalesce(quality.fold() == 1, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
