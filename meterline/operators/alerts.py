@@ -19,15 +19,15 @@ from .scan import WIDTH, crossing_rows, running_sum, running_sum_of
 
 
 def running_usage(enriched: DataFrame, tie: str, key: Sequence[str] = BILLING_KEY, plan: str = "buckets",
-                  width: timedelta = WIDTH) -> DataFrame:
+                  width: timedelta = WIDTH, piece_rows: int | None = None) -> DataFrame:
     """Add ``total``: the key's usage up to and including this row in ``(ts, tie)`` order."""
     return running_sum(enriched, list(key), ["ts", tie], "bytesUsed", "total", plan=plan,
-                       width=width)
+                       width=width, piece_rows=piece_rows)
 
 
 def usage_alerts(enriched: DataFrame, tie: str, ratio: float = ALERT_RATIO,
                  key: Sequence[str] = BILLING_KEY, plan: str = "buckets",
-                 width: timedelta = WIDTH) -> DataFrame:
+                 width: timedelta = WIDTH, piece_rows: int | None = None) -> DataFrame:
     """One row per billing key whose total passes ``ratio * quota``: the first row that does.
 
     Columns ``ts, account, total, quota, message`` plus ``billingYear, billingMonth``.  With time buckets, only
@@ -43,7 +43,7 @@ def usage_alerts(enriched: DataFrame, tie: str, ratio: float = ALERT_RATIO,
         run = running_usage(enriched, tie, key, plan, width)
     else:
         near = crossing_rows(enriched, key, ["ts", tie], "bytesUsed", "quota",
-                             lambda total, quota: over_threshold(total, quota, ratio), width)
+                             lambda total, quota: over_threshold(total, quota, ratio), width, piece_rows)
         run = running_sum_of(near, ["ts", tie], "bytesUsed", "total")
     hits = run.where(over_threshold("total", "quota", ratio))
     carried = [c for c in ("account", "billingYear", "billingMonth", "quota") if c not in key]

@@ -10,6 +10,11 @@ So a key's rows are cut into time buckets of a fixed ``width``:
 
 The join and the last window share one shuffle of the rows.  A hot key spreads over its buckets, so
 ``width`` bounds what a task gets; it should be chosen so that a bucket of the busiest key fits one.
+Where a bucket may not fit (a key with very many rows in one second, or without a time), ``piece_rows`` cuts buckets
+again, by the whole order: about one row in ``piece_rows``, chosen by its hash, begins a new piece, so that pieces have
+that many rows on average however times and ties are spread, and buckets of fewer rows mostly stay whole.  (key,
+bucket, piece) then takes the place of (key, bucket); rows equal in the whole order stay together.  The chosen rows
+are found in one more pass and joined to the rows of their bucket, which Spark may split.
 Everything is a DataFrame expression: no job runs while a result is being defined, nothing is written, and
 there is no switch on size.  ``plan="window"`` is the plain window, for input that is partitioned by key
 already (a bucketed table).
@@ -61,6 +66,24 @@ def _same_bucket(rows: DataFrame) -> DataFrame:
     return rows.withColumn(_BUCKET, F.coalesce(_BUCKET, F.lit(-(1 << 63) + 1)))
 
 
+def _cut(rows: DataFrame, order: Sequence[str], piece_rows: int) -> DataFrame:
+    """Makes the bucket a struct of its number and the piece of it that a row lies in: the number of chosen rows of the
+    bucket up to this one."""
+    if piece_rows < 1:
+        raise ValueError("piece_rows must be at least 1")
+    at = F.struct(*order)
+    chosen = F.pmod(F.xxhash64(_KEY, *order), F.lit(piece_rows)) == 0
+    marks = rows.where(chosen).groupBy(_KEY, _BUCKET).agg(F.collect_set(at).alias("_marks"))
+    piece = F.coalesce(F.size(F.filter("_marks", lambda mark: mark <= at)), F.lit(0))
+    return (rows.join(marks, [_KEY, _BUCKET], "left")
+                .withColumn(_BUCKET, F.struct(F.col(_BUCKET).alias("bucket"), piece.alias("piece"))).drop("_marks"))
+
+
+def _rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], width: timedelta, piece_rows: int | None) -> DataFrame:
+    rows = _same_bucket(time_buckets(df, keys, order[0], width))
+    return rows if piece_rows is None else _cut(rows, order, piece_rows)
+
+
 def _inside(order: Sequence[str]):
     return Window.partitionBy(_KEY, _BUCKET).orderBy(*order)
 
@@ -74,7 +97,8 @@ def _up_to(w):
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str,
-                prev_order: str | None = None, plan: str = "buckets", width: timedelta = WIDTH) -> DataFrame:
+                prev_order: str | None = None, plan: str = "buckets", width: timedelta = WIDTH,
+                piece_rows: int | None = None) -> DataFrame:
     """Add ``out`` = sum of ``value`` over the key's rows up to and including this row.
 
     ``order`` must be a total order within a key (add a tie column) and begin with its time.  Nulls add
@@ -86,7 +110,7 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
         w = Window.partitionBy(*keys).orderBy(*order)
         res = df.withColumn(out, F.sum(amount).over(_up_to(w)))
         return res.withColumn("_prev", F.lag(order[0]).over(w)) if prev_order else res
-    rows = _same_bucket(time_buckets(df, keys, order[0], width))
+    rows = _rows(df, keys, order, width, piece_rows)
     before = _across().rowsBetween(Window.unboundedPreceding, -1)
     res = _with_carry(rows, [F.sum(amount).alias("_part"), F.max(order[0]).alias("_last")],
                       {"_carry": F.coalesce(F.sum("_part").over(before), F.lit(0)),
@@ -98,7 +122,7 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
 
 
 def crossing_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, limit: str, passes,
-                  width: timedelta = WIDTH) -> DataFrame:
+                  width: timedelta = WIDTH, piece_rows: int | None = None) -> DataFrame:
     """The rows of those time buckets in which a key's running sum may pass its limit for the first time,
     with ``_carry``, the key's sum before the bucket; exact for amounts of either sign.
 
@@ -108,7 +132,7 @@ def crossing_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], valu
     needed.  With amounts of 0 and more that leaves about one bucket per key.
     """
     amount = F.coalesce(F.col(value), F.lit(0)).cast("long")
-    rows = _same_bucket(time_buckets(df, keys, order[0], width))
+    rows = _rows(df, keys, order, width, piece_rows)
     before = _across().rowsBetween(Window.unboundedPreceding, -1)
     most = F.sum(F.greatest(amount, F.lit(0)).cast("decimal(38,0)"))
     per = (rows.groupBy(_KEY, _BUCKET)
@@ -130,19 +154,20 @@ def running_sum_of(rows: DataFrame, order: Sequence[str], value: str, out: str)
 
 
 def next_in_order(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, plan: str = "buckets",
-                  width: timedelta = WIDTH) -> DataFrame:
+                  width: timedelta = WIDTH, piece_rows: int | None = None) -> DataFrame:
     """Add ``out`` = the first ``order`` column of the key's next row (``lead``), null on the last."""
     order = list(order)
     if _whole(plan):
         return df.withColumn(out, F.lead(order[0]).over(Window.partitionBy(*keys).orderBy(*order)))
-    rows = _same_bucket(time_buckets(df, keys, order[0], width))
+    rows = _rows(df, keys, order, width, piece_rows)
     res = _with_carry(rows, [F.min(order[0]).alias("_first")], {"_carry": F.lead("_first").over(_across())})
-    return (res.withColumn(out, F.coalesce(F.lead(order[0]).over(_inside(order)), "_carry"))
+    following = F.lead(F.struct(F.col(order[0]).alias("first"))).over(_inside(order))     # null only at the end
+    return (res.withColumn(out, F.when(following.isNull(), F.col("_carry")).otherwise(following["first"]))
                .drop(_KEY, _BUCKET, "_carry"))
 
 
 def last_seen(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str,
-              plan: str = "buckets", width: timedelta = WIDTH) -> DataFrame:
+              plan: str = "buckets", width: timedelta = WIDTH, piece_rows: int | None = None) -> DataFrame:
     """Add ``out`` = the last non-null ``value`` at or before this row within the key.
 
     This is the carry-forward step of a merge as-of join: ``value`` is set on the dimension rows and
@@ -152,7 +177,7 @@ def last_seen(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: s
     if _whole(plan):
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumn(out, F.last(value, ignorenulls=True).over(_up_to(w)))
-    rows = _same_bucket(time_buckets(df, keys, order[0], width))
+    rows = _rows(df, keys, order, width, piece_rows)
     at = F.when(F.col(value).isNotNull(), F.struct(*order))  # rows without a value don't count
     before = _across().rowsBetween(Window.unboundedPreceding, -1)
     res = _with_carry(rows, [F.max_by(value, at).alias("_part")],

@@ -20,14 +20,14 @@ def account_totals(usage: DataFrame, total: str = "totalConsumption", as_of: str
 
 
 def account_total_changes(usage: DataFrame, tie: str, total: str = "totalUsage", as_of: str = "asOf",
-                          plan: str = "buckets", width: timedelta = WIDTH) -> DataFrame:
+                          plan: str = "buckets", width: timedelta = WIDTH, piece_rows: int | None = None) -> DataFrame:
     """The change rows an updating per-account total emits, one step per usage row in ``(ts, tie)`` order.
 
     First row of an account: ``+I``; every later row retracts the previous result (``-U``) and adds
     the new one (``+U``).  A null amount counts as 0.
     """
     run = running_sum(usage, ["account"], ["ts", tie], "bytesUsed", "_total", prev_order="ts",
-                      plan=plan, width=width)
+                      plan=plan, width=width, piece_rows=piece_rows)
     run = run.withColumn("_asof", F.col("ts"))  # in time order the running max of ts is the row's ts
     first = F.col("_prev").isNull()
     steps = F.when(first, F.array(F.struct(F.lit("+I").alias("op"), F.col("_total").alias("t"),

@@ -28,6 +28,13 @@ HOT_USAGE = f"""usage AS (
          CAST(round(value * 100) AS BIGINT) AS bytesUsed, ts, event_id
   FROM events WHERE event_type <> 'signup')"""
 
+HOT_SECOND_USAGE = f"""usage AS (
+  SELECT account, bytesUsed, event_id,
+         CASE WHEN account = '{HOT_ACCOUNT}' THEN TIMESTAMP '{RANGE_START}' ELSE ts END AS ts
+  FROM (SELECT CASE WHEN event_id % 3 = 0 THEN '{HOT_ACCOUNT}' ELSE printf('%06d', user_id) END AS account,
+               CAST(round(value * 100) AS BIGINT) AS bytesUsed, ts, event_id
+        FROM events WHERE event_type <> 'signup'))"""
+
 HOT_VERSIONS = f"""versions AS (
   SELECT id, quota, ts FROM (
     SELECT printf('%06d', user_id) AS id, 50000 + CAST(round(value * 100) AS BIGINT) AS quota, ts
@@ -138,6 +145,7 @@ UNION ALL
 SELECT '+U' AS op, account, CAST(total AS BIGINT) AS totalUsage, ts AS asOf, ts, event_id
 FROM changes WHERE prev_ts IS NOT NULL"""
     q["account_totals_changes_sliced"] = q["account_totals_changes"]
+    q["account_totals_changes_hot_second"] = q["account_totals_changes"].replace(USAGE, HOT_SECOND_USAGE)
     q["quota_intervals"] = _with(VERSIONS) + (
         "SELECT id, quota, ts AS valid_from, lead(ts) OVER (PARTITION BY id ORDER BY ts) AS valid_to "
         "FROM versions")
@@ -191,6 +199,8 @@ FROM changes WHERE prev_ts IS NOT NULL"""
     q["quota_enriched_versions_stream"] = q["quota_enriched"]
     q["usage_alerts_stream"] = q["usage_alerts"]
     q["usage_alerts_handover_stream"] = q["usage_alerts"]
+    q["usage_alerts_carried_stream"] = q["usage_alerts"]
+    q["usage_alerts_hot_account_stream"] = q["usage_alerts_hot_account"]
     q["usage_alerts_versions_stream"] = q["usage_alerts"]
     q["usage_alerts_clearing_stream"] = q["usage_alerts"]
     q["quota_enriched_ordered_stream"] = q["quota_enriched_ordered"]

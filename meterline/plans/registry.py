@@ -82,6 +82,11 @@ def account_totals_changes_sliced(spark, sf):
     return account_total_changes(_usage(spark, sf), tie=TIE, width=NARROW)
 
 
+def account_totals_changes_hot_second(spark, sf):
+    """Skew fixture: a third of the rows in one account at one time; its bucket is cut into pieces."""
+    return account_total_changes(td.usage_hot_second(spark, sf), tie=TIE, piece_rows=200)
+
+
 def quota_intervals(spark, sf):
     return version_intervals(_versions(spark, sf)).select("id", "quota", "valid_from", "valid_to")
 
@@ -274,6 +279,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "account_totals_range": account_totals_range,
         "account_totals_changes": account_totals_changes,
         "account_totals_changes_sliced": account_totals_changes_sliced,
+        "account_totals_changes_hot_second": account_totals_changes_hot_second,
         "quota_intervals": quota_intervals,
         "quota_intervals_sliced": quota_intervals_sliced,
         "quota_enriched": quota_enriched,

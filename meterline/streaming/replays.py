@@ -21,6 +21,7 @@ from ..session import remove_path, scratch_path
 from ..sources.codec import decode_usage, record_headers, unique_records
 from ..sources.log import read_log
 from .alerts import stream_usage_alerts, stream_versioned_alerts
+from .carried import carried_alerts_writer
 from .enrich import FINISHED, enrich_changes, enrich_static, enrich_versioned, folded
 from .ordered import ordered_batch_writer, read_ordered
 from .runner import await_end, batch_folder_writer, fresh_paths, latest_per_key, run_to_end
@@ -293,6 +294,25 @@ def usage_alerts_stream(spark: SparkSession, sf: str) -> DataFrame:
                                           "message")
 
 
+def _carried(spark: SparkSession, sf: str, name: str, usage: DataFrame, **options) -> DataFrame:
+    rp = EventOrderReplay(spark, name)
+    e = enrich_static(rp.source(usage, "ts"), td.versions_from_events(spark, sf))
+    out, ck = fresh_paths(spark, name)
+    sink = carried_alerts_writer(out, f"{ck}_carry", TIE, **options)
+    rp.run(lambda: run_to_end(e, ck, "append", sink=sink))
+    return spark.read.parquet(out).select("ts", "account", "billingYear", "billingMonth", "quota", "total", "message")
+
+
+def usage_alerts_carried_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Alerts of a stream through a carry table: every micro-batch is a batch run, no keyed state."""
+    return _carried(spark, sf, "alerts_carried", td.usage_from_events(spark, sf))
+
+
+def usage_alerts_hot_account_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The same where one account holds a third of every micro-batch: it is cut into narrow time buckets."""
+    return _carried(spark, sf, "alerts_carried_hot", td.usage_hot_account(spark, sf), width=timedelta(minutes=10), compact=2)
+
+
 def usage_alerts_handover_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Alerts of the batch up to a cut and of the stream that takes over from its totals, together."""
     from ..operators import enrich_usage, usage_alerts
@@ -355,5 +375,7 @@ def stream_queries() -> dict:
         "quota_enriched_ordered_late_stream": quota_enriched_ordered_late_stream,
         "usage_alerts_late_clearing_stream": usage_alerts_late_clearing_stream,
         "usage_alerts_handover_stream": usage_alerts_handover_stream,
+        "usage_alerts_carried_stream": usage_alerts_carried_stream,
+        "usage_alerts_hot_account_stream": usage_alerts_hot_account_stream,
     }
 

@@ -56,6 +56,13 @@ def usage_hot_account(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     .otherwise(F.col("account")))
 
 
+def usage_hot_second(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The skew fixture with all rows of ``HOT_ACCOUNT`` at one time: only the tie orders them."""
+    u = usage_hot_account(spark, sf_dir)
+    at = F.lit(RANGE_START).cast("timestamp")
+    return u.withColumn("ts", F.when(F.col("account") == HOT_ACCOUNT, at).otherwise(F.col("ts")))
+
+
 def versions_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``id, quota, ts`` — every sign-up starts a new quota for the user's account."""
     ev = table(spark, sf_dir, "events")
