@@ -75,14 +75,17 @@ def loss_mask(spans: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return np.cumsum(mark[:-1]) > 0
 
 
-def masked_text(text: str, starts, ends, loss) -> str:
-    """All text under the mask, in order; neighbours that share a character give it once."""
-    out, done = [], 0
-    for a, b, y in zip(starts, ends, loss):
-        if y and b > done:
-            out.append(text[max(a, done):b])
-            done = b
-    return "".join(out)
+def masked_text(text: str, starts: np.ndarray, ends: np.ndarray, loss: np.ndarray) -> str:
+    """All text under the mask, in order; neighbours that share a character give it once.
+
+    Masked tokens that touch or overlap form a run, and each run is one slice of the text.
+    """
+    begin, end = starts[loss], np.maximum.accumulate(ends[loss])
+    if not len(begin):
+        return ""
+    first = np.concatenate(([0], np.flatnonzero(begin[1:] > end[:-1]) + 1))
+    last = np.append(first[1:], len(begin)) - 1
+    return "".join(text[i:j] for i, j in zip(begin[first].tolist(), end[last].tolist()))
 
 
 def parse(text: str) -> list[tuple[str, str]]:
@@ -145,15 +148,21 @@ def _sha(text: str) -> str:
     return hashlib.sha256(text.encode("utf-8")).hexdigest()
 
 
+def _flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of all lists as one array, and where each list begins."""
+    return lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+
+
 def _read_back(batches: Iterator[pa.RecordBatch]):
     for batch in batches:
+        tokens = [_flat(batch.column(c)) for c in ("starts", "ends", "loss")]
         rows = []
-        for r in batch.to_pylist():
-            turns = parse(r["text"])
-            loss = unescape(masked_text(r["text"], r["starts"], r["ends"], r["loss"]))
-            rows.append({"conv_id": r["conv_id"], "n_turns": len(turns),
+        for i, (conv, text) in enumerate(zip(batch.column("conv_id").to_pylist(), batch.column("text").to_pylist())):
+            turns = parse(text)
+            loss = unescape(masked_text(text, *[values[at[i]:at[i + 1]] for values, at in tokens]))
+            rows.append({"conv_id": conv, "n_turns": len(turns),
                          "turns_sha256": _sha("".join(f"{a}\n{b}\n" for a, b in turns)),
-                         "loss_chars": len(loss), "loss_sha256": _sha(loss), "formatted_chars": len(r["text"])})
+                         "loss_chars": len(loss), "loss_sha256": _sha(loss), "formatted_chars": len(text)})
         yield pa.RecordBatch.from_pylist(rows, schema=_DIGEST)
 
 

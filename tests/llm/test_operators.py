@@ -372,6 +372,16 @@ def test_escape_round_trip():
             assert not any(c in t for c in (*chat_format.CONTROLS, "<|endoftext|>"))
 
 
+def test_masked_text_equals_a_walk_over_characters():
+    rnd, text = random.Random(5), "abcdefghijklmnopqrstuvwxyz"
+    for _ in range(300):
+        starts = np.sort([rnd.randrange(26) for _ in range(rnd.randrange(0, 12))]).astype(np.int32)
+        ends = np.maximum.accumulate(np.minimum(starts + [rnd.randrange(0, 4) for _ in starts], 26)).astype(np.int32)
+        loss = np.array([rnd.random() < 0.6 for _ in starts], bool)
+        under = {i for a, b, y in zip(starts, ends, loss) if y for i in range(a, b)}
+        assert chat_format.masked_text(text, starts, ends, loss) == "".join(text[i] for i in sorted(under))
+
+
 def test_chat_format_round_trip(spark):
     data, expect = [], {}
     for i, a in enumerate(NASTY):
