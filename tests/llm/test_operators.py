@@ -1,6 +1,7 @@
 """The operators on edge rows and against plain Python."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
