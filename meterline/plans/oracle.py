@@ -159,6 +159,8 @@ FROM changes WHERE prev_ts IS NOT NULL"""
         "SELECT account, bytesUsed, quota, ts FROM enriched ORDER BY ts, event_id")
     q["quota_enriched_sql"] = _with(USAGE, VERSIONS, ENRICHED) + (
         "SELECT account, bytesUsed, quota, ts, billingYear, billingMonth FROM enriched")
+    q["quota_enriched_dense_sql"] = _with(HOT_USAGE, HOT_VERSIONS, ENRICHED) + (
+        "SELECT account, bytesUsed, quota, ts, billingYear, billingMonth FROM enriched")
     q["account_totals_sql"] = q["account_totals"]
     q["billing_usage"] = _with(USAGE, VERSIONS, ENRICHED) + (
         "SELECT account, billingYear, billingMonth, quota, CAST(SUM(bytesUsed) AS BIGINT) AS total, "

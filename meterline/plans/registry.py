@@ -118,8 +118,12 @@ def quota_enriched_ordered(spark, sf):
 
 
 def quota_enriched_sql(spark, sf):
-    register_views(spark, _usage(spark, sf), _versions(spark, sf))
-    return enrich_sql(spark)
+    return enrich_sql(spark, register_views(spark, _usage(spark, sf), _versions(spark, sf)))
+
+
+def quota_enriched_dense_sql(spark, sf):
+    """The SQL text where one account has as many versions as there are sign-ups, through views of coarser intervals."""
+    return enrich_sql(spark, register_views(spark, td.usage_hot_account(spark, sf), td.versions_hot_account(spark, sf)))
 
 
 def account_totals_sql(spark, sf):
@@ -239,8 +243,7 @@ def quota_enriched_log_sql(spark, sf):
     from .views import register_log_table
 
     usage = register_log_table(read_log(spark, "files", path=_published(spark, sf)))
-    register_views(spark, usage, _versions(spark, sf))
-    return enrich_sql(spark)
+    return enrich_sql(spark, register_views(spark, usage, _versions(spark, sf)))
 
 
 def quota_enriched_json_versions(spark, sf):
@@ -288,6 +291,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "quota_enriched_merge_sliced": quota_enriched_merge_sliced,
         "quota_enriched_ordered": quota_enriched_ordered,
         "quota_enriched_sql": quota_enriched_sql,
+        "quota_enriched_dense_sql": quota_enriched_dense_sql,
         "account_totals_sql": account_totals_sql,
         "billing_usage": billing_usage,
         "running_usage": running_usage_q,

@@ -1,9 +1,10 @@
 """SQL access: the usage and account tables as temporary views, and the enrichment query as SQL text.
 
 Spark SQL has no per-row ``FOR SYSTEM_TIME AS OF`` join, so the account view is offered as validity
-intervals (``account_intervals``) and the as-of lookup becomes an equi-join plus a time range.  The
-interval view is built with the interval strategy of :mod:`meterline.operators.asof`, which assumes
-few versions per account; for unbounded version counts use :func:`meterline.operators.as_of_join`.
+intervals (``account_intervals``) and the as-of lookup becomes an equi-join plus a time range.  Where accounts
+have many versions, views of coarser intervals (``account_spans_1``, ...) lie above it, as in
+:func:`meterline.operators.asof.interval_levels`: a span covers up to ``FAN`` of the next level, so a usage row
+meets at most that many rows of each view.  :func:`enrich_text` is the query for a number of levels.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.asof import version_intervals
+from ..operators.asof import FAN, interval_levels, version_stats
 from ..sources.codec import decode_usage, decode_usage_tolerant
 
 ENRICH_SQL = """
@@ -35,19 +36,44 @@ GROUP BY account
 """
 
 
-def register_views(spark: SparkSession, usage: DataFrame, versions: DataFrame) -> None:
-    """``data_consumption`` (usage), ``account`` (versions) and ``account_intervals``."""
+def enrich_text(levels: int = 1) -> str:
+    """The enrichment query through ``levels`` interval views, the coarsest first."""
+    joins, above = [], None
+    for name in [f"account_spans_{n}" for n in range(1, levels)] + ["account_intervals"]:
+        joins.append(f"JOIN {name} ON data_consumption.account = {name}.id AND data_consumption.ts >= {name}.valid_from\n"
+                     f" AND ({name}.valid_to IS NULL OR data_consumption.ts < {name}.valid_to)"
+                     + (f"\n AND {name}.above = {above}.number" if above else ""))
+        above = name
+    select = ENRICH_SQL.partition("FROM data_consumption JOIN")[0]
+    return select + "FROM data_consumption\n" + "\n".join(joins) + "\n"
+
+
+def register_views(spark: SparkSession, usage: DataFrame, versions: DataFrame) -> int:
+    """``data_consumption`` (usage), ``account`` (versions), ``account_intervals`` and the views above it; returns
+    the number of interval views, which follows from the most versions of an account (one aggregate, run here).
+
+    ``ENRICH_SQL`` reads ``account_intervals`` alone, which is right at any number of levels.
+    """
     usage.createOrReplaceTempView("data_consumption")
     versions.createOrReplaceTempView("account")
-    # no job runs here: two versions of one account at one time fail the query that reads them
+    most = version_stats(versions).max_per_key
+    levels = interval_levels(versions, ["quota"], most, plan="window" if most <= FAN else "buckets")
+    # two versions of one account at one time fail the query that reads them
     same = F.raise_error(F.lit("two versions of one account share a time"))
-    (version_intervals(versions, plan="window")
-     .withColumn("valid_to", F.when(F.col("valid_to") == F.col("valid_from"), same.cast("timestamp"))
-                 .otherwise(F.col("valid_to"))).createOrReplaceTempView("account_intervals"))
+    for n, level in enumerate(levels, 1):
+        view = level.select(F.col("_iv_id").alias("id"), F.col("_iv_up").alias("above"), F.col("_iv_at").alias("number"),
+                            F.col("_iv_from").alias("valid_from"), F.col("_iv_to").alias("valid_to"),
+                            *([F.col("_iv_quota").alias("quota")] if n == len(levels) else []))
+        if n < len(levels):
+            view.createOrReplaceTempView(f"account_spans_{n}")
+        else:
+            (view.withColumn("valid_to", F.when(F.col("valid_to") == F.col("valid_from"), same.cast("timestamp"))
+                             .otherwise(F.col("valid_to"))).createOrReplaceTempView("account_intervals"))
+    return len(levels)
 
 
-def enrich_sql(spark: SparkSession) -> DataFrame:
-    return spark.sql(ENRICH_SQL)
+def enrich_sql(spark: SparkSession, levels: int = 1) -> DataFrame:
+    return spark.sql(enrich_text(levels))
 
 
 def totals_sql(spark: SparkSession) -> DataFrame:

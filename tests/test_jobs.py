@@ -93,3 +93,21 @@ def test_versions_reader_and_checks(spark):
     dup = versions(spark, [("a", 1, "2021-01-01T00:00:00"), ("a", 2, "2021-01-01T00:00:00")])
     with pytest.raises(ValueError):
         checked_versions(dup)
+
+
+def test_sql_views_bound_comparisons(spark):
+    """An account of 300 versions gets a view of coarser intervals, none of which covers more than FAN versions."""
+    from meterline.operators.asof import FAN
+    from meterline.plans.views import enrich_sql
+
+    start = 1_633_046_400
+    v = spark.range(300).select(F.lit("a").alias("id"), F.col("id").alias("quota"), F.timestamp_seconds(start + 10 * F.col("id")).alias("ts"))
+    u = spark.range(3010).select(F.lit("a").alias("account"), F.col("id").alias("bytesUsed"),
+                                 F.timestamp_seconds(start - 5 + F.col("id")).alias("ts"))
+    levels = register_views(spark, u, v)
+    assert levels == 2 and spark.table("account_spans_1").count() == 5
+    assert spark.table("account_intervals").groupBy("above").count().agg(F.max("count")).first()[0] == FAN
+    got = {r["bytesUsed"]: r["quota"] for r in enrich_sql(spark, levels).collect()}
+    assert got == {i: min((i - 5) // 10, 299) for i in range(5, 3010)}
+    assert {r["bytesUsed"]: r["quota"] for r in spark.sql(ENRICH_SQL).collect()} == got
+    assert register_views(spark, u, v.where("quota < 3")) == 1
