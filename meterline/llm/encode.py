@@ -177,7 +177,11 @@ def encode_bytes(tokenizer, sizes: np.ndarray, words: pa.Array) -> Ragged:
 
 
 def encode_pieces(pieces, words: pa.Array) -> Ragged:
-    """Ids of each distinct word; all begin with a space, which the model puts there itself."""
-    ids = pieces.encode([w[1:] for w in words.to_pylist()], num_threads=1)
+    """Ids of each distinct word; all begin with a space, which the model puts there itself, except before nothing:
+    a lone space, the end of a text, has the ids that a model gives a mark behind a letter."""
+    rests = [w[1:] for w in words.to_pylist()]
+    ids = pieces.encode(rests, num_threads=1)
+    if "" in rests:     # at most once among distinct words
+        ids[rests.index("")] = pieces.encode("a ")[len(pieces.encode("a")):]
     counts = np.fromiter(map(len, ids), np.int64, len(ids))
     return Ragged.of(np.fromiter((x for one in ids for x in one), np.uint32, int(counts.sum())), counts)

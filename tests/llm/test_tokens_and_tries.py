@@ -172,6 +172,13 @@ def test_align(spark, sf001, documents, odd_documents, monkeypatch, fan, chunk):
     assert listed == dict(total)
 
 
+def test_align_texts_that_end_in_a_space(documents):
+    texts = ["one ", "two  ", ". ", "é ", " ", " x ", "one", "<|endoftext|> ", "end\n "]
+    want = aligned(texts)[1]
+    out = sorted(align.align(documents(list(enumerate(texts))), groups=True).collect())
+    assert [tuple(r[c] for c in ALIGNED) for r in out] == want and all(r["n_b"] for r in out)
+
+
 def test_align_empty(spark, documents):
     docs = documents([(1, None), (None, ""), (2, "▁")])
     assert {tuple(r)[1:] for r in align.align(docs).collect()} == {(0, 0, 0, 0, 0, 0, "")}
