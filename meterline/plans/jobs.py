@@ -22,6 +22,7 @@ from ..sources.codec import decode_usage, encode_usage
 from ..sources.log import in_range, kafka_columns, read_log, write_log
 from ..streaming.alerts import stream_usage_alerts, stream_versioned_alerts
 from ..streaming.enrich import enrich_static, enrich_versioned
+from ..streaming.keyed_state import GROUPS
 from ..streaming.ordered import ordered_batch_writer
 from ..streaming.runner import batch_folder_writer, start
 from ..streaming.totals import stream_account_totals
@@ -114,7 +115,7 @@ def quota_enrichment_job(spark: SparkSession, versions: DataFrame, kind: str = "
         return start(enrich_static(usage, versions).select(*columns), checkpoint, "append",
                      sink=ordered_batch_writer(out, order), trigger=trigger)
     enriched = enrich_versioned(usage, versions, LOG_POSITION, delay=delay, late=late or "emit", wait_for=wait_for,
-                                mark_late=True)
+                                mark_late=True, account_groups=GROUPS)
     sink = ordered_batch_writer(out, order, late_out or out.rstrip("/") + "_late")
     return start(enriched.select(*columns, "late"), checkpoint, "append", sink=sink, trigger=trigger)
 
@@ -138,8 +139,8 @@ def alerting_job(spark: SparkSession, versions: DataFrame, kind: str = "kafka",
     usage = usage_from_log(raw, ts_from="record")
     if versions.isStreaming:
         alerts = stream_versioned_alerts(usage, versions, LOG_POSITION, ratio, clear_after=clear_after, delay=delay,
-                                         late=late or "emit", wait_for=wait_for)
+                                         late=late or "emit", wait_for=wait_for, account_groups=GROUPS)
     else:
         alerts = stream_usage_alerts(enrich_static(usage, versions), LOG_POSITION, ratio, clear_after=clear_after,
-                                     watermark_delay=delay)
+                                     watermark_delay=delay, account_groups=GROUPS)
     return start(alerts, checkpoint, "append", path=out, trigger=trigger)

@@ -45,11 +45,13 @@ from ..session import shared_dir, use_rocksdb_state
 
 from ..functions.billing import billing_month, billing_year
 from ..operators.asof import FAN, MAX_BROADCAST_ROWS, interval_join, interval_levels, version_stats
-from .keyed_state import BUCKET, Calendar, VersionStore, groups, in_order, micros, opened, packed
+from .keyed_state import (BUCKET, NEVER, Accounts, Calendar, VersionStore, code_of, grouped, groups, in_order, last_before,
+                          latest_versions, micros, opened, packed, versions_at)
 
 #: Time of the heartbeat of a side that sends no more rows.
 FINISHED = datetime(9999, 1, 1, tzinfo=timezone.utc)
 VERSION, USAGE, HEARTBEAT = 0, 1, 2
+MOST = 1 << 18      # usage rows that a correction holds at a time, or a time bucket's
 
 
 def enrich_static(usage: DataFrame, versions: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
@@ -73,40 +75,47 @@ def enrich_static(usage: DataFrame, versions: DataFrame, max_broadcast_rows: int
     return joined.withColumns({"billingYear": billing_year("ts"), "billingMonth": billing_month("ts")})
 
 
-def split_rows(pdf: pd.DataFrame, tie: str) -> tuple[np.ndarray, np.ndarray]:
-    """Versions (time, quota, null) and usage (time, bytes, tie) of a chunk of input rows; heartbeats are left out."""
-    side = pdf["side"].to_numpy()
+def split_rows(pdf: pd.DataFrame, tie: str, accounts: Accounts) -> tuple[np.ndarray, np.ndarray]:
+    """Versions (time, quota, null) and usage (time, bytes, tie) of a chunk of input rows, with the account's number if
+    accounts share the key; heartbeats are left out."""
+    if accounts.column:
+        pdf = pdf[pdf["side"] != HEARTBEAT]
+        pdf = pdf.assign(code=accounts.codes(pdf))
+    side, last = pdf["side"].to_numpy(), ["code"] if accounts.column else []
     found = []
     for which, columns in ((VERSION, ["ts_us", "quota", "quota_null"]), (USAGE, ["ts_us", "bytesUsed", tie])):
         at = side == which
-        found.append(np.stack([pdf[c].to_numpy()[at].astype("<i8") for c in columns], axis=1))
+        found.append(np.stack([pdf[c].to_numpy()[at].astype("<i8") for c in columns + last], axis=1))
     return found[0], found[1]
 
 
 class VersionedJoinProcessor(StatefulProcessor):
-    """Per account: versions in time buckets, and usage that waits in a calendar queue.
+    """Per account: versions in time buckets, and usage that waits in a calendar queue.  With ``column``, the accounts'
+    column, a key is a group of accounts.
 
     ``horizon`` (microseconds): versions that usage this far behind the watermark can't use are removed by a timer,
     of idle accounts too; None keeps them all.
     """
 
-    def __init__(self, tie: str, horizon: int | None, bucket: timedelta = BUCKET):
-        self.tie, self.horizon, self.bucket = tie, horizon, bucket
+    def __init__(self, tie: str, horizon: int | None, bucket: timedelta = BUCKET, column: str | None = None):
+        self.tie, self.horizon, self.bucket, self.column = tie, horizon, bucket, column
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.versions = VersionStore(handle, self.bucket)
-        self.calendar = Calendar(handle, self.bucket)
+        columns = 4 if self.column else 3
+        self.accounts = Accounts(handle, self.column)
+        self.versions = VersionStore(handle, self.bucket, columns)
+        self.calendar = Calendar(handle, self.bucket, columns)
         self.prune_at = handle.getValueState("prune_at", "ms long")
 
-    def joined(self, account: str, rows: np.ndarray, late: bool) -> Iterator[pd.DataFrame]:
+    def joined(self, rows: np.ndarray, late: bool) -> Iterator[pd.DataFrame]:
         """What goes out for usage in time order with its versions; a subclass may make something else of it."""
-        found, version = self.versions.in_force(rows[:, 0])
+        found, version = self.versions.in_force(rows[:, 0], code_of(rows))
         if found.any():
             rows, version = rows[found], version[found]
             quota = pd.array(version[:, 1], dtype="Int64")
             quota[version[:, 2] != 0] = pd.NA
-            yield pd.DataFrame({"account": account, "bytesUsed": rows[:, 1], "ts_us": rows[:, 0], self.tie: rows[:, 2],
+            yield pd.DataFrame({"account": self.accounts.of(code_of(rows)), "bytesUsed": rows[:, 1], "ts_us": rows[:, 0], self.tie: rows[:, 2],
                                 "quota": quota, "event_ts": pd.to_datetime(rows[:, 0], unit="us", utc=True),
                                 "late": late})
 
@@ -115,6 +124,8 @@ class VersionedJoinProcessor(StatefulProcessor):
         us, have = self.versions.second(), self.prune_at.get()
         if us is None:
             return
+        if self.column:     # of many accounts, those of a bucket's time together
+            us = -(-us // self.versions.width) * self.versions.width
         ms = -(-(us + self.horizon) // 1000)
         if have is None or int(have[0]) != ms:
             self.handle.registerTimer(ms)
@@ -123,8 +134,9 @@ class VersionedJoinProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         watermark = timerValues.getCurrentWatermarkInMs()
         late, any_version = [], False
+        self.accounts.begin(key)
         for pdf in rows:
-            versions, usage = split_rows(pdf, self.tie)
+            versions, usage = split_rows(pdf, self.tie, self.accounts)
             if len(versions):
                 self.versions.add(versions)
                 any_version = True
@@ -134,19 +146,21 @@ class VersionedJoinProcessor(StatefulProcessor):
                 self.calendar.add(usage[later])
             if not later.all():
                 late.append(usage[~later])
+        self.accounts.save()
         if any_version and self.horizon is not None:
             self._schedule()
         if late:
             late = in_order(np.concatenate(late))
             if self.horizon:
                 late = late[late[:, 0] >= watermark * 1000 - self.horizon]
-            yield from self.joined(key[0], late, True)
+            yield from self.joined(late, True)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         watermark, expiry = timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs()
+        self.accounts.begin(key)
         ready = self.calendar.release(expiry, watermark)
         if len(ready):
-            yield from self.joined(key[0], ready, False)
+            yield from self.joined(ready, False)
         if self.horizon is not None:
             due = self.prune_at.get()
             if due is not None and int(due[0]) == expiry:
@@ -204,13 +218,17 @@ def _horizon(horizon: timedelta | None, late: str) -> int | None:
 
 def enrich_versioned(usage: DataFrame, versions: DataFrame, tie: str, delay: str = "0 seconds",
                      late: str = "emit", wait_for: str = "usage", version_delay: str | None = None,
-                     horizon: timedelta | None = None, mark_late: bool = False) -> DataFrame:
+                     horizon: timedelta | None = None, mark_late: bool = False, account_groups: int | None = None,
+                     bucket: timedelta = BUCKET) -> DataFrame:
     """Usage stream joined with a version stream (both carry event times), plus the billing period.
 
     Output rows come out when the watermark reaches their time; ``delay`` and ``version_delay`` (the same by default)
     say how far out of order each side may be.  Output columns: ``account, bytesUsed, ts, tie, quota, billingYear,
     billingMonth``; with ``mark_late`` also ``late``; with ``late="drop"`` also ``event_ts`` (= ``ts``), the event-time
     column through which a later event-time operator of the same query gets the watermark.
+
+    ``account_groups``: into how many groups accounts are dealt, each with one call a micro-batch and bucket; by default
+    every account has its own.  ``bucket``: width of the time buckets; much below a micro-batch's span it costs calls.
     """
     keep = _horizon(horizon, late)
     both = two_sides(usage, versions, tie, delay, version_delay or delay, wait_for)
@@ -222,15 +240,15 @@ def enrich_versioned(usage: DataFrame, versions: DataFrame, tie: str, delay: str
         T.StructField("late", T.BooleanType())])
     # ``event_ts`` carries the watermark on to later event-time operators in the same query.
     carry = {"eventTimeColumnName": "event_ts"} if late == "drop" else {}
-    out = both.groupBy("key_id").transformWithStateInPandas(
-        VersionedJoinProcessor(tie, keep), schema, "Append", "EventTime", **carry)
+    out = grouped(both, "key_id", account_groups).transformWithStateInPandas(
+        VersionedJoinProcessor(tie, keep, bucket, "key_id" if account_groups else None), schema, "Append", "EventTime", **carry)
     out = out.select("account", "bytesUsed", F.timestamp_micros("ts_us").alias("ts"), tie, "quota",
                      *(["late"] if mark_late else []), *(["event_ts"] if late == "drop" else []))
     return out.withColumns({"billingYear": billing_year("ts"), "billingMonth": billing_month("ts")})
 
 
 class RetractingJoinProcessor(StatefulProcessor):
-    """Per account: versions, and the usage seen so far, both in time buckets.
+    """Per account, or with ``column`` group of accounts: versions, and the usage seen so far, both in time buckets.
 
     New usage is joined at once.  A new version covers the time up to the next one: usage seen in that time gets a
     ``-U`` row with its former quota, if it had a version, and a ``+U`` row (``+I`` if it had none) with the new one.
@@ -238,13 +256,15 @@ class RetractingJoinProcessor(StatefulProcessor):
     watermark is that far past its end: versions still later don't correct it.
     """
 
-    def __init__(self, tie: str, horizon: int | None, bucket: timedelta = BUCKET):
-        self.tie, self.horizon, self.bucket = tie, horizon, bucket
+    def __init__(self, tie: str, horizon: int | None, bucket: timedelta = BUCKET, column: str | None = None):
+        self.tie, self.horizon, self.bucket, self.column = tie, horizon, bucket, column
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.width = micros(self.bucket) // 1000 * 1000
-        self.versions = VersionStore(handle, self.bucket)
+        self.columns = 4 if self.column else 3
+        self.accounts = Accounts(handle, self.column)
+        self.versions = VersionStore(handle, self.bucket, self.columns)
         self.list = handle.getValueState("usage_buckets", "buckets binary")
         self.parts = handle.getMapState("usage_parts", "bucket long", "n long")
         self.rows = handle.getMapState("usage", "bucket long, part long", "rows binary")
@@ -254,10 +274,10 @@ class RetractingJoinProcessor(StatefulProcessor):
         return opened(value[0], 1)[:, 0] if value is not None else np.zeros(0, "<i8")
 
     def _seen(self, buckets) -> np.ndarray:
-        found = [np.zeros((0, 3), "<i8")]
+        found = [np.zeros((0, self.columns), "<i8")]
         for bucket in buckets:
             for part in range(int(self.parts.getValue((bucket,))[0])):
-                found.append(opened(self.rows.getValue((bucket, part))[0], 3))
+                found.append(opened(self.rows.getValue((bucket, part))[0], self.columns))
         return in_order(np.concatenate(found))
 
     def _remember(self, rows: np.ndarray) -> None:
@@ -274,47 +294,62 @@ class RetractingJoinProcessor(StatefulProcessor):
         if fresh:
             self.list.update((packed(np.union1d(known, np.array(fresh, "<i8"))),))
 
-    def _frame(self, account, op, rows, version, step: int) -> pd.DataFrame:
+    def _frame(self, op, rows, version, step: int) -> pd.DataFrame:
         quota = pd.array(version[:, 1], dtype="Int64")
         quota[version[:, 2] != 0] = pd.NA
-        return pd.DataFrame({"op": op, "account": account, "bytesUsed": rows[:, 1], "ts_us": rows[:, 0],
+        return pd.DataFrame({"op": op, "account": self.accounts.of(code_of(rows)), "bytesUsed": rows[:, 1], "ts_us": rows[:, 0],
                              self.tie: rows[:, 2], "quota": quota, "step": step})
 
-    def _corrected(self, account, new: np.ndarray) -> Iterator[pd.DataFrame]:
+    def _corrected(self, new: np.ndarray) -> Iterator[pd.DataFrame]:
         """Stores new versions; the change rows of the usage they cover."""
         low, known = int(new[:, 0].min()), self._buckets()
         known = known[known >= low // self.width]
-        # The times that the new versions cover end at the next older version.
-        old = self.versions.around(low, int(known[-1] + 1) * self.width) if len(known) else np.zeros((0, 3), "<i8")
-        times = np.union1d(new[:, 0], old[old[:, 0] > low, 0])
-        starts = np.unique(new[:, 0])
-        after = np.searchsorted(times, starts, "right")
-        ends = np.append(times, np.iinfo("<i8").max)[after]
-        hit = [b for b in known.tolist() if ((starts < (b + 1) * self.width) & (ends > b * self.width)).any()]
-        rows = self._seen(hit)
-        had, before = self.versions.in_force(rows[:, 0])
+        new = latest_versions(new)
+        codes = np.unique(code_of(new))
+        # The times that a new version covers end at its account's next one.
+        old = (self.versions.around(low, int(known[-1] + 1) * self.width, codes) if len(known)
+               else np.zeros((0, self.columns), "<i8"))
         self.versions.add(new)
-        has, now = self.versions.in_force(rows[:, 0])
+        every = latest_versions(np.concatenate([old, new]))
+        own = code_of(every)
+        after = np.append(np.where(own[1:] == own[:-1], every[1:, 0], NEVER), NEVER)
+        starts, ends = new[:, 0], after[last_before(every, new[:, 0], code_of(new))]
+        hit = [b for b in known.tolist() if ((starts < (b + 1) * self.width) & (ends > b * self.width)).any()]
+        held, seen = 0, []
+        for bucket in hit:
+            rows = self._seen([bucket])
+            rows = rows[np.isin(code_of(rows), codes)]
+            held += len(rows)
+            seen.append(rows)
+            if held >= MOST or bucket == hit[-1]:   # a bounded part of what is to be corrected at a time
+                yield from self._changed(np.concatenate(seen), old, every)
+                held, seen = 0, []
+
+    def _changed(self, rows: np.ndarray, old: np.ndarray, every: np.ndarray) -> Iterator[pd.DataFrame]:
+        had, before = versions_at(old, rows[:, 0], code_of(rows))
+        has, now = versions_at(every, rows[:, 0], code_of(rows))
         changed = has & (~had | (before[:, 1:] != now[:, 1:]).any(axis=1))
         if changed.any():
             back = changed & had
             if back.any():
-                yield self._frame(account, "-U", rows[back], before[back], 0)
-            yield self._frame(account, np.where(had[changed], "+U", "+I"), rows[changed], now[changed], 1)
+                yield self._frame("-U", rows[back], before[back], 0)
+            yield self._frame(np.where(had[changed], "+U", "+I"), rows[changed], now[changed], 1)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         new, used = [], []
+        self.accounts.begin(key)
         for pdf in rows:
-            versions, usage = split_rows(pdf, self.tie)
+            versions, usage = split_rows(pdf, self.tie, self.accounts)
             new.append(versions)
             used.append(usage)
         new, used = np.concatenate(new), in_order(np.concatenate(used))
+        self.accounts.save()
         if len(new):
-            yield from self._corrected(key[0], new)
+            yield from self._corrected(new)
         if len(used):
-            found, version = self.versions.in_force(used[:, 0])
+            found, version = self.versions.in_force(used[:, 0], code_of(used))
             if found.any():
-                yield self._frame(key[0], "+I", used[found], version[found], 1)
+                yield self._frame("+I", used[found], version[found], 1)
             self._remember(used)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
@@ -335,7 +370,7 @@ class RetractingJoinProcessor(StatefulProcessor):
 
 
 def enrich_changes(usage: DataFrame, versions: DataFrame, tie: str, horizon: timedelta | None = None,
-                   delay: str = "0 seconds") -> DataFrame:
+                   delay: str = "0 seconds", account_groups: int | None = None) -> DataFrame:
     """Change rows of the version-stream join, without waiting: ``op, account, bytesUsed, ts, tie, quota, billingYear,
     billingMonth, step`` (within a batch, ``-U`` rows have step 0 and the others 1).
 
@@ -349,8 +384,9 @@ def enrich_changes(usage: DataFrame, versions: DataFrame, tie: str, horizon: tim
         T.StructField("op", T.StringType()), T.StructField("account", T.StringType()),
         T.StructField("bytesUsed", T.LongType()), T.StructField("ts_us", T.LongType()), T.StructField(tie, T.LongType()),
         T.StructField("quota", T.LongType()), T.StructField("step", T.IntegerType())])
-    out = both.groupBy("key_id").transformWithStateInPandas(
-        RetractingJoinProcessor(tie, None if horizon is None else micros(horizon)), schema, "Append",
+    out = grouped(both, "key_id", account_groups).transformWithStateInPandas(
+        RetractingJoinProcessor(tie, None if horizon is None else micros(horizon), BUCKET,
+                                "key_id" if account_groups else None), schema, "Append",
         "None" if horizon is None else "EventTime")
     out = out.select("op", "account", "bytesUsed", F.timestamp_micros("ts_us").alias("ts"), tie, "quota", "step")
     return out.withColumns({"billingYear": billing_year("ts"), "billingMonth": billing_month("ts")})

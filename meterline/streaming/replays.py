@@ -23,6 +23,7 @@ from ..sources.log import read_log
 from .alerts import stream_usage_alerts, stream_versioned_alerts
 from .carried import carried_alerts_writer
 from .enrich import FINISHED, enrich_changes, enrich_static, enrich_versioned, folded
+from .keyed_state import GROUPS
 from .ordered import ordered_batch_writer, read_ordered
 from .runner import await_end, batch_folder_writer, fresh_paths, latest_per_key, run_to_end
 from .totals import stream_account_totals, stream_total_changes
@@ -105,7 +106,7 @@ def account_totals_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 def account_totals_changes_stream(spark: SparkSession, sf: str) -> DataFrame:
     rp = EventOrderReplay(spark, "changes")
-    q = stream_total_changes(rp.source(td.usage_from_events(spark, sf), "ts"), TIE)
+    q = stream_total_changes(rp.source(td.usage_from_events(spark, sf), "ts"), TIE, account_groups=GROUPS)
     out, ck = fresh_paths(spark, "changes")
     rp.run(lambda: run_to_end(q, ck, "append", path=out))
     return spark.read.parquet(out)
@@ -134,7 +135,7 @@ def _versioned(spark: SparkSession, sf: str, name: str, late: str = "emit") -> t
     rp = EventOrderReplay(spark, name)
     usage = rp.source(td.usage_from_events(spark, sf), "ts")
     versions = rp.source(td.versions_from_events(spark, sf), "ts")
-    return rp, enrich_versioned(usage, versions, TIE, late=late)
+    return rp, enrich_versioned(usage, versions, TIE, late=late, account_groups=GROUPS)
 
 
 def quota_enriched_versions_stream(spark: SparkSession, sf: str) -> DataFrame:
@@ -158,7 +159,7 @@ def quota_enriched_late_stream(spark: SparkSession, sf: str) -> DataFrame:
     rp = EventOrderReplay(spark, "enriched_late")
     delay = F.when(F.col(TIE) % 3 == 0, F.expr("interval 10 days")).otherwise(F.expr("interval 0 days"))
     usage = rp.source(td.usage_from_events(spark, sf), F.col("ts") + delay)
-    e = enrich_versioned(usage, rp.source(td.versions_from_events(spark, sf), "ts"), TIE)
+    e = enrich_versioned(usage, rp.source(td.versions_from_events(spark, sf), "ts"), TIE, account_groups=GROUPS)
     out, ck = fresh_paths(spark, "enriched_late")
     rp.run(lambda: run_to_end(e, ck, "append", path=out))
     return spark.read.parquet(out).select("account", "bytesUsed", "ts", TIE, "quota", "billingYear",
@@ -192,7 +193,7 @@ def _lagging(spark: SparkSession, sf: str, name: str, usage_delay: Column, versi
     for df, late in ((td.usage_from_events(spark, sf), usage_delay), (td.versions_from_events(spark, sf), version_delay)):
         rows = _arriving(df, late).unionByName(_heartbeats(df, beat_delay))
         sides.append(rp.source(rows, "arrival").drop("arrival"))
-    e = enrich_versioned(*sides, TIE, delay=delay, wait_for="both")
+    e = enrich_versioned(*sides, TIE, delay=delay, wait_for="both", account_groups=GROUPS)
     out, ck = fresh_paths(spark, name)
     rp.run(lambda: run_to_end(e, ck, "append", path=out))
     return spark.read.parquet(out).select("account", "bytesUsed", "ts", TIE, "quota", "billingYear", "billingMonth")
@@ -216,7 +217,7 @@ def quota_enriched_changes_stream(spark: SparkSession, sf: str) -> DataFrame:
     usage = rp.source(td.usage_from_events(spark, sf), "ts")
     versions = rp.source(_arriving(td.versions_from_events(spark, sf), late), "arrival").drop("arrival")
     out, ck = fresh_paths(spark, "enriched_changes")
-    e = enrich_changes(usage, versions, TIE)
+    e = enrich_changes(usage, versions, TIE, account_groups=GROUPS)
     rp.run(lambda: run_to_end(e, ck, "append", path=out))
     return folded(spark.read.parquet(out)).select("account", "bytesUsed", "ts", TIE, "quota", "billingYear", "billingMonth")
 
@@ -227,7 +228,8 @@ def quota_enriched_ordered_late_stream(spark: SparkSession, sf: str) -> DataFram
     rp = EventOrderReplay(spark, "enriched_ordered_late")
     late = F.when(F.col(TIE) % 3 == 0, _days(10)).otherwise(_days(0))
     usage = rp.source(_arriving(td.usage_from_events(spark, sf), late), "arrival").drop("arrival")
-    e = enrich_versioned(usage, rp.source(td.versions_from_events(spark, sf), "ts"), TIE, mark_late=True)
+    e = enrich_versioned(usage, rp.source(td.versions_from_events(spark, sf), "ts"), TIE, mark_late=True,
+                         account_groups=GROUPS)
     out, ck = fresh_paths(spark, "enriched_ordered_late")
     sink = ordered_batch_writer(f"{out}/main", ["ts", TIE], f"{out}/late")
     rp.run(lambda: run_to_end(e, ck, "append", sink=sink))
@@ -242,7 +244,8 @@ def usage_alerts_late_clearing_stream(spark: SparkSession, sf: str) -> DataFrame
     late = F.when(F.col(TIE) % 3 == 0, _days(10)).otherwise(_days(0))
     usage = rp.source(_arriving(td.usage_from_orders(spark, sf), late), "arrival").drop("arrival")
     versions = rp.source(td.versions_from_customers(spark, sf), "ts")
-    q = stream_versioned_alerts(usage, versions, TIE, clear_after=timedelta(days=20))
+    q = stream_versioned_alerts(usage, versions, TIE, clear_after=timedelta(days=20), account_groups=GROUPS,
+                                bucket=timedelta(days=30))
     out, ck = fresh_paths(spark, "alerts_late_clearing")
     rp.run(lambda: run_to_end(q, ck, "append", path=out))
     return spark.read.parquet(out).select("account", "billingYear", "billingMonth", "quota")
@@ -252,7 +255,7 @@ def usage_alerts_clearing_orders_stream(spark: SparkSession, sf: str) -> DataFra
     """Clearing over years of orders, so that the timers of many months fire between the runs."""
     rp = EventOrderReplay(spark, "alerts_clearing_orders", chunk=timedelta(days=366))
     e = enrich_static(rp.source(td.usage_from_orders(spark, sf), "ts"), td.versions_from_customers(spark, sf))
-    q = stream_usage_alerts(e, TIE, clear_after=CLEAR_AFTER)
+    q = stream_usage_alerts(e, TIE, clear_after=CLEAR_AFTER, account_groups=GROUPS)
     out, ck = fresh_paths(spark, "alerts_clearing_orders")
     rp.run(lambda: run_to_end(q, ck, "append", path=out))
     return spark.read.parquet(out).select("ts", "account", "billingYear", "billingMonth", "quota", "total",
@@ -287,7 +290,7 @@ def usage_publish_stream(spark: SparkSession, sf: str) -> DataFrame:
 def usage_alerts_stream(spark: SparkSession, sf: str) -> DataFrame:
     rp = EventOrderReplay(spark, "alerts")
     e = enrich_static(rp.source(td.usage_from_events(spark, sf), "ts"), td.versions_from_events(spark, sf))
-    q = stream_usage_alerts(e, TIE)
+    q = stream_usage_alerts(e, TIE, account_groups=GROUPS)
     out, ck = fresh_paths(spark, "alerts")
     rp.run(lambda: run_to_end(q, ck, "append", path=out))
     return spark.read.parquet(out).select("ts", "account", "billingYear", "billingMonth", "quota", "total",
@@ -323,7 +326,7 @@ def usage_alerts_handover_stream(spark: SparkSession, sf: str) -> DataFrame:
     before = enrich_usage(usage.where(F.col("ts") < cut), versions)
     rp = EventOrderReplay(spark, "alerts_handover")
     e = enrich_static(rp.source(usage.where(F.col("ts") >= cut), "ts"), versions)
-    q = stream_usage_alerts(e, TIE, initial=billing_state(before, TIE))
+    q = stream_usage_alerts(e, TIE, initial=billing_state(before, TIE), account_groups=GROUPS)
     out, ck = fresh_paths(spark, "alerts_handover")
     rp.run(lambda: run_to_end(q, ck, "append", path=out))
     columns = ["ts", "account", "billingYear", "billingMonth", "quota", "total", "message"]
@@ -334,7 +337,7 @@ def usage_alerts_clearing_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Alerts with monthly state clearing on (event-time mode, a timer per account and month)."""
     rp = EventOrderReplay(spark, "alerts_clearing")
     e = enrich_static(rp.source(td.usage_from_events(spark, sf), "ts"), td.versions_from_events(spark, sf))
-    q = stream_usage_alerts(e, TIE, clear_after=CLEAR_AFTER)
+    q = stream_usage_alerts(e, TIE, clear_after=CLEAR_AFTER, account_groups=GROUPS)
     out, ck = fresh_paths(spark, "alerts_clearing")
     rp.run(lambda: run_to_end(q, ck, "append", path=out))
     return spark.read.parquet(out).select("ts", "account", "billingYear", "billingMonth", "quota", "total",
@@ -345,7 +348,8 @@ def usage_alerts_versions_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Alerts with the versions as a stream too: join and totals in one processor."""
     rp = EventOrderReplay(spark, "alerts_versions")
     usage = rp.source(td.usage_from_events(spark, sf), "ts")
-    q = stream_versioned_alerts(usage, rp.source(td.versions_from_events(spark, sf), "ts"), TIE)
+    q = stream_versioned_alerts(usage, rp.source(td.versions_from_events(spark, sf), "ts"), TIE,
+                                account_groups=GROUPS)
     out, ck = fresh_paths(spark, "alerts_versions")
     rp.run(lambda: run_to_end(q, ck, "append", path=out))
     return spark.read.parquet(out).select("ts", "account", "billingYear", "billingMonth", "quota", "total",

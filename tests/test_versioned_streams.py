@@ -157,6 +157,65 @@ def test_retractions_fold_to_the_batch_join(seed):
     assert left == want
 
 
+# ---- accounts that share a key
+
+def test_versions_of_accounts_that_share_a_key():
+    rng = np.random.default_rng(3)
+    store, given = VersionStore(Handle(), columns=4), {}
+    for _ in range(6):
+        new = np.stack([rng.integers(0, 40, 30) * DAY // 3, rng.integers(0, 99, 30), np.zeros(30, int), rng.integers(0, 7, 30)], axis=1)
+        store.add(new)
+        for ts, quota, _, code in new.tolist():
+            given[code, ts] = quota
+    times, codes = rng.integers(-DAY, 16 * DAY, 500), rng.integers(0, 8, 500)
+    for low in (None, 5 * DAY):
+        if low is not None:
+            store.prune(low)
+            times = np.maximum(times, low)
+        found, version = store.in_force(times, codes)
+        for t, c, f, v in zip(times.tolist(), codes.tolist(), found.tolist(), version.tolist()):
+            best = max((ts for code, ts in given if code == c and ts <= t), default=None)
+            assert f == (best is not None) and (not f or v[:2] == [best, given[c, best]])
+    assert store.second() == min(sorted(ts for code, ts in given if code == c and ts > 5 * DAY)[0] for c in range(7))
+
+
+def test_a_call_serves_all_accounts_of_its_key():
+    """State calls depend on buckets, not on the number of accounts."""
+    calls = []
+    for accounts in (5, 500):
+        proc, handle = enrich.RetractingJoinProcessor("tie", None, column="key_id"), Handle()
+        proc.init(handle)
+        side = [1, 0] * accounts
+        frame = pd.DataFrame({"key_id": [f"k{i // 2}" for i in range(2 * accounts)], "side": side, "ts_us": [7 if x else 5 for x in side],
+                              "bytesUsed": 1, "tie": range(2 * accounts), "quota": range(2 * accounts), "quota_null": False})
+        out = pd.concat(list(proc.handleInputRows((0,), iter([frame]), None)))
+        assert {(r.account, r.quota) for r in out.itertuples()} == {(f"k{i}", 2 * i + 1) for i in range(accounts)}
+        calls.append(handle.calls)
+    assert calls[0] == calls[1]
+
+
+@pytest.mark.parametrize("groups", [1, 3])
+def test_streams_of_grouped_accounts(spark, groups):
+    v = [(a, 100 + i, "2021-10-01T00:00:00") for i, a in enumerate("abc")] + [("b", 200, "2021-10-04T00:00:00")]
+    rows = [(a, 60, f"2021-10-0{d}T0{i}:00:00", 10 * d + i) for d in (2, 3, 5, 6) for i, a in enumerate("abc")]
+    usage(spark, rows).coalesce(1).write.parquet(src := scratch_path(spark, "t-grouped"))
+    s, table = spark.readStream.schema(USAGE_DDL).parquet(src), versions(spark, v)
+    want = usage_alerts(enrich_usage(usage(spark, rows), table), "event_id")
+    cols = ["ts", "account", "quota", "total"]
+    out, _ = end(stream_usage_alerts(enrich_static(s, table), "event_id", clear_after=timedelta(days=3), account_groups=groups),
+                 "t-grouped", spark)
+    assert sorted(map(tuple, out.select(*cols).collect())) == sorted(map(tuple, want.select(*cols).collect()))
+    changes = ["op", "account", "totalUsage", "asOf", "event_id"]
+    out, _ = end(stream_total_changes(s, "event_id", account_groups=groups), "t-grouped-totals", spark)
+    want_changes = account_total_changes(usage(spark, rows), "event_id")
+    assert sorted(map(tuple, out.select(*changes).collect())) == sorted(map(tuple, want_changes.select(*changes).collect()))
+    done = ([(None, None, "2021-10-09T00:00:00", None)], [("z", 1, "2021-10-01T00:00:00")])
+    for late in ("emit", "drop"):
+        u, vs = streams(spark, [(rows, v), done])
+        out, _ = end(stream_versioned_alerts(u, vs, "event_id", late=late, account_groups=groups), "t-grouped-v", spark)
+        assert sorted(map(tuple, out.select(*cols).collect())) == sorted(map(tuple, want.select(*cols).collect()))
+
+
 # ---- streams
 
 def streams(spark, files, version_first=()):
