@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from ..session import use_rocksdb_state
+from ..session import scratch_path, use_rocksdb_state
 
 from ..functions.billing import alert_message
 from ..operators.scan import check_sums
@@ -286,9 +286,9 @@ def stream_usage_alerts(enriched: DataFrame, tie: str, ratio: float = ALERT_RATI
     quota, total, message`` plus ``tie``.  Also runs on a bounded DataFrame (without ``clear_after``).
 
     ``initial`` takes over from a batch run: totals and flags of the usage before the stream's first row, from
-    :func:`~meterline.operators.alerts.billing_state` with the same key and ratio.  Spark reads it in the query's first
-    micro-batch only.  ``account_groups``: into how many groups accounts are dealt, each with one call a micro-batch; by
-    default every account has its own."""
+    :func:`~meterline.operators.alerts.billing_state` with the same key and ratio.  It is computed by this
+    call; Spark reads it in the query's first micro-batch only.  ``account_groups``: into how many groups accounts are
+    dealt, each with one call a micro-batch; by default every account has its own."""
     use_rocksdb_state(enriched.sparkSession)
     key, zero = list(key), F.lit(0).cast("long")
     upstream_time = "event_ts" in enriched.columns
@@ -312,7 +312,14 @@ def stream_usage_alerts(enriched: DataFrame, tie: str, ratio: float = ALERT_RATI
     if initial is not None:
         sub = [k for k in key if k not in ("account", "quota")]
         quota = [F.coalesce("quota", zero).alias("quota"), F.col("quota").isNull().alias("quota_null")] if "quota" in key else []
-        begin = grouped(initial.select("account", *sub, *quota, "total", "alerted"), "account", account_groups)
+        start = initial.select("account", *sub, *quota, "total", "alerted")
+        if enriched.isStreaming:
+            # Planned within a stream, whose planner does without adaptive shuffles, large joins of the batch fail, and
+            # every micro-batch would plan them again: compute it once into the shared folder.
+            path = scratch_path(start.sparkSession, "initial")
+            start.write.parquet(path)
+            start = start.sparkSession.read.schema(start.schema).parquet(path)
+        begin = grouped(start, "account", account_groups)
     out = grouped(prepared, "account", account_groups).transformWithStateInPandas(
         UsageAlertProcessor(tie, ratio, clear_after, key, "account" if account_groups else None), _out_schema(tie), "Append", time_mode, begin)
     return _with_message(out, tie)

@@ -394,3 +394,25 @@ def test_a_stream_takes_over_from_a_batch(spark):
     assert [(r["account"], r["total"]) for r in out.collect()] == [("a", 95)]
     kept = spark.read.format("statestore").option("path", ck).option("stateVarName", "usage").load()
     assert sorted((r["key"]["account"], r["user_map_value"]["total"]) for r in kept.collect()) == [("a", 95), ("b", 145), ("c", 10)]
+
+
+def test_takes_over_from_a_batch_of_large_joins(spark):
+    """The batch's plan has joins by sort and merge; it is no part of the stream's plan, restarts included."""
+    from meterline.operators.alerts import billing_state
+
+    v = versions(spark, [(a, 100, "2021-10-01T00:00:00") for a in "abc"])
+    old = usage(spark, [("a", 60, "2021-10-02T00:00:00", 1), ("b", 95, "2021-10-02T00:00:00", 2)])
+    src = scratch_path(spark, "t-handover-large")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        state = billing_state(enrich_usage(old, v, strategy="shuffle"), "event_id")
+        usage(spark, []).write.parquet(src)
+        s = spark.readStream.schema(USAGE_DDL).parquet(src)
+        q = stream_usage_alerts(enrich_static(s, v, max_broadcast_rows=0), "event_id", initial=state, account_groups=2)
+        out, ck = fresh_paths(spark, "t-handover-large")
+        for rows in ([("a", 20, "2021-10-03T00:00:00", 3)], [("a", 20, "2021-10-04T00:00:00", 4), ("b", 9, "2021-10-04T00:00:00", 5)]):
+            usage(spark, rows).coalesce(1).write.mode("append").parquet(src)
+            run_to_end(q, ck, "append", path=out)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert [(r["account"], r["total"]) for r in spark.read.parquet(out).collect()] == [("a", 100)]
