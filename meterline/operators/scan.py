@@ -13,8 +13,10 @@ The join and the last window share one shuffle of the rows.  A hot key spreads o
 Where a bucket may not fit (a key with very many rows in one second, or without a time), ``piece_rows`` cuts buckets
 again, by the whole order: about one row in ``piece_rows``, chosen by its hash, begins a new piece, so that pieces have
 that many rows on average however times and ties are spread, and buckets of fewer rows mostly stay whole.  (key,
-bucket, piece) then takes the place of (key, bucket); rows equal in the whole order stay together.  The chosen rows
-are found in one more pass and joined to the rows of their bucket, which Spark may split.
+bucket, piece) then takes the place of (key, bucket); rows equal in the whole order stay together.  Pieces are found
+in levels, so the work grows with the rows: one in ``piece_rows * FAN ** 3`` rows begins a piece of the coarsest level,
+one in ``FAN`` times fewer a piece of the next, inside the first.  The lists of chosen rows take four more passes and are
+joined to the rows level by level, which Spark may split; a row finds its place in a list by binary search.
 Everything is a DataFrame expression: no job runs while a result is being defined, nothing is written, and
 there is no switch on size.  ``plan="window"`` is the plain window, for input that is partitioned by key
 already (a bucketed table).
@@ -30,6 +32,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 WIDTH = timedelta(hours=1)
+FAN = 128                            # chosen rows of one level in a piece of the level above, on average
+LEVELS = 4                           # of pieces; good for buckets of piece_rows * FAN ** LEVELS rows
+BROADCAST_RATE = 1 << 20             # levels of one chosen row in so many, or fewer, are broadcast
 _KEY, _BUCKET = "_key", "_bucket"
 
 
@@ -66,17 +71,50 @@ def _same_bucket(rows: DataFrame) -> DataFrame:
     return rows.withColumn(_BUCKET, F.coalesce(_BUCKET, F.lit(-(1 << 63) + 1)))
 
 
+def _placed(rows: DataFrame, levels: list[DataFrame], parts: list[str]) -> DataFrame:
+    """Adds to rows with ``_place`` the piece they lie in, level by level: how many chosen rows of the piece above are at
+    or before it, by binary search."""
+    def further(found: Column, step: Column) -> Column:
+        return F.when(F.get("_marks", found + step - 1) <= F.col("_place"), found + step).otherwise(found)
+
+    steps = F.lit([1 << b for b in range(30, -1, -1)])
+    for n, marks in enumerate(levels):
+        found = F.when(F.col("_marks").isNull(), 0).otherwise(F.aggregate(steps, F.lit(0), further))
+        rows = rows.join(marks, parts[:2 + n], "left").withColumn(parts[2 + n], found).drop("_marks")
+    return rows
+
+
+def _marks(chosen: DataFrame, up: list[str]) -> DataFrame:
+    """The chosen rows of each piece, in order."""
+    return chosen.groupBy(*up).agg(F.sort_array(F.collect_list("_place")).alias("_marks"))
+
+
 def _cut(rows: DataFrame, order: Sequence[str], piece_rows: int) -> DataFrame:
-    """Makes the bucket a struct of its number and the piece of it that a row lies in: the number of chosen rows of the
-    bucket up to this one."""
+    """Makes the bucket a struct of its number and the piece of it that a row lies in, a number for each level.
+
+    The chosen rows of a level are among those of the next, which are listed by the level's pieces; so a row meets some
+    ``FAN`` chosen rows a level, however many the bucket has.  Two levels are made at a time: a window
+    holds the finer one's chosen rows in a piece of the levels before, some ``FAN ** 2``."""
     if piece_rows < 1:
         raise ValueError("piece_rows must be at least 1")
-    at = F.struct(*order)
-    chosen = F.pmod(F.xxhash64(_KEY, *order), F.lit(piece_rows)) == 0
-    marks = rows.where(chosen).groupBy(_KEY, _BUCKET).agg(F.collect_set(at).alias("_marks"))
-    piece = F.coalesce(F.size(F.filter("_marks", lambda mark: mark <= at)), F.lit(0))
-    return (rows.join(marks, [_KEY, _BUCKET], "left")
-                .withColumn(_BUCKET, F.struct(F.col(_BUCKET).alias("bucket"), piece.alias("piece"))).drop("_marks"))
+    hashed, levels = F.xxhash64(_KEY, *order), []
+    parts = [_KEY, _BUCKET, *[f"_piece{n}" for n in range(LEVELS)]]
+
+    def one_in(rate: int) -> Column:
+        return F.pmod("_hash", F.lit(rate).cast("long")) == 0
+
+    for n in range(0, LEVELS, 2):
+        coarse, fine = (piece_rows * FAN ** (LEVELS - 1 - i) for i in (n, n + 1))
+        up, piece = parts[:2 + n], parts[2 + n]
+        chosen = rows.select(_KEY, _BUCKET, F.struct(*order).alias("_place"), hashed.alias("_hash")).where(one_in(fine))
+        inside = Window.partitionBy(*up).orderBy("_place")
+        chosen = (_placed(chosen.distinct(), levels, parts)
+                  .withColumn(piece, F.sum(F.when(one_in(coarse), 1).otherwise(0)).over(_up_to(inside)).cast("int")))
+        pair = [_marks(chosen.where(one_in(coarse)), up), _marks(chosen, [*up, piece])]
+        levels += [F.broadcast(marks) for marks in pair] if fine >= BROADCAST_RATE else pair
+    pieces = parts[2:]
+    return (_placed(rows.withColumn("_place", F.struct(*order)), levels, parts)
+            .withColumn(_BUCKET, F.struct(F.col(_BUCKET).alias("bucket"), *pieces)).drop("_place", *pieces))
 
 
 def _rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], width: timedelta, piece_rows: int | None) -> DataFrame:

@@ -5,7 +5,7 @@ from datetime import timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from meterline.operators import account_total_changes, usage_alerts
+from meterline.operators import account_total_changes, scan, usage_alerts
 from meterline.operators.alerts import billing_state
 from meterline.operators.scan import _rows, crossing_rows, last_seen, next_in_order, running_sum, running_sum_of
 from meterline.session import scratch_path
@@ -107,6 +107,23 @@ def test_pieces_equal_window(spark, piece_rows):
          "k", "e", "x")
 
 
+def test_rows_meet_few_chosen_rows(spark, monkeypatch):
+    """Each level lists some FAN chosen rows a piece, not all of a busy bucket, and its pieces are in the whole order."""
+    lists, real = [], scan._marks
+    monkeypatch.setattr(scan, "FAN", 4)
+    monkeypatch.setattr(scan, "_marks", lambda chosen, up: lists.append(real(chosen, up)) or lists[-1])
+    df, order = one_second(spark), ["ts", "e"]
+    cut = _rows(df, ["k"], order, timedelta(hours=1), 2)
+    longest = [marks.agg(F.max(F.size("_marks"))).first()[0] for marks in lists]
+    assert len(longest) == scan.LEVELS and max(longest) < 100  # of some 1,500 chosen rows
+    pieces = cut.where("k = 'hot'").groupBy("_bucket").agg(F.min(F.struct(*order)).alias("lo"), F.max(F.struct(*order)).alias("hi"))
+    bounds = [(r.lo, r.hi) for r in pieces.orderBy("_bucket").collect()]
+    flat = [(ts is not None, ts, e) for pair in bounds for ts, e in pair]
+    assert len(bounds) > 1000 and flat == sorted(flat)
+    a, b = (running_sum(df, ["k"], order, "v", "x", prev_order="ts", plan=p, piece_rows=n) for p, n in (("window", None), ("buckets", 2)))
+    assert sorted(map(repr, a.select("k", "e", "x", "_prev").collect())) == sorted(map(repr, b.select("k", "e", "x", "_prev").collect()))
+
+
 def test_pieces_in_alerts_and_changes(spark):
     df = one_second(spark, 600).select(F.col("k").alias("account"), F.col("v").alias("bytesUsed"), "ts", F.col("e").alias("event_id"))
     e = df.where("ts is not null").withColumns({"quota": F.lit(400).cast("long"), "billingYear": F.lit(2021).cast("long"),
